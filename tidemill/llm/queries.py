@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import packing
+from tidemill.llm import mixing, packing, sharding
 
 END_ID = 2
 SEQUENCE_TOKENS = 1024
@@ -32,5 +32,21 @@ def packed_digest(docs: DataFrame) -> DataFrame:
     return packing.pack(cut, "length", SEQUENCE_TOKENS)
 
 
-QUERIES = {"op1_pack": op1_pack}
+SHARDS = 8
+
+
+def op3_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard under the law ``bytes``: equal texts stay together, sizes come near equal."""
+    docs = table(spark, sf_dir, "documents").withColumn("text_crc32", F.crc32(F.coalesce("text", F.lit(""))))
+    out = sharding.assign(docs, SHARDS, carry=("text_crc32",))
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document the mix takes so that sources come near their targets."""
+    out = mixing.mix(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "rate", "copies")
+
+
+QUERIES = {"op1_pack": op1_pack, "op3_shard": op3_shard, "op10_mix": op10_mix}
 ORACLE_SQL: dict[str, str] = {}
