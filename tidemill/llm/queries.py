@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import mixing, packing, sharding
+from tidemill.llm import line_dedup, mixing, packing, sharding
 
 END_ID = 2
 SEQUENCE_TOKENS = 1024
@@ -42,11 +42,34 @@ def op3_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that an earlier document holds, as a digest."""
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+OP4_SQL = r"""
+WITH l AS (
+  SELECT doc_id, n, line, regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', '') AS bare
+  FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS n FROM documents)
+), k AS (
+  SELECT doc_id, n, line, translate(bare, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM l
+), f AS (
+  SELECT k, min(doc_id) AS keeper FROM k WHERE length(k) >= 10 GROUP BY k HAVING count(DISTINCT doc_id) >= 2
+), j AS (
+  SELECT k.doc_id, n, line, coalesce(keeper <> k.doc_id, false) AS gone FROM k LEFT JOIN f ON k.k = f.k
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (NOT gone), '')) AS kept_sha256
+FROM j GROUP BY doc_id
+"""
+
+
 def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of every document the mix takes so that sources come near their targets."""
     out = mixing.mix(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "rate", "copies")
 
 
-QUERIES = {"op1_pack": op1_pack, "op3_shard": op3_shard, "op10_mix": op10_mix}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {"op1_pack": op1_pack, "op3_shard": op3_shard, "op4_lines": op4_lines, "op10_mix": op10_mix}
+ORACLE_SQL: dict[str, str] = {"op4_lines": OP4_SQL}
