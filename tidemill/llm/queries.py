@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import line_dedup, mixing, packing, sharding
+from tidemill.llm import fingerprint, line_dedup, mixing, packing, sharding
 
 END_ID = 2
 SEQUENCE_TOKENS = 1024
@@ -32,6 +32,15 @@ def packed_digest(docs: DataFrame) -> DataFrame:
     return packing.pack(cut, "length", SEQUENCE_TOKENS)
 
 
+def op2_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint, its edited text's, and how alike they and the next document's are."""
+    out = fingerprint.edited_pairs(table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), fingerprint.as_hex(F.col("fingerprint")).alias("fingerprint"),
+        fingerprint.as_hex(F.col("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next",
+    )
+
+
 SHARDS = 8
 
 
@@ -71,5 +80,5 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "rate", "copies")
 
 
-QUERIES = {"op1_pack": op1_pack, "op3_shard": op3_shard, "op4_lines": op4_lines, "op10_mix": op10_mix}
+QUERIES = {"op1_pack": op1_pack, "op2_fingerprint": op2_fingerprint, "op3_shard": op3_shard, "op4_lines": op4_lines, "op10_mix": op10_mix}
 ORACLE_SQL: dict[str, str] = {"op4_lines": OP4_SQL}
