@@ -60,3 +60,48 @@ def packed(places: np.ndarray) -> bytes:
 
 def unpacked(data: bytes) -> np.ndarray:
     return np.cumsum(np.frombuffer(zlib.decompress(data), dtype="<u4").astype(np.int64))
+
+
+def of(df, column: str, most_bytes: int):
+    """A filter of the 64-bit values of a column, (bits, layout), of at most ``most_bytes``.
+
+    Tasks give out set bits, others merge them by segment; the driver holds no more than the filter.
+    """
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    n = df.agg(F.count(column)).first()[0]
+    segments, bits = own = layout(min(16.0 * max(n, 1), most_bytes * 8.0))
+
+    def build(batches):
+        for batch in batches:
+            values = mix(batch.column(0).drop_null().to_numpy(zero_copy_only=False).astype(np.int64).view(U64))
+            values.sort()
+            segment, places = place(values, *own)
+            found = np.unique(segment)
+            bounds = np.searchsorted(segment, [*found, 1 << 62])
+            data = [packed(np.unique(places[:, a:b])) for a, b in zip(bounds, bounds[1:], strict=False)]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(data, pa.binary())], names=["segment", "places"])
+
+    def merge(key: tuple[pa.Scalar, ...], batches):
+        out = empty(bits)
+        for batch in batches:
+            for x in batch.column("places"):
+                add(out, unpacked(x.as_py()))
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([out.tobytes()], pa.binary())], names=["segment", "places"])
+
+    from collections.abc import Iterator
+
+    merge.__annotations__.update(batches=Iterator[pa.RecordBatch], key=tuple[pa.Scalar, ...])
+    merge.__annotations__["return"] = Iterator[pa.RecordBatch]
+    schema = "segment int, places binary"
+    out = np.zeros((1 << segments, len(empty(bits))), dtype=np.uint8)
+    for r in df.select(column).mapInArrow(build, schema).groupBy("segment").applyInArrow(merge, schema).toLocalIterator():
+        out[r["segment"]] = np.frombuffer(bytes(r["places"]), dtype=np.uint8)
+    return out, own
+
+
+def holds(filter_: np.ndarray, own: tuple[int, int], values: np.ndarray) -> np.ndarray:
+    """Which of the 64-bit values a filter made by ``of`` may hold."""
+    segment, places = place(mix(values.astype(np.int64).view(U64)), *own)
+    return test(filter_.reshape(-1), places + segment * (filter_.shape[1] * 8)).all(axis=0)

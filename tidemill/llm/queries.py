@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import fingerprint, line_dedup, mixing, packing, sharding
+from tidemill.llm import fingerprint, line_dedup, mixing, near_dedup, packing, sharding
 
 END_ID = 2
 SEQUENCE_TOKENS = 1024
@@ -74,11 +74,42 @@ FROM j GROUP BY doc_id
 """
 
 
+OP9_WIDTH = 2
+
+#: Links become components alike in every query: reach everything, keep the smallest.
+REACH = """
+, e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l)
+, r AS (SELECT v, v AS c FROM own UNION SELECT e.y, r.c FROM r JOIN e ON r.v = e.x)
+, m AS (SELECT v, min(c) AS component_id FROM r GROUP BY v)
+"""
+
+OP9_SQL = r"""
+WITH RECURSIVE own AS (SELECT doc_id AS v FROM documents)
+, d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+)
+, s AS (
+  SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) >= 2 THEN list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1]) ELSE w END)) AS g FROM d
+)
+, n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id)
+, p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id)
+, l AS (SELECT x, y FROM p JOIN n nx ON x = nx.doc_id JOIN n ny ON y = ny.doc_id WHERE 100 * c >= 80 * (nx.n + ny.n - c))
+""" + REACH + """
+SELECT v AS doc_id, coalesce(n, 0) AS n_shingles, component_id, v = component_id AS kept FROM m LEFT JOIN n ON v = doc_id
+"""
+
+
+def op9_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's group of near duplicates by two-word shingles."""
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=OP9_WIDTH)
+
+
 def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of every document the mix takes so that sources come near their targets."""
     out = mixing.mix(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "rate", "copies")
 
 
-QUERIES = {"op1_pack": op1_pack, "op2_fingerprint": op2_fingerprint, "op3_shard": op3_shard, "op4_lines": op4_lines, "op10_mix": op10_mix}
-ORACLE_SQL: dict[str, str] = {"op4_lines": OP4_SQL}
+QUERIES = {"op1_pack": op1_pack, "op2_fingerprint": op2_fingerprint, "op3_shard": op3_shard, "op4_lines": op4_lines, "op9_near": op9_near, "op10_mix": op10_mix}
+ORACLE_SQL: dict[str, str] = {"op4_lines": OP4_SQL, "op9_near": OP9_SQL}
