@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import fingerprint, line_dedup, mixing, near_dedup, packing, sharding
+from tidemill.llm import fingerprint, line_dedup, mixing, near_dedup, packing, sharding, vector_dedup
 
 END_ID = 2
 SEQUENCE_TOKENS = 1024
@@ -74,6 +74,11 @@ FROM j GROUP BY doc_id
 """
 
 
+def op7_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's number of links at cosine 0.9 or more and the smallest vector that they reach."""
+    return vector_dedup.near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 OP9_WIDTH = 2
 
 #: Links become components alike in every query: reach everything, keep the smallest.
@@ -83,6 +88,18 @@ REACH = """
 , m AS (SELECT v, min(c) AS component_id FROM r GROUP BY v)
 """
 
+OP7_SQL = """
+WITH RECURSIVE own AS (SELECT vec_id AS v FROM embeddings)
+, u AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+)
+, l AS (SELECT a.vec_id AS x, b.vec_id AS y FROM u a JOIN u b ON a.vec_id < b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.9)
+""" + REACH + """
+, k AS (SELECT x, count(*) AS n FROM e GROUP BY x)
+SELECT v AS vec_id, coalesce(n, 0) AS n_links, component_id, v = component_id AS kept FROM m LEFT JOIN k ON v = x
+"""
+
 OP9_SQL = r"""
 WITH RECURSIVE own AS (SELECT doc_id AS v FROM documents)
 , d AS (
@@ -90,7 +107,7 @@ WITH RECURSIVE own AS (SELECT doc_id AS v FROM documents)
   FROM documents
 )
 , s AS (
-  SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) >= 2 THEN list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1]) ELSE w END)) AS g FROM d
+  SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) >= 2 THEN list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) ELSE w END)) AS g FROM d
 )
 , n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id)
 , p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id)
@@ -111,5 +128,5 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "rate", "copies")
 
 
-QUERIES = {"op1_pack": op1_pack, "op2_fingerprint": op2_fingerprint, "op3_shard": op3_shard, "op4_lines": op4_lines, "op9_near": op9_near, "op10_mix": op10_mix}
-ORACLE_SQL: dict[str, str] = {"op4_lines": OP4_SQL, "op9_near": OP9_SQL}
+QUERIES = {"op1_pack": op1_pack, "op2_fingerprint": op2_fingerprint, "op3_shard": op3_shard, "op4_lines": op4_lines, "op7_vectors": op7_vectors, "op9_near": op9_near, "op10_mix": op10_mix}
+ORACLE_SQL: dict[str, str] = {"op4_lines": OP4_SQL, "op7_vectors": OP7_SQL, "op9_near": OP9_SQL}
