@@ -21,7 +21,8 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     for _ in range(ROUNDS):
         seen = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if seen == last or not seen[0]:
-            return edges.select(F.col("u").alias("v"), F.col("v").alias("component")).unionByName(edges.select("v", F.col("v").alias("component"))).distinct()
+            ends = edges.select(F.col("u").alias("v"), F.col("v").alias("component")).unionByName(edges.select("v", F.col("v").alias("component")))
+            return written(ends.distinct(), "components")
         last = seen
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))

@@ -7,10 +7,12 @@ A document is the set of its word shingles.  Documents with equal sets are one c
 2. The samples are also folded into an odd sketch: each toggles one of ``SKETCH`` bits.  The bits in
    which two sketches differ estimate a high similarity precisely.  A bucket is compared in chunks
    of about ``CHUNK`` members, each pair of chunks in one task, whatever the bucket's size; pairs
-   whose estimate is ``SLACK`` below the threshold, five standard errors, or more are candidates.
+   whose estimate is ``SLACK`` below the threshold, about five standard errors, or more are candidates.
 3. A task reports, of its candidates, a forest that joins what they join.  The forest's pairs are
-   confirmed on the full sets.  Where a pair fails, all candidates between components that are
-   still apart follow, and are confirmed too, so that no link that joins components is lost.
+   confirmed on the full sets.  Where a group has further candidates between components that are
+   still apart, its members with such candidates get their full sets, and the task confirms them in
+   place, each pair in the first bucket that it shares; so that no link that joins components is
+   lost, and no more than a forest of links leaves a task.
 4. The links' components are found by alternating stars.
 
 Full sets are made only for documents in candidate pairs: a Bloom filter of their ids, of bounded
@@ -39,7 +41,7 @@ PERCENT = 80
 ROWS, BANDS = 5, 40
 HASHES = ROWS * BANDS
 SKETCH = 1024
-SLACK = 0.18
+SLACK = 0.15
 CHUNK = 1024
 FILTER_BYTES = 1 << 25
 _NONE = -(1 << 63)
@@ -136,87 +138,161 @@ def _forest(near: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def _near_pairs(ids: np.ndarray, parts: np.ndarray, chunk: np.ndarray, sketches: np.ndarray, most: int, forest: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Candidate pairs of one task's members: a forest of them, or all between different components."""
-    order = np.argsort(ids, kind="stable")
-    ids, parts, chunk, words_ = ids[order], parts[order], chunk[order], sketches[order].view(np.uint64)
-    two = chunk.min() != chunk.max()
-    near = np.zeros((len(ids), len(ids)), dtype=bool)
-    pairs = []
-    for i in range(len(ids) - 1):
-        ok = np.bitwise_count(words_[i + 1 :] ^ words_[i]).sum(axis=1, dtype=np.int64) <= most
-        ok &= parts[i + 1 :] != parts[i]
-        if two:
-            ok &= chunk[i + 1 :] != chunk[i]
-        if forest:
-            near[i, i + 1 :] = ok
-            near[i + 1 :, i] = ok
-        else:
-            pairs += [(i, i + 1 + int(j)) for j in np.flatnonzero(ok)]
-    at = np.array(_forest(near) if forest else pairs, dtype=np.int64).reshape(-1, 2)
-    x, y = ids[at[:, 0]], ids[at[:, 1]]
-    return np.minimum(x, y), np.maximum(x, y)
-
-
-def _candidates(members: DataFrame, most: int, forest: bool) -> DataFrame:
-    """Distinct (x, y) candidate pairs of members (bucket, i, j, chunk, id, part, sketch)."""
+class _Group:
+    """The members of one pair of chunks of a bucket, by id."""
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
+    def __init__(self, table: pa.Table):
+        column = {n: table.column(n) for n in table.column_names}
+        order = np.argsort(column["id"].to_numpy(), kind="stable")
+        self.rows = table.take(pa.array(order))
+        self.ids, self.chunk = column["id"].to_numpy()[order], column["chunk"].to_numpy()[order]
+        self.bits = np.frombuffer(b"".join(column["sketch"].to_pylist()), dtype=np.uint64).reshape(-1, SKETCH // 64)[order]
+        self.two = self.chunk.min() != self.chunk.max()
 
-        def done(table: pa.Table) -> pa.RecordBatch:
-            bucket, i, j, chunk, ids, part = (table.column(k).to_numpy() for k in range(6))
-            sketch = np.frombuffer(b"".join(table.column(6).to_pylist()), dtype=np.uint8).reshape(-1, SKETCH // 8)
-            new = np.r_[True, (bucket[1:] != bucket[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]
-            bounds = np.r_[np.flatnonzero(new), len(bucket)]
-            size = np.diff(bounds)
-            # Groups of two, the most frequent by far, at once.
-            at = bounds[:-1][size == 2]
-            ok = (np.bitwise_count(sketch[at].view(np.uint64) ^ sketch[at + 1].view(np.uint64)).sum(axis=1, dtype=np.int64) <= most) & (part[at] != part[at + 1])
-            xs, ys = [np.minimum(ids[at], ids[at + 1])[ok]], [np.maximum(ids[at], ids[at + 1])[ok]]
-            for a, b in zip(bounds[:-1][size > 2].tolist(), bounds[1:][size > 2].tolist(), strict=True):
-                x, y = _near_pairs(ids[a:b], part[a:b], chunk[a:b], sketch[a:b], most, forest)
-                xs.append(x)
-                ys.append(y)
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(xs)), pa.array(np.concatenate(ys))], names=["x", "y"])
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            held.append(batch)
-            table = pa.Table.from_batches(held)
-            key = [table.column(k).to_numpy() for k in range(3)]
-            last = np.flatnonzero(np.logical_or.reduce([k != k[-1] for k in key]))
-            cut = int(last[-1]) + 1 if len(last) else 0
-            if cut:
-                yield done(table.slice(0, cut))
-            held = table.slice(cut).to_batches()
-        if held:
-            yield done(pa.Table.from_batches(held))
+    def near(self, i: int, most: int) -> np.ndarray:
+        """Which of the members after the i-th are near it by their sketches and not met elsewhere."""
+        ok = np.bitwise_count(self.bits[i + 1 :] ^ self.bits[i]).sum(axis=1, dtype=np.int64) <= most
+        return ok & (self.chunk[i + 1 :] != self.chunk[i]) if self.two else ok
+
+
+class _Marked(_Group):
+    """A group whose members also have their component and their bands."""
 
+    def __init__(self, table: pa.Table):
+        super().__init__(table)
+        self.part, self.pos = self.rows.column("part").to_numpy().copy(), self.rows.column("pos")[0].as_py()
+        self.bands = np.stack([x.values.to_numpy() for x in self.rows.column("bands").combine_chunks()])
+
+    def across(self, i: int, most: int) -> np.ndarray:
+        """The later members near the i-th, in another component, that share no earlier band with it."""
+        at = i + 1 + np.flatnonzero(self.near(i, most) & (self.part[i + 1 :] != self.part[i]))
+        return at[np.argmax(self.bands[at] == self.bands[i], axis=1) == self.pos] if len(at) else at
+
+
+def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Runs of whole groups of rows sorted by bucket, i and j, with the groups' bounds."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        table = pa.Table.from_batches(held)
+        key = [table.column(k).to_numpy() for k in ("bucket", "i", "j")]
+        new = np.flatnonzero(np.r_[True, np.logical_or.reduce([k[1:] != k[:-1] for k in key])])
+        if len(new) > 1:
+            yield table.slice(0, new[-1]), new
+        held = table.slice(new[-1]).to_batches()
+    if held:
+        table = pa.Table.from_batches(held)
+        yield table, np.array([0, table.num_rows])
+
+
+def _by_group(members: DataFrame) -> DataFrame:
     keys = ["bucket", "i", "j"]
-    rows = members.select(*keys, "chunk", "id", "part", "sketch").repartition(*keys).sortWithinPartitions(*keys)
-    return rows.mapInArrow(compare, "x long, y long").filter("x <> y").distinct()
+    return members.repartition(*keys).sortWithinPartitions(*keys)
 
 
-def _links(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (x, y) whose full sets are similar enough."""
-    ids = pairs.select(F.explode(F.array("x", "y")).alias("id")).distinct()
+def _forests(members: DataFrame, most: int) -> DataFrame:
+    """Pairs (x, y) of forests that join what candidates join; and (bucket, i, j) of groups with further candidates."""
+    names = ["x", "y", "bucket", "i", "j"]
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, bounds in _grouped(batches):
+            ids = table.column("id").to_numpy()
+            bits = np.frombuffer(b"".join(table.column("sketch").to_pylist()), dtype=np.uint64).reshape(-1, SKETCH // 64)
+            size = np.diff(bounds)
+            # Groups of two, the most frequent by far, at once.
+            at = bounds[:-1][size == 2]
+            at = at[np.bitwise_count(bits[at] ^ bits[at + 1]).sum(axis=1, dtype=np.int64) <= most]
+            pairs, more = [np.stack([ids[at], ids[at + 1]])], []
+            for a, n in zip(bounds[:-1][size > 2].tolist(), size[size > 2].tolist(), strict=True):
+                group = _Group(table.slice(a, n))
+                near = np.zeros((n, n), dtype=bool)
+                for i in range(n - 1):
+                    near[i, i + 1 :] = near[i + 1 :, i] = group.near(i, most)
+                forest = np.array(_forest(near), dtype=np.int64).reshape(-1, 2)
+                pairs.append(group.ids[forest].T)
+                if near.sum() > 2 * len(forest):
+                    more.append([table.column(k)[a].as_py() for k in ("bucket", "i", "j")])
+            x, y = np.concatenate(pairs, axis=1)
+            rows = [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), *[pa.nulls(len(x), pa.int64())] * 3]
+            yield pa.RecordBatch.from_arrays(rows, names=names)
+            if more:
+                yield pa.RecordBatch.from_arrays([*[pa.nulls(len(more), pa.int64())] * 2, *(pa.array(c) for c in zip(*more, strict=True))], names=names)
+
+    rows = members.select("bucket", "i", "j", "chunk", "id", "sketch")
+    return written(_by_group(rows).mapInArrow(compare, "x long, y long, bucket long, i long, j long"), "forests")
+
+
+def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """(id, s): the full sets of these ids' texts; a few others may be among them."""
     shared = docs.sparkSession.sparkContext.broadcast(bloom.of(ids, "id", FILTER_BYTES))
 
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = (b.filter(pa.array(bloom.holds(*shared.value, b.column(0).to_numpy()))) for b in batches if b.num_rows)
         for rows, data, offsets in slices(wanted, "t"):
             flat, n = sets_of(data, offsets, width)
-            yield pa.RecordBatch.from_arrays([rows.column(0), pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)].astype(np.int32)), pa.array(signed(flat)))], names=["id", "s"])
+            # Sorted as signed numbers, as they are kept.
+            sets = [np.sort(signed(x)) for x in np.split(flat, np.cumsum(n)[:-1])]
+            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["id", "s"])
 
-    sets = written(docs.mapInArrow(full, "id long, s array<long>"), "sets")
+    return written(docs.mapInArrow(full, "id long, s array<long>").join(ids, "id", "left_semi"), "sets")
+
+
+def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (x, y) whose full sets are similar enough."""
     both = pairs.join(sets.select(F.col("id").alias("y"), F.col("s").alias("t")), "y").join(sets.select(F.col("id").alias("x"), "s"), "x")
     common = F.size(F.array_intersect("s", "t")).cast("long")
     both = both.select("x", "y", common.alias("c"), (F.size("s").cast("long") + F.size("t") - common).alias("u"))
     return both.filter((F.col("c") * 100 >= F.col("u") * percent) & (F.col("c") > 0)).select("x", "y").distinct()
 
 
+def _links_across(members: DataFrame, reps: DataFrame, parts: DataFrame, sets: DataFrame, most: int, percent: int) -> DataFrame:
+    """Links (x, y) between components, confirmed in the tasks that compare the groups.
+
+    First the members are found that have a candidate in another component; their sets follow.
+    """
+    short = F.transform("bands", lambda b: F.shiftright(b, 32).cast("int"))
+    marked = members.join(reps.select("id", short.alias("bands")), "id").join(parts, "id", "left").withColumn("part", F.coalesce("component", "id"))
+    columns = ["bucket", "i", "j", "chunk", "pos", "id", "part", "sketch", "bands"]
+    schema = "bucket long, i long, j long, chunk long, pos int, id long, part long, sketch binary, bands array<int>"
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, bounds in _grouped(batches):
+            for a, b in zip(bounds, bounds[1:], strict=False):
+                group, has = _Marked(table.slice(a, b - a)), np.zeros(b - a, dtype=bool)
+                for i in range(b - a - 1):
+                    at = group.across(i, most)
+                    has[at], has[i] = True, has[i] or len(at) > 0
+                if has.any():
+                    yield from group.rows.filter(pa.array(has)).to_batches()
+
+    some = written(_by_group(marked.select(*columns)).mapInArrow(find, schema), "across")
+
+    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, bounds in _grouped(batches):
+            out: list[tuple[int, int]] = []
+            for a, b in zip(bounds, bounds[1:], strict=False):
+                group = _Marked(table.slice(a, b - a))
+                sets_ = [x.values.to_numpy() for x in group.rows.column("s").combine_chunks()]
+                for i in range(b - a - 1):
+                    at, own = group.across(i, most), sets_[i]
+                    if not len(at):
+                        continue
+                    n = np.array([len(sets_[k]) for k in at])
+                    flat = np.concatenate([sets_[k] for k in at])
+                    hit = own[np.minimum(np.searchsorted(own, flat), len(own) - 1)] == flat
+                    common = np.add.reduceat(hit.astype(np.int64), np.cumsum(n) - n)
+                    for k in at[common * 100 >= (n + len(own) - common) * percent].tolist():
+                        if group.part[k] != group.part[i]:
+                            out.append((int(group.ids[i]), int(group.ids[k])))
+                            group.part[group.part == group.part[k]] = group.part[i]
+            x, y = np.array(out, dtype=np.int64).reshape(-1, 2).T
+            yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], names=["x", "y"])
+
+    return _by_group(some.join(sets, "id").select(*columns, "s")).mapInArrow(confirm, "x long, y long").distinct()
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """(key, n_shingles, component_id) per row; component_id is the smallest key that links reach."""
     own = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_NONE)).alias("id"), F.col(text).alias("t"))
@@ -224,24 +300,24 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     classes = written(signed_.filter("n > 0").groupBy("n", "a", "b").agg(F.min("id").alias("rep")), "classes")
     reps = signed_.filter("n > 0").join(classes.withColumnRenamed("rep", "id"), ["n", "a", "b", "id"], "left_semi").dropDuplicates(["n", "a", "b", "id"])
     reps = written(reps.select("id", "bands", "sketch"), "reps")
-    banded = reps.select("id", F.posexplode("bands")).select(F.xxhash64("pos", "col").alias("bucket"), "id")
+    banded = reps.select("id", F.posexplode("bands").alias("pos", "band")).select(F.xxhash64("pos", "band").alias("bucket"), "pos", "id")
     sizes = banded.groupBy("bucket").agg(F.count("*").alias("m")).filter("m > 1")
     members = banded.join(sizes, "bucket").join(reps.select("id", "sketch"), "id")
     chunks = F.ceil(F.col("m") / CHUNK)
     members = members.withColumn("chunk", F.pmod(F.xxhash64("id"), chunks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)))
-    members = members.select("bucket", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "id", "sketch")
+    members = members.select("bucket", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "pos", "id", "sketch")
     members = written(members, "members")
 
     most = bits_apart(percent / 100 - SLACK)
-    tried = written(_candidates(members.withColumn("part", F.col("id")), most, True), "candidates")
-    links = written(_links(own, tried, width, percent), "links")
-    found = written(components(links, "x", "y"), "components")
-    parts = members.join(found.select(F.col("v").alias("id"), "component"), "id", "left").withColumn("part", F.coalesce("component", "id"))
-    rest = written(_candidates(parts, most, False).join(tried, ["x", "y"], "left_anti"), "candidates")
-    if not rest.isEmpty():
-        more = written(_links(own, rest, width, percent), "links")
-        if not more.isEmpty():
-            found = written(components(links.unionByName(more), "x", "y"), "components")
+    forests = _forests(members, most)
+    tried = written(forests.filter("x <> y").select("x", "y").distinct(), "candidates")
+    sets = _sets(own, tried.select(F.explode(F.array("x", "y")).alias("id")).distinct(), width)
+    links = written(_links(tried, sets, percent), "links")
+    found = components(links, "x", "y")
+    open_ = members.join(forests.filter("bucket is not null").select("bucket", "i", "j").distinct(), ["bucket", "i", "j"], "left_semi")
+    more = written(_links_across(open_, reps, found.select(F.col("v").alias("id"), "component"), sets, most, percent), "links")
+    if not more.isEmpty():
+        found = components(links.unionByName(more), "x", "y")
 
     named = classes.join(found.select(F.col("v").alias("rep"), "component"), "rep", "left").select("n", "a", "b", F.coalesce("component", "rep").alias("c"))
     out = signed_.select("id", "n", "a", "b").join(named, ["n", "a", "b"], "left").select("id", "n", F.coalesce("c", "id").alias("c"))
