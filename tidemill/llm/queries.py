@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import fingerprint, line_dedup, mixing, near_dedup, packing, sharding, vector_dedup
+from tidemill.llm import fingerprint, line_dedup, mixing, near_dedup, packing, quality, secrets, sharding, toxicity, vector_dedup
 
 END_ID = 2
 SEQUENCE_TOKENS = 1024
@@ -74,6 +74,39 @@ FROM j GROUP BY doc_id
 """
 
 
+QUALITY_KEEP, TOXIC = 0.3, 0.5
+
+
+def fold(key: str = "doc_id"):
+    """Rows of fold 0 are held out: no label of theirs is learned from."""
+    return F.crc32(F.col(key).cast("string")) % 5
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality score."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.learn(docs, table(spark, sf_dir, "labels"), "quality", fold() != 0)
+    out = quality.score(docs, model)
+    return out.select("doc_id", (F.coalesce(fold(), F.lit(1)) == 0).alias("held_out"), "score", (F.col("score") >= QUALITY_KEEP).cast("int").alias("predicted"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity score."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"), "toxic", fold() != 0)
+    out = toxicity.score(docs, model)
+    return out.select("doc_id", (F.coalesce(fold(), F.lit(1)) == 0).alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"))
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's secrets: how many of each base kind, and where."""
+    out = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("spans", lambda s: s["kind"].isin(*secrets.BASE))
+    return out.select("doc_id", *(count(k).alias(f"n_{k}") for k in secrets.BASE), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
 def op7_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector's number of links at cosine 0.9 or more and the smallest vector that they reach."""
     return vector_dedup.near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
@@ -128,5 +161,5 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "rate", "copies")
 
 
-QUERIES = {"op1_pack": op1_pack, "op2_fingerprint": op2_fingerprint, "op3_shard": op3_shard, "op4_lines": op4_lines, "op7_vectors": op7_vectors, "op9_near": op9_near, "op10_mix": op10_mix}
+QUERIES = {"op1_pack": op1_pack, "op2_fingerprint": op2_fingerprint, "op3_shard": op3_shard, "op4_lines": op4_lines, "op5_quality": op5_quality, "op6_secrets": op6_secrets, "op7_vectors": op7_vectors, "op8_toxicity": op8_toxicity, "op9_near": op9_near, "op10_mix": op10_mix}
 ORACLE_SQL: dict[str, str] = {"op4_lines": OP4_SQL, "op7_vectors": OP7_SQL, "op9_near": OP9_SQL}
