@@ -119,3 +119,10 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
     taken = F.transform("_rows", lambda x, i: F.struct(x.alias("r"), F.col("_copies")[i].alias("copies")))
     out = blocks.select("source_size", "target", F.explode(taken).alias("_x"))
     return out.select(F.col(f"_x.r.{key}").alias(key), *(F.col(f"_x.r.{c}").alias(c) for c in carry), F.col("_x.r.size").alias("size"), "source_size", "target", F.col("_x.r.rate").alias("rate"), F.col("_x.copies").alias("copies"))
+
+
+def repeated(docs: DataFrame, mixed: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``docs`` with every row as often as the mix takes it; rows of one key share its copies evenly, rounded."""
+    per = mixed.groupBy(F.col(key).alias("_key")).agg(F.round(F.sum("copies") / F.count("*")).cast("int").alias("_copies"))
+    joined = docs.join(per.filter("_copies > 0"), docs[key].eqNullSafe(F.col("_key")))
+    return joined.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_copies")))).select(*docs.columns)
