@@ -1,4 +1,243 @@
-"""The registered queries over the driver's tables and their DuckDB equivalents."""
+"""The registered queries over the driver's tables and their DuckDB equivalents.
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+``documents`` stand for postings, ``labels`` for the scan cache, ``pages`` for raw posting pages and
+``events`` for arrivals.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemill.functions import pages, rules
+from tidemill.operators import caching, compacting, scanning
+from tidemill.streaming import runs
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+BUDGET = 100
+TOKEN = r'token = "([0-9a-f]+)"'
+EMAIL = rules.STAND_IN[0].pattern
+
+
+def query(sql: str | None = None):
+    """Register the function under its name, with the SQL that gives the same rows."""
+
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def duck(pattern: str) -> str:
+    """A pattern as a DuckDB string literal."""
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+def duck_match(used: tuple[rules.Rule, ...], text: str = "text") -> str:
+    return f"regexp_matches({text}, {duck('(?i)' + '|'.join(f'(?:{r.pattern})' for r in used))})"
+
+
+@query("SELECT doc_id, lang, source, n_chars FROM documents WHERE lang = 'en' AND n_chars >= 1000")
+def read_project(spark, sf_dir):
+    """Filter and projection reach the scan."""
+    return table(spark, sf_dir, "documents").filter((F.col("lang") == "en") & (F.col("n_chars") >= 1000)).select("doc_id", "lang", "source", "n_chars")
+
+
+@query("SELECT md5(text) AS digest, min(doc_id) AS keeper, count(*) AS copies FROM documents GROUP BY md5(text)")
+def dedup_exact(spark, sf_dir):
+    """Exact texts, the first row and the number of copies of each."""
+    return compacting.dedup_exact(table(spark, sf_dir, "documents"), "text", "doc_id")
+
+
+@query("""SELECT user_id, event_id, event_type, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM events) WHERE n = 1""")
+def latest_per_key(spark, sf_dir):
+    """The last event of each user."""
+    return caching.latest(table(spark, sf_dir, "events").drop("props"), ["user_id"], ["ts", "event_id"]).select("user_id", "event_id", "event_type", "value")
+
+
+@query("SELECT doc_id, lang FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")
+def unread(spark, sf_dir):
+    """Postings that the cache does not know."""
+    return scanning.unread(table(spark, sf_dir, "documents").select("doc_id", "lang"), table(spark, sf_dir, "labels"), ["doc_id"])
+
+
+@query(f"""SELECT doc_id, source, n_chars FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)
+  ORDER BY doc_id LIMIT {BUDGET}""")
+def scan_slice(spark, sf_dir):
+    """The slice of one run: its budget of unread postings."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars")
+    return scanning.slice_of(docs, table(spark, sf_dir, "labels"), ["doc_id"], BUDGET, [F.col("doc_id")])
+
+
+@query(f"""SELECT doc_id, CAST((row_number() OVER (ORDER BY doc_id) + {BUDGET - 1}) // {BUDGET} AS BIGINT) AS run
+  FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""")
+def scan_schedule(spark, sf_dir):
+    """A cold rebuild: the run in which each unread posting is read."""
+    return scanning.schedule(table(spark, sf_dir, "documents").select("doc_id"), table(spark, sf_dir, "labels"), ["doc_id"], BUDGET, ["doc_id"])
+
+
+def _flags(docs: DataFrame) -> DataFrame:
+    return docs.withColumns({r.name: rules.matches(F.col("text"), r) for r in rules.STAND_IN})
+
+
+_DUCK_FLAGS = ", ".join(f"{duck_match((r,))} AS {r.name}" for r in rules.STAND_IN)
+
+
+@query(f"SELECT doc_id, {_DUCK_FLAGS} FROM documents")
+def scan_flags(spark, sf_dir):
+    """What each text holds, one narrow pass."""
+    return _flags(table(spark, sf_dir, "documents")).select("doc_id", *(r.name for r in rules.STAND_IN))
+
+
+@query(f"""SELECT doc_id, '{rules.version()}' AS rules_version,
+  {duck_match(rules.BARRIER)} AS sponsorship_barrier, {duck_match(rules.AGENT)} AS agent_directed,
+  regexp_matches(text, {duck(rules.PAY)}) AS has_pay FROM documents""")
+def scan_findings(spark, sf_dir):
+    """The real rules over every text."""
+    found = scanning.findings(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "rules_version", "sponsorship_barrier", "agent_directed", F.col("pay").isNotNull().alias("has_pay"))
+
+
+@query(f"""SELECT doc_id, nullif(regexp_extract(text, {duck(TOKEN)}, 1), '') AS token, nullif(regexp_extract(text, {duck(EMAIL)}), '') AS email FROM documents""")
+def scan_extract(spark, sf_dir):
+    """The first token and address of each text, null where there is none."""
+    first = lambda p, g: F.nullif(F.regexp_extract("text", p, g), F.lit(""))
+    return table(spark, sf_dir, "documents").select("doc_id", first(TOKEN, 1).alias("token"), first(EMAIL, 0).alias("email"))
+
+
+@query("""SELECT doc_id, CAST(len(x) AS BIGINT) AS n_numbers, list_min(x) AS least, list_max(x) AS most FROM (
+  SELECT doc_id, list_filter(list_transform(regexp_extract_all(text, '[0-9]+'), lambda v: TRY_CAST(v AS BIGINT)), lambda v: v IS NOT NULL) AS x FROM documents)""")
+def scan_numbers(spark, sf_dir):
+    """How many whole numbers each text has, the least and the largest."""
+    numbers = F.filter(F.transform(F.regexp_extract_all("text", F.lit("[0-9]+"), 0), lambda v: v.try_cast("bigint")), lambda v: v.isNotNull())
+    found = table(spark, sf_dir, "documents").select("doc_id", numbers.alias("x"))
+    return found.select("doc_id", F.size("x").cast("bigint").alias("n_numbers"), F.array_min("x").alias("least"), F.array_max("x").alias("most"))
+
+
+def _duck_page_text() -> str:
+    out = "regexp_replace(html, '(?s)<!--.*?-->', '', 'g')"
+    for tag in pages.DROPPED:
+        out = f"regexp_replace({out}, '(?is)<{tag}[^0-9a-z].*?</{tag}[^>]*>|<{tag}>.*?</{tag}[^>]*>', '', 'g')"
+    out = f"regexp_replace(regexp_replace({out}, {duck(pages.BLOCKS)}, chr(10), 'g'), '<[^>]*>', ' ', 'g')"
+    for a, b in pages.ENTITIES.items():
+        out = f"replace({out}, {duck(a)}, {duck(b)})"
+    out = f"regexp_replace({out}, '[ \\t\\r]+', ' ', 'g')"
+    return f"trim(regexp_replace({out}, ' ?\\n[ \\n]*', chr(10), 'g'), ' ' || chr(10))"
+
+
+@query(f"SELECT page_id, {_duck_page_text()} AS text FROM pages")
+def page_text(spark, sf_dir):
+    """What a reader sees of each page."""
+    return table(spark, sf_dir, "pages").select("page_id", pages.page_text(F.col("html")).alias("text"))
+
+
+@query(r"""SELECT page_id, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)) AS host,
+  regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+([^?#]*)', 1) AS path FROM pages""")
+def page_host(spark, sf_dir):
+    """Host and path of each page's address."""
+    return table(spark, sf_dir, "pages").select("page_id", pages.host(F.col("url")).alias("host"), pages.path(F.col("url")).alias("path"))
+
+
+@query("""SELECT d.doc_id, lang, quality, toxic, CASE WHEN l.doc_id IS NULL THEN 'unread' ELSE 'read' END AS status
+  FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""")
+def cache_enrich(spark, sf_dir):
+    """Every posting with what the cache knows; null means not read yet."""
+    known = table(spark, sf_dir, "labels").withColumn("status", F.lit("read"))
+    return caching.enrich(table(spark, sf_dir, "documents").select("doc_id", "lang"), known, ["doc_id"]).withColumn("status", F.coalesce("status", F.lit("unread")))
+
+
+@query("""SELECT doc_id, CASE WHEN toxic = 1 THEN 0 ELSE quality END AS quality, toxic, CASE WHEN toxic = 1 THEN 2 ELSE 1 END AS version FROM labels
+  UNION ALL SELECT doc_id, NULL, NULL, 1 FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""")
+def cache_upsert(spark, sf_dir):
+    """A cache of all documents' empty findings and labels, with new findings for the toxic ones: the latest win."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    empty = table(spark, sf_dir, "documents").select("doc_id", F.lit(None).cast("int").alias("quality"), F.lit(None).cast("int").alias("toxic"))
+    old = scanning.unread(empty, labels, ["doc_id"]).unionByName(labels).withColumn("version", F.lit(1))
+    fresh = labels.filter("toxic = 1").withColumn("quality", F.lit(0)).withColumn("version", F.lit(2))
+    return caching.upsert(old, fresh, ["doc_id"], ["version"])
+
+
+@query("SELECT doc_id, quality, toxic FROM labels l WHERE EXISTS (SELECT 1 FROM documents d WHERE d.doc_id = l.doc_id AND lang = 'en')")
+def cache_evict(spark, sf_dir):
+    """The cache without postings that are gone: here, those not in English."""
+    return caching.evict(table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"), table(spark, sf_dir, "documents").filter("lang = 'en'"), ["doc_id"])
+
+
+def _snapshots(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", F.md5("text").alias("digest"))
+    old = docs.filter("source <> 'src0'").select("doc_id", "digest")
+    new = docs.filter("source <> 'src1'").select("doc_id", F.when(F.col("lang") == "fr", F.md5("digest")).otherwise(F.col("digest")).alias("digest"))
+    return old, new
+
+
+@query("""WITH o AS (SELECT doc_id, md5(text) AS digest FROM documents WHERE source <> 'src0'),
+  n AS (SELECT doc_id, CASE WHEN lang = 'fr' THEN md5(md5(text)) ELSE md5(text) END AS digest FROM documents WHERE source <> 'src1')
+  SELECT coalesce(o.doc_id, n.doc_id) AS doc_id, CASE WHEN o.doc_id IS NULL THEN 'added' WHEN n.doc_id IS NULL THEN 'removed' ELSE 'changed' END AS change
+  FROM o FULL OUTER JOIN n ON o.doc_id = n.doc_id WHERE o.doc_id IS NULL OR n.doc_id IS NULL OR o.digest IS DISTINCT FROM n.digest""")
+def change_set(spark, sf_dir):
+    """What was added, removed or changed between two snapshots."""
+    return compacting.changes(*_snapshots(spark, sf_dir), ["doc_id"], ["digest"])
+
+
+_DUCK_JSON = "'{\"doc_id\":' || doc_id || ',\"lang\":\"' || lang || '\",\"source\":\"' || source || '\",\"n_chars\":' || n_chars || '}'"
+_JSON_COLUMNS = ["doc_id", "lang", "source", "n_chars"]
+_DUCK_WORDS = ", ".join(f"CAST(sum(CAST('0x' || substr(h, {8 * k + 1}, 8) AS BIGINT)) AS BIGINT) AS w{k}" for k in range(4))
+
+
+@query(f"""SELECT n_rows, sha256(concat_ws(':', n_rows, w0, w1, w2, w3)) AS fingerprint FROM (
+  SELECT count(*) AS n_rows, {_DUCK_WORDS} FROM (SELECT md5({_DUCK_JSON}) AS h FROM documents))""")
+def fingerprint(spark, sf_dir):
+    """One value that changes with any row, whatever their order."""
+    return compacting.fingerprint(table(spark, sf_dir, "documents"), _JSON_COLUMNS)
+
+
+@query(f"SELECT doc_id, {_DUCK_JSON} AS json FROM documents")
+def publish_json(spark, sf_dir):
+    """Every row as the JSON object that is published."""
+    return table(spark, sf_dir, "documents").select("doc_id", compacting.as_json(_JSON_COLUMNS).alias("json"))
+
+
+@query(f"""SELECT lang, count(*) AS n_docs, {', '.join(f'count(*) FILTER ({r.name}) AS n_{r.name}' for r in rules.STAND_IN)}
+  FROM (SELECT lang, {_DUCK_FLAGS} FROM documents) GROUP BY lang""")
+def findings_by_lang(spark, sf_dir):
+    """Findings per language."""
+    flagged = _flags(table(spark, sf_dir, "documents").select("lang", "text"))
+    return flagged.groupBy("lang").agg(F.count("*").alias("n_docs"), *(F.count_if(r.name).alias(f"n_{r.name}") for r in rules.STAND_IN))
+
+
+@query("""SELECT keeper AS doc_id, copies, lang, quality, toxic, CASE WHEN l.doc_id IS NULL THEN 'unread' ELSE 'read' END AS status FROM (
+  SELECT min(doc_id) AS keeper, count(*) AS copies FROM documents GROUP BY md5(text))
+  JOIN documents d ON d.doc_id = keeper LEFT JOIN labels l ON l.doc_id = keeper""")
+def compact_listing(spark, sf_dir):
+    """The compact result: one row per text, enriched with the cache."""
+    docs, known = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").withColumn("status", F.lit("read"))
+    kept = compacting.dedup_exact(docs, "text", "doc_id").select(F.col("keeper").alias("doc_id"), "copies")
+    found = caching.enrich(kept.join(docs.select("doc_id", "lang"), "doc_id"), known, ["doc_id"])
+    return found.select("doc_id", "copies", "lang", "quality", "toxic", F.coalesce("status", F.lit("unread")).alias("status"))
+
+
+@query("""SELECT a.mark = b.mark AS same FROM (SELECT sum(doc_id) AS mark FROM documents) a, (SELECT sum(doc_id) AS mark FROM documents) b""")
+def publish_unchanged(spark, sf_dir):
+    """A second look at the same rows, in another order, gives the same fingerprint: nothing is published."""
+    docs = table(spark, sf_dir, "documents")
+    a = compacting.fingerprint(docs, _JSON_COLUMNS).select(F.col("fingerprint").alias("a"))
+    b = compacting.fingerprint(docs.repartition("source"), _JSON_COLUMNS).select(F.col("fingerprint").alias("b"))
+    return a.join(b, F.col("a") == F.col("b"), "full").select((F.col("a").isNotNull() & F.col("b").isNotNull()).alias("same"))
+
+
+@query("SELECT time_bucket(INTERVAL '15 minutes', ts) AS start, count(*) AS n FROM events GROUP BY 1")
+def arrivals_15m(spark, sf_dir):
+    """Arrivals per 15 minutes of event time."""
+    return runs.arrivals(table(spark, sf_dir, "events").select("ts")).select(F.col("start").cast("timestamp_ntz").alias("start"), "n")
