@@ -1,0 +1,40 @@
+"""Every registered query that has SQL gives DuckDB's rows."""
+
+from __future__ import annotations
+
+import pytest
+
+from tests.conftest import DATA, as_rows
+from tidemill.plans import catalog
+
+SF = "sf0.001"
+
+
+@pytest.mark.parametrize("name", sorted(catalog.ORACLE_SQL))
+def test_query_equals_sql(spark, duck, name):
+    ours, theirs = catalog.QUERIES[name](spark, f"{DATA}/{SF}").toArrow(), duck(catalog.ORACLE_SQL[name], SF)
+    assert sorted(ours.column_names) == sorted(theirs.column_names)
+    assert as_rows(ours) == as_rows(theirs)
+
+
+def test_every_query_has_sql():
+    assert set(catalog.QUERIES) == set(catalog.ORACLE_SQL)
+
+
+def test_entry(spark):
+    import __spark_entry__ as entry
+
+    assert entry.entry(spark).count() == 200
+    assert set(catalog.QUERIES) <= set(entry.queries())
+
+
+def test_filter_and_projection_reach_the_scan(spark, capsys):
+    catalog.QUERIES["read_project"](spark, f"{DATA}/{SF}").explain("formatted")
+    plan = capsys.readouterr().out
+    assert "EqualTo(lang,en)" in plan
+    assert "text" not in plan.split("ReadSchema")[1].split("\n")[0]
+
+
+def test_slice_is_a_top_k(spark, capsys):
+    catalog.QUERIES["scan_slice"](spark, f"{DATA}/{SF}").explain()
+    assert "TakeOrderedAndProject" in capsys.readouterr().out

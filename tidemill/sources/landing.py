@@ -58,7 +58,6 @@ def read_snapshot(spark: SparkSession, path: str, schema: T.StructType = POSTING
     ``rest`` names a variant column for the fields that the schema does not have, kept as each
     record's whole JSON.  A JSON array is parsed by one task; lines are split.
     """
-    # With a JSON array, a record's position in the file can't be split: one file, one task.
     reader = spark.read.option("multiLine", not lines).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
     df = reader.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])).json(path)
     if df.filter(F.col(CORRUPT).isNotNull()).take(1):
@@ -66,6 +65,8 @@ def read_snapshot(spark: SparkSession, path: str, schema: T.StructType = POSTING
     df = df.drop(CORRUPT)
     if rest:
         whole = spark.read.option("singleVariantColumn", rest).option("multiLine", not lines).json(path)
+        if not lines:
+            whole = whole.select(F.explode(F.expr(f"try_variant_get({rest}, '$', 'array<variant>')")).alias(rest))
         key = schema.fields[0].name
         df = df.join(whole.withColumn("_key", F.expr(f"try_variant_get({rest}, '$.{key}', 'string')")), F.col(key) == F.col("_key"), "left").drop("_key")
     return df
