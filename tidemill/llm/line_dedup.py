@@ -47,6 +47,8 @@ FAN_IN = 64
 FLUSH_KEYS = 1 << 22
 DIGEST = 16
 _NONE = -(1 << 63)
+#: Names beside the input's own columns.
+OWN, LOSING = "__tidemill_own", "__tidemill_losing"
 
 
 class Lines:
@@ -178,10 +180,8 @@ def _suspect(lines: Lines, second: np.ndarray, layout: tuple[int, int]) -> np.nd
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = MIN_CODE_POINTS, broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
-    """``docs`` with ``text`` replaced by its lines that stay, and n_lines (before) and n_dropped added."""
-    spark = docs.sparkSession
-    if {"n_lines", "n_dropped"} & {c.lower() for c in docs.columns}:
-        raise ValueError("the input has a column n_lines or n_dropped already")
+    """``docs`` with ``text`` replaced by its lines that stay, and n_lines (before) and n_dropped added or replaced."""
+    spark, docs = docs.sparkSession, docs.drop("n_lines", "n_dropped")
     second, layout = _second(docs, least, text)
     shared = spark.sparkContext.broadcast(second)
     ids = F.coalesce(F.col(key).cast("long"), F.lit(_NONE))
@@ -235,9 +235,9 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", least:
                     maybe = maybe[:0]
                 yield kept(rows, lines, maybe)
 
-        return docs.withColumn("_own", ids).mapInArrow(narrow, T.StructType(fields))
+        return docs.select("*", ids.alias(OWN)).mapInArrow(narrow, T.StructType(fields))
 
-    losing = found.join(firsts, "digest").filter("doc != keeper").groupBy("doc").agg(F.array_join(F.collect_list(F.hex("digest")), "").alias("_losing"))
+    losing = found.join(firsts, "digest").filter("doc != keeper").groupBy(F.col("doc").alias(OWN)).agg(F.array_join(F.collect_list(F.hex("digest")), "").alias(LOSING))
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in slices(batches, text):
@@ -246,8 +246,8 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", least:
             gone = [i for i in lines.long.tolist() if lost[lines.doc[i]] and lines.digest(i) in lost[lines.doc[i]]]
             yield kept(rows, lines, np.array(gone, dtype=np.int64))
 
-    marked = docs.withColumn("_own", ids).join(losing, F.col("_own") == F.col("doc"), "left")
-    return marked.select(*docs.columns, "_losing").mapInArrow(joined, T.StructType(fields))
+    marked = docs.select("*", ids.alias(OWN)).join(losing, OWN, "left")
+    return marked.select(*docs.columns, LOSING).mapInArrow(joined, T.StructType(fields))
 
 
 def _fixed(digests: list[bytes]) -> np.ndarray:

@@ -29,6 +29,8 @@ ITERATIONS = 60
 #: Sums are of multiples of 1 / UNIT words.
 UNIT = 1024
 NEAR = 1e-7
+#: Names beside the input's own columns.
+KEY, COPIES = "__tidemill_key", "__tidemill_copies"
 
 
 def words_in(text: Column) -> Column:
@@ -123,6 +125,6 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
 
 def repeated(docs: DataFrame, mixed: DataFrame, key: str = "doc_id") -> DataFrame:
     """``docs`` with every row as often as the mix takes it; rows of one key share its copies evenly, rounded."""
-    per = mixed.groupBy(F.col(key).alias("_key")).agg(F.round(F.sum("copies") / F.count("*")).cast("int").alias("_copies"))
-    joined = docs.join(per.filter("_copies > 0"), docs[key].eqNullSafe(F.col("_key")))
-    return joined.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_copies")))).select(*docs.columns)
+    per = mixed.groupBy(F.col(key).alias(KEY)).agg(F.round(F.sum("copies") / F.count("*")).cast("int").alias(COPIES))
+    joined = docs.join(per.filter(F.col(COPIES) > 0), docs[key].eqNullSafe(F.col(KEY)))
+    return joined.select(*docs.columns, F.explode(F.array_repeat(F.lit(0), F.col(COPIES)))).select(*docs.columns)

@@ -81,11 +81,10 @@ def _free_name(df: DataFrame, name: str) -> str:
 def pack(df: DataFrame, length: str, capacity: int, open_bins: int = OPEN_BINS, fan_in: int = FAN_IN, sequence: str = "sequence_id", offset: str = "offset") -> DataFrame:
     """Add the ``sequence`` and ``offset`` of every row; lengths are from 1 to ``capacity``.
 
-    The columns of ``df`` must not hold the two new names.  The first pass is written to the shared
+    Columns of ``df`` with these names are replaced.  The first pass is written to the shared
     scratch folder, so that a later loss of executors repeats nothing.
     """
-    if {sequence.lower(), offset.lower()} & {c.lower() for c in df.columns}:
-        raise ValueError(f"the input has a column {sequence} or {offset} already")
+    df = df.drop(sequence, offset)
     mark = _free_name(df, "_open")
     columns = df.columns
 

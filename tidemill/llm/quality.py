@@ -225,9 +225,8 @@ def learn(docs: DataFrame, labels: DataFrame, label: str, usable: Column, key: s
 
 
 def score(docs: DataFrame, model: Model, name: str = "score", text: str = "text") -> DataFrame:
-    """``docs`` with the model's score added, from 0 to 1."""
-    if name.lower() in {c.lower() for c in docs.columns}:
-        raise ValueError(f"the input has a column {name} already")
+    """``docs`` with the model's score added or replaced, from 0 to 1."""
+    docs = docs.drop(name)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     fields = [T.StructField(f.name, f.dataType, True) for f in docs.schema.fields] + [T.StructField(name, T.DoubleType())]
     names = [f.name for f in fields]

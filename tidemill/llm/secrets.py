@@ -152,9 +152,8 @@ SPANS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.Struc
 
 
 def scan(docs: DataFrame, text: str = "text", name: str = "spans") -> DataFrame:
-    """``docs`` with the array of their texts' spans added."""
-    if name.lower() in {c.lower() for c in docs.columns}:
-        raise ValueError(f"the input has a column {name} already")
+    """``docs`` with the array of their texts' spans added or replaced."""
+    docs = docs.drop(name)
     at = docs.columns.index(text)
     schema = T.StructType([*(T.StructField(f.name, f.dataType, True) for f in docs.schema.fields), T.StructField(name, SPANS)])
     names = [f.name for f in schema.fields]
