@@ -1,0 +1,84 @@
+from __future__ import annotations
+
+import hashlib
+
+from pyspark.sql import functions as F
+
+from tests.conftest import DATA
+from tidemill.llm import fingerprint, queries
+
+
+def shingles(text):
+    w = text.split()
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def jaccard(a, b):
+    a, b = shingles(a), shingles(b)
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def edits(rows):
+    """The edited texts, by order of ids."""
+    rows = sorted(((-(1 << 63) if d is None else d), t or "") for d, t in rows)
+    out = []
+    for i, (_, t) in enumerate(rows):
+        nxt, q = rows[(i + 1) % len(rows)][1], len(t) // 4
+        out.append((t, t[: len(t) - q] + nxt[:q], nxt))
+    return out
+
+
+def test_documents_against_true_similarity(spark, monkeypatch):
+    monkeypatch.setattr(fingerprint, "RANGE_ROWS", 16)
+    docs = queries.table(spark, f"{DATA}/sf0.001", "documents")
+    texts = edits([(r["doc_id"], r["text"]) for r in docs.collect()])
+    rows = queries.op2_fingerprint(spark, f"{DATA}/sf0.001").orderBy("doc_id").collect()
+    assert len(rows) == len(texts)
+    errors = []
+    for r, (t, e, n) in zip(rows, texts, strict=True):
+        assert r["n_chars"] == len(t)
+        assert r["edited_sha256"] == hashlib.sha256(e.encode()).hexdigest()
+        errors += [r["near_edited"] - jaccard(t, e), r["near_next"] - jaccard(t, n)]
+    assert max(map(abs, errors)) < 0.17
+    assert sum(map(abs, errors)) / len(errors) < 0.02
+    assert abs(sum(errors) / len(errors)) < 0.01
+
+
+def test_equal_texts_have_equal_fingerprints_and_odd_rows_do(odd):
+    out = fingerprint.edited_pairs(odd).collect()
+    assert len(out) == odd.count()
+    same = {tuple(r["fingerprint"]) for r in out if r["doc_id"] in (3, 5, None)}
+    assert len(same) == 1
+    assert {len(r["fingerprint"]) for r in out if r["doc_id"] in (7, 8, 9)} == {0}
+    long = {r["doc_id"]: r for r in out if r["doc_id"] in (13, 14)}
+    assert long[13]["near_next"] > 0.9
+    assert long[13]["n_chars"] > 200_000
+
+
+def test_edits_of_odd_rows(spark, odd, monkeypatch):
+    monkeypatch.setattr(fingerprint, "RANGE_ROWS", 2)
+    expected = sorted(e for _, e, _ in edits([(r["doc_id"], r["text"]) for r in odd.collect()]))
+    assert sorted(r["edited"] for r in fingerprint.edited_pairs(odd).collect()) == expected
+
+
+def test_one_row_follows_itself(spark):
+    (r,) = fingerprint.edited_pairs(spark.createDataFrame([(1, "abcdefgh")], "doc_id long, text string")).collect()
+    assert r["edited"] == "abcdefab"
+    assert r["near_next"] == 1.0
+
+
+def test_empty_table(none):
+    assert fingerprint.edited_pairs(none).count() == 0
+
+
+def test_sparse_bins_estimate_small_sets(spark):
+    a, b = " ".join(f"w{i}" for i in range(24)), " ".join(f"w{i}" for i in range(10, 34))
+    df = spark.createDataFrame([(a, b)], "a string, b string")
+    df = fingerprint.with_fingerprint(fingerprint.with_fingerprint(df, "a", "f"), "b", "g")
+    assert abs(df.select(fingerprint.likeness(F.col("f"), F.col("g"))).first()[0] - jaccard(a, b)) < 0.25
+
+
+def test_no_python_on_the_executors(spark, capsys):
+    queries.op2_fingerprint(spark, f"{DATA}/sf0.001").explain()
+    plan = capsys.readouterr().out
+    assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))

@@ -1,0 +1,111 @@
+from __future__ import annotations
+
+import math
+import random
+from collections import defaultdict
+
+from tests.conftest import DATA
+from tidemill.llm import queries, sharding
+
+
+def plain_best_fit(sizes, capacity):
+    """Best-fit decreasing, one item at a time."""
+    bins = []
+    for s in sorted(sizes, reverse=True):
+        fitting = [i for i, r in enumerate(bins) if r >= s]
+        if fitting:
+            bins[min(fitting, key=lambda i: (bins[i], i))] -= s
+        else:
+            bins.append(capacity - s)
+    return bins
+
+
+def test_runs_equal_item_by_item():
+    rng = random.Random(3)
+    for _ in range(30):
+        sizes = [rng.randint(1, 50) for _ in range(200)]
+        classes = sorted(((s, sizes.count(s)) for s in set(sizes)), reverse=True)
+        runs = sharding.best_fit_decreasing(classes, 60)
+        left = defaultdict(lambda: 60)
+        for (s, n), own in zip(classes, runs, strict=True):
+            assert sum(k for _, k in own) == n
+            for at, k in own:
+                left[at] -= s * k
+        assert sorted(left.values()) == sorted(plain_best_fit(sizes, 60))
+
+
+def test_tree_is_ordered_and_balanced():
+    rng, tree, pairs = random.Random(5), sharding.Tree(), set()
+    for i in range(2000):
+        pair = (rng.randint(0, 500), i)
+        tree.add(pair)
+        pairs.add(pair)
+        if i % 3 == 0:
+            want = rng.randint(0, 500)
+            expected = min((p for p in pairs if p[0] >= want), default=None)
+            assert tree.take_at_least(want) == expected
+            pairs.discard(expected)
+        assert tree._height(tree._root) <= 1.45 * math.log2(len(pairs) + 2) + 1
+
+
+def test_limit_and_oversized():
+    assert sharding.best_fit_decreasing([(5, 3)], 10, 1) is None
+    assert sharding.best_fit_decreasing([(11, 1)], 10) is None
+    assert sharding.fitted([(7, 3), (2, 4)], 2)[0] >= 15
+
+
+def check(rows, shards, texts=None):
+    by, groups = defaultdict(list), defaultdict(set)
+    for r in rows:
+        by[r["shard"]].append(r)
+        groups[bytes(r["group_id"])].add(r["shard"])
+    for own in by.values():
+        assert sorted(r["slot"] for r in own) == list(range(len(own)))
+    assert set(by) <= set(range(shards))
+    return {k: sum(r["size"] for r in own) for k, own in by.items()}, groups
+
+
+def test_documents(spark):
+    docs = queries.table(spark, f"{DATA}/sf0.01", "documents")
+    rows = sharding.assign(docs, 8).collect()
+    assert len(rows) == docs.count()
+    sums, groups = check(rows, 8)
+    assert all(len(s) == 1 for s in groups.values())
+    assert max(sums.values()) - min(sums.values()) <= 0.001 * sum(sums.values())
+
+
+def test_hot_group_is_cut_and_nothing_else(spark):
+    rows = [(i, "the same text") for i in range(300)] + [(1000 + i, "x" * (i % 40)) for i in range(200)]
+    out = sharding.assign(spark.createDataFrame(rows, "doc_id long, text string"), 4).collect()
+    assert len(out) == 500
+    sums, groups = check(out, 4)
+    cut = [g for g, s in groups.items() if len(s) > 1]
+    assert len(cut) == 1
+    assert max(sums.values()) - min(sums.values()) <= 0.03 * sum(sums.values())
+
+
+def test_salts_do_not_show(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "ROWS_PER_SALT", 10)
+    rows = [(i, f"text {i % 7}") for i in range(200)] + [(1000 + i, f"other {i}") for i in range(100)]
+    out = sharding.assign(spark.createDataFrame(rows, "doc_id long, text string"), 4).collect()
+    assert len(out) == 300
+    check(out, 4)
+
+
+def test_odd_rows(odd):
+    out = sharding.assign(odd, 3).collect()
+    assert len(out) == odd.count()
+    _, groups = check(out, 3)
+    assert {r["size"] for r in out if r["doc_id"] in (7, 8)} == {1}
+
+
+def test_empty_table(none):
+    assert sharding.assign(none, 8).count() == 0
+
+
+def test_files(spark, tmp_path):
+    docs = queries.table(spark, f"{DATA}/sf0.001", "documents")
+    sharding.write_shards(docs, 4, str(tmp_path / "s"))
+    back = spark.read.parquet(str(tmp_path / "s"))
+    assert back.count() == docs.count()
+    assert {r["shard"] for r in back.select("shard").distinct().collect()} == {0, 1, 2, 3}
