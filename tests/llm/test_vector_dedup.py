@@ -1,0 +1,89 @@
+from __future__ import annotations
+
+import numpy as np
+import pytest
+
+from tests.conftest import DATA, as_rows
+from tidemill.llm import queries, vector_dedup
+
+
+def brute(ids, vectors):
+    n, parent = np.zeros(len(ids), dtype=int), {i: i for i in ids}
+
+    def top(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    def usable(v):
+        return v is not None and None not in v and np.isfinite(v).all() and np.any(np.array(v) != 0)
+
+    for i in range(len(ids)):
+        for j in range(i):
+            a, b = vectors[i], vectors[j]
+            if usable(a) and usable(b) and len(a) == len(b):
+                a, b = np.array(a, dtype=np.float64), np.array(b, dtype=np.float64)
+                if a @ b / np.sqrt((a @ a) * (b @ b)) >= 0.9:
+                    n[i] += 1
+                    n[j] += 1
+                    p, q = top(ids[i]), top(ids[j])
+                    parent[max(p, q)] = min(p, q)
+    return sorted((i, int(k), top(i)) for i, k in zip(ids, n, strict=True))
+
+
+def ours(df):
+    rows = vector_dedup.near_vectors(df).collect()
+    assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in rows)
+    return sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in rows)
+
+
+def clusters(seed, d, n, spread):
+    rng = np.random.default_rng(seed)
+    centers = rng.standard_normal((n // 8, d))
+    return (centers[rng.integers(0, len(centers), n)] + spread * rng.standard_normal((n, d)) * np.linspace(0.5, 2, n)[:, None]).astype(np.float32)
+
+
+@pytest.mark.parametrize(("d", "cell", "chunk", "spread"), [(64, 4096, 1024, 0.25), (64, 4, 8, 0.3), (20, 16, 4, 0.3), (3, 16, 8, 0.2), (1, 8, 8, 0.1)])
+def test_clusters(spark, monkeypatch, d, cell, chunk, spread):
+    monkeypatch.setattr(vector_dedup, "CELL", cell)
+    monkeypatch.setattr(vector_dedup, "CHUNK", chunk)
+    x = clusters(d, d, 160, spread).tolist()
+    x += x[:5] + [[2 * v for v in x[0]]]
+    df = spark.createDataFrame(list(enumerate(x)), "vec_id long, embedding array<float>").repartition(4)
+    assert ours(df) == brute(list(range(len(x))), x)
+
+
+def test_odd_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    x = [None, [], [0.0, 0.0], [1.0, None], [nan, 1.0], [inf, 1.0], [1.0, 0.0], [1.0, -0.0], [1.0, 0.1], [1.0, 0.0, 0.0], [1e-20, 0.0], [-1.0, 0.0]]
+    df = spark.createDataFrame([(i, v, "-") for i, v in enumerate(x)], "vec_id long, embedding array<double>, v string")
+    assert ours(df) == brute(list(range(len(x))), x)
+
+
+def test_null_and_repeated_ids(spark):
+    df = spark.createDataFrame([(4, [1.0, 0.0]), (4, [0.0, 1.0]), (2, [0.0, 1.0]), (None, [1.0, 1e-3])], "vec_id long, embedding array<double>")
+    rows = {(r["vec_id"], r["n_links"], r["component_id"]) for r in vector_dedup.near_vectors(df).collect()}
+    assert rows == {(4, 1, None), (2, 1, None), (None, 1, None)}
+
+
+def test_empty_table(spark):
+    assert vector_dedup.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_query_equals_sql(spark, duck):
+    assert as_rows(queries.op7_vectors(spark, f"{DATA}/sf0.1").toArrow()) == as_rows(duck(queries.OP7_SQL, "sf0.1"))
+
+
+def test_any_two_within_the_radius_meet_once():
+    rng = np.random.default_rng(0)
+    for g in (1, 2, 3):
+        p = rng.uniform(-1, 1, (60, g))
+        home, visits = vector_dedup._cells(p, 0.2)
+        cells = [{tuple(h)} for h in home]
+        for at, where in visits:
+            for i, c in zip(at, where, strict=True):
+                cells[i].add(tuple(c))
+        for i in range(60):
+            for j in range(i):
+                if np.linalg.norm(p[i] - p[j]) <= 0.2:
+                    assert (tuple(home[i]) in cells[j]) or (tuple(home[j]) in cells[i])
