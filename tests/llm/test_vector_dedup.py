@@ -47,6 +47,8 @@ def clusters(seed, d, n, spread):
 def test_clusters(spark, monkeypatch, d, cell, chunk, spread):
     monkeypatch.setattr(vector_dedup, "CELL", cell)
     monkeypatch.setattr(vector_dedup, "CHUNK", chunk)
+    monkeypatch.setattr(vector_dedup, "BLOCK", 8)
+    monkeypatch.setattr(vector_dedup, "WIDE", 0.2)
     x = clusters(d, d, 160, spread).tolist()
     x += x[:5] + [[2 * v for v in x[0]]]
     df = spark.createDataFrame(list(enumerate(x)), "vec_id long, embedding array<float>").repartition(4)

@@ -1,14 +1,18 @@
 """Near-duplicate vectors by a subspace pigeonhole join.
 
-Unit vectors of cosine c lie at squared distance 2 - 2c.  All are turned by one random rotation and
-split into blocks of about ``BLOCK`` dimensions; a block of b of d dimensions has b / d of the
-squared distance as its budget.  If two vectors are near, some block's distance keeps its budget.
-
-Each block is range-joined: a grid over its first dimensions has cells of twice the block's radius,
-a vector lives in one cell and visits the neighbouring cells that its radius touches, so that any
-two within the radius meet in the cell of one of them.  To meet once, a vector visits only cells
-before its own.  Grid dimensions grow with the logarithm of the number of vectors.  Cells are
-compared in chunks of about ``CHUNK``, each pair of chunks in one task, whatever the cell's size.
+Unit vectors of cosine c lie at squared distance 2 - 2c.  All are turned by one rotation and split
+into blocks of about ``BLOCK`` dimensions; each block has a share of the squared distance as its
+budget, in proportion to its variance.  If two vectors are near, some block keeps its budget.  The
+rotation is to the principal axes of a sample of at most ``SAMPLE`` vectors, dealt to the blocks in
+turn, so that each begins with the axes along which vectors spread most; results do not depend on it.
+
+Each block is range-joined: a grid over those of its first axes that spread widely against the
+block's radius has cells of twice the radius; a vector lives in one cell and visits the neighbouring
+cells that its radius touches, so that any two within the radius meet in the cell of one of them.
+To meet once, a vector visits only cells before its own.  The number of grid axes grows with the
+logarithm of the number of vectors.  Where no axis spreads widely enough a grid would divide
+nothing, and the block is one cell.  Cells are compared in chunks of about ``CHUNK``, each pair of
+chunks in one task, whatever the cell's size.
 
 A pair that keeps a block's budget is verified at once, exactly and in double precision, by the
 cosine of the given vectors.  It counts in the first block whose budget it keeps, so the union of
@@ -25,46 +29,68 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemill.llm.components import components
 from tidemill.scratch import written
 
 COSINE = 0.9
-BLOCK = 8
-CHUNK = 1024
-#: About so many vectors per cell before another grid dimension is used.
-CELL = 4096
-#: What rounding may add to a distance.
-ROUNDING = 1e-6
+BLOCK = 16
+CHUNK = 1 << 14
+#: About so many vectors per cell before another grid axis is used.
+CELL = 1 << 14
+SAMPLE = 1 << 13
+#: An axis divides well if its standard deviation is so many radii.
+WIDE = 2.0
+#: What rounding may add to a squared distance, in double and in single precision.
+ROUNDING, SINGLE = 1e-9, 1e-5
 _NONE = -(1 << 63)
 
 
-def rotation(d: int) -> np.ndarray:
-    """One orthogonal matrix for each number of dimensions."""
-    q, r = np.linalg.qr(np.random.default_rng(d).standard_normal((d, d)))
-    return q * np.sign(np.diag(r))
-
-
-def blocks(d: int, width: int = BLOCK) -> list[tuple[int, int]]:
-    n = max(1, round(d / width))
-    bounds = [round(k * d / n) for k in range(n + 1)]
-    return list(zip(bounds, bounds[1:], strict=False))
-
-
-def _turned(vectors: np.ndarray) -> np.ndarray:
-    """Rotated unit vectors, computed row by row so that a vector's result is always the same."""
-    unit = vectors / np.sqrt(np.einsum("ij,ij->i", vectors, vectors))[:, None]
-    turn = rotation(vectors.shape[1])
-    return np.stack([np.einsum("ij,j->i", unit, turn[k]) for k in range(len(turn))], axis=1) if len(unit) else unit
-
-
-def _budget(bound: tuple[int, int], d: int, cosine: float) -> float:
-    return (2 - 2 * cosine) * (bound[1] - bound[0]) / d + ROUNDING
+@dataclass
+class Plan:
+    """How vectors of one number of dimensions are turned, blocked and gridded."""
+
+    turn: np.ndarray
+    bounds: list[tuple[int, int]]
+    budgets: np.ndarray
+    grids: list[int]
+
+    def turned(self, vectors: np.ndarray) -> np.ndarray:
+        """Turned unit vectors, computed row by row so that a vector's result is always the same."""
+        unit = vectors / np.sqrt(np.einsum("ij,ij->i", vectors, vectors))[:, None]
+        return np.stack([np.einsum("ij,j->i", unit, row) for row in self.turn], axis=1)
+
+
+def planned(d: int, sample: np.ndarray, n: int, cosine: float) -> Plan:
+    """A plan from a sample of vectors of ``d`` dimensions, of ``n`` in all."""
+    if len(sample) > d:
+        unit = sample / np.sqrt(np.einsum("ij,ij->i", sample, sample))[:, None]
+        values, axes = np.linalg.eigh(np.cov(unit.T).reshape(d, d))
+        turn, variance = axes.T[::-1], np.maximum(values[::-1], 1e-12)
+    else:
+        turn, variance = np.linalg.qr(np.random.default_rng(d).standard_normal((d, d)))[0], np.full(d, 1e-12)
+    count = max(1, round(d / BLOCK))
+    order = np.concatenate([np.arange(b, d, count) for b in range(count)])
+    turn, variance = turn[order], variance[order]
+    edges = np.r_[0, np.cumsum([len(range(b, d, count)) for b in range(count)])].tolist()
+    bounds = list(zip(edges, edges[1:], strict=False))
+    # In proportion to variance, yet not below half of an even share.
+    share = np.array([variance[a:b].sum() for a, b in bounds])
+    share = 0.5 * share / share.sum() + 0.5 * np.array([b - a for a, b in bounds]) / d
+    budgets = (2 - 2 * cosine) * share + ROUNDING
+    most = max(0, math.ceil(math.log(max(1, n / CELL), 4)))
+    grids = []
+    for (a, b), budget in zip(bounds, budgets, strict=True):
+        wide = np.sqrt(variance[a:b]) >= WIDE * math.sqrt(budget)
+        grids.append(min(most, int(np.argmin(np.r_[wide, False]))))
+    return Plan(np.ascontiguousarray(turn), bounds, budgets, grids)
 
 
 def _cells(points: np.ndarray, radius: float) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
@@ -95,58 +121,58 @@ def _key(block: int, d: int, cells: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
-def _matrix(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype="<f8")
+class _Vectors:
+    """Vectors as bytes of one number type, in groups of one length."""
+
+    def __init__(self, kind: str, column):
+        self.kind, self.raw = kind, column.to_pylist()
+        self.lengths = np.array([len(x) for x in self.raw]) // np.dtype(kind).itemsize
+
+    def groups(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(dimensions, rows, their vectors in double precision)."""
+        for d in np.unique(self.lengths).tolist():
+            rows = np.flatnonzero(self.lengths == d)
+            yield d, rows, np.frombuffer(b"".join(self.raw[i] for i in rows), dtype=self.kind).reshape(-1, d).astype(np.float64)
 
 
-def _spread(vectors: DataFrame, grid: int, cosine: float) -> DataFrame:
-    """(cell, home, id, weight, v) rows: each vector at home in a cell of every block, and on its visits."""
+def _spread(vectors: DataFrame, plans, kind: str, whole: bool) -> DataFrame:
+    """(cell, block, home, id, weight, v) rows: each vector at home in a cell of every block, and on its visits; the first three alone unless ``whole``."""
+    names = ["cell", "block", "home", *(["id", "weight", "v"] if whole else [])]
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw = batch.column(2).to_pylist()
-            lengths = np.array([len(x) // 8 for x in raw])
-            for d in np.unique(lengths).tolist():
-                rows = np.flatnonzero(lengths == d)
-                turned = _turned(np.frombuffer(b"".join(raw[i] for i in rows), dtype="<f8").reshape(-1, d))
-                own = batch.take(pa.array(rows))
-                for b, bound in enumerate(blocks(d)):
-                    points = turned[:, bound[0] : min(bound[1], bound[0] + grid)]
-                    home, visits = _cells(points, math.sqrt(_budget(bound, d, cosine)))
-                    for at, cells, here in [(np.arange(len(home)), home, True), *((*v, False) for v in visits)]:
-                        part = own.take(pa.array(at))
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(_key(b, d, cells)), pa.array(np.full(len(at), here)), pa.array(np.full(len(at), b, np.int32)), *part.columns],
-                            names=["cell", "home", "block", "id", "weight", "v"],
-                        )
-
-    return vectors.mapInArrow(deal, "cell long, home boolean, block int, id long, weight long, v binary")
-
-
-def _compare(ids: np.ndarray, weight: np.ndarray, home: np.ndarray, chunk: np.ndarray, i: int, j: int, block: int, vectors: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                for d, rows, found in _Vectors(kind, part.column(2)).groups():
+                    plan = plans.value[d]
+                    turned, own = plan.turned(found), part.take(pa.array(rows))
+                    for b, (bound, grid) in enumerate(zip(plan.bounds, plan.grids, strict=True)):
+                        home, visits = _cells(turned[:, bound[0] : bound[0] + grid], math.sqrt(plan.budgets[b]))
+                        for some, cells, here in [(np.arange(len(home)), home, True), *((*v, False) for v in visits)]:
+                            more = own.take(pa.array(some)).columns if whole else []
+                            yield pa.RecordBatch.from_arrays([pa.array(_key(b, d, cells)), pa.array(np.full(len(some), b, np.int32)), pa.array(np.full(len(some), here)), *more], names=names)
+
+    return vectors.mapInArrow(deal, "cell long, block int, home boolean" + (", id long, weight long, v binary" if whole else ""))
+
+
+def _compare(plan: Plan, ids: np.ndarray, weight: np.ndarray, home: np.ndarray, chunk: np.ndarray, i: int, j: int, block: int, vectors: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
     """Links of one task's vectors that count in this block: (rows, their numbers of links, a forest's pairs)."""
-    d = vectors.shape[1]
-    bounds = blocks(d)
-    turned, size = _turned(vectors), np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
-    budgets = np.array([_budget(b, d, cosine) for b in bounds])
-    starts = [b[0] for b in bounds]
-    part = np.ascontiguousarray(turned[:, bounds[block][0] : bounds[block][1]])
+    turned, size = plan.turned(vectors), np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
+    budgets, starts = plan.budgets, [a for a, _ in plan.bounds]
+    part = np.ascontiguousarray(turned[:, slice(*plan.bounds[block])], dtype=np.float32)
     length = np.einsum("ij,ij->i", part, part)
     at_home = np.flatnonzero(home & (chunk == i))
     others = np.flatnonzero(chunk == j)
-    links, root = np.zeros(len(ids), dtype=np.int64), np.arange(len(ids))
+    theirs, far = np.ascontiguousarray(part[others].T), length[others] - np.float32(budgets[block] + SINGLE)
+    links, part_of = np.zeros(len(ids), dtype=np.int64), np.arange(len(ids))
     forest: list[tuple[int, int]] = []
 
-    def top(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
     for at in range(0, len(at_home), 256):
         mine = at_home[at : at + 256]
-        apart = length[mine][:, None] + length[others] - 2 * (part[mine] @ part[others].T)
-        a, b = np.nonzero(apart <= budgets[block] + ROUNDING)
+        product = part[mine] @ theirs
+        product *= -2
+        product += far
+        a, b = np.nonzero(product <= -length[mine][:, None])
         a, b = mine[a], others[b]
         # Two at home in one cell meet in both orders, or in both chunks' tasks; one counts.
         ok = np.where(home[b], ids[a] < ids[b], True)
@@ -161,23 +187,25 @@ def _compare(ids: np.ndarray, weight: np.ndarray, home: np.ndarray, chunk: np.nd
             x, y = x[ok], y[ok]
             np.add.at(links, x, weight[y])
             np.add.at(links, y, weight[x])
-            if len(x):
-                # Links of one vector to many are joined at once where they all are new.
-                for v, w in zip(x.tolist(), y.tolist(), strict=True):
-                    if root[v] == root[w]:
-                        continue
-                    p, q = top(v), top(w)
+            # Most links lie within what is joined already; only the others are gone through.
+            new = np.flatnonzero(part_of[x] != part_of[y])
+            while len(new):
+                for v, w in zip(x[new[:256]].tolist(), y[new[:256]].tolist(), strict=True):
+                    p, q = part_of[v], part_of[w]
                     if p != q:
-                        root[max(p, q)] = min(p, q)
+                        part_of[part_of == max(p, q)] = min(p, q)
                         forest.append((v, w))
+                new = new[part_of[x[new]] != part_of[y[new]]]
     seen = np.flatnonzero(links)
     return seen, links[seen], forest
 
 
-def _join(spread: DataFrame, cosine: float) -> DataFrame:
+def _join(vectors: DataFrame, plans, kind: str, cosine: float) -> DataFrame:
     """(id, links, other): partial counts of links, and pairs (links null) of forests."""
-    homes = spread.groupBy("cell", "block").agg(F.sum(F.col("home").cast("long")).alias("m"), F.count("*").alias("k"))
-    rows = spread.join(homes.filter("m > 0 and k > 1"), ["cell", "block"])
+    light = _spread(vectors, plans, kind, False)
+    homes = light.groupBy("cell", "block").agg(F.sum(F.col("home").cast("long")).alias("m"), F.count("*").alias("k"))
+    homes = written(homes.filter("m > 0 and k > 1"), "cells")
+    rows = _spread(vectors, plans, kind, True).join(homes, ["cell", "block"])
     chunks = F.ceil(F.col("k") / CHUNK)
     rows = rows.withColumn("chunk", F.pmod(F.xxhash64("id"), chunks))
     every = F.sequence(F.lit(0).cast("long"), chunks - 1)
@@ -193,13 +221,9 @@ def _join(spread: DataFrame, cosine: float) -> DataFrame:
         def group(t: pa.Table) -> pa.RecordBatch:
             block, i, j = (t.column(k)[0].as_py() for k in (1, 2, 3))
             chunk, home, ids, weight = (t.column(k).to_numpy() for k in (4, 5, 6, 7))
-            raw = t.column(8).to_pylist()
             out_id, out_links, out_other = [], [], []
-            lengths = np.array([len(x) for x in raw])
-            for n in np.unique(lengths).tolist():
-                at = np.flatnonzero(lengths == n)
-                vectors = np.frombuffer(b"".join(raw[k] for k in at), dtype="<f8").reshape(len(at), -1)
-                seen, links, forest = _compare(ids[at], weight[at], home[at], chunk[at], i, j, block, vectors, cosine)
+            for d, at, vectors in _Vectors(kind, t.column(8)).groups():
+                seen, links, forest = _compare(plans.value[d], ids[at], weight[at], home[at], chunk[at], i, j, block, vectors, cosine)
                 own = ids[at]
                 out_id += own[seen].tolist() + [int(own[a]) for a, _ in forest]
                 out_links += links.tolist() + [None] * len(forest)
@@ -231,18 +255,20 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
     rows = df.select(F.coalesce(F.col(key).cast("long"), F.lit(_NONE)).alias("id"), F.when(usable, packed).alias("p"))
     rows = written(rows.withColumn("h", F.xxhash64("p")), "vectors")
     classes = written(rows.filter("p is not null").groupBy("p").agg(F.min("id").alias("rep"), F.count("*").alias("weight")), "classes")
-    n = classes.count()
-    grid = max(1, min(BLOCK, round(math.log(max(1, n / CELL), 4)) + 1))
+    # Different vectors may share a smallest id, so classes are told apart by numbers of their own.
+    numbered = written(classes.withColumn("c", F.xxhash64("p")), "numbered")
+    kind = "<f4" if isinstance(df.schema[vector].dataType.elementType, T.FloatType) else "<f8"
 
     def binary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            p = batch.column(2)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([np.array(x.as_py(), dtype="<f8").tobytes() for x in p], pa.binary())], names=["id", "weight", "v"])
-
-    # Different vectors may share a smallest id, so classes are told apart by numbers of their own.
-    numbered = written(classes.withColumn("c", F.xxhash64("p")), "numbered")
-    vectors = numbered.select("c", "weight", "p").mapInArrow(binary, "id long, weight long, v binary")
-    found = written(_join(written(_spread(vectors, grid, cosine), "spread"), cosine), "links")
+            p = [x.values.to_numpy(zero_copy_only=False).astype(kind).tobytes() for x in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(p, pa.binary())], names=["id", "weight", "v"])
+
+    vectors = written(numbered.select("c", "weight", "p").mapInArrow(binary, "id long, weight long, v binary"), "packed")
+    n = {r["d"]: r["n"] for r in vectors.groupBy((F.octet_length("v") / np.dtype(kind).itemsize).cast("int").alias("d")).agg(F.count("*").alias("n")).collect()}
+    sample = [np.frombuffer(bytes(r["v"]), dtype=kind).astype(np.float64) for r in vectors.select("id", "v").orderBy("id").limit(SAMPLE).collect()]
+    plans = df.sparkSession.sparkContext.broadcast({d: planned(d, np.array([x for x in sample if len(x) == d]).reshape(-1, d), k, cosine) for d, k in n.items()})
+    found = written(_join(vectors, plans, kind, cosine), "links")
     counts = found.filter("links is not null").groupBy("id").agg(F.sum("links").alias("links"))
     names = numbered.select(F.col("c").alias("id"), "rep")
     pairs = found.filter("other is not null").join(names, "id").select(F.col("rep").alias("x"), "other").join(names.withColumnRenamed("id", "other"), "other").select("x", F.col("rep").alias("y"))
