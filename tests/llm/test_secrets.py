@@ -1,0 +1,93 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+
+from tests.conftest import DATA
+from tidemill.llm import queries, secrets
+
+
+def base_by_contract(text):
+    """The base spans, straight from the patterns."""
+    out = []
+    for m in re.finditer(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.IGNORECASE | re.ASCII):
+        if len(m[2]) >= 12:
+            out.append((m.start(), 0, "assign", m.end()))
+    out += [(m.start(), 1, "access", m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
+    out += [(m.start(), 2, "hex", m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 16]
+    return [(k, a, b) for a, _, k, b in sorted(out)]
+
+
+def linked_by_brute_force(text):
+    """All pairs of parts, where the operator searches."""
+    lower = text.lower()
+    base, short = secrets.base_spans(text, lower)
+    ids, keys, ends = secrets.candidates(text, lower, base, short)
+    breaks = [m.start() for m in secrets._EMPTY_LINE.finditer(text)]
+
+    def near(s, parts):
+        low = max([b + 1 for b in breaks if b < s[0]], default=0)
+        high = min([b + 1 for b in breaks if b >= s[0]], default=len(text))
+        return any(a < min(high, s[1] + secrets.REACH) and b > max(low, s[0] - secrets.REACH) for a, b in parts)
+
+    every_id = ids + base["access"]
+    every_key = keys + base["assign"] + [s for s in base["hex"] if not text[s[0] : s[1]].isdigit()]
+    found = {
+        "link_id": [s for s in ids if near(s, every_key)],
+        "link_secret": [s for s in keys if near(s, every_id) or near(s, ends)],
+        "link_endpoint": [s for s in ends if near(s, every_id) and near(s, every_key)],
+    }
+    return {k: v for k, v in found.items() if v}
+
+
+PARTS = ["token = ", "secret=abc ", 'Password: "', "abcdefghijkl", "AKIA", "AKIAABCDEFGHIJKLMN", "deadbeefdeadbeef", "user=bob ", "a@b.example ", "10.0.0.1 ", "https://x.example/y ", "\n\n", " ", "Zé ", "aB3" * 8 + " ", "api_key", "API-KEY=", "'", ":", "=", "x" * 50]
+
+
+def test_random_texts():
+    rng = random.Random(2)
+    for _ in range(3000):
+        text = "".join(rng.choices(PARTS, k=rng.randint(0, 25)))
+        spans = secrets.spans_of(text)
+        assert [s for s in spans if s[0] in secrets.BASE] == base_by_contract(text)
+        assert spans == sorted(spans, key=lambda s: (s[1], secrets.KINDS.index(s[0])))
+        linked = {k: [(a, b) for n, a, b in spans if n == k] for k in secrets.LINKED}
+        assert {k: v for k, v in linked.items() if v} == linked_by_brute_force(text)
+
+
+def test_documents(spark):
+    d = f"{DATA}/sf0.01"
+    texts = {r["doc_id"]: r["text"] for r in queries.table(spark, d, "documents").collect()}
+    rows = queries.op6_secrets(spark, d).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        base = base_by_contract(texts[r["doc_id"]])
+        joined = ",".join(f"{k}:{a}:{b}" for k, a, b in base)
+        assert r["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
+        assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(k == n for n, _, _ in base) for k in ("assign", "access", "hex")]
+        assert set(joined.split(",")) - {""} <= set(r["spans"].split(","))
+
+
+def test_weak_parts_are_reported_together_only():
+    kinds = lambda t: {k for k, _, _ in secrets.spans_of(t)}
+    assert kinds("user=bob") == set()
+    assert kinds("mail a@b.example today") == set()
+    assert kinds("secret=abcdef") == set()
+    assert kinds("user=bob secret=abcdef") == {"link_id", "link_secret"}
+    assert kinds("host 10.0.0.1 user=bob secret=abcdef") == {"link_id", "link_secret", "link_endpoint"}
+    assert kinds("host 10.0.0.1 user=bob") == set()
+    assert kinds("user=bob\n\nsecret=abcdef") == set()
+    assert kinds("user=bob" + " " * 500 + "secret=abcdef") == set()
+
+
+def test_offsets_are_code_points():
+    assert secrets.spans_of("😀é token=abcdefabcdefxyz") == [("assign", 3, 24)]
+
+
+def test_odd_rows(odd, none):
+    out = secrets.scan(odd)
+    assert out.columns == [c for c in odd.columns if c != "spans"] + ["spans"]
+    rows = {r["doc_id"]: r["spans"] for r in out.collect()}
+    assert rows[7] == rows[8] == []
+    assert [s["kind"] for s in rows[16]] == ["link_id", "assign", "access", "hex"]
+    assert secrets.scan(none).count() == 0

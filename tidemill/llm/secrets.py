@@ -103,7 +103,8 @@ class _Parts:
         return i < len(self.starts) and self.starts[i] < scope[1]
 
 
-def linked_spans(text: str, lower: str, base: dict[str, list[Span]], short: list[Span]) -> dict[str, list[Span]]:
+def candidates(text: str, lower: str, base: dict[str, list[Span]], short: list[Span]) -> tuple[list[Span], list[Span], list[Span]]:
+    """Weak identifiers, secrets and endpoints, which overlap neither base spans nor one another."""
     taken = _union([s for k in BASE for s in base[k]])
     ids = [m.span() for m in _ACCOUNT.finditer(text)] if any(n in lower for n in _ACCOUNT_NAMES) else []
     if "@" in text:
@@ -114,11 +115,16 @@ def linked_spans(text: str, lower: str, base: dict[str, list[Span]], short: list
     ends += [m.span() for m in _HOST.finditer(text) if all(int(x) < 256 for x in m[0].split(":")[0].split("."))]
     # Without an identifier or an endpoint nothing is linked; bare secrets need not be looked for.
     if not (ids or ends or base["access"]):
-        return {}
+        return [], [], []
     keys = short + [m.span() for m in _BARE.finditer(text) if _mixed(m[0])]
     ids = _apart(ids, taken)
     keys = _apart(keys, _union(taken + ids))
-    ends = _apart(ends, _union(taken + ids + keys))
+    return ids, keys, _apart(ends, _union(taken + ids + keys))
+
+
+def linked_spans(text: str, lower: str, base: dict[str, list[Span]], short: list[Span]) -> dict[str, list[Span]]:
+    """The candidates in whose scopes complementary parts lie."""
+    ids, keys, ends = candidates(text, lower, base, short)
     if not (ids or keys or ends):
         return {}
     breaks = [m.start() for m in _EMPTY_LINE.finditer(text)]
