@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -16,9 +17,12 @@ from pyspark.sql import types as T
 
 @dataclass(frozen=True)
 class Rule:
+    """A named pattern.  Where the lower-cased text has none of ``needs``, the pattern is not tried."""
+
     name: str
     kind: str
     pattern: str
+    needs: tuple[str, ...] = ()
 
 
 def word(body: str) -> str:
@@ -28,24 +32,24 @@ def word(body: str) -> str:
 
 #: What tells that a posting bars applicants who need sponsorship.
 BARRIER = (
-    Rule("no_sponsorship", "barrier", word(r"(?:no|without) (?:visa |work |employer )?sponsorship(?: is| will be)? (?:available|offered|provided)|(?:no|without) visa sponsorship")),
-    Rule("will_not_sponsor", "barrier", word(r"(?:can ?not|can't|unable to|will not|won't|do(?:es)? not|not able to) (?:offer |provide )?(?:visa |work )?sponsor(?:ship)?")),
-    Rule("citizens_only", "barrier", word(r"(?:must be|requires?|only) (?:a |an )?(?:u\.?s\.?|united states) citizen(?:s|ship)?|(?:u\.?s\.?|united states) citizenship (?:is )?required")),
-    Rule("clearance", "barrier", word(r"(?:active |secret |top secret |obtain a |hold a )?security clearance (?:is )?required|(?:must|able to) (?:hold|obtain|have) (?:a |an active )?(?:security )?clearance")),
+    Rule("no_sponsorship", "barrier", word(r"(?:no|without) (?:visa |work |employer )?sponsorship(?: is| will be)? (?:available|offered|provided)|(?:no|without) visa sponsorship"), ("sponsor",)),
+    Rule("will_not_sponsor", "barrier", word(r"(?:can ?not|can't|unable to|will not|won't|do(?:es)? not|not able to) (?:offer |provide )?(?:visa |work )?sponsor(?:ship)?"), ("sponsor",)),
+    Rule("citizens_only", "barrier", word(r"(?:must be|requires?|only) (?:a |an )?(?:u\.?s\.?|united states) citizen(?:s|ship)?|(?:u\.?s\.?|united states) citizenship (?:is )?required"), ("citizen",)),
+    Rule("clearance", "barrier", word(r"(?:active |secret |top secret |obtain a |hold a )?security clearance (?:is )?required|(?:must|able to) (?:hold|obtain|have) (?:a |an active )?(?:security )?clearance"), ("clearance",)),
 )
 #: Text that addresses an automated reader.  It is reported, never followed.
 AGENT = (
-    Rule("override", "agent", word(r"(?:ignore|disregard|forget) (?:all |any )?(?:of )?(?:the |your )?(?:previous|prior|above) (?:instructions|prompts|directions)")),
-    Rule("if_model", "agent", word(r"(?:if|since|as) (?:you are|you're) (?:an? )?(?:ai|llm|bot|language model|automated (?:agent|system))")),
-    Rule("agents_must", "agent", word(r"(?:ai|llm) (?:agents?|assistants?|models?) (?:must|should|please|are required to)")),
-    Rule("system_prompt", "agent", word(r"system prompt")),
+    Rule("override", "agent", word(r"(?:ignore|disregard|forget) (?:all |any )?(?:of )?(?:the |your )?(?:previous|prior|above) (?:instructions|prompts|directions)"), ("instructions", "prompts", "directions")),
+    Rule("if_model", "agent", word(r"(?:if|since|as) (?:you are|you're) (?:an? )?(?:ai|llm|bot|language model|automated (?:agent|system))"), ("you are", "you're")),
+    Rule("agents_must", "agent", word(r"(?:ai|llm) (?:agents?|assistants?|models?) (?:must|should|please|are required to)"), ("agent", "assistant", "model")),
+    Rule("system_prompt", "agent", word(r"system prompt"), ("system prompt",)),
 )
 #: Stand-ins that do occur in the test tables.
 STAND_IN = (
-    Rule("email", "contact", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+\.[A-Za-z0-9.-]+"),
-    Rule("secret_word", "secret", word(r"password|passwd|secret|token|api_?key")),
+    Rule("email", "contact", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+\.[A-Za-z0-9.-]+", ("@",)),
+    Rule("secret_word", "secret", word(r"password|passwd|secret|token|api_?key"), ("passw", "secret", "token", "api")),
     Rule("ipv4", "address", r"(?:^|[^0-9.])[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?:$|[^0-9.])"),
-    Rule("license_word", "license", word(r"licen[sc]ed?|copyright")),
+    Rule("license_word", "license", word(r"licen[sc]ed?|copyright"), ("licen", "copyright")),
 )
 RULES = BARRIER + AGENT
 
@@ -55,14 +59,21 @@ def version(rules: tuple[Rule, ...] = RULES) -> str:
     return hashlib.sha256(repr(rules).encode()).hexdigest()[:12]
 
 
+def _has(text: Column, literals: tuple[str, ...]) -> Column:
+    """Whether the lower-cased text has any of the literals: byte searches, far cheaper than a pattern."""
+    low = F.lower(text)
+    return reduce(lambda a, b: a | b, (F.contains(low, F.lit(x)) for x in literals))
+
+
 def matches(text: Column, rule: Rule) -> Column:
     """Whether a rule finds something; letter case does not count.  Null text gives null."""
-    return text.rlike(f"(?iu){rule.pattern}")
+    found = text.rlike(f"(?iu){rule.pattern}")
+    return _has(text, rule.needs) & found if rule.needs else found
 
 
 def any_of(text: Column, rules: tuple[Rule, ...]) -> Column:
-    """Whether any of the rules finds something, in one pass over the text."""
-    return text.rlike("(?iu)" + "|".join(f"(?:{r.pattern})" for r in rules))
+    """Whether any of the rules finds something."""
+    return reduce(lambda a, b: a | b, (matches(text, r) for r in rules), F.when(text.isNotNull(), F.lit(False)))
 
 
 def evidence(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
@@ -73,6 +84,8 @@ def evidence(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
 AMOUNT = r"([0-9][0-9,]*(?:\.[0-9]{1,2})?)( ?[kK])?"
 #: Groups: currency, amount, thousands, upper amount, its thousands, period.
 PAY = rf"(?i)(\$|usd ?|eur ?|€|£)(?:{AMOUNT})(?: ?(?:-|–|to) ?(?:\$|usd ?|eur ?|€|£)?{AMOUNT})? ?(?:/|per |an? )? ?(hour|hr|year|yr|annum|month|week)"
+#: A currency and a digit, without which there is no pay.
+PAY_FIRST = r"(?:\$|[uU][sS][dD]|[eE][uU][rR]|€|£) ?[0-9]"
 CURRENCIES = {"$": "USD", "usd": "USD", "eur": "EUR", "€": "EUR", "£": "GBP"}
 PERIODS = {"hour": "hour", "hr": "hour", "year": "year", "yr": "year", "annum": "year", "month": "month", "week": "week"}
 MONEY = T.DecimalType(12, 2)
@@ -86,7 +99,9 @@ def _named(value: Column, names: dict[str, str]) -> Column:
 
 def pay(text: Column) -> Column:
     """The first pay that the text states, a struct of PAY_TYPE, or null."""
-    part = lambda g: F.regexp_extract(text, PAY, g)
+    # The text is searched once; its parts are taken from what was found.
+    whole = F.when(text.rlike(PAY_FIRST), F.regexp_extract(text, PAY, 0))
+    part = lambda g: F.regexp_extract(F.when(whole != "", whole), PAY, g)
 
     def amount(digits: Column, thousands: Column) -> Column:
         value = F.replace(digits, F.lit(","), F.lit("")).try_cast(MONEY)
