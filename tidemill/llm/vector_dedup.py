@@ -43,6 +43,8 @@ from tidemill.scratch import written
 COSINE = 0.9
 BLOCK = 16
 CHUNK = 1 << 14
+#: A product of so many rows and columns is made at a time.
+ROWS, COLUMNS = 128, 4096
 #: About so many vectors per cell before another grid axis is used.
 CELL = 1 << 14
 SAMPLE = 1 << 13
@@ -159,24 +161,26 @@ def _compare(plan: Plan, ids: np.ndarray, weight: np.ndarray, home: np.ndarray,
     """Links of one task's vectors that count in this block: (rows, their numbers of links, a forest's pairs)."""
     turned, size = plan.turned(vectors), np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
     budgets, starts = plan.budgets, [a for a, _ in plan.bounds]
-    part = np.ascontiguousarray(turned[:, slice(*plan.bounds[block])], dtype=np.float32)
-    length = np.einsum("ij,ij->i", part, part)
+    part = turned[:, slice(*plan.bounds[block])]
+    length = np.einsum("ij,ij->i", part, part)[:, None]
+    # So extended, a product of two rows is their squared distance.
+    left = np.hstack([-2 * part, length, np.ones_like(length)]).astype(np.float32)
+    right = np.hstack([part, np.ones_like(length), length]).astype(np.float32)
+    most = np.float32(budgets[block] + SINGLE)
     at_home = np.flatnonzero(home & (chunk == i))
-    others = np.flatnonzero(chunk == j)
-    theirs, far = np.ascontiguousarray(part[others].T), length[others] - np.float32(budgets[block] + SINGLE)
+    at_home = at_home[np.argsort(ids[at_home], kind="stable")]
+    # Within a chunk, those at home follow in the order of their ids, and each meets the later ones.
+    others = np.r_[at_home, np.flatnonzero(~home & (chunk == j))] if i == j else np.flatnonzero(chunk == j)
+    theirs = np.ascontiguousarray(right[others].T)
     links, part_of = np.zeros(len(ids), dtype=np.int64), np.arange(len(ids))
     forest: list[tuple[int, int]] = []
 
-    for at in range(0, len(at_home), 256):
-        mine = at_home[at : at + 256]
-        product = part[mine] @ theirs
-        product *= -2
-        product += far
-        a, b = np.nonzero(product <= -length[mine][:, None])
-        a, b = mine[a], others[b]
-        # Two at home in one cell meet in both orders, or in both chunks' tasks; one counts.
-        ok = np.where(home[b], ids[a] < ids[b], True)
-        a, b = a[ok], b[ok]
+    tiles = ((r, c) for r in range(0, len(at_home), ROWS) for c in range(r if i == j else 0, len(others), COLUMNS))
+    for r, c in tiles:
+        product = left[at_home[r : r + ROWS]] @ theirs[:, c : c + COLUMNS]
+        a, b = np.divmod(np.flatnonzero(product <= most), product.shape[1])
+        ok = b + c > a + r if i == j else slice(None)
+        a, b = at_home[r + a[ok]], others[c + b[ok]]
         for k in range(0, len(a), 1 << 15):
             x, y = a[k : k + (1 << 15)], b[k : k + (1 << 15)]
             per = np.add.reduceat((turned[x] - turned[y]) ** 2, starts, axis=1)
@@ -209,10 +213,12 @@ def _join(vectors: DataFrame, plans, kind: str, cosine: float) -> DataFrame:
     chunks = F.ceil(F.col("k") / CHUNK)
     rows = rows.withColumn("chunk", F.pmod(F.xxhash64("id"), chunks))
     every = F.sequence(F.lit(0).cast("long"), chunks - 1)
-    # A vector stands on the left of each pair of chunks while at home, and always on the right.
-    left = F.transform(every, lambda j: F.struct(F.col("chunk").alias("i"), j.alias("j")))
-    right = F.transform(F.filter(every, lambda i: (i != F.col("chunk")) | ~F.col("home")), lambda i: F.struct(i.alias("i"), F.col("chunk").alias("j")))
-    dealt = rows.withColumn("at", F.explode(F.when(F.col("home"), F.concat(left, right)).otherwise(right)))
+    # Vectors at home stand on the left of their own and later chunks, and on the right of earlier
+    # ones; visitors stand on the right of all.
+    left = F.transform(F.filter(every, lambda j: j >= F.col("chunk")), lambda j: F.struct(F.col("chunk").alias("i"), j.alias("j")))
+    left = F.concat(left, F.transform(F.filter(every, lambda i: i < F.col("chunk")), lambda i: F.struct(i.alias("i"), F.col("chunk").alias("j"))))
+    right = F.transform(every, lambda i: F.struct(i.alias("i"), F.col("chunk").alias("j")))
+    dealt = rows.withColumn("at", F.explode(F.when(F.col("home"), left).otherwise(right)))
     dealt = dealt.select("cell", "block", F.col("at.i").alias("i"), F.col("at.j").alias("j"), "chunk", "home", "id", "weight", "v")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
