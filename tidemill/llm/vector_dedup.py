@@ -213,9 +213,9 @@ def _join(vectors: DataFrame, plans, kind: str, cosine: float) -> DataFrame:
     chunks = F.ceil(F.col("k") / CHUNK)
     rows = rows.withColumn("chunk", F.pmod(F.xxhash64("id"), chunks))
     every = F.sequence(F.lit(0).cast("long"), chunks - 1)
-    # Vectors at home stand on the left of their own and later chunks, and on the right of earlier
-    # ones; visitors stand on the right of all.
-    left = F.transform(F.filter(every, lambda j: j >= F.col("chunk")), lambda j: F.struct(F.col("chunk").alias("i"), j.alias("j")))
+    # Vectors at home stand on the left of their own and later chunks, for visitors also of earlier
+    # ones, and on the right of earlier ones; visitors stand on the right of all.
+    left = F.transform(F.filter(every, lambda j: (j >= F.col("chunk")) | (F.col("k") > F.col("m"))), lambda j: F.struct(F.col("chunk").alias("i"), j.alias("j")))
     left = F.concat(left, F.transform(F.filter(every, lambda i: i < F.col("chunk")), lambda i: F.struct(i.alias("i"), F.col("chunk").alias("j"))))
     right = F.transform(every, lambda i: F.struct(i.alias("i"), F.col("chunk").alias("j")))
     dealt = rows.withColumn("at", F.explode(F.when(F.col("home"), left).otherwise(right)))
