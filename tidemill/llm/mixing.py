@@ -124,7 +124,10 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
 
 
 def repeated(docs: DataFrame, mixed: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``docs`` with every row as often as the mix takes it; rows of one key share its copies evenly, rounded."""
+    """``docs`` with every row as often as the mix takes it; rows of one key share its copies evenly, rounded.
+
+    Both sides have a row per document, so they are always merged by key, and never broadcast.
+    """
     per = mixed.groupBy(F.col(key).alias(KEY)).agg(F.round(F.sum("copies") / F.count("*")).cast("int").alias(COPIES))
-    joined = docs.join(per.filter(F.col(COPIES) > 0), docs[key].eqNullSafe(F.col(KEY)))
+    joined = docs.join(per.filter(F.col(COPIES) > 0).hint("merge"), docs[key].eqNullSafe(F.col(KEY)))
     return joined.select(*docs.columns, F.explode(F.array_repeat(F.lit(0), F.col(COPIES)))).select(*docs.columns)
