@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 
 U64 = np.uint64
 CHUNK = 1 << 18
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 18
 
 #: The white space of every contract here: space and the control characters 9 to 13.
 SPACE = np.zeros(256, dtype=bool)
@@ -63,6 +63,8 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = BATCH_BY
             offsets = ends[at : to + 1]
             yield batch.slice(at, to - at), data[offsets[0] : offsets[-1]], offsets - offsets[0]
             at = to
+        del text, ends, data
+    pa.default_memory_pool().release_unused()
 
 
 def spans_of(mask: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -14,6 +14,7 @@ for itself.  An empty table gives no rows.  Further columns stay with their rows
 from __future__ import annotations
 
 import json
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -71,26 +72,34 @@ def _with(batch: pa.RecordBatch, names: list[str], **more) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(more[n]) for n in names)], names=[*batch.schema.names, *names])
 
 
-def _free_name(df: DataFrame, name: str) -> str:
-    taken = {c.lower() for c in df.columns}
+def _free_name(columns: list[str], name: str) -> str:
+    taken = {c.lower() for c in columns}
     while name.lower() in taken:
         name = "_" + name
     return name
 
 
-def pack(df: DataFrame, length: str, capacity: int, open_bins: int = OPEN_BINS, fan_in: int = FAN_IN, sequence: str = "sequence_id", offset: str = "offset") -> DataFrame:
+def _nullable(fields) -> list[T.StructField]:
+    return [T.StructField(f.name, f.dataType, True) for f in fields]
+
+
+def pack(df: DataFrame, length: str, capacity: int, open_bins: int = OPEN_BINS, fan_in: int = FAN_IN, sequence: str = "sequence_id", offset: str = "offset", cut=None) -> DataFrame:
     """Add the ``sequence`` and ``offset`` of every row; lengths are from 1 to ``capacity``.
 
-    Columns of ``df`` with these names are replaced.  The first pass is written to the shared
-    scratch folder, so that a later loss of executors repeats nothing.
+    Columns of ``df`` with these names are replaced.  ``cut``, a function over record batches and the
+    schema that it makes, is applied to the rows first, in the same pass.  The first pass is written
+    to the shared scratch folder, so that a later loss of executors repeats nothing.
     """
-    df = df.drop(sequence, offset)
-    mark = _free_name(df, "_open")
-    columns = df.columns
+    if cut is None:
+        df = df.drop(sequence, offset)
+        cut = iter, df.schema
+    cut, made = cut
+    columns = made.names
+    mark = _free_name(columns, "_open")
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bins, schema = Bins(capacity, open_bins, TaskContext.get().partitionId() << 40), None
-        for batch in batches:
+        for batch in cut(batches):
             schema = batch.schema
             placed = [bins.place(n) for n in batch.column(schema.get_field_index(length)).to_pylist()]
             at, off = np.array(placed, dtype=np.int64).reshape(-1, 2).T
@@ -99,14 +108,11 @@ def pack(df: DataFrame, length: str, capacity: int, open_bins: int = OPEN_BINS,
             nulls = pa.RecordBatch.from_arrays([pa.nulls(len(left), f.type) for f in schema], names=schema.names)
             yield _with(nulls, [sequence, offset, mark], **{sequence: np.array(left, np.int64), offset: np.zeros(len(left), np.int64), mark: np.ones(len(left), dtype=bool)})
 
-    def nullable(fields):
-        return [T.StructField(f.name, f.dataType, True) for f in fields]
-
-    out = T.StructType([*nullable(df.schema.fields), T.StructField(sequence, T.LongType()), T.StructField(offset, T.LongType())])
+    out = T.StructType([*_nullable(made.fields), T.StructField(sequence, T.LongType()), T.StructField(offset, T.LongType())])
     once = written(df.mapInArrow(first, T.StructType([*out.fields, T.StructField(mark, T.BooleanType())])), "packed")
     still = once.filter(F.col(mark)).select(sequence)
     rows = once.filter(~F.col(mark)).drop(mark)
-    group = _free_name(rows, "_group")
+    group = _free_name(rows.columns, "_group")
 
     def again(key: tuple, table: pa.Table) -> pa.Table:
         bins = Bins(capacity, table.num_rows, (1 << 62) + (key[0].as_py() << 40))
@@ -118,7 +124,7 @@ def pack(df: DataFrame, length: str, capacity: int, open_bins: int = OPEN_BINS,
             at[i] = bins.place(n)
         return table.select(columns).append_column(sequence, pa.array(at[:, 0])).append_column(offset, pa.array(at[:, 1]))
 
-    loose = rows.join(still, sequence, "left_semi").withColumn(group, F.shiftright(sequence, 40) / fan_in).withColumn(group, F.floor(group))
+    loose = rows.join(still, sequence, "left_semi").withColumn(group, F.floor(F.shiftright(sequence, 40) / fan_in))
     closed = rows.join(still, sequence, "left_anti").select(*columns, sequence, offset)
     return closed.unionByName(loose.select(*columns, sequence, offset, group).groupBy(group).applyInArrow(again, out))
 
@@ -174,9 +180,11 @@ def piece_bounds(n: int, capacity: int) -> list[int]:
     return [0, *range(first, n + 1, capacity)]
 
 
-def pieces(df: DataFrame, tokenizer: str, capacity: int, end_id: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row (key, piece, start, length, ids) per piece of every text; ``ids`` are little-endian unsigned 32-bit."""
-    kind = df.schema[key].dataType
+def _cutter(tokenizer: str, capacity: int, end_id: int, key: T.StructField, digest: bool):
+    """What cuts batches of (key, text) into pieces, and their schema; with ``digest``, ids are left as their CRC-32."""
+    last = T.StructField("ids_crc32", T.LongType()) if digest else T.StructField("ids", T.BinaryType())
+    schema = T.StructType([T.StructField(key.name, key.dataType), T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()), T.StructField("length", T.LongType()), last])
+    names = schema.names
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = Encoder(tokenizer)
@@ -187,15 +195,26 @@ def pieces(df: DataFrame, tokenizer: str, capacity: int, end_id: int, key: str =
                 for i, x in enumerate(part.column(1).to_pylist()):
                     ids = np.append(encode(x or ""), np.uint32(end_id)).astype("<u4")
                     bounds = piece_bounds(len(ids), capacity)
-                    rows += [(i, k, a, b - a, ids[a:b].tobytes()) for k, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False))]
+                    for k, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):
+                        data = ids[a:b].tobytes()
+                        rows.append((i, k, a, b - a, zlib.crc32(data) if digest else data))
                 i, piece, start, length, data = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(i)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(data, pa.binary())],
-                    names=[key, "piece", "start", "length", "ids"],
+                    [part.column(0).take(pa.array(i)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(data, pa.int64() if digest else pa.binary())],
+                    names=names,
                 )
 
-    schema = T.StructType([T.StructField(key, kind), T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()), T.StructField("length", T.LongType()), T.StructField("ids", T.BinaryType())])
-    return df.select(key, text).mapInArrow(cut, schema)
+    return cut, schema
+
+
+def pieces(df: DataFrame, tokenizer: str, capacity: int, end_id: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row (key, piece, start, length, ids) per piece of every text; ``ids`` are little-endian unsigned 32-bit."""
+    return df.select(key, text).mapInArrow(*_cutter(tokenizer, capacity, end_id, df.schema[key], False))
+
+
+def pack_texts(df: DataFrame, tokenizer: str, capacity: int, end_id: int, key: str = "doc_id", text: str = "text", digest: bool = False) -> DataFrame:
+    """The pieces of every text with their sequence and offset, tokenised and placed in one pass."""
+    return pack(df.select(key, text), "length", capacity, cut=_cutter(tokenizer, capacity, end_id, df.schema[key], digest))
 
 
 def sequences(packed: DataFrame, sequence: str = "sequence_id", offset: str = "offset", ids: str = "ids") -> DataFrame:

@@ -27,9 +27,7 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def packed_digest(docs: DataFrame) -> DataFrame:
-    cut = packing.pieces(docs, byte_bpe(), SEQUENCE_TOKENS, END_ID)
-    cut = cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
-    return packing.pack(cut, "length", SEQUENCE_TOKENS)
+    return packing.pack_texts(docs, byte_bpe(), SEQUENCE_TOKENS, END_ID, digest=True)
 
 
 def op2_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
