@@ -25,7 +25,7 @@ ATTEMPTS = 48
 PER_WORD = 64 // BITS
 SPACES = " \t\n\x0b\x0c\r"
 #: Rows per range of neighbours, about, and ranges at most, about.
-RANGE_ROWS, MOST_RANGES = 256, 1 << 17
+RANGE_ROWS, MOST_RANGES = 64, 1 << 17
 _PRIME = 8191
 _LOW = 64 - BINS.bit_length() + 1
 _ENDS = (1 << _LOW) - 1
