@@ -37,6 +37,7 @@ def brute(rows, width, percent=80):
 def ours(df, width):
     out = near_dedup.near_duplicates(df, width=width).collect()
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in out)
+    assert len({(r["doc_id"], r["component_id"]) for r in out}) == len({r["doc_id"] for r in out})
     return {r["doc_id"]: r["component_id"] for r in out}, {r["doc_id"]: r["n_shingles"] for r in out}
 
 
@@ -70,6 +71,13 @@ def test_odd_rows(odd):
     assert components == expected
 
 
+def test_repeated_ids_join_what_their_texts_reach(spark):
+    a, b, c = ("w%d x y z q" % i for i in range(3))
+    rows = [(5, a), (5, b), (3, b), (9, a), (4, c), (None, c), (None, "other words than those")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert ours(df, 2)[0] == brute(rows, 2)[0] == {5: 3, 3: 3, 9: 3, 4: None, None: None}
+
+
 def test_empty_table(none):
     assert near_dedup.near_duplicates(none).count() == 0
 

@@ -19,7 +19,8 @@ Full sets are made only for documents in candidate pairs: a Bloom filter of thei
 size, goes to the scan of the texts.
 
 Nulls: a null text is empty; an empty set links with nothing.  Each row of a repeated id is
-compared by its own text, and links that reach one of them reach the id.  A null id comes first in order, and is null again in the result.
+compared by its own text, and links that reach one of its texts reach all; one without words stands
+alone.  A null id comes first in order, and is null again in the result.
 """
 
 from __future__ import annotations
@@ -293,6 +294,13 @@ def _links_across(members: DataFrame, reps: DataFrame, parts: DataFrame, sets: D
     return _by_group(some.join(sets, "id").select(*columns, "s")).mapInArrow(confirm, "x long, y long").distinct()
 
 
+def _same_ids(signatures: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (x, y) of repeated ids to the classes of all their texts."""
+    full = signatures.filter("n > 0")
+    several = full.groupBy("id").agg(F.min(F.struct("n", "a", "b")).alias("p"), F.max(F.struct("n", "a", "b")).alias("q")).filter("p <> q").select("id")
+    return full.join(several, "id", "left_semi").join(classes, ["n", "a", "b"]).select(F.col("rep").alias("x"), F.col("id").alias("y")).distinct()
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """(key, n_shingles, component_id) per row; component_id is the smallest key that links reach."""
     own = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_NONE)).alias("id"), F.col(text).alias("t"))
@@ -312,7 +320,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     forests = _forests(members, most)
     tried = written(forests.filter("x <> y").select("x", "y").distinct(), "candidates")
     sets = _sets(own, tried.select(F.explode(F.array("x", "y")).alias("id")).distinct(), width)
-    links = written(_links(tried, sets, percent), "links")
+    links = written(_links(tried, sets, percent).unionByName(_same_ids(signed_, classes)), "links")
     found = components(links, "x", "y")
     open_ = members.join(forests.filter("bucket is not null").select("bucket", "i", "j").distinct(), ["bucket", "i", "j"], "left_semi")
     more = written(_links_across(open_, reps, found.select(F.col("v").alias("id"), "component"), sets, most, percent), "links")
