@@ -1,7 +1,8 @@
 """Intermediate tables in the folder that the driver and all executors share.
 
 The folder is the session's ``spark.checkpoint.dir``.  A lost executor loses nothing that was
-written here, so these tables are where long lineages are cut.
+written here, so these tables are where long lineages are cut.  They stay as long as a result may be
+read from them; whoever has written a result elsewhere may ``release`` what was made for it.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 CONF = "spark.checkpoint.dir"
 _own: list[str] = []
+_made: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -38,9 +40,23 @@ def written(df: DataFrame, name: str = "t") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tidemill-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def mark() -> int:
+    """A point in time for ``release``."""
+    return len(_made)
+
+
+def release(spark: SparkSession, since: int) -> None:
+    """Delete the tables written after ``since`` but the last one; nothing may read them any more."""
+    for path in _made[since:-1]:
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+    del _made[since:-1]
+
+
 @atexit.register
 def _clean() -> None:
     for path in _own:
