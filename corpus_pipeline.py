@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemill import scratch
 from tidemill.llm import line_dedup, mixing, near_dedup, quality, queries
-from tidemill.scratch import written
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,13 +24,13 @@ def first_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the first document of each group of near duplicates."""
     found = near_dedup.near_duplicates(docs)
-    gone = written(found.filter(~F.col("kept")).select("doc_id").distinct(), "gone")
+    gone = scratch.written(found.filter(~F.col("kept")).select("doc_id").distinct(), "gone")
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeat or leave out documents so that sources come near their target shares."""
-    copies = written(mixing.mix(docs).select("doc_id", "copies"), "copies")
+    copies = scratch.written(mixing.mix(docs).select("doc_id", "copies"), "copies")
     return mixing.repeated(docs, copies)
 
 
@@ -52,8 +52,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, applied to the documents of ``sf_dir``."""
-    docs = queries.table(spark, sf_dir, "documents")
+    """All stages, applied to the documents of ``sf_dir``; only the last one's table stays."""
+    docs, since = queries.table(spark, sf_dir, "documents"), scratch.mark()
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = scratch.written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        scratch.release(spark, since)
     return docs
