@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import os
 
+import pytest
+
 from tidemill import scratch
 
 
@@ -15,11 +17,26 @@ def test_tables_are_written_to_the_shared_folder_and_released(spark):
     assert not [f for f in os.listdir(at) if f.startswith("tidemill-a-")]
 
 
-def test_the_folder_of_the_session_is_used(spark, tmp_path):
-    before = spark.conf.get(scratch.CONF, None)
-    spark.conf.set(scratch.CONF, f"file://{tmp_path}")
-    try:
-        scratch.written(spark.range(3), "c")
-        assert any(f.startswith("tidemill-c-") for f in os.listdir(tmp_path))
-    finally:
-        spark.conf.set(scratch.CONF, before) if before else spark.conf.unset(scratch.CONF)
+class Session:
+    """A session of which only the master and one setting are asked."""
+
+    def __init__(self, master, path=None):
+        self.sparkContext = self.conf = self
+        self.master, self.path = master, path
+
+    def get(self, key, default):
+        return self.path if key == scratch.CONF else default
+
+    def setCheckpointDir(self, path):
+        self.chosen = path
+
+
+def test_the_folder_is_the_sessions_own_or_a_temporary_one_of_a_local_master(monkeypatch):
+    monkeypatch.setattr(scratch, "_own", [])
+    assert scratch.shared_dir(Session("spark://host", "hdfs://store/x/")) == "hdfs://store/x"
+    for master in ("spark://host", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="share"):
+            scratch.shared_dir(Session(master))
+    session = Session("local[2]")
+    assert scratch.shared_dir(session) == session.chosen == scratch.shared_dir(session)
+    os.rmdir(session.chosen)

@@ -21,18 +21,15 @@ _made: list[str] = []
 
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder of this session; a temporary one is made only on a local master."""
-    path = spark.conf.get(CONF, None)
+    path = spark.conf.get(CONF, None) or next(iter(_own), None)
     if path:
         return path.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise ValueError(f"{CONF} must name a folder that all executors share")
-    if spark.sparkContext.master.startswith("local-cluster"):
-        raise ValueError(f"{CONF} must name a folder that all executors share")
-    path = tempfile.mkdtemp(prefix="tidemill-")
-    _own.append(path)
-    spark.conf.set(CONF, path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    _own.append(tempfile.mkdtemp(prefix="tidemill-"))
+    spark.sparkContext.setCheckpointDir(_own[0])
+    return _own[0]
 
 
 def written(df: DataFrame, name: str = "t") -> DataFrame:
@@ -59,5 +56,7 @@ def release(spark: SparkSession, since: int) -> None:
 
 @atexit.register
 def _clean() -> None:
-    for path in _own:
-        shutil.rmtree(path, ignore_errors=True)
+    """Nothing reads these tables when the process ends; other file systems than the local one keep theirs."""
+    for path in (*_own, *_made):
+        if path.startswith(("/", "file:")):
+            shutil.rmtree(path.removeprefix("file://").removeprefix("file:"), ignore_errors=True)
