@@ -25,8 +25,8 @@ def fingerprint(df: DataFrame, columns: list[str]) -> DataFrame:
     instead of gathering every row's digest in one place.
     """
     digest = F.md5(as_json(columns))
-    words = [F.conv(F.substring(digest, 8 * k + 1, 8), 16, 10).cast("bigint") for k in range(4)]
-    sums = df.agg(F.count("*").alias("n_rows"), *(F.coalesce(F.sum(w), F.lit(0)).alias(f"_{k}") for k, w in enumerate(words)))
+    words = [F.conv(F.substring(digest, 8 * k + 1, 8), 16, 10).cast("decimal(20,0)") for k in range(4)]
+    sums = df.agg(F.count("*").alias("n_rows"), *(F.coalesce(F.sum(w), F.lit(0)).cast("decimal(30,0)").cast("string").alias(f"_{k}") for k, w in enumerate(words)))
     return sums.select("n_rows", F.sha2(F.concat_ws(":", "n_rows", "_0", "_1", "_2", "_3"), 256).alias("fingerprint"))
 
 

@@ -193,7 +193,7 @@ def change_set(spark, sf_dir):
 
 _DUCK_JSON = "'{\"doc_id\":' || doc_id || ',\"lang\":\"' || lang || '\",\"source\":\"' || source || '\",\"n_chars\":' || n_chars || '}'"
 _JSON_COLUMNS = ["doc_id", "lang", "source", "n_chars"]
-_DUCK_WORDS = ", ".join(f"CAST(sum(CAST('0x' || substr(h, {8 * k + 1}, 8) AS BIGINT)) AS BIGINT) AS w{k}" for k in range(4))
+_DUCK_WORDS = ", ".join(f"sum(CAST('0x' || substr(h, {8 * k + 1}, 8) AS BIGINT)) AS w{k}" for k in range(4))
 
 
 @query(f"""SELECT n_rows, sha256(concat_ws(':', n_rows, w0, w1, w2, w3)) AS fingerprint FROM (
