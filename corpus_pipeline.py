@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from tidemill import scratch
 from tidemill.llm import line_dedup, mixing, near_dedup, quality, queries
 
+SCORE = "__tidemill_score"
+
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the quality classifier rejects."""
     model = quality.learn(docs, queries.table(spark, sf_dir, "labels"), "quality", queries.fold() != 0)
-    return quality.score(docs, model, "_score").filter(F.col("_score") >= queries.QUALITY_KEEP).select(*docs.columns)
+    return quality.score(docs, model, SCORE).filter(F.col(SCORE) >= queries.QUALITY_KEEP).select(*docs.columns)
 
 
 def first_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -259,10 +259,11 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
     packed = F.transform(F.col(vector), lambda x: x.cast("double") + F.lit(0.0))
     usable = F.coalesce(F.forall(packed, lambda x: x.isNotNull() & (F.abs(x) < float("inf")) & ~F.isnan(x)) & F.exists(packed, lambda x: x != 0), F.lit(False))
     rows = df.select(F.coalesce(F.col(key).cast("long"), F.lit(_NONE)).alias("id"), F.when(usable, packed).alias("p"))
-    rows = written(rows.withColumn("h", F.xxhash64("p")), "vectors")
-    classes = written(rows.filter("p is not null").groupBy("p").agg(F.min("id").alias("rep"), F.count("*").alias("weight")), "classes")
+    # Equal vectors are known by two hashes.
+    rows = written(rows.withColumns({"h": F.xxhash64("p"), "g": F.xxhash64(F.lit(1), "p")}), "vectors")
+    classes = written(rows.filter("p is not null").groupBy("h", "g").agg(F.first("p").alias("p"), F.min("id").alias("rep"), F.count("*").alias("weight")), "classes")
     # Different vectors may share a smallest id, so classes are told apart by numbers of their own.
-    numbered = written(classes.withColumn("c", F.xxhash64("p")), "numbered")
+    numbered = written(classes.withColumn("c", F.monotonically_increasing_id()), "numbered")
     kind = "<f4" if isinstance(df.schema[vector].dataType.elementType, T.FloatType) else "<f8"
 
     def binary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,10 +280,10 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
     names = numbered.select(F.col("c").alias("id"), "rep")
     pairs = found.filter("other is not null").join(names, "id").select(F.col("rep").alias("x"), "other").join(names.withColumnRenamed("id", "other"), "other").select("x", F.col("rep").alias("y"))
     # A class's rows are linked with one another, so its ids reach its smallest.
-    own = rows.filter("p is not null").join(names, F.col("h") == names["id"]).select(F.col("rep").alias("x"), rows["id"].alias("y")).filter("x <> y")
+    own = rows.filter("p is not null").join(numbered.select("h", "g", "rep"), ["h", "g"]).select(F.col("rep").alias("x"), F.col("id").alias("y")).filter("x <> y")
     reached = components(pairs.unionByName(own), "x", "y")
-    known = numbered.join(counts, F.col("c") == F.col("id"), "left").select("c", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
-    out = rows.join(known, (F.col("h") == F.col("c")) & F.col("p").isNotNull(), "left").join(reached, F.col("id") == F.col("v"), "left")
+    known = numbered.join(counts, F.col("c") == F.col("id"), "left").select("h", "g", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
+    out = rows.select("id", F.when(F.col("p").isNotNull(), F.col("h")).alias("h"), "g").join(known, ["h", "g"], "left").join(reached, F.col("id") == F.col("v"), "left")
     component = F.coalesce("component", "id")
     real = lambda c: F.when(c != _NONE, c)
     return out.select(real(F.col("id")).alias(key), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), real(component).alias("component_id"), (F.col("id") == component).alias("kept"))
