@@ -1,4 +1,13 @@
-"""A training corpus from documents: five stages, each written as Parquet and read again by the next."""
+"""A training corpus from documents: five stages, each written as Parquet and read again by the next.
+
+Every stage takes nulls in any column, empty and very long texts, ties, repeated rows, empty tables
+and further columns.  A null text counts as empty: it is scored as such, is one empty line, is near
+nothing, has no words and packs as its end token.  A null id comes before all others, and rows of
+one id are one document where documents are compared: they stay or go together, unless the scores
+of their texts differ, and share the copies that the mix takes of them evenly, rounded.  Otherwise
+rows are treated each for itself.  Further columns stay; those that line dedup would add
+(n_lines, n_dropped) are replaced by its own if they are there.
+"""
 
 from __future__ import annotations
 
