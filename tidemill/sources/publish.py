@@ -41,8 +41,8 @@ def publish(listing: DataFrame, cache: DataFrame, out: str, order: list[str]) ->
     files.write_text(spark, f"{release}/{LISTING}", _array(listing, order))
     files.write_text(spark, f"{release}/{CACHE}", _array(cache, order))
     files.write_text(spark, f"{out}/{POINTER}", release.rsplit("/", 1)[1])
-    files.write_text(spark, f"{out}/{CACHE}", files.read_text(spark, f"{release}/{CACHE}"))
-    files.write_text(spark, f"{out}/{LISTING}", files.read_text(spark, f"{release}/{LISTING}"))
+    files.write_text(spark, f"{out}/{CACHE}", _array(cache, order))
+    files.write_text(spark, f"{out}/{LISTING}", _array(listing, order))
     files.write_text(spark, f"{out}/{MARK}", both)
     return True
 
