@@ -241,11 +241,15 @@ def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
 
 
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (x, y) whose full sets are similar enough."""
+    """The pairs (x, y) whose full sets are similar enough; a pair of repeated ids may come repeatedly.
+
+    Nothing after the joins needs a key's rows together, so a first document of very many pairs can
+    be split among tasks.
+    """
     both = pairs.join(sets.select(F.col("id").alias("y"), F.col("s").alias("t")), "y").join(sets.select(F.col("id").alias("x"), "s"), "x")
     common = F.size(F.array_intersect("s", "t")).cast("long")
     both = both.select("x", "y", common.alias("c"), (F.size("s").cast("long") + F.size("t") - common).alias("u"))
-    return both.filter((F.col("c") * 100 >= F.col("u") * percent) & (F.col("c") > 0)).select("x", "y").distinct()
+    return both.filter((F.col("c") * 100 >= F.col("u") * percent) & (F.col("c") > 0)).select("x", "y")
 
 
 def _links_across(members: DataFrame, reps: DataFrame, parts: DataFrame, sets: DataFrame, most: int, percent: int) -> DataFrame:
