@@ -1,14 +1,16 @@
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
 from tests.conftest import DATA
 from tests.llm.test_line_dedup import brute as dedup_by_brute_force
 from tests.llm.test_near_dedup import brute as groups_by_brute_force
-from tests.llm.test_packing import check, exact  # noqa: F401
+from tests.llm.test_packing import exact  # noqa: F401
 from tidemill.llm import mixing, queries
 
 SF = f"{DATA}/sf0.001"
@@ -63,13 +65,11 @@ def test_mix_takes_the_copies(spark, stages):
 def test_packed(stages, exact):  # noqa: F811
     copies, seen = Counter(r["doc_id"] for r in stages[4]), Counter(r["doc_id"] for r in stages[5] if r["piece"] == 0)
     assert copies == seen
-    once, firsts = [], set()
+    texts_of = {r["doc_id"]: r["text"] for r in stages[4]}
     for r in stages[5]:
-        if (r["doc_id"], r["piece"]) not in firsts:
-            firsts.add((r["doc_id"], r["piece"]))
-            once.append(r)
-    for r in once:
-        assert 0 < r["length"] <= queries.SEQUENCE_TOKENS
+        own = np.array(exact(texts_of[r["doc_id"]])[r["start"] : r["start"] + r["length"]], dtype="<u4")
+        assert 0 < r["length"] == len(own) <= queries.SEQUENCE_TOKENS
+        assert zlib.crc32(own.tobytes()) == r["ids_crc32"]
     places = {}
     for r in stages[5]:
         places.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
