@@ -1,7 +1,7 @@
 """Best-fit packing of token pieces into sequences.
 
 ``pieces`` tokenises whole texts; ``pack`` places rows with a length into sequences.  Packing is
-bounded-space online best-fit: a partition streams its rows past a fixed number of open bins that
+bounded-space online best-fit: a partition streams its rows, in runs of ``RUN``, past a fixed number of open bins that
 are kept in a bitset by free space.  A row goes to the fullest bin that still takes it; when none
 does and all places are used, the fullest bin closes.  The bins that remain open at the end of a
 partition are few (``open_bins`` at most); the rows in them are packed once more, together with
@@ -28,6 +28,8 @@ from tidemill.scratch import written
 
 OPEN_BINS = 512
 FAN_IN = 64
+#: Rows that arrive together; within a run they are placed by falling length.
+RUN = 8192
 
 
 class Bins:
@@ -68,6 +70,26 @@ class Bins:
         return [at for same in self.by_free.values() for at in same]
 
 
+def _placed(bins: Bins, lengths: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sequence and offset of each row, placed in this order."""
+    out = np.empty((len(order), 2), dtype=np.int64)
+    for i, n in zip(order.tolist(), lengths[order].tolist(), strict=True):
+        out[i] = bins.place(n)
+    return out[:, 0], out[:, 1]
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of ``RUN`` or more, but the last."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= RUN:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _with(batch: pa.RecordBatch, names: list[str], **more) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(more[n]) for n in names)], names=[*batch.schema.names, *names])
 
@@ -99,10 +121,10 @@ def pack(df: DataFrame, length: str, capacity: int, open_bins: int = OPEN_BINS,
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bins, schema = Bins(capacity, open_bins, TaskContext.get().partitionId() << 40), None
-        for batch in cut(batches):
+        for batch in _runs(cut(batches)):
             schema = batch.schema
-            placed = [bins.place(n) for n in batch.column(schema.get_field_index(length)).to_pylist()]
-            at, off = np.array(placed, dtype=np.int64).reshape(-1, 2).T
+            lengths = batch.column(schema.get_field_index(length)).to_numpy()
+            at, off = _placed(bins, lengths, np.argsort(-lengths, kind="stable"))
             yield _with(batch, [sequence, offset, mark], **{sequence: at, offset: off, mark: np.zeros(len(at), dtype=bool)})
         if schema is not None and (left := bins.open()):
             nulls = pa.RecordBatch.from_arrays([pa.nulls(len(left), f.type) for f in schema], names=schema.names)
@@ -119,10 +141,8 @@ def pack(df: DataFrame, length: str, capacity: int, open_bins: int = OPEN_BINS,
         lengths = table.column(length).to_numpy()
         # Ties are settled by the first pass's place, so that a repeated task packs alike.
         order = np.lexsort((table.column(offset).to_numpy(), table.column(sequence).to_numpy(), -lengths))
-        at = np.empty((len(order), 2), dtype=np.int64)
-        for i, n in zip(order.tolist(), lengths[order].tolist(), strict=True):
-            at[i] = bins.place(n)
-        return table.select(columns).append_column(sequence, pa.array(at[:, 0])).append_column(offset, pa.array(at[:, 1]))
+        at, off = _placed(bins, lengths, order)
+        return table.select(columns).append_column(sequence, pa.array(at)).append_column(offset, pa.array(off))
 
     loose = rows.join(still, sequence, "left_semi").withColumn(group, F.floor(F.shiftright(sequence, 40) / fan_in))
     closed = rows.join(still, sequence, "left_anti").select(*columns, sequence, offset)
