@@ -237,7 +237,7 @@ def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
             sets = [np.sort(signed(x)) for x in np.split(flat, np.cumsum(n)[:-1])]
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["id", "s"])
 
-    return written(docs.mapInArrow(full, "id long, s array<long>").join(ids, "id", "left_semi"), "sets")
+    return written(docs.mapInArrow(full, "id long, s array<long>"), "sets")
 
 
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
