@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemill.operators.compacting import as_json, fingerprint
 from tidemill.sources import files
 
-LISTING, CACHE, MARK, POINTER = "listings.json", "sponsorship-scan.json", "fingerprint.txt", "CURRENT"
+LISTING, CACHE, MARK, POINTER = "listing.json", "scan-cache.json", "fingerprint.txt", "CURRENT"
 #: A single file is meant for consumers of small results; larger ones are written as parts.
 MOST_ROWS = 1_000_000
 
