@@ -48,9 +48,11 @@ def edited(rng, words, n):
     return out
 
 
-@pytest.mark.parametrize(("width", "chunk"), [(2, 1024), (5, 8)])
-def test_chains_and_groups(spark, monkeypatch, width, chunk):
+@pytest.mark.parametrize(("width", "chunk", "pivots", "meet"), [(2, 1024, 16, 2048), (5, 8, 16, 2048), (5, 4, 2, 8), (2, 3, 0, 5)])
+def test_chains_and_groups(spark, monkeypatch, width, chunk, pivots, meet):
     monkeypatch.setattr(near_dedup, "CHUNK", chunk)
+    monkeypatch.setattr(near_dedup, "PIVOTS", pivots)
+    monkeypatch.setattr(near_dedup, "MEET", meet)
     rng, rows = random.Random(11), []
     for g in range(6):
         words = [f"g{g}w{rng.randrange(300)}" for _ in range(120)]
@@ -63,6 +65,34 @@ def test_chains_and_groups(spark, monkeypatch, width, chunk):
     assert ours(df, width) == brute(rows, width)
 
 
+def template(n, words=301):
+    """Documents that differ from one another in one word each."""
+    return [(i, " ".join([f"w{k}" for k in range(words - 1)] + [f"own{i}"])) for i in range(n)]
+
+
+def test_copies_of_members_grow_with_the_group_and_no_faster(spark):
+    per = []
+    for n in (2_000, 8_000, 32_000):
+        docs = spark.createDataFrame(template(n), "id long, t string").repartition(4)
+        reps = near_dedup._signatures(docs, 5).select("id", "bands", "sketch")
+        members = near_dedup._members(reps)
+        homes = members.filter("home").count()
+        assert homes <= near_dedup.BANDS * n
+        per.append(members.count() / n)
+    assert per[2] <= 1.05 * per[0]
+    assert max(per) <= near_dedup.BANDS * (1 + 2 * near_dedup.PIVOTS / near_dedup.CHUNK)
+
+
+def test_a_large_group_is_one_component_without_meetings(spark, monkeypatch):
+    met = []
+    real = near_dedup._meetings
+    monkeypatch.setattr(near_dedup, "_meetings", lambda *a: met.append(real(*a)) or met[-1])
+    rows = template(3_000) + [(10_000 + i, " ".join(f"x{i}y{k}" for k in range(50))) for i in range(50)]
+    components, _ = ours(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 5)
+    assert components == {i: 0 if i < 3_000 else i for i, _ in rows}
+    assert met[0].count() == 0
+
+
 def test_odd_rows(odd):
     rows = [(r["doc_id"], r["text"]) for r in odd.collect()]
     components, sizes = ours(odd, 2)

@@ -5,22 +5,32 @@ A document is the set of its word shingles.  Documents with equal sets are one c
 1. ``HASHES`` MinHash samples per document make ``BANDS`` bands of ``ROWS``; equal bands make a bucket.
    Two documents of Jaccard similarity 0.8 share no bucket with a probability of 1.2e-7.
 2. The samples are also folded into an odd sketch: each toggles one of ``SKETCH`` bits.  The bits in
-   which two sketches differ estimate a high similarity precisely.  A bucket is compared in chunks
-   of about ``CHUNK`` members, each pair of chunks in one task, whatever the bucket's size; pairs
-   whose estimate is ``SLACK`` below the threshold, about five standard errors, or more are candidates.
-3. A task reports, of its candidates, a forest that joins what they join.  The forest's pairs are
-   confirmed on the full sets.  Where a group has further candidates between components that are
-   still apart, its members with such candidates get their full sets, and the task confirms them in
-   place, each pair in the first bucket that it shares; so that no link that joins components is
-   lost, and no more than a forest of links leaves a task.
-4. The links' components are found by alternating stars.
+   which two sketches differ estimate a high similarity precisely; pairs whose estimate is ``SLACK``
+   below the threshold, about five standard errors, or more are candidates.  A bucket of more than
+   ``CHUNK`` members is dealt into chunks of about that size, and some ``PIVOTS`` of its members,
+   picked by a hash, join every chunk: so a member is copied once, whatever the bucket's size.
+3. A task reports, of a chunk's candidates, a forest that joins what they join.  The forest's pairs
+   are confirmed on the full sets, and the links' components are found by alternating stars.  The
+   pivots make a bucket of near copies one component.
+4. What is still apart is compared where it may yet be joined.  In a chunk with further candidates,
+   members of different components are; and in a bucket of several chunks, those that are not in its
+   largest component meet all the others, in blocks of about ``MEET`` of either.  Members with
+   candidates in another component get their full sets, and the task confirms them in place, each
+   pair in the first bucket that it shares; so that no link that joins components is lost, and no
+   more than a forest of links leaves a task.
+
+Work and copies grow with the square of a bucket only in so far as its members are neither linked
+nor apart by their bands: m members of which r lie outside the largest component make about
+m * r / MEET further copies, and r * m comparisons of sketches.
 
 Full sets are made only for documents in candidate pairs: a Bloom filter of their ids, of bounded
 size, goes to the scan of the texts.
 
 Nulls: a null text is empty; an empty set links with nothing.  Each row of a repeated id is
 compared by its own text, and links that reach one of its texts reach all; one without words stands
-alone.  A null id comes first in order, and is null again in the result.
+alone.  A null id comes first in order, and is null again in the result.  A very long text is hashed
+piece by piece and held once with its set.  Repeated rows and equal texts are one class, compared
+once.  An empty table gives no rows.  Of further columns, whatever their names, none is read.
 """
 
 from __future__ import annotations
@@ -43,7 +53,9 @@ ROWS, BANDS = 5, 40
 HASHES = ROWS * BANDS
 SKETCH = 1024
 SLACK = 0.15
-CHUNK = 1024
+CHUNK, PIVOTS, MEET = 256, 16, 2048
+#: Groups of chunks that meet are numbered from here, apart from the chunks themselves.
+APART = 1 << 32
 FILTER_BYTES = 1 << 25
 _NONE = -(1 << 63)
 _A = mix(np.arange(1, HASHES + 1, dtype=U64) * U64(0x9E3779B97F4A7C15)) | U64(1)
@@ -140,7 +152,7 @@ def _forest(near: np.ndarray) -> list[tuple[int, int]]:
 
 
 class _Group:
-    """The members of one pair of chunks of a bucket, by id."""
+    """The members of one chunk of a bucket, or of two sides that meet, by id."""
 
     def __init__(self, table: pa.Table):
         column = {n: table.column(n) for n in table.column_names}
@@ -148,10 +160,10 @@ class _Group:
         self.rows = table.take(pa.array(order))
         self.ids, self.chunk = column["id"].to_numpy()[order], column["chunk"].to_numpy()[order]
         self.bits = np.frombuffer(b"".join(column["sketch"].to_pylist()), dtype=np.uint64).reshape(-1, SKETCH // 64)[order]
-        self.two = self.chunk.min() != self.chunk.max()
+        self.two = column["j"][0].as_py() >= APART
 
     def near(self, i: int, most: int) -> np.ndarray:
-        """Which of the members after the i-th are near it by their sketches and not met elsewhere."""
+        """Which of the members after the i-th are near it by their sketches; of two sides, those on the other."""
         ok = np.bitwise_count(self.bits[i + 1 :] ^ self.bits[i]).sum(axis=1, dtype=np.int64) <= most
         return ok & (self.chunk[i + 1 :] != self.chunk[i]) if self.two else ok
 
@@ -188,6 +200,38 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.n
         yield table, np.array([0, table.num_rows])
 
 
+def _members(reps: DataFrame) -> DataFrame:
+    """(bucket, m, i, j, chunk, home, pos, id, sketch): every member at home in a chunk of each bucket, pivots in all its chunks."""
+    banded = reps.select("id", F.posexplode("bands").alias("pos", "band")).select(F.xxhash64("pos", "band").alias("bucket"), "pos", "id")
+    sizes = banded.groupBy("bucket").agg(F.count("*").alias("m")).filter("m > 1")
+    chunks = F.ceil(F.col("m") / CHUNK)
+    own = F.pmod(F.xxhash64("id"), chunks)
+    pivot = (chunks > 1) & (F.pmod(F.xxhash64("bucket", "id"), F.col("m")) < PIVOTS)
+    every = F.sequence(F.lit(0).cast("long"), chunks - 1)
+    dealt = banded.join(sizes, "bucket").join(reps.select("id", "sketch"), "id").withColumn("own", own)
+    dealt = dealt.withColumn("i", F.explode(F.when(pivot, every).otherwise(F.array("own"))))
+    return dealt.select("bucket", "m", "i", F.col("i").alias("j"), F.lit(0).alias("chunk"), (F.col("i") == F.col("own")).alias("home"), "pos", "id", "sketch")
+
+
+def _meetings(members: DataFrame, parts: DataFrame) -> DataFrame:
+    """(bucket, i, j, chunk, pos, id, part, sketch): in buckets of several chunks, what lies outside the largest component meets all the rest.
+
+    Nothing is joined by bucket alone, so that a bucket of very many members needs no task of its own.
+    """
+    own = members.filter((F.col("m") > CHUNK) & F.col("home")).select("bucket", "m", "i", "pos", "id", "sketch").join(parts, "id", "left")
+    own = own.withColumn("part", F.coalesce("component", "id"))
+    largest = own.groupBy("bucket", "m", "part").agg(F.count("*").alias("n")).groupBy("bucket", "m").agg(F.max(F.struct("n", "part")).alias("top"))
+    largest = largest.filter("m > top.n").select("bucket", F.col("top.part").alias("main"), (F.col("m") - F.col("top.n")).alias("r"), F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("m") / CHUNK) - 1)).alias("i"))
+    own = own.join(largest, ["bucket", "i"])
+    several = CHUNK * max(1, MEET // CHUNK)
+    hosts, guests = F.ceil(F.col("m") / several), F.ceil(F.col("r") / MEET)
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+    rest = ["pos", "id", "part", "sketch"]
+    at_home = own.select("bucket", F.pmod("i", hosts).alias("i"), upto(guests).alias("k"), F.lit(0).alias("chunk"), *rest)
+    visiting = own.filter("part <> main").select("bucket", upto(hosts).alias("i"), F.pmod(F.xxhash64("id", F.lit(1)), guests).alias("k"), F.lit(1).alias("chunk"), *rest)
+    return at_home.unionByName(visiting).select("bucket", "i", (F.col("k") + APART).alias("j"), "chunk", *rest)
+
+
 def _by_group(members: DataFrame) -> DataFrame:
     keys = ["bucket", "i", "j"]
     return members.repartition(*keys).sortWithinPartitions(*keys)
@@ -252,15 +296,22 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter((F.col("c") * 100 >= F.col("u") * percent) & (F.col("c") > 0)).select("x", "y")
 
 
-def _links_across(members: DataFrame, reps: DataFrame, parts: DataFrame, sets: DataFrame, most: int, percent: int) -> DataFrame:
+def _apart(members: DataFrame, forests: DataFrame, parts: DataFrame) -> DataFrame:
+    """The members, with their component, of the chunks that have further candidates and hold several components."""
+    further = members.join(forests.filter("bucket is not null").select("bucket", "i", "j").distinct(), ["bucket", "i", "j"], "left_semi")
+    own = further.join(parts, "id", "left").withColumn("part", F.coalesce("component", "id"))
+    several = own.groupBy("bucket", "i", "j").agg(F.min("part").alias("a"), F.max("part").alias("b")).filter("a < b")
+    return own.join(several.select("bucket", "i", "j"), ["bucket", "i", "j"], "left_semi").select("bucket", "i", "j", "chunk", "pos", "id", "part", "sketch")
+
+
+def _links_across(groups: DataFrame, reps: DataFrame, sets: DataFrame, docs: DataFrame, width: int, most: int, percent: int) -> DataFrame:
     """Links (x, y) between components, confirmed in the tasks that compare the groups.
 
     First the members are found that have a candidate in another component; their sets follow.
     """
-    short = F.transform("bands", lambda b: F.shiftright(b, 32).cast("int"))
-    marked = members.join(reps.select("id", short.alias("bands")), "id").join(parts, "id", "left").withColumn("part", F.coalesce("component", "id"))
+    marked = groups.join(reps.select("id", "bands"), "id")
     columns = ["bucket", "i", "j", "chunk", "pos", "id", "part", "sketch", "bands"]
-    schema = "bucket long, i long, j long, chunk long, pos int, id long, part long, sketch binary, bands array<int>"
+    schema = "bucket long, i long, j long, chunk int, pos int, id long, part long, sketch binary, bands array<long>"
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, bounds in _grouped(batches):
@@ -273,6 +324,10 @@ def _links_across(members: DataFrame, reps: DataFrame, parts: DataFrame, sets: D
                     yield from group.rows.filter(pa.array(has)).to_batches()
 
     some = written(_by_group(marked.select(*columns)).mapInArrow(find, schema), "across")
+    missing = written(some.select("id").distinct().join(sets, "id", "left_anti"), "missing")
+    if not missing.isEmpty():
+        known = sets.select("id")
+        sets = sets.unionByName(_sets(docs, missing, width).join(known, "id", "left_anti"))
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, bounds in _grouped(batches):
@@ -312,13 +367,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     classes = written(signed_.filter("n > 0").groupBy("n", "a", "b").agg(F.min("id").alias("rep")), "classes")
     reps = signed_.filter("n > 0").join(classes.withColumnRenamed("rep", "id"), ["n", "a", "b", "id"], "left_semi").dropDuplicates(["n", "a", "b", "id"])
     reps = written(reps.select("id", "bands", "sketch"), "reps")
-    banded = reps.select("id", F.posexplode("bands").alias("pos", "band")).select(F.xxhash64("pos", "band").alias("bucket"), "pos", "id")
-    sizes = banded.groupBy("bucket").agg(F.count("*").alias("m")).filter("m > 1")
-    members = banded.join(sizes, "bucket").join(reps.select("id", "sketch"), "id")
-    chunks = F.ceil(F.col("m") / CHUNK)
-    members = members.withColumn("chunk", F.pmod(F.xxhash64("id"), chunks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)))
-    members = members.select("bucket", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "pos", "id", "sketch")
-    members = written(members, "members")
+    members = written(_members(reps), "members")
 
     most = bits_apart(percent / 100 - SLACK)
     forests = _forests(members, most)
@@ -326,8 +375,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     sets = _sets(own, tried.select(F.explode(F.array("x", "y")).alias("id")).distinct(), width)
     links = written(_links(tried, sets, percent).unionByName(_same_ids(signed_, classes)), "links")
     found = components(links, "x", "y")
-    open_ = members.join(forests.filter("bucket is not null").select("bucket", "i", "j").distinct(), ["bucket", "i", "j"], "left_semi")
-    more = written(_links_across(open_, reps, found.select(F.col("v").alias("id"), "component"), sets, most, percent), "links")
+    parts = found.select(F.col("v").alias("id"), "component")
+    groups = written(_apart(members, forests, parts).unionByName(_meetings(members, parts)), "groups")
+    more = written(_links_across(groups, reps, sets, own, width, most, percent), "links")
     if not more.isEmpty():
         found = components(links.unionByName(more), "x", "y")
 
