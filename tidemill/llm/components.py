@@ -25,10 +25,11 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
             return written(ends.distinct(), "components")
         last = seen
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        # Written, so that a join by a vertex of very many neighbours can be split or broadcast.
+        least = written(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "least")
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         large = written(large, "large")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = written(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").filter("v <> m").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
         edges = written(small.filter("u <> v").distinct(), "edges")
     raise RuntimeError("components did not settle")
