@@ -53,16 +53,71 @@ def test_query_packs_every_token(spark, exact):
     assert used <= 1.005 * least + 1
 
 
-def test_many_small_partitions_waste_little(spark, monkeypatch):
-    monkeypatch.setattr(packing, "RUN", 50)
+def test_many_small_partitions_waste_little(spark):
     rng = random.Random(1)
     sizes = [(i, rng.randint(1, 300)) for i in range(4000)]
     df = spark.createDataFrame(sizes, "i int, n int").repartition(40)
-    rows = packing.pack(df, "n", 1024, open_bins=64, fan_in=16).collect()
+    rows = packing.pack(df, "n", 1024, open_bins=64).collect()
     assert len(rows) == 4000
     assert len({r["sequence_id"] for r in rows}) <= 1.03 * sum(n for _, n in sizes) / 1024 + 3
 
 
+def plain_best_fit(lengths, capacity, limit):
+    """(bin, offset) of each length as it arrives, and which bins stay open, by lists."""
+    bins, out, made, most = [], [], 0, 0
+    for n in lengths:
+        fits = [b for b in bins if b[0] >= n]
+        if fits:
+            free = min(b[0] for b in fits)
+            b = [b for b in fits if b[0] == free][-1]
+            bins.remove(b)
+        else:
+            if len(bins) == limit and n < capacity:
+                free = min(b[0] for b in bins)
+                bins.remove([b for b in bins if b[0] == free][-1])
+            b, made = [capacity, made], made + 1
+        out.append((b[1], capacity - b[0]))
+        b[0] -= n
+        if b[0]:
+            bins.append(b)
+        most = max(most, len(bins))
+    return out, {b[1] for b in bins}, most
+
+
+@pytest.mark.parametrize("flush", [7, 4096])
+def test_rows_are_placed_as_they_arrive_in_so_many_bins_at_most(spark, monkeypatch, flush):
+    rng = random.Random(8)
+    lengths = [rng.choice((rng.randint(1, 100), 100, rng.randint(1, 12))) for _ in range(1500)]
+    expected, open_, most = plain_best_fit(lengths, 100, 9)
+    assert most == 9
+    bins = packing.Bins(100, 9)
+    for n, at in zip(lengths, expected, strict=True):
+        assert bins.place(n) == at
+        assert bins.n <= 9
+    assert set(bins.open()) == open_
+    df = spark.createDataFrame(list(enumerate(lengths)), "i int, n int").coalesce(1).sortWithinPartitions("i")
+    rows = {r["i"]: (r["sequence_id"], r["offset"]) for r in packing.pack(df, "n", 100, open_bins=9).collect()}
+    base = min(s for s, _ in rows.values())
+    first = {i: (s - base, o) for i, (s, o) in rows.items() if s < 1 << 62}
+    assert first == {i: p for i, p in enumerate(expected) if p[0] not in open_}
+    again = [i for i, (s, _) in rows.items() if s >= 1 << 62]
+    assert {expected[i][0] for i in again} == open_
+
+
+def test_a_group_of_the_second_pass_holds_what_its_bins_hold(spark):
+    rng = random.Random(3)
+    sizes = [(i, rng.randint(1, 90)) for i in range(3000)]
+    rows = packing.pack(spark.createDataFrame(sizes, "i int, n int").repartition(60), "n", 100, open_bins=16).collect()
+    groups = defaultdict(lambda: [0, set()])
+    for r in rows:
+        if r["sequence_id"] >= 1 << 62:
+            groups[r["sequence_id"] >> 32][0] += r["n"]
+            groups[r["sequence_id"] >> 32][1].add(r["sequence_id"])
+    assert len(groups) > 20
+    assert max(n for n, _ in groups.values()) <= 2 * packing.FILL * 16 * 100
+    assert sum(len(s) for _, s in groups.values()) <= 1.2 * sum(n for n, _ in groups.values()) / 100 + len(groups)
+
+
 def test_bins_prefer_the_tightest_and_close_the_fullest():
     bins = packing.Bins(10, 2)
     assert [bins.place(n)[0] for n in (6, 5, 4, 5)] == [0, 1, 0, 1]

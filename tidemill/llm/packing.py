@@ -1,19 +1,26 @@
 """Best-fit packing of token pieces into sequences.
 
 ``pieces`` tokenises whole texts; ``pack`` places rows with a length into sequences.  Packing is
-bounded-space online best-fit: a partition streams its rows, in runs of ``RUN``, past a fixed number of open bins that
-are kept in a bitset by free space.  A row goes to the fullest bin that still takes it; when none
-does and all places are used, the fullest bin closes.  The bins that remain open at the end of a
-partition are few (``open_bins`` at most); the rows in them are packed once more, together with
-those of the ``fan_in`` - 1 next partitions, so that many small partitions waste nothing.
+bounded-space online best-fit: a partition streams its rows, as they arrive, past ``OPEN_BINS`` open
+bins at most, which are kept in a bitset by free space.  A row goes to the fullest bin that still
+takes it; when none does and all places are used, the fullest bin closes.  Rows leave the task when
+their bin closes, so it holds what open bins hold and no more.
+
+The rows of bins that remain open at the end of a partition are packed once more, by the same rule
+and with as many open bins: dealt by a hash into groups of about ``FILL`` of what the open bins of
+one stream can hold, each arriving by falling length.  So many small partitions waste little, and
+no task of the second pass grows with their number.
 
 Nulls: a null text is empty and has one piece, the end token.  Rows with equal ids are packed each
-for itself.  An empty table gives no rows.  Further columns stay with their rows.
+for itself; ties go to the bin that was opened or refilled last.  An empty table gives no rows.  A very
+long text is tokenised whole, by one task.  Further columns stay with their rows; those named like
+an added one are replaced, and ``pack_texts`` leaves all but the key and the text out.
 """
 
 from __future__ import annotations
 
 import json
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -26,10 +33,11 @@ from pyspark.sql import types as T
 
 from tidemill.scratch import written
 
-OPEN_BINS = 512
-FAN_IN = 64
-#: Rows that arrive together; within a run they are placed by falling length.
-RUN = 8192
+OPEN_BINS = 4096
+#: How full a group of the second pass may make the open bins.
+FILL = 0.7
+#: Rows after which those of closed bins are given out, at least.
+FLUSH = 4096
 
 
 class Bins:
@@ -70,26 +78,14 @@ class Bins:
         return [at for same in self.by_free.values() for at in same]
 
 
-def _placed(bins: Bins, lengths: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sequence and offset of each row, placed in this order."""
-    out = np.empty((len(order), 2), dtype=np.int64)
-    for i, n in zip(order.tolist(), lengths[order].tolist(), strict=True):
+def _placed(bins: Bins, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sequence and offset of each row, placed as they arrive."""
+    out = np.empty((len(lengths), 2), dtype=np.int64)
+    for i, n in enumerate(lengths.tolist()):
         out[i] = bins.place(n)
     return out[:, 0], out[:, 1]
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows in batches of ``RUN`` or more, but the last."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        held.append(batch)
-        if sum(b.num_rows for b in held) >= RUN:
-            yield pa.concat_batches(held)
-            held = []
-    if held:
-        yield pa.concat_batches(held)
-
-
 def _with(batch: pa.RecordBatch, names: list[str], **more) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(more[n]) for n in names)], names=[*batch.schema.names, *names])
 
@@ -105,48 +101,70 @@ def _nullable(fields) -> list[T.StructField]:
     return [T.StructField(f.name, f.dataType, True) for f in fields]
 
 
-def pack(df: DataFrame, length: str, capacity: int, open_bins: int = OPEN_BINS, fan_in: int = FAN_IN, sequence: str = "sequence_id", offset: str = "offset", cut=None) -> DataFrame:
+def pack(df: DataFrame, length: str, capacity: int, open_bins: int = OPEN_BINS, sequence: str = "sequence_id", offset: str = "offset", cut=None) -> DataFrame:
     """Add the ``sequence`` and ``offset`` of every row; lengths are from 1 to ``capacity``.
 
     Columns of ``df`` with these names are replaced.  ``cut``, a function over record batches and the
-    schema that it makes, is applied to the rows first, in the same pass.  The first pass is written
+    schema that it makes, is applied to the rows first, in the same pass.  Both passes are written
     to the shared scratch folder, so that a later loss of executors repeats nothing.
     """
     if cut is None:
         df = df.drop(sequence, offset)
         cut = iter, df.schema
     cut, made = cut
-    columns = made.names
-    mark = _free_name(columns, "_open")
+    mark = _free_name(made.names, "_loose")
+    out = T.StructType([*_nullable(made.fields), T.StructField(sequence, T.LongType()), T.StructField(offset, T.LongType())])
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bins, schema = Bins(capacity, open_bins, TaskContext.get().partitionId() << 40), None
-        for batch in _runs(cut(batches)):
-            schema = batch.schema
-            lengths = batch.column(schema.get_field_index(length)).to_numpy()
-            at, off = _placed(bins, lengths, np.argsort(-lengths, kind="stable"))
-            yield _with(batch, [sequence, offset, mark], **{sequence: at, offset: off, mark: np.zeros(len(at), dtype=bool)})
-        if schema is not None and (left := bins.open()):
-            nulls = pa.RecordBatch.from_arrays([pa.nulls(len(left), f.type) for f in schema], names=schema.names)
-            yield _with(nulls, [sequence, offset, mark], **{sequence: np.array(left, np.int64), offset: np.zeros(len(left), np.int64), mark: np.ones(len(left), dtype=bool)})
+        bins, held, fresh = Bins(capacity, open_bins, TaskContext.get().partitionId() << 40), [], 0
+
+        def sorted_out(last: bool) -> Iterator[pa.RecordBatch]:
+            rows = pa.concat_batches(held)
+            still = np.isin(rows.column(rows.schema.get_field_index(sequence)).to_numpy(), bins.open())
+            yield _with(rows.filter(pa.array(~still)), [mark], **{mark: np.zeros(int((~still).sum()), dtype=bool)})
+            held[:] = [rows.filter(pa.array(still))]
+            if last:
+                yield _with(held[0], [mark], **{mark: np.ones(held[0].num_rows, dtype=bool)})
+
+        for batch in cut(batches):
+            at, off = _placed(bins, batch.column(batch.schema.get_field_index(length)).to_numpy())
+            held.append(_with(batch, [sequence, offset], **{sequence: at, offset: off}))
+            fresh += batch.num_rows
+            # So often that copying what is held costs no more than what arrives.
+            if fresh >= max(FLUSH, held[0].num_rows):
+                yield from sorted_out(False)
+                fresh = 0
+        if held:
+            yield from sorted_out(True)
 
-    out = T.StructType([*_nullable(made.fields), T.StructField(sequence, T.LongType()), T.StructField(offset, T.LongType())])
     once = written(df.mapInArrow(first, T.StructType([*out.fields, T.StructField(mark, T.BooleanType())])), "packed")
-    still = once.filter(F.col(mark)).select(sequence)
-    rows = once.filter(~F.col(mark)).drop(mark)
-    group = _free_name(rows.columns, "_group")
-
-    def again(key: tuple, table: pa.Table) -> pa.Table:
-        bins = Bins(capacity, table.num_rows, (1 << 62) + (key[0].as_py() << 40))
-        lengths = table.column(length).to_numpy()
-        # Ties are settled by the first pass's place, so that a repeated task packs alike.
-        order = np.lexsort((table.column(offset).to_numpy(), table.column(sequence).to_numpy(), -lengths))
-        at, off = _placed(bins, lengths, order)
-        return table.select(columns).append_column(sequence, pa.array(at)).append_column(offset, pa.array(off))
-
-    loose = rows.join(still, sequence, "left_semi").withColumn(group, F.floor(F.shiftright(sequence, 40) / fan_in))
-    closed = rows.join(still, sequence, "left_anti").select(*columns, sequence, offset)
-    return closed.unionByName(loose.select(*columns, sequence, offset, group).groupBy(group).applyInArrow(again, out))
+    loose, closed = once.filter(F.col(mark)).drop(mark), once.filter(~F.col(mark)).drop(mark)
+    tokens = loose.agg(F.sum(length)).first()[0] or 0
+    groups = max(1, math.ceil(tokens / (capacity * open_bins * FILL)))
+    group = _free_name(loose.columns, "_group")
+
+    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bins, now = None, None
+        for batch in batches:
+            own = batch.column(batch.schema.get_field_index(group)).to_numpy()
+            for a, b in zip(*_runs(own), strict=True):
+                if bins is None or own[a] != now:
+                    now = own[a]
+                    bins = Bins(capacity, open_bins, (1 << 62) + (int(now) << 32))
+                part = batch.slice(a, b - a).select(made.names)
+                at, off = _placed(bins, part.column(part.schema.get_field_index(length)).to_numpy())
+                yield _with(part, [sequence, offset], **{sequence: at, offset: off})
+
+    # Ties are settled by the first pass's place, so that a repeated task packs alike.
+    dealt = loose.withColumn(group, F.pmod(F.xxhash64(sequence, offset), F.lit(groups)))
+    dealt = dealt.repartition(group).sortWithinPartitions(group, F.desc(length), sequence, offset)
+    return closed.unionByName(written(dealt.mapInArrow(again, out), "repacked"))
+
+
+def _runs(values: np.ndarray) -> tuple[list[int], list[int]]:
+    """Where runs of equal values begin and end."""
+    new = np.flatnonzero(np.r_[True, values[1:] != values[:-1]][: len(values)])
+    return new.tolist(), [*new[1:].tolist(), len(values)][: len(new)]
 
 
 def _bytes_of_letters() -> dict[str, int]:
