@@ -46,7 +46,7 @@ def clusters(seed, d, n, spread):
 @pytest.mark.parametrize(("d", "cell", "chunk", "spread"), [(64, 4096, 1024, 0.25), (64, 4, 8, 0.3), (20, 16, 4, 0.3), (3, 16, 8, 0.2), (1, 8, 8, 0.1)])
 def test_clusters(spark, monkeypatch, d, cell, chunk, spread):
     monkeypatch.setattr(vector_dedup, "CELL", cell)
-    monkeypatch.setattr(vector_dedup, "CHUNK", chunk)
+    monkeypatch.setattr(vector_dedup, "CHUNK_BYTES", chunk * d * 8)
     monkeypatch.setattr(vector_dedup, "BLOCK", 8)
     monkeypatch.setattr(vector_dedup, "WIDE", 0.2)
     x = clusters(d, d, 160, spread).tolist()
@@ -62,6 +62,20 @@ def test_odd_vectors(spark):
     assert ours(df) == brute(list(range(len(x))), x)
 
 
+def test_sizes_of_vectors_do_not_matter(spark):
+    x = [[1e200, 1e200], [2e-200, 2e-200], [3.0, 3.0], [1e308, -1e308], [5e-324, 0.0], [1e-310, 1e-312], [1e200, 1e-200], [-1e150, 0.0]]
+    df = spark.createDataFrame(list(enumerate(x)), "vec_id long, embedding array<double>")
+    assert ours(df) == [(0, 2, 0), (1, 2, 0), (2, 2, 0), (3, 0, 3), (4, 2, 4), (5, 2, 4), (6, 2, 4), (7, 0, 7)]
+
+
+def test_long_vectors_come_in_small_chunks_and_samples(spark, monkeypatch):
+    monkeypatch.setattr(vector_dedup, "CHUNK_BYTES", 1 << 14)
+    monkeypatch.setattr(vector_dedup, "SAMPLE_BYTES", 1 << 15)
+    x = clusters(3, 300, 60, 0.2).tolist()
+    df = spark.createDataFrame(list(enumerate(x)), "vec_id long, embedding array<float>")
+    assert ours(df) == brute(list(range(len(x))), x)
+
+
 def test_null_and_repeated_ids(spark):
     df = spark.createDataFrame([(4, [1.0, 0.0]), (4, [0.0, 1.0]), (2, [0.0, 1.0]), (None, [1.0, 1e-3])], "vec_id long, embedding array<double>")
     rows = {(r["vec_id"], r["n_links"], r["component_id"]) for r in vector_dedup.near_vectors(df).collect()}

@@ -3,16 +3,18 @@
 Unit vectors of cosine c lie at squared distance 2 - 2c.  All are turned by one rotation and split
 into blocks of about ``BLOCK`` dimensions; each block has a share of the squared distance as its
 budget, in proportion to its variance.  If two vectors are near, some block keeps its budget.  The
-rotation is to the principal axes of a sample of at most ``SAMPLE`` vectors, dealt to the blocks in
-turn, so that each begins with the axes along which vectors spread most; results do not depend on it.
+rotation is to the principal axes of a sample of at most ``SAMPLE`` vectors and ``SAMPLE_BYTES``, picked
+by a hash, dealt to the blocks in turn, so that each begins with the axes along which vectors spread
+most; results do not depend on it.
 
 Each block is range-joined: a grid over those of its first axes that spread widely against the
 block's radius has cells of twice the radius; a vector lives in one cell and visits the neighbouring
 cells that its radius touches, so that any two within the radius meet in the cell of one of them.
 To meet once, a vector visits only cells before its own.  The number of grid axes grows with the
 logarithm of the number of vectors.  Where no axis spreads widely enough a grid would divide
-nothing, and the block is one cell.  Cells are compared in chunks of about ``CHUNK``, each pair of
-chunks in one task, whatever the cell's size.
+nothing, and all such blocks together are one cell, in which a pair is tried by one block after
+another.  Cells are compared in chunks of about ``CHUNK_BYTES``, each pair of chunks in one task,
+whatever the cell's size.  Work on such a cell grows with the square of the number of vectors.
 
 A pair that keeps a block's budget is verified at once, exactly and in double precision, by the
 cosine of the given vectors.  It counts in the first block whose budget it keeps, so the union of
@@ -23,6 +25,8 @@ Equal vectors are one class, which is compared once and counts for all of its ro
 Nulls: vectors that are null or zero or hold null or non-finite components link with nothing, nor
 do vectors of different lengths with each other.  Rows of one id are vectors of their own; links
 that reach one of them reach the id.  A null id comes first in order and is null again in the result.
+Finite components may be of any size: vectors are scaled by a power of two before anything is squared.
+Repeated vectors are one class.  An empty table gives no rows; further columns are not read.
 """
 
 from __future__ import annotations
@@ -42,12 +46,15 @@ from tidemill.scratch import written
 
 COSINE = 0.9
 BLOCK = 16
-CHUNK = 1 << 14
+#: Bytes of the vectors of a chunk, in double precision.
+CHUNK_BYTES = 1 << 23
 #: A product of so many rows and columns is made at a time.
 ROWS, COLUMNS = 128, 4096
 #: About so many vectors per cell before another grid axis is used.
 CELL = 1 << 14
-SAMPLE = 1 << 13
+SAMPLE, SAMPLE_BYTES = 1 << 13, 1 << 25
+#: Stands for all the blocks without a grid.
+FLAT = -1
 #: An axis divides well if its standard deviation is so many radii.
 WIDE = 2.0
 #: What rounding may add to a squared distance, in double and in single precision.
@@ -69,6 +76,13 @@ class Plan:
         unit = vectors / np.sqrt(np.einsum("ij,ij->i", vectors, vectors))[:, None]
         return np.stack([np.einsum("ij,j->i", unit, row) for row in self.turn], axis=1)
 
+    def dealt(self) -> list[int]:
+        """The blocks with a grid, and ``FLAT`` if there are others."""
+        return [b for b, g in enumerate(self.grids) if g] + [FLAT] * (0 in self.grids)
+
+    def blocks(self, block: int) -> list[int]:
+        return [b for b, g in enumerate(self.grids) if not g] if block == FLAT else [block]
+
 
 def planned(d: int, sample: np.ndarray, n: int, cosine: float) -> Plan:
     """A plan from a sample of vectors of ``d`` dimensions, of ``n`` in all."""
@@ -95,6 +109,11 @@ def planned(d: int, sample: np.ndarray, n: int, cosine: float) -> Plan:
     return Plan(np.ascontiguousarray(turn), bounds, budgets, grids)
 
 
+def _scaled(vectors: np.ndarray) -> np.ndarray:
+    """The vectors times powers of two that bring their largest component between 0.5 and 1."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1, keepdims=True))[1])
+
+
 def _cells(points: np.ndarray, radius: float) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
     """Home cells, a row of grid coordinates per point, and the (points, cells) of their visits before home."""
     width = 2 * radius
@@ -134,11 +153,11 @@ class _Vectors:
         """(dimensions, rows, their vectors in double precision)."""
         for d in np.unique(self.lengths).tolist():
             rows = np.flatnonzero(self.lengths == d)
-            yield d, rows, np.frombuffer(b"".join(self.raw[i] for i in rows), dtype=self.kind).reshape(-1, d).astype(np.float64)
+            yield d, rows, _scaled(np.frombuffer(b"".join(self.raw[i] for i in rows), dtype=self.kind).reshape(-1, d).astype(np.float64))
 
 
 def _spread(vectors: DataFrame, plans, kind: str, whole: bool) -> DataFrame:
-    """(cell, block, home, id, weight, v) rows: each vector at home in a cell of every block, and on its visits; the first three alone unless ``whole``."""
+    """(cell, block, home, id, weight, v) rows: each vector at home in a cell of every block with a grid and of the others together, and on its visits; the first three alone unless ``whole``."""
     names = ["cell", "block", "home", *(["id", "weight", "v"] if whole else [])]
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,8 +167,9 @@ def _spread(vectors: DataFrame, plans, kind: str, whole: bool) -> DataFrame:
                 for d, rows, found in _Vectors(kind, part.column(2)).groups():
                     plan = plans.value[d]
                     turned, own = plan.turned(found), part.take(pa.array(rows))
-                    for b, (bound, grid) in enumerate(zip(plan.bounds, plan.grids, strict=True)):
-                        home, visits = _cells(turned[:, bound[0] : bound[0] + grid], math.sqrt(plan.budgets[b]))
+                    for b in plan.dealt():
+                        first, grid = (plan.bounds[b][0], plan.grids[b]) if b != FLAT else (0, 0)
+                        home, visits = _cells(turned[:, first : first + grid], math.sqrt(plan.budgets[b]))
                         for some, cells, here in [(np.arange(len(home)), home, True), *((*v, False) for v in visits)]:
                             more = own.take(pa.array(some)).columns if whole else []
                             yield pa.RecordBatch.from_arrays([pa.array(_key(b, d, cells)), pa.array(np.full(len(some), b, np.int32)), pa.array(np.full(len(some), here)), *more], names=names)
@@ -160,32 +180,34 @@ def _spread(vectors: DataFrame, plans, kind: str, whole: bool) -> DataFrame:
 def _compare(plan: Plan, ids: np.ndarray, weight: np.ndarray, home: np.ndarray, chunk: np.ndarray, i: int, j: int, block: int, vectors: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
     """Links of one task's vectors that count in this block: (rows, their numbers of links, a forest's pairs)."""
     turned, size = plan.turned(vectors), np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
-    budgets, starts = plan.budgets, [a for a, _ in plan.bounds]
-    part = turned[:, slice(*plan.bounds[block])]
-    length = np.einsum("ij,ij->i", part, part)[:, None]
-    # So extended, a product of two rows is their squared distance.
-    left = np.hstack([-2 * part, length, np.ones_like(length)]).astype(np.float32)
-    right = np.hstack([part, np.ones_like(length), length]).astype(np.float32)
-    most = np.float32(budgets[block] + SINGLE)
+    budgets, starts, tried = plan.budgets, [a for a, _ in plan.bounds], plan.blocks(block)
+    sides = []
+    for b in tried:
+        part = turned[:, slice(*plan.bounds[b])]
+        length = np.einsum("ij,ij->i", part, part)[:, None]
+        # So extended, a product of two rows is their squared distance.
+        left = np.hstack([-2 * part, length, np.ones_like(length)]).astype(np.float32)
+        right = np.hstack([part, np.ones_like(length), length]).astype(np.float32)
+        sides.append((left, right, np.float32(budgets[b] + SINGLE)))
     at_home = np.flatnonzero(home & (chunk == i))
     at_home = at_home[np.argsort(ids[at_home], kind="stable")]
     # Within a chunk, those at home follow in the order of their ids, and each meets the later ones.
     others = np.r_[at_home, np.flatnonzero(~home & (chunk == j))] if i == j else np.flatnonzero(chunk == j)
-    theirs = np.ascontiguousarray(right[others].T)
+    sides = [(left[at_home], np.ascontiguousarray(right[others].T), most) for left, right, most in sides]
     links, part_of = np.zeros(len(ids), dtype=np.int64), np.arange(len(ids))
     forest: list[tuple[int, int]] = []
 
     tiles = ((r, c) for r in range(0, len(at_home), ROWS) for c in range(r if i == j else 0, len(others), COLUMNS))
     for r, c in tiles:
-        product = left[at_home[r : r + ROWS]] @ theirs[:, c : c + COLUMNS]
-        a, b = np.divmod(np.flatnonzero(product <= most), product.shape[1])
+        hit = np.logical_or.reduce([left[r : r + ROWS] @ theirs[:, c : c + COLUMNS] <= most for left, theirs, most in sides])
+        a, b = np.divmod(np.flatnonzero(hit), hit.shape[1])
         ok = b + c > a + r if i == j else slice(None)
         a, b = at_home[r + a[ok]], others[c + b[ok]]
         for k in range(0, len(a), 1 << 15):
             x, y = a[k : k + (1 << 15)], b[k : k + (1 << 15)]
             per = np.add.reduceat((turned[x] - turned[y]) ** 2, starts, axis=1)
-            first = np.argmax(per <= budgets, axis=1)
-            ok = (per[:, block] <= budgets[block]) & (first == block)
+            keeps = per <= budgets
+            ok = keeps.any(axis=1) & np.isin(np.argmax(keeps, axis=1), tried)
             x, y = x[ok], y[ok]
             ok = np.einsum("ij,ij->i", vectors[x], vectors[y]) / (size[x] * size[y]) >= cosine
             x, y = x[ok], y[ok]
@@ -210,7 +232,7 @@ def _join(vectors: DataFrame, plans, kind: str, cosine: float) -> DataFrame:
     homes = light.groupBy("cell", "block").agg(F.sum(F.col("home").cast("long")).alias("m"), F.count("*").alias("k"))
     homes = written(homes.filter("m > 0 and k > 1"), "cells")
     rows = _spread(vectors, plans, kind, True).join(homes, ["cell", "block"])
-    chunks = F.ceil(F.col("k") / CHUNK)
+    chunks = F.ceil(F.col("k") * F.octet_length("v") * (8 // np.dtype(kind).itemsize) / CHUNK_BYTES)
     rows = rows.withColumn("chunk", F.pmod(F.xxhash64("id"), chunks))
     every = F.sequence(F.lit(0).cast("long"), chunks - 1)
     # Vectors at home stand on the left of their own and later chunks, for visitors also of earlier
@@ -273,8 +295,10 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
 
     vectors = written(numbered.select("c", "weight", "p").mapInArrow(binary, "id long, weight long, v binary"), "packed")
     n = {r["d"]: r["n"] for r in vectors.groupBy((F.octet_length("v") / np.dtype(kind).itemsize).cast("int").alias("d")).agg(F.count("*").alias("n")).collect()}
-    sample = [np.frombuffer(bytes(r["v"]), dtype=kind).astype(np.float64) for r in vectors.select("id", "v").orderBy("id").limit(SAMPLE).collect()]
-    plans = df.sparkSession.sparkContext.broadcast({d: planned(d, np.array([x for x in sample if len(x) == d]).reshape(-1, d), k, cosine) for d, k in n.items()})
+    most = min(SAMPLE, SAMPLE_BYTES // (8 * max(n, default=1)))
+    sample = [np.frombuffer(bytes(r["v"]), dtype=kind).astype(np.float64) for r in vectors.select("v").orderBy(F.xxhash64("v"), "v").limit(most).collect()]
+    of = lambda d: np.array([x for x in sample if len(x) == d]).reshape(-1, d)
+    plans = df.sparkSession.sparkContext.broadcast({d: planned(d, _scaled(x) if len(x := of(d)) else x, k, cosine) for d, k in n.items()})
     found = written(_join(vectors, plans, kind, cosine), "links")
     counts = found.filter("links is not null").groupBy("id").agg(F.sum("links").alias("links"))
     names = numbered.select(F.col("c").alias("id"), "rep")
