@@ -10,8 +10,10 @@ The model is fitted on the driver to a sample of at most ``LABELLED`` labelled r
 the features alone.  The sample is chosen by a hash of the id, so it is the same in every run.
 
 Nulls: a null text is empty, and scored like any text.  Rows without a label are not learned from;
-repeated ones count so often.  Without labelled rows of both kinds every score is their mean, or 0.5
-if there are none.
+repeated ones count so often, as do rows of one id, each for itself, up to ``LABELLED`` rows in all.
+Without labelled rows of both kinds every score is their mean, or 0.5 if there are none.  A very long
+text is measured by one task in memory of a few times its size.  An empty table gives no rows; a
+column named like the score is replaced, other columns stay, whatever their names.
 """
 
 from __future__ import annotations
@@ -218,7 +220,8 @@ def learn(docs: DataFrame, labels: DataFrame, label: str, usable: Column, key: s
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(list(x), pa.list_(pa.float64()))], names=["_id", "_label", "x"])
 
     # In one order, so that reruns agree.
-    found = rows.mapInArrow(measure, "_id long, _label int, x array<double>").toArrow().sort_by([("_id", "ascending"), ("_label", "ascending")])
+    measured = rows.mapInArrow(measure, "_id long, _label int, x array<double>")
+    found = measured.orderBy(F.xxhash64("_id"), "_id", "_label", "x").limit(LABELLED).toArrow()
     x = np.array(found.column("x").to_pylist(), dtype=np.float64).reshape(-1, len(FEATURES))
     order = np.lexsort((*x.T[::-1], found.column("_label").to_numpy(), found.column("_id").to_numpy()))
     return fit(x[order], found.column("_label").to_numpy()[order].astype(np.float64))
