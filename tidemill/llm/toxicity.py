@@ -1,15 +1,19 @@
 """A toxicity classifier: FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
 A text's terms are its words (runs of letters, digits and bytes beyond ASCII, A-Z lower-cased), its
-pairs of neighbours and its pairs with one word between, each hashed to one of 2 ** ``BITS``
-coordinates; a text has a coordinate or not.  Each coordinate learns at its own rate, and an L1
+pairs of neighbours, its pairs with one word between, and the stems of its longer words (their first
+``STEM`` bytes), each hashed to one of 2 ** ``BITS`` coordinates; a text has a coordinate or not.  Each coordinate learns at its own rate, and an L1
 penalty keeps at zero those that tell little, so the weights are few and cheap to broadcast.
 
-The model is fitted on the driver to a sample of at most ``LABELLED`` labelled rows, chosen by a hash
-of the id and passed over ``EPOCHS`` times in the order of another, so that reruns agree.
+The model is fitted on the driver to a sample of at most ``LABELLED`` labelled rows with at most
+``COORDINATES`` coordinates in all, chosen by a hash of the id and passed over ``EPOCHS`` times in the
+order of another, so that reruns agree.  The stems and the penalty were chosen by cross-validation
+on rows that may be learned from.
 
 Nulls: a null text is empty, and scored by the bias alone.  Rows without a label are not learned
-from; repeated ones count so often.  Without labelled rows every score is 0.5.
+from; repeated ones count so often, as do rows of one id, each for itself.  Without labelled rows
+every score is 0.5.  A very long text is hashed piece by piece.  An empty table gives no rows; a column
+named like the score is replaced, other columns stay, whatever their names.
 """
 
 from __future__ import annotations
@@ -24,13 +28,15 @@ from pyspark.sql import types as T
 
 from tidemill.llm.bytetext import U64, counts_in, hashes, mix, slices, spans_of
 from tidemill.llm.quality import labelled
+from tidemill.scratch import written
 
 BITS = 20
-LABELLED = 12_000
+STEM = 7
+LABELLED, COORDINATES = 12_000, 1 << 25
 EPOCHS = 6
-ALPHA, BETA, L1, L2 = 1.0, 1.0, 8.0, 0.1
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 24.0, 0.1
 #: How much more a toxic text's gradient counts, as such texts are the fewer.
-POSITIVE = 3.0
+POSITIVE = 6.0
 
 _WORD = np.zeros(256, dtype=bool)
 _WORD[48:58] = _WORD[65:91] = _WORD[97:123] = _WORD[128:] = True
@@ -47,6 +53,9 @@ def terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
         same = doc[gap:] == doc[:-gap]
         docs.append(doc[:-gap][same])
         out.append(mix(w[:-gap][same] * U64(salt) + w[gap:][same]))
+    long = ends - starts > STEM
+    docs.append(doc[long])
+    out.append(mix(hashes(data, starts, np.minimum(ends, starts + STEM))[long] ^ U64(0xA24BAED4963EE407)))
     return np.concatenate(docs), (np.concatenate(out) >> U64(64 - BITS)).astype(np.int64)
 
 
@@ -101,7 +110,14 @@ def learn(docs: DataFrame, labels: DataFrame, label: str, usable: Column, key: s
             found = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array((pairs & (1 << BITS) - 1).astype(np.int32)))
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), found], names=["_order", "_id", "_label", "at"])
 
-    found = rows.mapInArrow(measure, "_order long, _id long, _label int, at array<int>").toArrow()
+    rows = written(rows.mapInArrow(measure, "_order long, _id long, _label int, at array<int>"), "terms")
+    keys = ["_order", "_id", "_label", "_size", "_hash"]
+    rows = rows.withColumns({"_size": F.size("at"), "_hash": F.xxhash64("at")})
+    # What is chosen are the first rows that fit into the bound; of them no more than their sizes is known here yet.
+    sizes = rows.select(*keys).orderBy(*keys).limit(LABELLED).collect()
+    n = int(np.searchsorted(np.cumsum([r["_size"] for r in sizes]), COORDINATES, side="right"))
+    last = F.struct(*(F.lit(x).alias(k) for k, x in zip(keys, sizes[max(n - 1, 0)], strict=True))) if sizes else F.lit(None)
+    found = rows.filter(F.struct(*keys) <= last).orderBy(*keys).limit(n).select("_order", "_id", "_label", "at").toArrow() if n else rows.limit(0).toArrow()
     y = found.column("_label").to_numpy()
     at = [x.values.to_numpy() for x in found.column("at")]
     # Rows that share an id and a label come in the order of their terms.
