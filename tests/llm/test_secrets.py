@@ -3,6 +3,8 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import string
+import time
 
 from tests.conftest import DATA
 from tidemill.llm import queries, secrets
@@ -19,20 +21,145 @@ def base_by_contract(text):
     return [(k, a, b) for a, _, k, b in sorted(out)]
 
 
-def linked_by_brute_force(text):
-    """All pairs of parts, where the operator searches."""
-    lower = text.lower()
-    base, short = secrets.base_spans(text, lower)
-    ids, keys, ends = secrets.candidates(text, lower, base, short)
-    breaks = [m.start() for m in secrets._EMPTY_LINE.finditer(text)]
+def parts_by_hand(text):
+    """Weak parts and what they need, found by splitting and comparing characters, not by the operator."""
+    letters = string.ascii_letters + string.digits
+    base = base_by_contract(text)
+    ids, keys, ends = [], [], []
+
+    def runs(allowed):
+        """Longest runs of these characters."""
+        i = 0
+        while i < len(text):
+            j = i
+            while j < len(text) and text[j] in allowed:
+                j += 1
+            if j > i:
+                yield i, j
+            i = max(j, i + 1)
+
+    def after_sign(i):
+        """Where a value begins after a name that ends at i: a quote, spaces, a sign, spaces, a quote."""
+        i += text[i : i + 1] in ('"', "'") and text[i : i + 1] != ""
+        while text[i : i + 1] == " ":
+            i += 1
+        if text[i : i + 1] not in (":", "=") or i >= len(text):
+            return None
+        i += 1
+        while text[i : i + 1] == " ":
+            i += 1
+        return i + (text[i : i + 1] in ('"', "'") and text[i : i + 1] != "")
+
+    def named(names, allowed, least):
+        """Spans of a name, a sign and a value, leftmost and apart; with the length of the value."""
+        i, out = 0, []
+        while i < len(text):
+            found = None
+            for n in names:
+                # A letter case apart, ASCII alone.
+                if text[i : i + len(n)].lower() == n and text[i : i + len(n)].isascii():
+                    begin = after_sign(i + len(n))
+                    # The quote may also be a part of no value at all; then there is none.
+                    if begin is not None:
+                        end = begin
+                        while end < len(text) and text[end] in allowed:
+                            end += 1
+                        if end - begin >= least:
+                            found = (i, end, end - begin)
+                            break
+            if found:
+                out.append(found)
+                i = found[1]
+            else:
+                i += 1
+        return out
+
+    account = ["username", "user_name", "user", "login", "account", "clientid", "client_id", "accesskeyid", "accesskey_id", "access_keyid", "access_key_id", "accesskey", "access_key"]
+    ids += [(a, b) for a, b, _ in named(account, letters + "+/_.@-", 3)]
+    local = letters + "._%+-"
+    for a, b in runs(local):
+        if text[b : b + 1] == "@":
+            labels, at = [], b + 1
+            while True:
+                end = at
+                while end < len(text) and text[end] in letters + "-":
+                    end += 1
+                if end == at:
+                    break
+                labels.append(end)
+                if text[end : end + 1] != ".":
+                    break
+                at = end + 1
+            if len(labels) >= 2:
+                ids.append((a, labels[-1]))
+    i = 0
+    while (i := text.find("AKIA", i)) >= 0:
+        end = i + 4
+        while end < len(text) and text[end] in string.ascii_uppercase + string.digits:
+            end += 1
+        if end == i + 4:
+            i += 1
+            continue
+        if 8 <= end - i < 18:
+            ids.append((i, end))
+        i = end
+    i = 0
+    while (i := text.find("://", i)) >= 0:
+        begin = i
+        while begin > 0 and text[begin - 1] in letters + "+.-" and i - begin < 16:
+            begin -= 1
+        while begin < i and text[begin] not in string.ascii_letters:
+            begin += 1
+        end = i + 3
+        while end < len(text) and text[end] not in " \t\n\x0b\x0c\r\"'<>":
+            end += 1
+        if i - begin >= 2 and end - i - 3 >= 3:
+            ends.append((begin, end))
+            i = end
+        else:
+            i += 1
+    for a, b in runs("0123456789."):
+        numbers = text[a:b].split(".")
+        if len(numbers) == 4 and all(0 < len(x) <= 3 and int(x) < 256 for x in numbers):
+            end = b
+            if text[b : b + 1] == ":":
+                while end + 1 < len(text) and end - b < 5 and text[end + 1] in string.digits:
+                    end += 1
+                end = end + 1 if end > b else b
+            if text[end : end + 1] == "" or text[end] not in "0123456789.":
+                ends.append((a, end))
+    weak = [(a, b) for a, b, n in named(["password", "passwd", "secret", "token", "apikey", "api_key"], letters + "+/_.=-", 1) if 6 <= n < 12]
+    bare = [(a, b) for a, b in runs(letters + "+/_-") if b - a >= 20 and all(any(f(c) for c in text[a:b]) for f in (str.isdigit, str.islower, str.isupper))]
+
+    def apart(spans, taken):
+        out = []
+        for a, b in sorted(spans):
+            if all(b <= c or a >= d for c, d in taken) and (not out or a >= out[-1][1]):
+                out.append((a, b))
+        return out
+
+    strong = [(a, b) for _, a, b in base]
+    if not (ids or ends or any(k == "access" for k, _, _ in base)):
+        return {}
+    ids = apart(ids, strong)
+    keys = apart(weak + bare, strong + ids)
+    ends = apart(ends, strong + ids + keys)
+    lines, at, breaks = text.split("\n"), 0, []
+    for k, line in enumerate(lines[:-1]):
+        at += len(line)
+        # An empty line lies between two breaks of its own.
+        if k + 1 < len(lines) - 1 and not lines[k + 1].strip(" \t\x0b\x0c\r") and (not breaks or at > breaks[-1][1]):
+            breaks.append((at, at + 1 + len(lines[k + 1])))
+        at += 1
+    cuts = [a for a, _ in breaks]
 
     def near(s, parts):
-        low = max([b + 1 for b in breaks if b < s[0]], default=0)
-        high = min([b + 1 for b in breaks if b >= s[0]], default=len(text))
-        return any(a < min(high, s[1] + secrets.REACH) and b > max(low, s[0] - secrets.REACH) for a, b in parts)
+        low = max([c + 1 for c in cuts if c < s[0]], default=0)
+        high = min([c + 1 for c in cuts if c >= s[0]], default=len(text))
+        return any(a < min(high, s[1] + 200) and b > max(low, s[0] - 200) for a, b in parts)
 
-    every_id = ids + base["access"]
-    every_key = keys + base["assign"] + [s for s in base["hex"] if not text[s[0] : s[1]].isdigit()]
+    every_id = ids + [(a, b) for k, a, b in base if k == "access"]
+    every_key = keys + [(a, b) for k, a, b in base if k == "assign" or (k == "hex" and not text[a:b].isdigit())]
     found = {
         "link_id": [s for s in ids if near(s, every_key)],
         "link_secret": [s for s in keys if near(s, every_id) or near(s, ends)],
@@ -52,7 +179,7 @@ def test_random_texts():
         assert [s for s in spans if s[0] in secrets.BASE] == base_by_contract(text)
         assert spans == sorted(spans, key=lambda s: (s[1], secrets.KINDS.index(s[0])))
         linked = {k: [(a, b) for n, a, b in spans if n == k] for k in secrets.LINKED}
-        assert {k: v for k, v in linked.items() if v} == linked_by_brute_force(text)
+        assert {k: v for k, v in linked.items() if v} == parts_by_hand(text), text
 
 
 def test_documents(spark):
@@ -80,6 +207,27 @@ def test_weak_parts_are_reported_together_only():
     assert kinds("user=bob" + " " * 500 + "secret=abcdef") == set()
 
 
+MIXED = "".join("aB3xY7"[i % 6] for i in range(180))
+
+
+def test_long_parts_are_found_whole():
+    kinds = lambda t: [(k, b - a) for k, a, b in secrets.spans_of(t)]
+    for n in (100, 128, 129, 180, 5_000):
+        assert kinds("user=bob " + (MIXED * 30)[:n]) == [("link_id", 8), ("link_secret", n)]
+    mail = "x" * 200 + "@" + "y" * 100 + ".example" * 12
+    assert kinds(mail + " secret=abcdef") == [("link_id", len(mail)), ("link_secret", 13)]
+
+
+def test_time_grows_with_the_text_alone():
+    for part in ("aB3", "a.b-", "x@", "aaaa://", "1.2.3.4.", "user=", "token = '", "\n \n", "AKIA", "0a"):
+        took = []
+        for n in (20_000, 80_000):
+            begun = time.perf_counter()
+            secrets.spans_of(part * (n // len(part)))
+            took.append(time.perf_counter() - begun)
+        assert took[1] < 10 * took[0] + 0.5, part
+
+
 def test_offsets_are_code_points():
     assert secrets.spans_of("😀é token=abcdefabcdefxyz") == [("assign", 3, 24)]
 
