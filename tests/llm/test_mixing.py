@@ -5,6 +5,7 @@ import re
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import DATA
 from tidemill.llm import mixing, queries
@@ -64,6 +65,61 @@ def test_documents(spark):
             assert r["rate"] == pytest.approx(min(3, math.exp(lam * r["size"])), rel=1e-3)
 
 
+def test_query_takes_what_the_contract_says(spark):
+    """All columns of the registered query, recomputed from the texts."""
+    d = f"{DATA}/sf0.001"
+    docs = {r["doc_id"]: r for r in queries.table(spark, d, "documents").collect()}
+    rows = {r["doc_id"]: r for r in queries.op10_mix(spark, d).collect()}
+    assert set(rows) == set(docs)
+    sizes, by = defaultdict(int), defaultdict(list)
+    for k, r in rows.items():
+        assert r["size"] == len(WORD.findall(docs[k]["text"]))
+        sizes[docs[k]["source"]] += r["size"]
+        by[docs[k]["source"]].append(r)
+    expected = shares(dict(sizes))
+    for s, own in by.items():
+        assert all(r["source_size"] == sizes[s] and r["target"] == pytest.approx(expected[s], rel=1e-9) for r in own)
+        assert all(r["taken"] <= 3 * r["size"] and (r["size"] == 0 or r["taken"] % r["size"] == 0) for r in own)
+        lam = solved([r["size"] for r in own], expected[s])
+        # Along falling sizes every document takes up what the larger ones left over.
+        over, left = 0.0, []
+        for r in sorted(own, key=lambda r: (r["size"], r["doc_id"]), reverse=True):
+            want = over + min(3, math.exp(min(2, lam * r["size"]))) * r["size"]
+            n = max(0, min(3, math.floor(want / r["size"] + 0.5))) if r["size"] else 0
+            over = want - n * r["size"]
+            left.append(abs(n * r["size"] - r["taken"]))
+        blocks = math.ceil(len(own) / mixing.BLOCK_ROWS)
+        assert abs(sum(r["taken"] for r in own) - expected[s]) <= blocks * max(r["size"] for r in own) / 2 + abs(over) + 1
+        if blocks == 1:
+            assert sum(left) == 0
+
+
+def test_rows_that_one_id_or_text_shares_fill_no_block(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "APART", 1000)
+    one = spark.range(100_000).select(F.lit(5).cast("long").alias("doc_id"), F.lit("a").alias("source"), F.expr("case when id % 2 = 0 then 'same text here' else concat('text number ', id, repeat(' w', id % 50)) end").alias("text"))
+    more = spark.range(2000).select((F.col("id") + 10).alias("doc_id"), F.lit("b").alias("source"), F.lit("x y z").alias("text"))
+    out = mixing.mix(one.unionByName(more))
+    per = out.groupBy("doc_id", "size").agg(F.count("*").alias("n"), F.min("copies").alias("a"), F.max("copies").alias("b"))
+    assert out.count() == 102_000
+    assert per.filter("doc_id = 5 and b - a > 1").count() == 0
+    r = out.filter("doc_id = 5").agg(F.sum(F.col("size") * F.col("copies")).alias("taken"), F.max("target").alias("target")).first()
+    assert r["taken"] == pytest.approx(r["target"], rel=0.001)
+
+
+def test_sources_that_do_not_settle_are_no_result(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "ITERATIONS", 1)
+    df = spark.createDataFrame([(i, f"s{i % 3}", "w " * (1 + i % 17)) for i in range(60)], "doc_id long, source string, text string")
+    with pytest.raises(RuntimeError, match="settled"):
+        mixing.mix(df)
+
+
+def test_carried_columns_of_any_name(odd):
+    out = mixing.mix(odd, carry=("size", "rate", "n", "copies", "target", "_own"))
+    assert out.columns == ["doc_id", "n", "_own", "size", "source_size", "target", "rate", "copies"]
+    assert {(r["n"], r["_own"]) for r in out.collect()} == {("-", "-")}
+    assert out.schema["size"].dataType.typeName() == "long"
+
+
 def test_small_sources_stop_at_three_times_their_size(spark):
     rows = [(i, "big", "w " * 50) for i in range(200)] + [(1000, "small", "a b c"), (1001, "tiny", "x"), (1002, None, "n n"), (1003, "void", "")]
     df = spark.createDataFrame(rows, "doc_id long, source string, text string")

@@ -4,14 +4,20 @@ Every document gets a rate, how often the mix takes it.  Among all rates that me
 token target and stop at ``MOST``, those nearest to 1 in relative entropy are exponentially tilted:
 min(MOST, exp(lambda * size)), lambda being the source's multiplier in the convex dual.  Newton's
 method finds the multipliers of all sources at once, each iteration one distributed aggregation
-over counts of the distinct (source, size) pairs; a bracket catches steps that leave it.  Rates are
-then rounded into whole copies along falling sizes, each document taking up what the larger ones
-before it left over, so that a block's error is about half of its smallest document.
+over counts of the distinct (source, size) pairs; a bracket catches steps that leave it, and sources
+that do not settle raise an error.  Rates are then rounded into whole copies in blocks of about
+``BLOCK_ROWS`` rows, along falling sizes, each row taking up what the larger ones before it left over,
+so that a block's error is about half of its smallest document.  Equal rows are counted before they
+are dealt into blocks, take their copies together, and come apart again at the end, some at a time:
+so an id or a text that very many rows share fills no block.
 
 All sums are over integers, so reruns agree to the last bit.  Only DataFrame functions are used.
 
 Nulls: a null text has size 0, the null source is a source of its own, last in order; a document of
-size 0 is copied once.  Repeated rows are documents of their own.  An empty table gives no rows.
+size 0 is copied once.  Repeated rows are documents of their own, and so are rows of one id; their
+copies differ by one at most where they are equal.  A very long text is counted like any.  An empty
+table gives no rows.  The input's columns may have any names; among ``carry``, one that is named like
+a column of the result is replaced by it.
 """
 
 from __future__ import annotations
@@ -25,12 +31,15 @@ WORD = r"[^\x20\x09-\x0D]+"
 MOST = 3
 WEIGHTS = (1, 2, 3)
 BLOCK_ROWS = 256
-ITERATIONS = 60
+ITERATIONS = 100
+#: Equal rows that come apart at a time.
+APART = 1 << 16
 #: Sums are of multiples of 1 / UNIT words.
 UNIT = 1024
 NEAR = 1e-7
 #: Names beside the input's own columns.
 KEY, COPIES = "__tidemill_key", "__tidemill_copies"
+RESULT = ("size", "source_size", "target", "rate", "copies")
 
 
 def words_in(text: Column) -> Column:
@@ -73,9 +82,11 @@ def multipliers(sizes: DataFrame, sources: DataFrame) -> DataFrame:
     )
     state = written(state, "dual")
     exact = lambda x: F.sum(F.round(x * UNIT).cast("decimal(38,0)")).cast("double") / UNIT
-    for _ in range(ITERATIONS):
-        if state.filter(~F.col("done")).isEmpty():
+    for turn in range(ITERATIONS + 1):
+        if (left := state.filter(~F.col("done")).select("sid").take(5)) == []:
             break
+        if turn == ITERATIONS:
+            raise RuntimeError(f"sources have not settled after {ITERATIONS} iterations, among them number {[r['sid'] for r in left]}")
         r = rate(F.col("size"), F.col("lam"))
         tokens = F.col("n") * F.col("size") * r
         slope = F.when(r < MOST, tokens * F.col("size")).otherwise(0.0)
@@ -91,12 +102,12 @@ def multipliers(sizes: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def _copies(items: Column) -> Column:
-    """Whole copies for items (size, rate, ...) by falling size, carrying on what rounding left over."""
-    start = F.struct(F.lit(0.0).alias("over"), F.array().cast("array<int>").alias("copies"))
+    """Copies of all rows of items (size, rate, n, ...) by falling size, carrying on what rounding left over."""
+    start = F.struct(F.lit(0.0).alias("over"), F.array().cast("array<bigint>").alias("copies"))
 
     def step(state: Column, x: Column) -> Column:
-        want = state["over"] + x["rate"] * x["size"]
-        n = F.when(x["size"] == 0, 1).otherwise(F.greatest(F.lit(0), F.least(F.lit(MOST), F.round(F.try_divide(want, x["size"])).cast("int"))))
+        want = state["over"] + x["rate"] * x["size"] * x["n"]
+        n = F.when(x["size"] == 0, x["n"]).otherwise(F.greatest(F.lit(0).cast("bigint"), F.least(x["n"] * MOST, F.round(F.try_divide(want, x["size"])).cast("bigint"))))
         return F.struct((want - n * x["size"]).alias("over"), F.concat(state["copies"], F.array(n)).alias("copies"))
 
     return F.aggregate(items, start, step, lambda s: s["copies"])
@@ -104,23 +115,31 @@ def _copies(items: Column) -> Column:
 
 def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """One row (key, *carry, size, source_size, target, rate, copies) per document."""
-    sized = written(docs.select(key, *carry, F.col(source).alias("_source"), words_in(F.col(text)).alias("size")), "sized")
+    carry = tuple(c for c in carry if c.lower() not in {key.lower(), *RESULT})
+    # The input's columns get numbers for names here, so that none clashes.
+    own = ["_c0", *(f"_c{i + 1}" for i in range(len(carry)))]
+    names = [F.col(c).alias(n) for c, n in zip((key, *carry), own, strict=True)]
+    sized = written(docs.select(*names, F.col(source).alias("_source"), words_in(F.col(text)).alias("size")), "sized")
     counts = written(sized.groupBy("_source", "size").agg(F.count("*").alias("n")), "sizes")
     sources = written(targets(counts, "_source"), "sources")
     same = lambda a: a["_source"].eqNullSafe(sources["_source"])
     sizes = written(counts.join(sources, same(counts)).select("sid", "size", "n"), "sizes")
     solved = written(sources.join(multipliers(sizes, sources), "sid", "left"), "solved")
 
-    known = sized.join(solved, sized["_source"].eqNullSafe(solved["_source"]))
+    equal = sized.groupBy("_source", *own, "size").agg(F.count("*").alias("n"))
+    known = equal.join(solved, equal["_source"].eqNullSafe(solved["_source"]))
     full = F.when(F.col("target") > 0, float(MOST)).otherwise(0.0)
     known = known.withColumn("rate", F.when(F.col("lam").isNull(), full).otherwise(rate(F.col("size"), F.col("lam"))))
-    block = F.pmod(F.xxhash64(key, "size"), F.ceil(F.col("n_docs") / BLOCK_ROWS))
-    rows = ["size", key, *carry, "rate"]
-    blocks = known.groupBy("sid", block.alias("_block")).agg(F.max("source_size").alias("source_size"), F.max("target").alias("target"), F.sort_array(F.collect_list(F.struct(*rows)), asc=False).alias("_rows"))
+    block = F.pmod(F.xxhash64(*own, "size"), F.ceil(F.col("n_docs") / BLOCK_ROWS))
+    blocks = known.groupBy("sid", block.alias("_block")).agg(F.max("source_size").alias("source_size"), F.max("target").alias("target"), F.sort_array(F.collect_list(F.struct("size", *own, "rate", "n")), asc=False).alias("_rows"))
     blocks = blocks.withColumn("_copies", _copies(F.col("_rows")))
-    taken = F.transform("_rows", lambda x, i: F.struct(x.alias("r"), F.col("_copies")[i].alias("copies")))
-    out = blocks.select("source_size", "target", F.explode(taken).alias("_x"))
-    return out.select(F.col(f"_x.r.{key}").alias(key), *(F.col(f"_x.r.{c}").alias(c) for c in carry), F.col("_x.r.size").alias("size"), "source_size", "target", F.col("_x.r.rate").alias("rate"), F.col("_x.copies").alias("copies"))
+    taken = F.transform("_rows", lambda x, i: F.struct(x.alias("r"), F.get(F.col("_copies"), i).alias("copies")))
+    rows = blocks.select("source_size", "target", F.explode(taken).alias("_x")).select("source_size", "target", "_x.r.*", "_x.copies")
+    # Row number p of n takes one more than the even share if it is among the first of them.
+    rows = rows.withColumn("_at", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1, F.lit(APART).cast("bigint"))))
+    rows = rows.withColumn("_p", F.explode(F.sequence(F.col("_at"), F.least(F.col("n"), F.col("_at") + APART) - 1)))
+    each = F.floor(F.col("copies") / F.col("n")) + (F.col("_p") < F.col("copies") % F.col("n")).cast("int")
+    return rows.select(*(F.col(n).alias(c) for c, n in zip((key, *carry), own, strict=True)), "size", "source_size", "target", "rate", each.cast("int").alias("copies"))
 
 
 def repeated(docs: DataFrame, mixed: DataFrame, key: str = "doc_id") -> DataFrame:
