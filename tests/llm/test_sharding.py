@@ -2,8 +2,11 @@ from __future__ import annotations
 
 import math
 import random
+import zlib
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 from tests.conftest import DATA
 from tidemill.llm import queries, sharding
 
@@ -74,6 +77,41 @@ def test_documents(spark):
     assert max(sums.values()) - min(sums.values()) <= 0.001 * sum(sums.values())
 
 
+def test_query_as_registered(spark):
+    d = f"{DATA}/sf0.001"
+    texts = {r["doc_id"]: r["text"] for r in queries.table(spark, d, "documents").collect()}
+    rows = queries.op3_shard(spark, d).collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(texts)
+    slots, shard_of, sums = defaultdict(list), defaultdict(set), defaultdict(int)
+    for r in rows:
+        raw = texts[r["doc_id"]].encode()
+        assert (r["size"], r["text_crc32"], r["law"], r["grown_shard"]) == (len(raw) + 1, zlib.crc32(raw), "bytes", None)
+        slots[r["shard"]].append(r["slot"])
+        shard_of[raw].add(r["shard"])
+        sums[r["shard"]] += r["size"]
+    assert set(slots) == set(range(queries.SHARDS))
+    assert all(sorted(x) == list(range(len(x))) for x in slots.values())
+    share = sum(sums.values()) / queries.SHARDS
+    assert all(len(s) == 1 or len(t) * 2 > share for t, s in shard_of.items())
+    assert max(sums.values()) - min(sums.values()) <= 0.01 * share
+
+
+def test_size_classes_are_few_and_near(spark):
+    sizes = sorted({x for b in range(48) for x in ((1 << b) - 1, 1 << b, (1 << b) + 1, 3 << b) if x})
+    found = spark.createDataFrame([(x,) for x in sizes], "x long").select("x", sharding.size_class(F.col("x")).alias("c")).collect()
+    for r in found:
+        assert r["c"] == sharding._class_of(r["x"])
+        assert r["x"] <= r["c"] <= r["x"] * (1 + 2.0 ** (1 - sharding.CLASS_BITS))
+        assert r["c"] == r["x"] or r["x"] >= 1 << sharding.CLASS_BITS
+    assert len({sharding._class_of(x) for x in range(1 << 17, 1 << 18, 7)}) <= (1 << sharding.CLASS_BITS - 1) + 1
+
+
+def test_carried_columns_of_any_name(odd):
+    out = sharding.assign(odd, 3, carry=("size", "n", "shard", "_own", "x"))
+    assert out.columns == ["doc_id", "n", "_own", "x", "size", "group_id", "shard", "slot"]
+    assert {(r["n"], r["_own"], r["x"]) for r in out.collect()} == {("-", "-", "-")}
+
+
 def test_hot_group_is_cut_and_nothing_else(spark):
     rows = [(i, "the same text") for i in range(300)] + [(1000 + i, "x" * (i % 40)) for i in range(200)]
     out = sharding.assign(spark.createDataFrame(rows, "doc_id long, text string"), 4).collect()

@@ -3,14 +3,19 @@
 Documents with equal texts are one group and stay in one shard.  Groups, sorted by size, enter the
 tightest shard that still takes them, found in a balanced tree of remaining capacities; the
 smallest capacity at which the given number of shards suffices is searched for.  Groups of one size
-are interchangeable, so the packing runs over the counts of the distinct group sizes.  If there are
-D of them, they sum to at least D * (D + 1) / 2 bytes, which bounds what the driver holds by the
-square root of twice the corpus.
+are interchangeable, so the packing runs over counts of size classes.  Sizes of up to ``CLASS_BITS``
+bits are classes of their own; of larger ones that many leading bits count, rounded up, so a class is
+at most a part in 2 ** (``CLASS_BITS`` - 1) larger than its groups.  There are at most
+2 ** (``CLASS_BITS`` - 1) classes for each further bit, 0.5 million in all, whatever the corpus, which
+bounds what the driver holds and broadcasts.
 
 A group larger than an even share can't stay whole while shards are near equal: it alone is cut,
 into parts of at most an even share.  There are fewer of them than shards.
 
-Nulls: a null text is empty.  Rows without a key count like others.  An empty table gives no rows.
+Nulls: a null text is empty.  Rows without a key count like others, and so do rows of one key.  Ties in
+the order of slots go by key, then group.  A very long text is a group that may exceed an even share;
+a single one stays whole.  An empty table gives no rows.  The input's columns may have any names;
+among ``carry``, one that is named like a column of the result is replaced by it.
 """
 
 from __future__ import annotations
@@ -18,13 +23,30 @@ from __future__ import annotations
 import math
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm.ranks import ROWS_PER_SALT, numbered
 from tidemill.scratch import written
 
 
+CLASS_BITS = 14
+#: So many tasks may number rows of one key and text.
+EQUAL = 256
+RESULT = ("size", "group_id", "shard", "slot")
+
+
+def size_class(size: Column) -> Column:
+    """The size of its class: the size itself, or rounded up to CLASS_BITS leading bits."""
+    step = F.pow(F.lit(2.0), F.greatest(F.lit(0), F.length(F.bin(size)) - CLASS_BITS))
+    return (F.ceil(size / step) * step).cast("long")
+
+
+def _class_of(size: int) -> int:
+    step = 1 << max(0, size.bit_length() - CLASS_BITS)
+    return -(-size // step) * step
+
+
 class Tree:
     """A height-balanced search tree of distinct (remaining, bin) pairs."""
 
@@ -130,8 +152,12 @@ def assign(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text"
     ``size`` is the text's UTF-8 bytes and 1.  ``slot`` numbers a shard's rows from 0 without gaps.
     """
     spark = docs.sparkSession
+    carry = tuple(c for c in carry if c.lower() not in {key.lower(), *RESULT})
     body = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(key, *carry, (F.octet_length(body) + 1).cast("long").alias("size"), F.unhex(F.sha2(body, 256)).alias("group_id"))
+    # The input's columns get numbers for names here, so that none clashes.
+    given, key, carry = (key, *carry), "_c0", tuple(f"_c{i + 1}" for i in range(len(carry)))
+    rows = docs.select(*(F.col(c).alias(n) for c, n in zip(given, (key, *carry), strict=True)), (F.octet_length(body) + 1).cast("long").alias("size"), F.unhex(F.sha2(body, 256)).alias("group_id"), (F.rand(11) * EQUAL).cast("int").alias("_equal"))
+    # Equal rows are told apart by a number of their own, written here, so that numbering can split them.
     rows = written(rows, "sized")
     groups = written(rows.groupBy("group_id", "size").agg(F.count("*").alias("n")).withColumn("unit", F.col("n") * F.col("size")), "groups")
     n_rows, total = groups.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("unit"), F.lit(0))).first()
@@ -146,13 +172,14 @@ def assign(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text"
     cut = {k: v for k, v in parts.items() if v}
     whole = groups.filter(~F.col("group_id").isin([bytearray(k) for k in cut])) if cut else groups
 
+    whole = whole.withColumn("unit", size_class(F.col("unit")))
     counted = whole.groupBy("unit").agg(F.count("*").alias("count")).toArrow()
     classes: dict[int, int] = dict(zip(counted.column("unit").to_pylist(), counted.column("count").to_pylist(), strict=True))
     sizes = {bytes(g["group_id"]): g["size"] for g in large}
     chunks: dict[int, list[tuple[bytes, int]]] = {}
     for k, v in cut.items():
         for i, (n, _) in enumerate(v):
-            chunks.setdefault(n * sizes[k], []).append((k, i))
+            chunks.setdefault(_class_of(n * sizes[k]), []).append((k, i))
     ordered = sorted(({u: classes.get(u, 0) + len(chunks.get(u, ())) for u in {*classes, *chunks}}).items(), reverse=True)
     _, runs = fitted(ordered, shards)
 
@@ -174,7 +201,7 @@ def assign(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text"
     columns = [list(c) for c in zip(*plan, strict=True)] if plan else [[], [], [], []]
     planned = spark.createDataFrame(pa.table(columns, schema=schema))
 
-    ranked = numbered(written(whole.join(planned, "unit"), "planned"), ["unit"], ["group_id"], ["group_id"], F.col("salts"), "rank")
+    ranked = numbered(written(whole.join(F.broadcast(planned), "unit"), "planned"), ["unit"], ["group_id"], ["group_id"], F.col("salts"), "rank")
     index = F.size(F.filter("bound", lambda b: b <= F.col("rank"))) + 1
     homes = written(ranked.select("group_id", "n", F.element_at("at", index).alias("shard")), "homes")
 
@@ -183,16 +210,17 @@ def assign(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text"
     often = F.broadcast(homes.filter(heavy).select("group_id", F.col("shard").alias("_shard")))
     usual = rows.filter(~F.col("group_id").isin([bytearray(k) for k in cut])) if cut else rows
     known = usual.join(often, "group_id", "left")
-    kept = [key, *carry, "size", "group_id", "shard"]
+    kept = [key, *carry, "size", "group_id", "shard", "_equal"]
     found = known.filter(F.col("_shard").isNotNull()).withColumnRenamed("_shard", "shard").select(*kept)
     found = found.unionByName(known.filter(F.col("_shard").isNull()).join(homes.filter(~heavy).drop("n"), "group_id").select(*kept))
     for k, v in cut.items():
         own = rows.filter(F.col("group_id") == F.lit(bytearray(k)))
         n = sum(x for x, _ in v)
-        own = numbered(own, ["group_id"], [key], [key], F.lit(math.ceil(n / ROWS_PER_SALT)), "rank")
+        own = numbered(own, ["group_id"], [key], [key, "_equal"], F.lit(math.ceil(n / ROWS_PER_SALT)), "rank")
         at = F.array(*(F.lit(placed[k, i]) for i in range(len(v))))
         found = found.unionByName(own.withColumn("shard", F.element_at(at, (F.floor(F.col("rank") / v[0][0]) + 1).cast("int"))).select(*kept))
-    return numbered(written(found, "sharded"), ["shard"], [key, "group_id"], [key, "group_id"], F.lit(max(1, math.ceil(n_rows / shards / ROWS_PER_SALT))), "slot")
+    out = numbered(written(found, "sharded"), ["shard"], [key, "group_id"], [key, "group_id", *carry, "_equal"], F.lit(max(1, math.ceil(n_rows / shards / ROWS_PER_SALT))), "slot")
+    return out.select(*(F.col(n).alias(c) for c, n in zip(given, (key, *carry), strict=True)), *RESULT)
 
 
 def write_shards(docs: DataFrame, shards: int, path: str, key: str = "doc_id", text: str = "text") -> None:
