@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tests.conftest import DATA
@@ -18,12 +19,13 @@ def jaccard(a, b):
     return len(a & b) / len(a | b) if a | b else 1.0
 
 
-def edits(rows):
-    """The edited texts, by order of ids."""
-    rows = sorted(((-(1 << 63) if d is None else d), t or "") for d, t in rows)
+def edits(spark, rows):
+    """(text, edited, next) in the order of ids, then of the texts' hashes."""
+    df = spark.createDataFrame([(d, t or "") for d, t in rows], "d long, t string")
+    rows = [(r["t"]) for r in df.orderBy(F.col("d").asc_nulls_first(), F.xxhash64("t")).collect()]
     out = []
-    for i, (_, t) in enumerate(rows):
-        nxt, q = rows[(i + 1) % len(rows)][1], len(t) // 4
+    for i, t in enumerate(rows):
+        nxt, q = rows[(i + 1) % len(rows)], len(t) // 4
         out.append((t, t[: len(t) - q] + nxt[:q], nxt))
     return out
 
@@ -31,7 +33,7 @@ def edits(rows):
 def test_documents_against_true_similarity(spark, monkeypatch):
     monkeypatch.setattr(fingerprint, "RANGE_ROWS", 16)
     docs = queries.table(spark, f"{DATA}/sf0.001", "documents")
-    texts = edits([(r["doc_id"], r["text"]) for r in docs.collect()])
+    texts = edits(spark, [(r["doc_id"], r["text"]) for r in docs.collect()])
     rows = queries.op2_fingerprint(spark, f"{DATA}/sf0.001").orderBy("doc_id").collect()
     assert len(rows) == len(texts)
     errors = []
@@ -57,10 +59,52 @@ def test_equal_texts_have_equal_fingerprints_and_odd_rows_do(odd):
 
 def test_edits_of_odd_rows(spark, odd, monkeypatch):
     monkeypatch.setattr(fingerprint, "RANGE_ROWS", 2)
-    expected = sorted(e for _, e, _ in edits([(r["doc_id"], r["text"]) for r in odd.collect()]))
+    expected = sorted(e for _, e, _ in edits(spark, [(r["doc_id"], r["text"]) for r in odd.collect()]))
     assert sorted(r["edited"] for r in fingerprint.edited_pairs(odd).collect()) == expected
 
 
+def test_rows_of_one_id_and_equal_rows(spark, monkeypatch):
+    monkeypatch.setattr(fingerprint, "EQUAL_ROWS", 20)
+    rows = [(5, f"text {i} of one id with words") for i in range(300)] + [(5, "the very same text again")] * 90 + [(None, "")] * 50 + [(1, "a b c d e f g h")] * 21 + [(9, "last one of all here")]
+    out = fingerprint.edited_pairs(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert sorted(r["edited"] for r in out) == sorted(e for _, e, _ in edits(spark, rows))
+    assert sorted((r["doc_id"] or 0) for r in out) == sorted((d or 0) for d, _ in rows)
+
+
+def test_very_many_rows_of_one_id(spark):
+    texts = spark.range(100_000).select(F.lit(7).cast("long").alias("doc_id"), F.expr("case when id % 4 = 0 then 'the same short text' else concat('text ', id, ' is short') end").alias("text"))
+    rows = fingerprint.with_next(texts.select(F.col("doc_id").alias("k"), F.xxhash64("text").alias("h"), "text"), ["k", "h"], ["text"])
+    sizes = rows.filter("text <> 'the same short text'").groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) > 1
+    assert sum(r["count"] for r in sizes) == 75_000
+    out = fingerprint.edited_pairs(texts)
+    n, same = out.agg(F.count("*"), F.count_if(F.col("near_next") == 1)).first()
+    assert n == 100_000
+    assert same >= 24_999
+
+
+def test_every_bin_is_filled_from_any_full_one(spark):
+    """Texts of few shingles: empty bins take the values of all full ones, and the same in texts that share them."""
+    words = " ".join(f"w{i}" for i in range(9))
+    rows = [(words,), (words + " other",), ("one two",)]
+    df = fingerprint.with_fingerprint(spark.createDataFrame(rows, "t string"), "t", "f")
+    a, b, c = (np.array([x & (2**64 - 1) for x in r["f"]], dtype=np.uint64).view(np.uint8) for r in df.collect())
+    assert len(set(c.tolist())) == 1
+    n = [int((a == v).sum()) for v in set(a.tolist())]
+    assert len(n) == 5
+    assert min(n) > 25
+    assert 0.6 < (a == b).mean() <= 1.0
+
+
+def test_columns_of_any_name(spark):
+    df = spark.createDataFrame([(1, "a b c", "kept", "old")], "_k long, _h string, __tidemill_hashes string, f string")
+    out = fingerprint.with_fingerprint(df, "_h", "f")
+    assert out.columns == df.columns
+    r = out.first()
+    assert (r["_h"], r["__tidemill_hashes"], len(r["f"])) == ("a b c", "kept", fingerprint.BINS // fingerprint.PER_WORD)
+    assert fingerprint.edited_pairs(df, "_k", "_h").first()["_k"] == 1
+
+
 def test_one_row_follows_itself(spark):
     (r,) = fingerprint.edited_pairs(spark.createDataFrame([(1, "abcdefgh")], "doc_id long, text string")).collect()
     assert r["edited"] == "abcdefab"

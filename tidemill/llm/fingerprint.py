@@ -4,12 +4,20 @@ A text's shingles of ``WIDTH`` words are hashed once.  The top bits of a hash pi
 bins, and each bin keeps its least hash: hashes are sorted together with one sentinel per bin that
 ends it, so the firsts of the runs are the minima, and a sentinel marks an empty bin.  An empty bin
 takes the value of the first full one on its own sequence of universal hashes over (bin, attempt),
-which is optimal densification; after ``ATTEMPTS`` it takes the next full one to its right.
+which is optimal densification.  The sequence goes on until a full bin is met: its first ``ATTEMPTS``
+steps are tried one by one, and what follows is the full bin of the least hash with this one, which
+any of them is with the same chance.
 The low ``BITS`` bits of the bins are stored, ``PER_WORD`` to a 64-bit word; ``likeness`` corrects the
 share of equal ones for those that are equal by chance.
 
 A text of fewer words has its whole sequence as its one shingle.  A null text is empty; an empty
-text has the empty fingerprint, whose likeness is 1 to another empty one and 0 to all else.
+text has the empty fingerprint, whose likeness is 1 to another empty one and 0 to all else.  A very long
+text is hashed by one task in memory of some times its words.  Columns may have any names; one that is
+named like an added one is replaced.
+
+Neighbours follow the order of ids, null first; rows of one id that of a hash of their texts, and equal
+rows follow one another.  So an id of very many rows spans many ranges; rows that are equal and very
+many are counted, stand in the order once, and come apart again at the end.  An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -26,6 +34,8 @@ PER_WORD = 64 // BITS
 SPACES = " \t\n\x0b\x0c\r"
 #: Rows per range of neighbours, about, and ranges at most, about.
 RANGE_ROWS, MOST_RANGES = 64, 1 << 17
+#: Equal rows are counted if there are more of them than this, and than an even share of so many.
+EQUAL_ROWS, MOST_EQUAL = 1000, 10_000
 _PRIME = 8191
 _LOW = 64 - BINS.bit_length() + 1
 _ENDS = (1 << _LOW) - 1
@@ -64,12 +74,13 @@ def _probe(i: Column, attempt: int) -> Column:
 def _densified(v: Column) -> Column:
     """Every bin's value, from bins of which the empty ones are null."""
 
-    def value(i: Column) -> Column:
+    def value(i: Column, full: Column) -> Column:
         tries = [F.get(v, _probe(i, t).cast("int")) for t in range(1, ATTEMPTS + 1)]
-        last = F.filter(F.concat(F.slice(v, i + 1, F.lit(BINS)), v), lambda x: x.isNotNull())[0]
-        return F.coalesce(F.get(v, i), *tries, last)
+        later = F.array_min(F.transform(full, lambda b: F.struct(F.xxhash64(i, b["at"]).alias("turn"), b["x"].alias("x"))))["x"]
+        return F.coalesce(F.get(v, i), *tries, later)
 
-    return F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), value)
+    full = F.filter(F.transform(v, lambda x, i: F.struct(i.alias("at"), x.alias("x"))), lambda b: b["x"].isNotNull())
+    return _let(full, lambda f: F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda i: value(i, f)))
 
 
 def _packed(full: Column) -> Column:
@@ -85,15 +96,24 @@ def _packed(full: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(BINS // PER_WORD - 1)), word)
 
 
+def _free(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one if ``df`` has a column of that name."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
     """Add the text's packed fingerprint, an array of words that is empty for a text without any."""
     ends = F.transform(F.sequence(F.lit(-BINS // 2), F.lit(BINS // 2 - 1)), lambda b: F.shiftleft(b.cast("bigint"), _LOW) + F.lit(_ENDS).cast("bigint"))
-    sorted_ = df.withColumn("_h", F.sort_array(F.concat(shingle_hashes(F.coalesce(F.col(text), F.lit(""))), ends)))
-    firsts = _let(F.col("_h"), lambda s: F.filter(s, lambda h, i: (i == 0) | (_bin(h) != _bin(F.get(s, i - 1)))))
+    hashes = _free(df, "__tidemill_hashes")
+    sorted_ = df.withColumn(hashes, F.sort_array(F.concat(shingle_hashes(F.coalesce(F.col(text), F.lit(""))), ends)))
+    firsts = _let(F.col(hashes), lambda s: F.filter(s, lambda h, i: (i == 0) | (_bin(h) != _bin(F.get(s, i - 1)))))
     full = lambda x: F.when(x.bitwiseAND(F.lit(_ENDS).cast("bigint")) != _ENDS, x)
     packed = _let(F.transform(firsts, full), lambda v: _let(_densified(v), _packed))
-    empty = F.size("_h") == BINS
-    return sorted_.withColumn(name, F.when(empty, F.array().cast("array<bigint>")).otherwise(packed)).drop("_h")
+    empty = F.size(hashes) == BINS
+    return sorted_.withColumn(name, F.when(empty, F.array().cast("array<bigint>")).otherwise(packed)).drop(hashes)
 
 
 def as_hex(words: Column) -> Column:
@@ -118,30 +138,46 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when((F.size(a) == 0) | (F.size(b) == 0), F.when(F.size(a) == F.size(b), 1.0).otherwise(0.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), share)))
 
 
-def with_next(df: DataFrame, key: str, columns: list[str], text: str) -> DataFrame:
-    """Add next_<column>: that of the next row by key (nulls first), then text; the first row's for the last.
+def with_next(df: DataFrame, order: list[str], columns: list[str]) -> DataFrame:
+    """Add next_<column>: that of the next row in the ``order`` of some 64-bit columns without nulls; the first row's for the last.
 
-    Rows are dealt into ranges of keys, whose lower bounds are keys that their hash picks; a range's
+    Rows are dealt into ranges, whose lower bounds are rows' own places that their hash picks; a range's
     first rows are also sent to the range before it, whose last row they follow.  So one shuffle
-    suffices and no task orders more than a range.
+    suffices and no task orders more than a range, unless very many rows have one place.
     """
-    order = F.coalesce(F.col(key).cast("bigint"), F.lit(_NONE))
-    keyed = df.withColumn("_k", order)
-    n, least = keyed.agg(F.count("*"), F.min("_k")).first()
+    place, bounds_, range_, guest, to = (_free(df, f"__tidemill_{x}") for x in ("place", "bounds", "range", "guest", "to"))
+    keyed = df.withColumn(place, F.struct(*order))
+    n, least = keyed.agg(F.count("*"), F.min(place)).first()
     every = max(RANGE_ROWS, n // MOST_RANGES)
-    picked = keyed.filter((F.pmod(F.xxhash64("_k"), F.lit(every)) == 0) | (F.col("_k") == F.lit(least if n else 0)))
-    bounds = written(picked.agg(F.sort_array(F.collect_set("_k")).alias("b")), "bounds").scalar()
+    first = F.struct(*(F.lit(x).cast("bigint").alias(c) for c, x in zip(order, least, strict=True))) if n else F.lit(None)
+    picked = keyed.filter((F.pmod(F.xxhash64(*order), F.lit(every)) == 0) | (F.col(place) == first))
+    bounds = written(picked.agg(F.sort_array(F.collect_set(place)).alias("b")), "bounds").scalar()
     steps = F.array(*(F.lit(1 << s) for s in range(MOST_RANGES.bit_length(), -1, -1)))
-    at = F.aggregate(steps, F.lit(0), lambda lo, s: F.when(F.get(F.col("_b"), lo + s) <= F.col("_k"), lo + s).otherwise(lo))
-    dealt = keyed.withColumn("_b", bounds).withColumn("_r", at)
-    first = F.get(F.col("_b"), F.col("_r")) == F.col("_k")
-    here = F.struct(F.col("_r").alias("r"), F.lit(False).alias("guest"))
-    before = F.struct(F.pmod(F.col("_r") - 1, F.size("_b")).alias("r"), F.lit(True).alias("guest"))
-    dealt = dealt.withColumn("_to", F.when(first, F.array(here, before)).otherwise(F.array(here))).drop("_b", "_r")
-    dealt = dealt.select("*", F.explode("_to").alias("_at")).select(*df.columns, "_k", F.col("_at.r").alias("_r"), F.col("_at.guest").alias("_guest"))
-    follows = Window.partitionBy("_r").orderBy("_guest", "_k", text)
+    at = F.aggregate(steps, F.lit(0), lambda lo, s: F.when(F.get(F.col(bounds_), lo + s) <= F.col(place), lo + s).otherwise(lo))
+    dealt = keyed.withColumn(bounds_, bounds).withColumn(range_, at)
+    begins = F.get(F.col(bounds_), F.col(range_)) == F.col(place)
+    here = F.struct(F.col(range_).alias("r"), F.lit(False).alias("g"))
+    before = F.struct(F.pmod(F.col(range_) - 1, F.size(bounds_)).alias("r"), F.lit(True).alias("g"))
+    dealt = dealt.withColumn(to, F.explode(F.when(begins, F.array(here, before)).otherwise(F.array(here))))
+    dealt = dealt.select(*df.columns, F.col(f"{to}.r").alias(range_), F.col(f"{to}.g").alias(guest))
+    follows = Window.partitionBy(range_).orderBy(guest, *order)
     led = dealt.withColumns({f"next_{c}": F.lead(c).over(follows) for c in columns})
-    return led.filter(~F.col("_guest")).drop("_k", "_r", "_guest")
+    return led.filter(~F.col(guest)).drop(range_, guest)
+
+
+def _counted(rows: DataFrame) -> DataFrame:
+    """Rows (id, k, h, t) with how many they stand for: 1, or all of those with one k and h where these are very many.
+
+    At most ``MOST_EQUAL`` different rows are so frequent, and they alone are broadcast.
+    """
+    n = rows.agg(F.count("*")).first()[0]
+    frequent = rows.groupBy("k", "h").agg(F.count("*").alias("n")).filter(F.col("n") > max(EQUAL_ROWS, n // MOST_EQUAL))
+    frequent = written(frequent.select("k", "h"), "frequent")
+    if frequent.isEmpty():
+        return rows.withColumn("n", F.lit(1).cast("bigint"))
+    one = rows.join(F.broadcast(frequent), ["k", "h"], "left_anti").withColumn("n", F.lit(1).cast("bigint"))
+    many = rows.join(F.broadcast(frequent), ["k", "h"], "left_semi").groupBy("k", "h").agg(F.first("id").alias("id"), F.first("t").alias("t"), F.count("*").alias("n"))
+    return one.unionByName(many)
 
 
 def edited_pairs(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -150,12 +186,19 @@ def edited_pairs(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     ``edited`` is the text with its last quarter, rounded down, replaced by as many code points from
     the beginning of the next document, or all it has.
     """
-    rows = docs.select(key, F.coalesce(F.col(text), F.lit("")).alias("t"))
-    led = with_next(with_fingerprint(rows, "t", "f"), key, ["t", "f"], "t")
-    n = F.length("t")
-    led = led.withColumn("n_chars", n.cast("bigint"))
-    quarter = F.floor(F.col("n_chars") / 4).cast("int")
-    edited = F.concat(F.substring(F.col("t"), F.lit(1), F.col("n_chars").cast("int") - quarter), F.substring(F.col("next_t"), F.lit(1), quarter))
-    led = led.select(key, "n_chars", edited.alias("edited"), "f", "next_f")
-    led = with_fingerprint(led, "edited", "g")
-    return led.select(key, "n_chars", "edited", F.col("f").alias("fingerprint"), F.col("g").alias("edited_fingerprint"), likeness(F.col("f"), F.col("g")).alias("near_edited"), likeness(F.col("f"), F.col("next_f")).alias("near_next"))
+    rows = docs.select(F.col(key).alias("id"), F.coalesce(F.col(key).cast("bigint"), F.lit(_NONE)).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t"))
+    rows = _counted(rows.withColumn("h", F.xxhash64("t")))
+    led = with_next(with_fingerprint(rows, "t", "f"), ["k", "h"], ["t", "f"])
+    # Of equal rows all but the last are followed by their like.
+    itself = F.struct(F.col("t").alias("t"), F.col("f").alias("f"), (F.col("n") - 1).alias("n"))
+    other = F.struct(F.col("next_t").alias("t"), F.col("next_f").alias("f"), F.lit(1).cast("bigint").alias("n"))
+    led = led.withColumn("x", F.explode(F.when(F.col("n") > 1, F.array(itself, other)).otherwise(F.array(other))))
+    led = led.select("id", "t", "f", F.col("x.t").alias("next_t"), F.col("x.f").alias("next_f"), F.col("x.n").alias("n"))
+    n = F.length("t").cast("bigint")
+    quarter = F.floor(n / 4).cast("int")
+    edited = F.concat(F.substring(F.col("t"), F.lit(1), n.cast("int") - quarter), F.substring(F.col("next_t"), F.lit(1), quarter))
+    led = with_fingerprint(led.select("id", "n", n.alias("n_chars"), edited.alias("edited"), "f", "next_f"), "edited", "g")
+    out = led.select("id", "n", "n_chars", "edited", "f", "g", likeness(F.col("f"), F.col("g")).alias("near_edited"), likeness(F.col("f"), F.col("next_f")).alias("near_next"))
+    some = F.sequence(F.lit(1).cast("bigint"), F.col("n"), F.lit(EQUAL_ROWS).cast("bigint"))
+    out = out.withColumn("at", F.explode(some)).withColumn("at", F.explode(F.sequence(F.col("at"), F.least(F.col("n"), F.col("at") + (EQUAL_ROWS - 1)))))
+    return out.select(F.col("id").alias(key), "n_chars", "edited", F.col("f").alias("fingerprint"), F.col("g").alias("edited_fingerprint"), "near_edited", "near_next")
