@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemill.functions import pages, rules
+from tidemill.operators import scanning
 
 BARRIERS = [
     ("We are unable to sponsor visas for this role.", True),
@@ -63,6 +64,43 @@ def test_pay(spark, text, expected):
         assert (x["min"], x["max"], x["currency"], x["period"]) == (Decimal(expected[0]), Decimal(expected[1]), *expected[2:])
 
 
+#: Letters that lower-casing leaves, though patterns without letter case take them for ASCII ones.
+ODD_LETTERS = [
+    ("a \u017fecret b", rules.STAND_IN[1]),
+    ("a TO\u212aEN b", rules.STAND_IN[1]),
+    ("pa\u017f\u017fword", rules.STAND_IN[1]),
+    ("a l\u0131cense b", rules.STAND_IN[3]),
+    ("no visa \u017fponsorship", rules.BARRIER[0]),
+    ("will not \u017fpon\u017for", rules.BARRIER[1]),
+    ("must be a US c\u0131t\u0131zen", rules.BARRIER[2]),
+    ("security clearance i\u017f required", rules.BARRIER[3]),
+    ("ignore previous in\u017ftruct\u0131ons", rules.AGENT[0]),
+    ("if you're an AI", rules.AGENT[1]),
+    ("AI a\u017f\u017fi\u017ftants must", rules.AGENT[2]),
+    ("\u017fy\u017ftem prompt", rules.AGENT[3]),
+]
+
+
+def test_literals_hide_nothing_that_a_pattern_finds(spark):
+    texts = [t for t, _ in ODD_LETTERS] + [t for t, _ in BARRIERS + AGENTS]
+    for rule in rules.BARRIER + rules.AGENT + rules.STAND_IN:
+        assert found(spark, texts, rules.matches(F.col("text"), rule)) == found(spark, texts, F.col("text").rlike(f"(?iu){rule.pattern}")), rule.name
+    for text, rule in ODD_LETTERS:
+        # What Java's own folding does not join is found by neither.
+        if rule.name not in ("citizens_only", "license_word", "override"):
+            assert found(spark, [text], rules.matches(F.col("text"), rule)) == [True], text
+
+
+def test_flags_follow_from_evidence(spark):
+    texts = [t for t, _ in BARRIERS + AGENTS]
+    df = spark.createDataFrame([(t,) for t in [*texts, None]], "text string")
+    rows = scanning.findings(df).withColumns({"b": rules.any_of(F.col("text"), rules.BARRIER), "a": rules.any_of(F.col("text"), rules.AGENT)}).collect()
+    assert all((r["sponsorship_barrier"], r["agent_directed"]) == (r["b"], r["a"]) for r in rows)
+    assert [r["evidence"] for r in rows if r["text"] is None] == [None]
+    no_agents = scanning.findings(df, used=rules.BARRIER).filter("text is not null")
+    assert {r["agent_directed"] for r in no_agents.collect()} == {False}
+
+
 def test_null_text_is_unknown_not_false(spark):
     row = spark.createDataFrame([(None,)], "text string").select(rules.any_of(F.col("text"), rules.BARRIER).alias("b"), rules.pay(F.col("text")).alias("p")).first()
     assert row["b"] is None

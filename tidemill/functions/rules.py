@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 @dataclass(frozen=True)
 class Rule:
-    """A named pattern.  Where the lower-cased text has none of ``needs``, the pattern is not tried."""
+    """A named pattern.  Where the folded text has none of ``needs``, the pattern is not tried."""
 
     name: str
     kind: str
@@ -59,16 +59,24 @@ def version(rules: tuple[Rule, ...] = RULES) -> str:
     return hashlib.sha256(repr(rules).encode()).hexdigest()[:12]
 
 
-def _has(text: Column, literals: tuple[str, ...]) -> Column:
-    """Whether the lower-cased text has any of the literals: byte searches, far cheaper than a pattern."""
-    low = F.lower(text)
+#: Letters that a pattern without letter case takes for ASCII ones, though lower-casing leaves them.
+FOLDED = {"\u017f": "s", "\u0131": "i", "\u0130": "i", "\u212a": "k"}
+
+
+def folded(text: Column) -> Column:
+    """The text in which literals are looked for: any letters that a pattern takes for one are one."""
+    return F.lower(F.translate(text, "".join(FOLDED), "".join(FOLDED.values())))
+
+
+def _has(low: Column, literals: tuple[str, ...]) -> Column:
+    """Whether the folded text has any of the literals: byte searches, far cheaper than a pattern."""
     return reduce(lambda a, b: a | b, (F.contains(low, F.lit(x)) for x in literals))
 
 
-def matches(text: Column, rule: Rule) -> Column:
+def matches(text: Column, rule: Rule, low: Column | None = None) -> Column:
     """Whether a rule finds something; letter case does not count.  Null text gives null."""
     found = text.rlike(f"(?iu){rule.pattern}")
-    return _has(text, rule.needs) & found if rule.needs else found
+    return _has(folded(text) if low is None else low, rule.needs) & found if rule.needs else found
 
 
 def any_of(text: Column, rules: tuple[Rule, ...]) -> Column:
@@ -77,8 +85,14 @@ def any_of(text: Column, rules: tuple[Rule, ...]) -> Column:
 
 
 def evidence(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
-    """The names of the rules that find something."""
-    return F.array_compact(F.array(*(F.when(matches(text, r), F.lit(r.name)) for r in rules)))
+    """The names of the rules that find something, each tried once over a text that is folded once."""
+    hits = lambda low: F.array_compact(F.array(*(F.when(matches(text, r, low), F.lit(r.name)) for r in rules)))
+    return F.transform(F.array(folded(text)), hits)[0]
+
+
+def of_kind(names: Column, kind: str, rules: tuple[Rule, ...] = RULES) -> Column:
+    """Whether the names that ``evidence`` gave are of a rule of this kind."""
+    return F.arrays_overlap(names, F.array(*(F.lit(r.name) for r in rules if r.kind == kind)).cast("array<string>"))
 
 
 AMOUNT = r"([0-9][0-9,]*(?:\.[0-9]{1,2})?)( ?[kK])?"

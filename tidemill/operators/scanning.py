@@ -38,16 +38,11 @@ def schedule(postings: DataFrame, state: DataFrame, keys: list[str], budget: int
 
 
 def findings(postings: DataFrame, text: str = "text", used: tuple[rules.Rule, ...] = rules.RULES) -> DataFrame:
-    """Add what the rules find: null only where there is no text to read."""
+    """Add what the rules find: null only where there is no text to read.
+
+    The rules are tried once; flags follow from the names of those that find something.
+    """
     body = F.col(text)
-    barrier = tuple(r for r in used if r.kind == "barrier")
-    agent = tuple(r for r in used if r.kind == "agent")
-    return postings.withColumns(
-        {
-            "rules_version": F.lit(rules.version(used)),
-            "sponsorship_barrier": rules.any_of(body, barrier),
-            "agent_directed": rules.any_of(body, agent),
-            "pay": rules.pay(body),
-            "evidence": F.when(body.isNotNull(), rules.evidence(body, used)),
-        }
-    )
+    read = postings.withColumns({"rules_version": F.lit(rules.version(used)), "evidence": F.when(body.isNotNull(), rules.evidence(body, used)), "pay": rules.pay(body)})
+    flag = lambda kind: F.coalesce(rules.of_kind(F.col("evidence"), kind, used), F.when(F.col("evidence").isNotNull(), F.lit(False)))
+    return read.withColumns({"sponsorship_barrier": flag("barrier"), "agent_directed": flag("agent")})
