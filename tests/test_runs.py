@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 import threading
 from datetime import datetime, timedelta
 from http.server import BaseHTTPRequestHandler, HTTPServer
@@ -10,10 +11,11 @@ from http.server import BaseHTTPRequestHandler, HTTPServer
 import pytest
 from pyspark.sql import functions as F
 
+from tidemill import scratch
 from tidemill.functions import rules
 from tidemill.operators import scanning
 from tidemill.plans.run import Config, run_file, run_once
-from tidemill.sources import files, landing, publish, state
+from tidemill.sources import files, landing, publish, reading, state
 from tidemill.streaming import runs
 
 T0 = datetime(2026, 1, 1)
@@ -136,10 +138,133 @@ def test_consumer_reads_only_what_changed(spark, tmp_path):
     assert publish.read_if_changed(spark, cfg.out, mark) == (None, mark)
 
 
-def test_parts_are_published_on_change(spark, tmp_path):
-    df = postings(spark, 5).select("posting_id", "title")
-    assert publish.publish_parts(df, str(tmp_path / "o"))
-    assert not publish.publish_parts(df.orderBy(F.desc("posting_id")), str(tmp_path / "o"))
+LISTING_SCHEMA = "posting_id string, url string, title string, sponsorship_barrier boolean, agent_directed boolean"
+
+
+def test_a_run_publishes_any_number_of_rows(spark, tmp_path):
+    cfg = config(tmp_path, most_rows=3)
+    run_once(spark, postings(spark, 2), cfg, T0)
+    assert len(listing(spark, cfg)) == 2
+    assert run_once(spark, postings(spark, 7, change={4: None}), cfg, T0 + timedelta(hours=1)).published
+    found = {r["posting_id"]: r["sponsorship_barrier"] for r in publish.read_listing(spark, cfg.out, LISTING_SCHEMA).collect()}
+    assert found == {f"p{i:03d}": None if i == 4 else False for i in range(7)}
+    # Nothing stale stays under the fixed names, and nothing changed is nothing published.
+    assert not files.exists(spark, f"{cfg.out}/{publish.LISTING}")
+    again = [run_once(spark, postings(spark, 7, change={4: None}), cfg, T0 + timedelta(hours=2 + k)) for k in range(3)]
+    assert [r.published for r in again] == [True, True, False]  # failed attempts are counted in the cache
+    assert run_once(spark, postings(spark, 1), cfg, T0 + timedelta(hours=9)).published
+    assert len(listing(spark, cfg)) == 1
+    assert publish.read_listing(spark, cfg.out, LISTING_SCHEMA).count() == 1
+
+
+def test_files_are_sorted_arrays_of_all_rows(spark, tmp_path):
+    df = postings(spark, 500, change={i: None for i in range(0, 500, 7)}).select("posting_id", "text").repartition(7)
+    for n in (0, 1, 500):
+        publish.write_array(df.filter(F.col("posting_id") < f"p{n:03d}"), ["posting_id"], str(tmp_path / "a.json"), n)
+        rows = json.loads(files.read_text(spark, str(tmp_path / "a.json")))
+        assert [r["posting_id"] for r in rows] == [f"p{i:03d}" for i in range(n)]
+        assert all(set(r) == {"posting_id", "text"} for r in rows)
+    assert files.names(spark, str(tmp_path)) == [".a.json.crc", "a.json"] or files.names(spark, str(tmp_path)) == ["a.json"]
+
+
+def test_runs_leave_neither_scratch_tables_nor_old_releases(spark, tmp_path):
+    cfg, made = config(tmp_path, budget=1), len(scratch._made)
+    before = set(os.listdir(scratch.shared_dir(spark).removeprefix("file:")))
+    for k in range(20):
+        run_once(spark, postings(spark, 6), cfg, T0 + timedelta(hours=k))
+    assert len(scratch._made) == made
+    assert set(os.listdir(scratch.shared_dir(spark).removeprefix("file:"))) <= before
+    assert len(files.names(spark, f"{cfg.out}/releases")) == publish.KEEP
+
+
+@pytest.mark.parametrize("most", [1000, 1])
+def test_deleting_the_published_cache_means_a_cold_start(spark, tmp_path, most):
+    cfg = config(tmp_path, budget=2, most_rows=most)
+    for k in range(2):
+        run_once(spark, postings(spark, 4), cfg, T0 + timedelta(hours=k))
+    assert run_once(spark, postings(spark, 4), cfg, T0 + timedelta(hours=3)).read == 0
+    at = f"{cfg.out}/{publish.CACHE}" if most > 1 else f"{cfg.out}/releases/{files.read_text(spark, f'{cfg.out}/{publish.POINTER}')}/{publish.CACHE}"
+    files.delete(spark, at)
+    reports = [run_once(spark, postings(spark, 4), cfg, T0 + timedelta(hours=4 + k)) for k in range(3)]
+    assert [(r.read, r.unread) for r in reports] == [(2, 2), (2, 0), (0, 0)]
+    assert [r.published for r in reports] == [True, True, False]
+
+
+def test_a_consumer_gets_the_listing_of_its_mark(spark, tmp_path):
+    cfg = config(tmp_path)
+    run_once(spark, postings(spark, 1), cfg, T0)
+    # The next listing is there already, its mark is not.
+    files.write_text(spark, f"{cfg.out}/{publish.LISTING}", "[]")
+    body, _ = publish.read_if_changed(spark, cfg.out, None)
+    assert json.loads(body)[0]["posting_id"] == "p000"
+    assert publish.read_if_changed(spark, str(tmp_path / "nothing"), None) == (None, None)
+
+
+@pytest.fixture
+def server():
+    class Handler(BaseHTTPRequestHandler):
+        def do_GET(self):
+            asked[self.path] = asked.get(self.path, 0) + 1
+            if self.path == "/slow-start" and asked[self.path] < 3:
+                self.send_response(503)
+            elif self.path == "/away":
+                self.send_response(302)
+                self.send_header("Location", "http://example.org/")
+            elif self.path == "/none":
+                self.send_response(404)
+            else:
+                self.send_response(200)
+            self.end_headers()
+            self.wfile.write(b"x" * (reading.MOST_BYTES + 1) if self.path == "/large" else b"<p>We will not sponsor visas</p>")
+
+        def log_message(self, *args):
+            pass
+
+    asked: dict[str, int] = {}
+    own = HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=own.serve_forever, daemon=True).start()
+    yield f"http://127.0.0.1:{own.server_port}", asked
+    own.shutdown()
+
+
+def test_addresses_are_read_within_bounds(server):
+    base, asked = server
+    hosts = ("127.0.0.1",)
+    get = lambda path, h=hosts: reading.read(base + path, h, backoff=0.01)
+    assert "sponsor" in get("/ok")
+    assert "sponsor" in get("/slow-start")
+    assert asked["/slow-start"] == 3
+    assert get("/none") is get("/large") is get("/away") is None
+    assert asked["/none"] == 1
+    assert get("/unasked", ("example.org",)) is None
+    assert "/unasked" not in asked
+    assert reading.read("file:///etc/hosts", hosts) is reading.read(None, hosts) is None
+
+
+def test_a_run_reads_postings_at_their_addresses(spark, tmp_path, server):
+    base, asked = server
+    rows = [("a", f"{base}/ok", "t", None, T0), ("b", f"{base}/none", "t", None, T0), ("c", f"{base}/own", "t", "Its own text", T0), ("d", None, "t", None, T0)]
+    cfg = config(tmp_path, hosts=("127.0.0.1",))
+    assert run_once(spark, spark.createDataFrame(rows, landing.POSTING), cfg, T0).read == 4
+    assert {r["posting_id"]: r["sponsorship_barrier"] for r in listing(spark, cfg)} == {"a": True, "b": None, "c": False, "d": None}
+    assert "/own" not in asked
+
+
+def test_every_record_is_kept_once_with_its_rest(spark, tmp_path):
+    records = [{"posting_id": "a", "text": "x", "salary": 1}, {"posting_id": "a", "text": "y", "salary": 2}, {"posting_id": None, "salary": 3, "updated_at": "2026-01-01T00:00:00Z"}, {"salary": 4, "title": 5}]
+    (tmp_path / "array.json").write_text(json.dumps(records))
+    (tmp_path / "lines.json").write_text("\n".join(map(json.dumps, records)))
+    (tmp_path / "one.json").write_text(json.dumps(records[0]))
+    for name, lines in (("array", False), ("lines", True)):
+        df = landing.read_snapshot(spark, str(tmp_path / f"{name}.json"), lines=lines, rest="rest")
+        assert df.columns == [*landing.POSTING.names, "rest"]
+        rows = df.withColumn("salary", F.expr("try_variant_get(rest, '$.salary', 'int')")).drop("rest").orderBy("salary").collect()
+        assert [(r["posting_id"], r["text"], r["salary"]) for r in rows] == [("a", "x", 1), ("a", "y", 2), (None, None, 3), (None, None, 4)]
+        assert [r["title"] for r in rows] == [None, None, None, "5"]
+        assert rows[2]["updated_at"] == T0
+        plain = landing.read_snapshot(spark, str(tmp_path / f"{name}.json"), lines=lines)
+        assert sorted(map(str, plain.collect())) == sorted(map(str, df.drop("rest").collect()))
+    assert landing.read_snapshot(spark, str(tmp_path / "one.json"), rest="rest").count() == 1
 
 
 def test_stream_equals_runs(spark, tmp_path):

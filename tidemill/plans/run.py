@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from tidemill.functions import rules
 from tidemill.operators import caching, scanning
-from tidemill.scratch import written
-from tidemill.sources import landing, publish, state
+from tidemill.scratch import mark, release, written
+from tidemill.sources import landing, publish, reading, state
 
 MAX_ATTEMPTS = 3
 
@@ -24,6 +24,10 @@ class Config:
     out: str
     budget: int = 500
     used: tuple[rules.Rule, ...] = rules.RULES
+    #: Larger results are published as many files.
+    most_rows: int = publish.MOST_ROWS
+    #: Postings without a text are read at their address, if it is of one of these hosts.
+    hosts: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -72,20 +76,34 @@ def compact(postings: DataFrame, known: DataFrame, cfg: Config) -> DataFrame:
 
 
 def run_once(spark: SparkSession, postings: DataFrame, cfg: Config, now: datetime | None = None) -> Report:
-    """Read the next ``budget`` postings, save the state and publish what changed."""
-    now = now or datetime.now(UTC).replace(tzinfo=None)
+    """Read the next ``budget`` postings, save the state and publish what changed.
+
+    Where the published cache was deleted, everything is read anew.  What the run wrote to the
+    scratch folder is gone afterwards.
+    """
+    since = mark()
+    try:
+        return _run(spark, postings, cfg, now or datetime.now(UTC).replace(tzinfo=None))
+    finally:
+        release(spark, since, keep=0)
+
+
+def _run(spark: SparkSession, postings: DataFrame, cfg: Config, now: datetime) -> Report:
     postings = written(identified(postings), "postings")
-    known = state.load(spark, cfg.state_root)
+    cold = publish.cache_deleted(spark, cfg.out)
+    known = state.load(spark, cfg.state_root).limit(0) if cold else state.load(spark, cfg.state_root)
     todo = pending(postings, known, cfg)
     picked = todo.orderBy(F.coalesce("attempts", F.lit(0)), F.col("updated_at").desc_nulls_last(), "posting_id").limit(cfg.budget)
+    if cfg.hosts:
+        picked = reading.with_texts(picked, cfg.hosts)
     fresh = written(scan(picked, cfg, now), "fresh")
     n, waiting = fresh.count(), todo.count()
     merged = caching.upsert(known, fresh, ["posting_id"], ["scanned_at", "content_hash", "rules_version", "status", "attempts"])
     merged = written(caching.evict(merged, postings, ["posting_id"]), "merged")
-    if n or merged.count() != known.count():
+    if cold or n or merged.count() != known.count():
         state.save(merged, cfg.state_root)
     listing = written(compact(postings, merged, cfg), "listing")
-    done = publish.publish(listing, merged.drop("scanned_at"), cfg.out, ["posting_id"])
+    done = publish.publish(listing, merged.drop("scanned_at"), cfg.out, ["posting_id"], cfg.most_rows)
     return Report(n, waiting - n, done)
 
 

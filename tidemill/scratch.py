@@ -46,12 +46,13 @@ def mark() -> int:
     return len(_made)
 
 
-def release(spark: SparkSession, since: int) -> None:
-    """Delete the tables written after ``since`` but the last one; nothing may read them any more."""
-    for path in _made[since:-1]:
+def release(spark: SparkSession, since: int, keep: int = 1) -> None:
+    """Delete the tables written after ``since`` but the last ``keep``; nothing may read them any more."""
+    gone = _made[since : len(_made) - keep]
+    for path in gone:
         hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
         hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
-    del _made[since:-1]
+    del _made[since : since + len(gone)]
 
 
 @atexit.register

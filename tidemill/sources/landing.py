@@ -56,7 +56,8 @@ def read_snapshot(spark: SparkSession, path: str, schema: T.StructType = POSTING
     """Postings of a JSON array (or of JSON lines), checked to be whole.
 
     ``rest`` names a variant column for the fields that the schema does not have, kept as each
-    record's whole JSON.  A JSON array is parsed by one task; lines are split.
+    record's whole JSON; then the schema's fields are taken from it, null where they do not fit.
+    A JSON array is parsed by one task; lines are split.
     """
     reader = spark.read.option("multiLine", not lines).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
     df = reader.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])).json(path)
@@ -66,7 +67,8 @@ def read_snapshot(spark: SparkSession, path: str, schema: T.StructType = POSTING
     if rest:
         whole = spark.read.option("singleVariantColumn", rest).option("multiLine", not lines).json(path)
         if not lines:
-            whole = whole.select(F.explode(F.expr(f"try_variant_get({rest}, '$', 'array<variant>')")).alias(rest))
-        key = schema.fields[0].name
-        df = df.join(whole.withColumn("_key", F.expr(f"try_variant_get({rest}, '$.{key}', 'string')")), F.col(key) == F.col("_key"), "left").drop("_key")
+            # A single record may stand without an array around it.
+            whole = whole.select(F.explode(F.coalesce(F.expr(f"try_variant_get(`{rest}`, '$', 'array<variant>')"), F.array(rest))).alias(rest))
+        own = [F.try_variant_get(F.col(rest), f"$['{f.name}']", f.dataType.simpleString()).alias(f.name) for f in schema.fields if f.name != rest]
+        df = whole.select(*own, rest)
     return df
