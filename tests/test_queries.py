@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 from tests.conftest import DATA, as_rows
+from tidemill.functions import rules
 from tidemill.plans import catalog
 
 SF = "sf0.001"
@@ -38,3 +39,22 @@ def test_filter_and_projection_reach_the_scan(spark, capsys):
 def test_slice_is_a_top_k(spark, capsys):
     catalog.QUERIES["scan_slice"](spark, f"{DATA}/{SF}").explain()
     assert "TakeOrderedAndProject" in capsys.readouterr().out
+
+
+def test_rules_find_and_leave_alone(duck):
+    """The sentences that are added to the texts make every rule find something, and leave something alone."""
+    rows = duck(catalog.ORACLE_SQL["scan_postings"], SF).to_pylist()
+    named = {n for r in rows for n in r["evidence"].split(",")} - {""}
+    assert named == {r.name for r in rules.RULES}
+    for column in ("sponsorship_barrier", "agent_directed"):
+        assert {r[column] for r in rows} == {True, False}
+    assert {r["currency"] for r in rows} == {None, "USD", "EUR", "GBP"}
+    assert {r["period"] for r in rows} == {None, "hour", "year", "month", "week"}
+    assert any(r["pay_min"] == 8_000_000 and r["pay_max"] == 9_000_000 for r in rows)
+
+
+def test_fingerprint_oracle_can_fail(duck):
+    (row,) = duck(catalog.ORACLE_SQL["publish_unchanged"], SF).to_pylist()
+    assert row["same"] is True
+    assert row["changed_same"] is False
+    assert row["mark"] != row["changed_mark"]
