@@ -53,7 +53,7 @@ ROWS, BANDS = 5, 40
 HASHES = ROWS * BANDS
 SKETCH = 1024
 SLACK = 0.15
-CHUNK, PIVOTS, MEET = 256, 16, 1024
+CHUNK, PIVOTS, MEET = 256, 16, 512
 #: Groups of chunks that meet are numbered from here, apart from the chunks themselves.
 APART = 1 << 32
 FILTER_BYTES = 1 << 25
