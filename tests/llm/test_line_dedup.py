@@ -78,3 +78,27 @@ def test_bloom_has_what_was_added():
     other = bloom.place(h ^ np.uint64(0xFFFF), *layout)
     assert bloom.test(bits, other[1] + (other[0] << layout[1])).all(axis=0).mean() < 0.05
     assert (bloom.unpacked(bloom.packed(np.unique(flat))) == np.unique(flat)).all()
+
+
+def test_null_text_counts_as_one_empty_line_in_the_query(spark, tmp_path, duck):
+    import duckdb
+
+    rows = [(1, None), (2, ""), (3, "a line of some length\nshort"), (4, "A line of some LENGTH \nshort"), (5, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    found = queries.op4_lines(spark, str(tmp_path)).toArrow()
+    c = duckdb.connect()
+    c.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert as_rows(found) == as_rows(c.sql(queries.OP4_SQL).to_arrow_table())
+
+
+def test_what_is_broadcast_is_bounded(spark, monkeypatch):
+    """A filter that holds more than may be broadcast is folded to the bound, and the result is the same."""
+    rows = [(i, "\n".join(f"a repeated line number {i % 40} {k}" for k in range(60)) + f"\nan own line of {i} here") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    expected = brute(rows)
+    for bound in (1 << 10, 1 << 14):
+        monkeypatch.setattr(line_dedup, "BROADCAST_BYTES", bound)
+        second, layout = line_dedup._second(docs, line_dedup.MIN_CODE_POINTS, "text")
+        assert second.nbytes <= bound
+        out = line_dedup.dedup_lines(docs, broadcast_keys=(0 if bound == 1 << 10 else 1 << 20)).collect()
+        assert Counter((r["doc_id"], r["n_lines"], r["n_dropped"], r["text"]) for r in out) == expected

@@ -84,10 +84,31 @@ def test_run_equals_its_stages(spark, stages):
     assert digest(corpus_pipeline.run(spark, SF).collect()) == digest(stages[-1])
 
 
-def test_empty_and_odd_documents(spark, odd, none):
-    for docs in (none, odd.withColumn("n_chars", odd.doc_id * 0)):
-        columns = docs.columns
-        for _, f in corpus_pipeline.STAGES[:-1]:
-            docs = f(spark, docs, SF)
-            assert [c for c in docs.columns] == [c for c in (*columns,) if c in docs.columns]
-        corpus_pipeline.STAGES[-1][1](spark, docs, SF).count()
+def test_empty_and_odd_documents(spark, odd, none, exact):  # noqa: F811
+    for given in (none, odd):
+        docs = given.withColumn("n_chars", given.doc_id * 0)
+        columns, before = docs.columns, docs.collect()
+        for name, f in corpus_pipeline.STAGES[:-1]:
+            docs = spark.createDataFrame(f(spark, docs, SF).collect(), f(spark, docs, SF).schema)
+            assert docs.columns == columns
+            rows = docs.collect()
+            # Ids and further columns come through as they were.
+            assert {r["doc_id"] for r in rows} <= {r["doc_id"] for r in before}
+            assert {r[c] for r in rows for c in columns if c not in ("doc_id", "text", "source", "n_chars")} <= {"-"}
+            if name == "line dedup":
+                expected = dedup_by_brute_force([(r["doc_id"], r["text"]) for r in before])
+                assert Counter((r["doc_id"], r["text"] or "") for r in rows) == Counter({(d, t or ""): n for (d, _, _, t), n in expected.items()})
+            if name == "near-dedup":
+                components, _ = groups_by_brute_force([(r["doc_id"], r["text"]) for r in before], 5)
+                assert texts(rows) == texts([r for r in before if components[r["doc_id"]] == r["doc_id"]])
+            if name == "mixing":
+                assert set(texts(rows)) <= set(texts(before))
+                assert max(texts(rows).values(), default=0) <= 3 * max(texts(before).values(), default=1)
+            before = rows
+        packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
+        whole = Counter((r["doc_id"], len(exact(r["text"]))) for r in before)
+        first = Counter((r["doc_id"], r["length"]) for r in packed if r["piece"] == 0)
+        assert sum(first.values()) == sum(whole.values())
+        assert sum(r["length"] for r in packed) == sum(n * k for (_, n), k in whole.items())
+        assert Counter(d for d, _ in first.elements()) == Counter(d for d, _ in whole.elements())
+        assert (len(packed) == 0) == (given is none)

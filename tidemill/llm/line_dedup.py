@@ -15,8 +15,14 @@ more loses all its lines except those in the smallest document id holding it.
 3. The digests of confirmed keys go back to the lines: broadcast while they are at most
    ``BROADCAST_KEYS``, else to the suspect documents alone, joined by document id.
 
-Nulls: a null or empty text is one empty line.  A null document id comes first in order.  Rows that
-share a document id are one document: a key in no other document stays in all of them.
+Nulls: a null or empty text is one empty line; a null one stays null.  A null document id comes first in
+order.  Rows that share a document id are one document: a key in no other document stays in all of
+them, so there are no ties.  A very long text is split by one task in memory of a few times its size.
+An empty table gives no rows.  Columns named like the added ones are replaced, other columns stay,
+whatever their names.
+
+The driver holds the second filter (``BROADCAST_BYTES`` at most) and, when they are broadcast, the
+digests (``BROADCAST_KEYS`` of 24 bytes), whatever the corpus.
 """
 
 from __future__ import annotations

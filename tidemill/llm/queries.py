@@ -52,7 +52,7 @@ def op3_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that an earlier document holds, as a digest."""
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
 OP4_SQL = r"""
