@@ -5,8 +5,7 @@ and further columns.  A null text counts as empty: it is scored as such, is one
 nothing, has no words and packs as its end token.  A null id comes before all others, and rows of
 one id are one document where documents are compared: they stay or go together, unless the scores
 of their texts differ, and share the copies that the mix takes of them evenly, rounded.  Otherwise
-rows are treated each for itself.  Further columns stay; those that line dedup would add
-(n_lines, n_dropped) are replaced by its own if they are there.
+rows are treated each for itself.  Further columns stay as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,7 +27,9 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def first_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep repeated lines only in their first document; a document that has no other lines stays, empty."""
-    out = line_dedup.dedup_lines(docs)
+    # Columns that are named like those that it adds are kept under other names meanwhile.
+    aside = {c: f"__tidemill_{c}" for c in docs.columns if c.lower() in ("n_lines", "n_dropped")}
+    out = line_dedup.dedup_lines(docs.withColumnsRenamed(aside)).drop("n_lines", "n_dropped").withColumnsRenamed({v: k for k, v in aside.items()})
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
