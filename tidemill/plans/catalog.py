@@ -10,7 +10,6 @@ import hashlib
 import http.server
 import json
 import threading
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -315,7 +314,7 @@ def _listing(docs: DataFrame) -> DataFrame:
 @query("""SELECT 'd' || doc_id AS posting_id, 'https://' || source || '.example/' || doc_id AS url, lang AS title, md5(text) AS digest, CAST(n_chars AS BIGINT) AS n_chars FROM documents""")
 def landed_parse(spark, sf_dir):
     """Every document published as JSON lines and parsed as a landed snapshot, with the field that the schema does not have."""
-    path = f"{scratch.shared_dir(spark)}/tidemill-landed-{uuid.uuid4().hex}"
+    path = scratch.place(spark, "landed")
     publish.write_lines(_listing(table(spark, sf_dir, "documents")), path)
     read = landing.read_snapshot(spark, path, lines=True, rest="rest")
     return read.select("posting_id", "url", "title", F.md5("text").alias("digest"), F.try_variant_get("rest", "$.n_chars", "bigint").alias("n_chars"))
@@ -357,7 +356,7 @@ def _nations(spark, sf_dir) -> DataFrame:
 @query("SELECT 'n' || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS posting_id, n_name AS title, true AS not_modified FROM nation")
 def fetch_snapshot(spark, sf_dir):
     """A small listing served over HTTP, fetched and parsed; asked again with its validator, it is not modified."""
-    folder = f"{scratch.shared_dir(spark)}/tidemill-fetched-{uuid.uuid4().hex}"
+    folder = scratch.place(spark, "fetched")
     nations = _nations(spark, sf_dir)
     publish.write_array(nations, ["posting_id"], f"{folder}/listing.json", nations.count())
     with _Serving(files.read_text(spark, f"{folder}/listing.json").encode()) as url:
@@ -370,7 +369,7 @@ def fetch_snapshot(spark, sf_dir):
   true AS first, false AS second, true AS third, false AS published_twice FROM nation""")
 def poll_listing(spark, sf_dir):
     """A consumer's polls of a published listing: a body, none while nothing changes, and a body after a change."""
-    out, nations = f"{scratch.shared_dir(spark)}/tidemill-polled-{uuid.uuid4().hex}", _nations(spark, sf_dir)
+    out, nations = scratch.place(spark, "polled"), _nations(spark, sf_dir)
     publish.publish(nations, nations, out, ["posting_id"])
     first, mark = publish.read_if_changed(spark, out, None)
     twice = publish.publish(nations.repartition(3), nations, out, ["posting_id"])

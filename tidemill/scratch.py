@@ -32,12 +32,18 @@ def shared_dir(spark: SparkSession) -> str:
     return _own[0]
 
 
+def place(spark: SparkSession, name: str) -> str:
+    """A path of its own in the shared folder, which goes when written tables go."""
+    path = f"{shared_dir(spark)}/tidemill-{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
 def written(df: DataFrame, name: str = "t") -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and return the table read back."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tidemill-{name}-{uuid.uuid4().hex}"
+    path = place(spark, name)
     df.write.parquet(path)
-    _made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
