@@ -7,7 +7,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from tests.conftest import DATA
+from tests.conftest import DATA, as_rows
 from tidemill.llm import mixing, queries
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -94,6 +94,20 @@ def test_query_takes_what_the_contract_says(spark):
             assert sum(left) == 0
 
 
+def test_query_equals_sql(spark, duck):
+    assert as_rows(queries.op10_mix(spark, f"{DATA}/sf0.01").toArrow()) == as_rows(duck(queries.OP10_SQL, "sf0.01"))
+
+
+def test_query_equals_sql_on_odd_rows(spark, tmp_path):
+    import duckdb
+
+    rows = [(i % 150, f"s{i % 5}" if i % 7 else None, None if i % 11 == 0 else "w " * (1 + i * i % 40)) for i in range(600)] + [(None, "s1", "x y")] * 40 + [(7, "s2", "same words")] * 900 + [(9, "void", "")]
+    spark.createDataFrame(rows, "doc_id long, source string, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    c = duckdb.connect()
+    c.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert as_rows(queries.op10_mix(spark, str(tmp_path)).toArrow()) == as_rows(c.sql(queries.OP10_SQL).to_arrow_table())
+
+
 def test_rows_that_one_id_or_text_shares_fill_no_block(spark, monkeypatch):
     monkeypatch.setattr(mixing, "APART", 1000)
     one = spark.range(100_000).select(F.lit(5).cast("long").alias("doc_id"), F.lit("a").alias("source"), F.expr("case when id % 2 = 0 then 'same text here' else concat('text number ', id, repeat(' w', id % 50)) end").alias("text"))

@@ -130,7 +130,8 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
     known = equal.join(solved, equal["_source"].eqNullSafe(solved["_source"]))
     full = F.when(F.col("target") > 0, float(MOST)).otherwise(0.0)
     known = known.withColumn("rate", F.when(F.col("lam").isNull(), full).otherwise(rate(F.col("size"), F.col("lam"))))
-    block = F.pmod(F.xxhash64(*own, "size"), F.ceil(F.col("n_docs") / BLOCK_ROWS))
+    name = F.md5(F.concat_ws(":", *(F.col(c).cast("string") for c in own), F.col("size").cast("string")))
+    block = F.pmod(F.conv(F.substring(name, 1, 8), 16, 10).cast("bigint"), F.ceil(F.col("n_docs") / BLOCK_ROWS))
     blocks = known.groupBy("sid", block.alias("_block")).agg(F.max("source_size").alias("source_size"), F.max("target").alias("target"), F.sort_array(F.collect_list(F.struct("size", *own, "rate", "n")), asc=False).alias("_rows"))
     blocks = blocks.withColumn("_copies", _copies(F.col("_rows")))
     taken = F.transform("_rows", lambda x, i: F.struct(x.alias("r"), F.get(F.col("_copies"), i).alias("copies")))

@@ -156,8 +156,66 @@ def op9_near(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of every document the mix takes so that sources come near their targets."""
     out = mixing.mix(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "rate", "copies")
+    return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "copies")
+
+
+OP10_SQL = rf"""
+WITH RECURSIVE s AS MATERIALIZED (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents
+)
+, k AS MATERIALIZED (SELECT source, size, count(*) AS n FROM s GROUP BY source, size)
+, o AS (SELECT source, CAST(sum(size * n) AS BIGINT) AS source_size, CAST(sum(n) AS BIGINT) AS n_docs, min(size) FILTER (size > 0) AS least FROM k GROUP BY source)
+, i AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS sid FROM o)
+, x AS (SELECT *, (sid - 1) % 3 + 1 AS w, source_size * {mixing.MOST} AS cap FROM i)
+, v AS (SELECT *, CAST(cap AS DOUBLE) / w AS ratio FROM x)
+, e AS (
+  SELECT *, CAST(CAST(sum(source_size) OVER () - coalesce(sum(cap) OVER before, 0) AS BIGINT) AS DOUBLE) / CAST(sum(w) OVER () - coalesce(sum(w) OVER before, 0) AS BIGINT) AS level
+  FROM v WINDOW before AS (ORDER BY ratio, sid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+)
+, t AS MATERIALIZED (
+  SELECT *, CASE WHEN ratio <= level THEN CAST(cap AS DOUBLE) ELSE coalesce(max(CASE WHEN ratio > level THEN level END) OVER (), 0) * w END AS target FROM e
+)
+, z AS MATERIALIZED (SELECT sid, size, n FROM k JOIN t ON k.source IS NOT DISTINCT FROM t.source)
+, dual AS (
+  SELECT 0 AS turn, sid, target, CAST(0 AS DOUBLE) AS lam, least(CAST(0 AS DOUBLE), ln(target / source_size) / least) AS lo, ln(CAST({mixing.MOST} AS DOUBLE)) / least AS hi, false AS done
+  FROM t WHERE target > 0 AND target / nullif(source_size, 0) < {mixing.MOST} * (1 - 1e-12)
+  UNION ALL
+  SELECT turn + 1, sid, target, CASE WHEN near THEN lam WHEN newton > low AND newton < high THEN newton ELSE (low + high) / 2 END, low, high, near
+  FROM (
+    SELECT turn, sid, target, lam, CASE WHEN g < target THEN lam ELSE lo END AS low, CASE WHEN g > target THEN lam ELSE hi END AS high,
+      lam - (g - target) / nullif(h, 0) AS newton, abs(g - target) <= greatest(target * {mixing.NEAR}, 0.5) AS near
+    FROM (
+      SELECT turn, sid, target, lam, lo, hi, CAST(sum(CAST(round(tokens * {mixing.UNIT}) AS HUGEINT)) AS DOUBLE) / {mixing.UNIT} AS g,
+        CAST(sum(CAST(round(CASE WHEN r < {mixing.MOST} THEN tokens * size ELSE 0 END * {mixing.UNIT}) AS HUGEINT)) AS DOUBLE) / {mixing.UNIT} AS h
+      FROM (
+        SELECT *, n * size * r AS tokens FROM (
+          SELECT turn, dual.sid, target, lam, lo, hi, size, n, least(CAST({mixing.MOST} AS DOUBLE), exp(least(lam * size, 2))) AS r
+          FROM dual JOIN z ON dual.sid = z.sid WHERE NOT done AND turn < {mixing.ITERATIONS}))
+      GROUP BY turn, sid, target, lam, lo, hi))
+)
+, f AS MATERIALIZED (SELECT sid, arg_max(lam, turn) AS lam FROM dual GROUP BY sid)
+, d AS (
+  SELECT t.sid, doc_id, size, source_size, target, lam, n_docs, count(*) AS n
+  FROM s JOIN t ON s.source IS NOT DISTINCT FROM t.source LEFT JOIN f ON f.sid = t.sid GROUP BY ALL
+)
+, b AS (
+  SELECT *, CASE WHEN lam IS NOT NULL THEN least(CAST({mixing.MOST} AS DOUBLE), exp(least(lam * size, 2))) WHEN target > 0 THEN {mixing.MOST} ELSE 0 END AS rate,
+    CAST('0x' || substr(md5(concat_ws(':', doc_id, size)), 1, 8) AS BIGINT) % CAST(ceil(n_docs / {mixing.BLOCK_ROWS}) AS BIGINT) AS block FROM d
+)
+, r AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY sid, block ORDER BY size DESC, doc_id DESC NULLS LAST) AS pos FROM b)
+, c AS (
+  SELECT sid, block, pos, doc_id, size, source_size, target, n, copies, want - copies * size AS over
+  FROM (SELECT *, CASE WHEN size = 0 THEN n ELSE greatest(0, least({mixing.MOST} * n, CAST(round(want / size) AS BIGINT))) END AS copies FROM (SELECT *, rate * size * n AS want FROM r WHERE pos = 1))
+  UNION ALL
+  SELECT sid, block, pos, doc_id, size, source_size, target, n, copies, want - copies * size
+  FROM (
+    SELECT *, CASE WHEN size = 0 THEN n ELSE greatest(0, least({mixing.MOST} * n, CAST(round(want / size) AS BIGINT))) END AS copies
+    FROM (SELECT r.*, c.over + rate * r.size * r.n AS want FROM c JOIN r ON r.sid = c.sid AND r.block = c.block AND r.pos = c.pos + 1))
+)
+, u AS (SELECT *, unnest(range(n)) AS p FROM c)
+SELECT doc_id, size, source_size, target, CAST((copies // n + CAST(p < copies % n AS BIGINT)) * size AS BIGINT) AS taken, CAST(copies // n + CAST(p < copies % n AS BIGINT) AS INTEGER) AS copies FROM u
+"""
 
 
 QUERIES = {"op1_pack": op1_pack, "op2_fingerprint": op2_fingerprint, "op3_shard": op3_shard, "op4_lines": op4_lines, "op5_quality": op5_quality, "op6_secrets": op6_secrets, "op7_vectors": op7_vectors, "op8_toxicity": op8_toxicity, "op9_near": op9_near, "op10_mix": op10_mix}
-ORACLE_SQL: dict[str, str] = {"op4_lines": OP4_SQL, "op7_vectors": OP7_SQL, "op9_near": OP9_SQL}
+ORACLE_SQL: dict[str, str] = {"op4_lines": OP4_SQL, "op7_vectors": OP7_SQL, "op9_near": OP9_SQL, "op10_mix": OP10_SQL}
