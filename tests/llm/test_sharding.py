@@ -7,7 +7,7 @@ from collections import defaultdict
 
 from pyspark.sql import functions as F
 
-from tests.conftest import DATA
+from tests.conftest import DATA, as_rows
 from tidemill.llm import queries, sharding
 
 
@@ -96,6 +96,21 @@ def test_query_as_registered(spark):
     assert max(sums.values()) - min(sums.values()) <= 0.01 * share
 
 
+def test_query_equals_sql(spark, duck):
+    assert as_rows(queries.op3_shard(spark, f"{DATA}/sf0.01").toArrow()) == as_rows(duck(queries.OP3_SQL, "sf0.01"))
+
+
+def test_query_equals_sql_on_odd_rows(spark, tmp_path):
+    import duckdb
+
+    rng = random.Random(6)
+    rows = [(rng.choice([None, *range(300)]), rng.choice([None, "", "é ü", "x" * rng.randint(1, 60_000), f"copy {rng.randrange(9)}"])) for _ in range(500)]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    c = duckdb.connect()
+    c.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert as_rows(queries.op3_shard(spark, str(tmp_path)).toArrow()) == as_rows(c.sql(queries.OP3_SQL).to_arrow_table())
+
+
 def test_size_classes_are_few_and_near(spark):
     sizes = sorted({x for b in range(48) for x in ((1 << b) - 1, 1 << b, (1 << b) + 1, 3 << b) if x})
     found = spark.createDataFrame([(x,) for x in sizes], "x long").select("x", sharding.size_class(F.col("x")).alias("c")).collect()

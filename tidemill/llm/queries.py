@@ -49,6 +49,53 @@ def op3_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def _crc_step(value: int) -> int:
+    for _ in range(8):
+        value = value >> 1 ^ 0xEDB88320 * (value & 1)
+    return value
+
+
+#: The shards of all texts, as long as no group of equal texts exceeds an even share and neither a size class nor
+#: a shard has more rows than one task numbers; beyond that the numbering goes by hashes that SQL does not have.
+#: ``fit`` is the packing at one capacity after another, a run of a size class at a time.
+OP3_SQL = rf"""
+WITH RECURSIVE g AS MATERIALIZED (
+  SELECT sha256(coalesce(text, '')) AS group_id, strlen(coalesce(text, '')) + 1 AS size, count(*) * (strlen(coalesce(text, '')) + 1) AS unit,
+    regexp_extract_all(hex(encode(coalesce(text, ''))), '..') AS raw
+  FROM documents GROUP BY coalesce(text, '')
+)
+, k AS MATERIALIZED (
+  SELECT group_id, size, CAST(ceil(unit / pow(2, greatest(0, length(bin(unit)) - {sharding.CLASS_BITS}))) * pow(2, greatest(0, length(bin(unit)) - {sharding.CLASS_BITS})) AS BIGINT) AS unit,
+    xor(list_reduce(list_prepend(4294967295, list_transform(raw, lambda x: CAST('0x' || x AS BIGINT))), lambda c, b: xor(c >> 8, ({[_crc_step(i) for i in range(256)]})[(xor(c, b) & 255) + 1])), 4294967295) AS crc
+  FROM g
+)
+, n AS (SELECT unit, count(*) AS n FROM k GROUP BY unit)
+, p AS MATERIALIZED (SELECT list(unit ORDER BY unit DESC) AS units, list(n ORDER BY unit DESC) AS counts, greatest(CAST(ceil(sum(unit * n) / {SHARDS}) AS BIGINT), max(unit), 1) AS least FROM n)
+, fit AS (
+  SELECT 0 AS step, CAST(0 AS BIGINT) AS more, 1 AS i, counts[1] AS left_, CAST([] AS STRUCT(room BIGINT, box INTEGER)[]) AS bins, CAST(NULL AS INTEGER) AS box, CAST(0 AS BIGINT) AS took, 0 AS unit_at
+  FROM p WHERE len(units) > 0
+  UNION ALL
+  SELECT step + 1, CASE WHEN failed THEN greatest(1, 2 * more) ELSE more END,
+    CASE WHEN failed THEN 1 WHEN left_ = n THEN i + 1 ELSE i END, CASE WHEN failed THEN counts[1] WHEN left_ = n THEN counts[i + 1] ELSE left_ - n END,
+    CASE WHEN failed THEN [] ELSE list_append(list_filter(bins, lambda b: b.box <> best.box), struct_pack(room := best.room - n * size, box := best.box)) END,
+    CASE WHEN NOT failed THEN best.box END, CASE WHEN failed THEN 0 ELSE n END, i
+  FROM (
+    SELECT *, best IS NULL AS failed, CASE WHEN best IS NULL THEN 0 ELSE least(left_, best.room // size) END AS n
+    FROM (
+      SELECT *, coalesce(list_min(list_filter(bins, lambda b: b.room >= size)), CASE WHEN len(bins) < {SHARDS} THEN struct_pack(room := least + more, box := CAST(len(bins) AS INTEGER)) END) AS best
+      FROM (SELECT fit.*, units, counts, least, units[i] AS size FROM fit, p WHERE i <= len(units))))
+)
+, done AS (SELECT step, unit_at, box, took, sum(took) OVER (PARTITION BY unit_at ORDER BY step) AS upto FROM fit WHERE box IS NOT NULL AND more = (SELECT max(more) FROM fit))
+, ranked AS (SELECT group_id, size, crc, unit, row_number() OVER (PARTITION BY unit ORDER BY group_id) AS rank FROM k)
+, home AS MATERIALIZED (
+  SELECT group_id, size, crc, box FROM ranked JOIN p ON true JOIN done ON done.unit_at = list_position(units, unit) AND rank > upto - took AND rank <= upto
+)
+SELECT doc_id, CAST(size AS BIGINT) AS size, crc AS text_crc32, 'bytes' AS law, box AS shard,
+  CAST(row_number() OVER (PARTITION BY box ORDER BY doc_id NULLS FIRST, group_id) - 1 AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM documents JOIN home ON sha256(coalesce(text, '')) = group_id
+"""
+
+
 def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that an earlier document holds, as a digest."""
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -218,4 +265,4 @@ SELECT doc_id, size, source_size, target, CAST((copies // n + CAST(p < copies %
 
 
 QUERIES = {"op1_pack": op1_pack, "op2_fingerprint": op2_fingerprint, "op3_shard": op3_shard, "op4_lines": op4_lines, "op5_quality": op5_quality, "op6_secrets": op6_secrets, "op7_vectors": op7_vectors, "op8_toxicity": op8_toxicity, "op9_near": op9_near, "op10_mix": op10_mix}
-ORACLE_SQL: dict[str, str] = {"op4_lines": OP4_SQL, "op7_vectors": OP7_SQL, "op9_near": OP9_SQL, "op10_mix": OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_shard": OP3_SQL, "op4_lines": OP4_SQL, "op7_vectors": OP7_SQL, "op9_near": OP9_SQL, "op10_mix": OP10_SQL}
