@@ -74,7 +74,7 @@ def test_copies_of_members_grow_with_the_group_and_no_faster(spark):
     per = []
     for n in (2_000, 8_000, 32_000):
         docs = spark.createDataFrame(template(n), "id long, t string").repartition(4)
-        reps = near_dedup._signatures(docs, 5).select("id", "bands", "sketch")
+        reps = near_dedup._signatures(docs, 5).select("id", "a", "bands", "sketch")
         members = near_dedup._members(reps)
         homes = members.filter("home").count()
         assert homes <= near_dedup.BANDS * n
@@ -83,6 +83,34 @@ def test_copies_of_members_grow_with_the_group_and_no_faster(spark):
     assert max(per) <= near_dedup.BANDS * (1 + 2 * near_dedup.PIVOTS / near_dedup.CHUNK)
 
 
+@pytest.mark.parametrize("key", [None, 7])
+def test_copies_of_members_grow_with_the_texts_of_one_id_and_no_faster(spark, key):
+    per = []
+    for n in (500, 2_000):
+        docs = spark.createDataFrame([(key or near_dedup._NONE, t) for _, t in template(n)], "id long, t string").repartition(4)
+        members = near_dedup._members(near_dedup._signatures(docs, 5).select("id", "a", "bands", "sketch"))
+        per.append(members.count() / n)
+    assert per[1] <= 1.2 * per[0]
+
+
+def test_many_texts_of_one_id(spark):
+    """A third of the rows without an id, a third of one id, and repeated rows; near copies link across them."""
+    texts, rng = [t for _, t in template(60, 61)], random.Random(3)
+    apart = [" ".join(f"a{i}b{k}" for k in range(30)) for i in range(300)]
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else 1000 + i, t) for i, t in enumerate(apart)]
+    rows += [(2000 + i, t + " end") for i, t in enumerate(apart[:40])] + [(3000 + i, t) for i, t in enumerate(texts)]
+    rows += [(7, apart[1])] * 200 + [(7, texts[0])] * 50
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert ours(df, 5)[0] == brute(rows, 5)[0]
+
+
+def test_sets_are_there_once(spark):
+    rows = [(7, "one two three four five six")] * 40 + [(7, "other words than these are five")] * 3 + [(9, "one two three four five six")]
+    docs = spark.createDataFrame(rows, "id long, t string").repartition(4)
+    assert near_dedup._sets(docs, docs.select("id").distinct(), 5).count() == 3
+
+
 def test_a_large_group_is_one_component_without_meetings(spark, monkeypatch):
     met = []
     real = near_dedup._meetings

@@ -28,7 +28,8 @@ size, goes to the scan of the texts.
 
 Nulls: a null text is empty; an empty set links with nothing.  Each row of a repeated id is
 compared by its own text, and links that reach one of its texts reach all; one without words stands
-alone.  A null id comes first in order, and is null again in the result.  A very long text is hashed
+alone.  Sketches, bands and sets are joined by id and digest of the set, so that work and copies grow in
+proportion to the texts of an id, however many.  A null id comes first in order, and is null again in the result.  A very long text is hashed
 piece by piece and held once with its set.  Repeated rows and equal texts are one class, compared
 once.  An empty table gives no rows.  Of further columns, whatever their names, none is read.
 """
@@ -57,6 +58,8 @@ CHUNK, PIVOTS, MEET = 256, 16, 512
 #: Groups of chunks that meet are numbered from here, apart from the chunks themselves.
 APART = 1 << 32
 FILTER_BYTES = 1 << 25
+#: What tells one text's set from others: its id and its digest, as many texts may have one id.
+KEY = ["id", "a"]
 _NONE = -(1 << 63)
 _A = mix(np.arange(1, HASHES + 1, dtype=U64) * U64(0x9E3779B97F4A7C15)) | U64(1)
 _B = mix(np.arange(1, HASHES + 1, dtype=U64) * U64(0xC2B2AE3D27D4EB4F))
@@ -110,6 +113,15 @@ def bits_apart(similarity: float) -> int:
     return int(SKETCH / 2 * (1 - np.exp(-4 * HASHES * (1 - similarity) / SKETCH)))
 
 
+def _digest(flat: np.ndarray, n: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A sum over each set that is not empty, whatever its order; the same for equal sets."""
+    some = n > 0
+    out = np.zeros(len(n), dtype=U64)
+    if some.any():
+        out[some] = np.add.reduceat(mix(flat ^ U64(seed)), (np.cumsum(n) - n)[some])
+    return out
+
+
 def _signatures(docs: DataFrame, width: int) -> DataFrame:
     schema = "id long, n long, a long, b long, bands array<long>, sketch binary"
 
@@ -117,12 +129,9 @@ def _signatures(docs: DataFrame, width: int) -> DataFrame:
         for rows, data, offsets in slices(batches, "t"):
             flat, n = sets_of(data, offsets, width)
             some = n > 0
-            starts = (np.cumsum(n) - n)[some]
-            digest = np.zeros((2, len(n)), dtype=U64)
+            digest = _digest(flat, n), _digest(flat, n, 0xD6E8FEB86659FD93)
             bands, sketch = [None] * len(n), [None] * len(n)
             if some.any():
-                digest[0, some] = np.add.reduceat(mix(flat), starts)
-                digest[1, some] = np.add.reduceat(mix(flat ^ U64(0xD6E8FEB86659FD93)), starts)
                 sampled = samples(flat, n)
                 for i, x, y in zip(np.flatnonzero(some).tolist(), signed(band_hashes(sampled)), odd_sketches(sampled), strict=True):
                     bands[i], sketch[i] = x, y.tobytes()
@@ -158,7 +167,7 @@ class _Group:
         column = {n: table.column(n) for n in table.column_names}
         order = np.argsort(column["id"].to_numpy(), kind="stable")
         self.rows = table.take(pa.array(order))
-        self.ids, self.chunk = column["id"].to_numpy()[order], column["chunk"].to_numpy()[order]
+        self.ids, self.sets, self.chunk = (column[c].to_numpy()[order] for c in ("id", "a", "chunk"))
         self.bits = np.frombuffer(b"".join(column["sketch"].to_pylist()), dtype=np.uint64).reshape(-1, SKETCH // 64)[order]
         self.two = column["j"][0].as_py() >= APART
 
@@ -201,24 +210,24 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.n
 
 
 def _members(reps: DataFrame) -> DataFrame:
-    """(bucket, m, i, j, chunk, home, pos, id, sketch): every member at home in a chunk of each bucket, pivots in all its chunks."""
-    banded = reps.select("id", F.posexplode("bands").alias("pos", "band")).select(F.xxhash64("pos", "band").alias("bucket"), "pos", "id")
+    """(bucket, m, i, j, chunk, home, pos, id, a, sketch): every member at home in a chunk of each bucket, pivots in all its chunks."""
+    banded = reps.select(*KEY, F.posexplode("bands").alias("pos", "band")).select(F.xxhash64("pos", "band").alias("bucket"), "pos", *KEY)
     sizes = banded.groupBy("bucket").agg(F.count("*").alias("m")).filter("m > 1")
     chunks = F.ceil(F.col("m") / CHUNK)
-    own = F.pmod(F.xxhash64("id"), chunks)
-    pivot = (chunks > 1) & (F.pmod(F.xxhash64("bucket", "id"), F.col("m")) < PIVOTS)
+    own = F.pmod(F.xxhash64(*KEY), chunks)
+    pivot = (chunks > 1) & (F.pmod(F.xxhash64("bucket", *KEY), F.col("m")) < PIVOTS)
     every = F.sequence(F.lit(0).cast("long"), chunks - 1)
-    dealt = banded.join(sizes, "bucket").join(reps.select("id", "sketch"), "id").withColumn("own", own)
+    dealt = banded.join(sizes, "bucket").join(reps.select(*KEY, "sketch"), KEY).withColumn("own", own)
     dealt = dealt.withColumn("i", F.explode(F.when(pivot, every).otherwise(F.array("own"))))
-    return dealt.select("bucket", "m", "i", F.col("i").alias("j"), F.lit(0).alias("chunk"), (F.col("i") == F.col("own")).alias("home"), "pos", "id", "sketch")
+    return dealt.select("bucket", "m", "i", F.col("i").alias("j"), F.lit(0).alias("chunk"), (F.col("i") == F.col("own")).alias("home"), "pos", *KEY, "sketch")
 
 
 def _meetings(members: DataFrame, parts: DataFrame) -> DataFrame:
-    """(bucket, i, j, chunk, pos, id, part, sketch): in buckets of several chunks, what lies outside the largest component meets all the rest.
+    """(bucket, i, j, chunk, pos, id, a, part, sketch): in buckets of several chunks, what lies outside the largest component meets all the rest.
 
     Nothing is joined by bucket alone, so that a bucket of very many members needs no task of its own.
     """
-    own = members.filter((F.col("m") > CHUNK) & F.col("home")).select("bucket", "m", "i", "pos", "id", "sketch").join(parts, "id", "left")
+    own = members.filter((F.col("m") > CHUNK) & F.col("home")).select("bucket", "m", "i", "pos", *KEY, "sketch").join(parts, "id", "left")
     own = own.withColumn("part", F.coalesce("component", "id"))
     largest = own.groupBy("bucket", "m", "part").agg(F.count("*").alias("n")).groupBy("bucket", "m").agg(F.max(F.struct("n", "part")).alias("top"))
     largest = largest.filter("m > top.n").select("bucket", F.col("top.part").alias("main"), (F.col("m") - F.col("top.n")).alias("r"), F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("m") / CHUNK) - 1)).alias("i"))
@@ -226,9 +235,9 @@ def _meetings(members: DataFrame, parts: DataFrame) -> DataFrame:
     several = CHUNK * max(1, MEET // CHUNK)
     hosts, guests = F.ceil(F.col("m") / several), F.ceil(F.col("r") / MEET)
     upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
-    rest = ["pos", "id", "part", "sketch"]
+    rest = ["pos", *KEY, "part", "sketch"]
     at_home = own.select("bucket", F.pmod("i", hosts).alias("i"), upto(guests).alias("k"), F.lit(0).alias("chunk"), *rest)
-    visiting = own.filter("part <> main").select("bucket", upto(hosts).alias("i"), F.pmod(F.xxhash64("id", F.lit(1)), guests).alias("k"), F.lit(1).alias("chunk"), *rest)
+    visiting = own.filter("part <> main").select("bucket", upto(hosts).alias("i"), F.pmod(F.xxhash64(*KEY, F.lit(1)), guests).alias("k"), F.lit(1).alias("chunk"), *rest)
     return at_home.unionByName(visiting).select("bucket", "i", (F.col("k") + APART).alias("j"), "chunk", *rest)
 
 
@@ -238,39 +247,42 @@ def _by_group(members: DataFrame) -> DataFrame:
 
 
 def _forests(members: DataFrame, most: int) -> DataFrame:
-    """Pairs (x, y) of forests that join what candidates join; and (bucket, i, j) of groups with further candidates."""
-    names = ["x", "y", "bucket", "i", "j"]
+    """Pairs (x, xa, y, ya) of forests that join what candidates join; and (bucket, i, j) of groups with further candidates."""
+    names = ["x", "xa", "y", "ya", "bucket", "i", "j"]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, bounds in _grouped(batches):
-            ids = table.column("id").to_numpy()
+            keys = np.stack([table.column(c).to_numpy() for c in KEY])
             bits = np.frombuffer(b"".join(table.column("sketch").to_pylist()), dtype=np.uint64).reshape(-1, SKETCH // 64)
             size = np.diff(bounds)
             # Groups of two, the most frequent by far, at once.
             at = bounds[:-1][size == 2]
             at = at[np.bitwise_count(bits[at] ^ bits[at + 1]).sum(axis=1, dtype=np.int64) <= most]
-            pairs, more = [np.stack([ids[at], ids[at + 1]])], []
+            pairs, more = [np.concatenate([keys[:, at], keys[:, at + 1]])], []
             for a, n in zip(bounds[:-1][size > 2].tolist(), size[size > 2].tolist(), strict=True):
                 group = _Group(table.slice(a, n))
                 near = np.zeros((n, n), dtype=bool)
                 for i in range(n - 1):
                     near[i, i + 1 :] = near[i + 1 :, i] = group.near(i, most)
                 forest = np.array(_forest(near), dtype=np.int64).reshape(-1, 2)
-                pairs.append(group.ids[forest].T)
+                pairs.append(np.concatenate([[group.ids[k], group.sets[k]] for k in forest.T]))
                 if near.sum() > 2 * len(forest):
                     more.append([table.column(k)[a].as_py() for k in ("bucket", "i", "j")])
-            x, y = np.concatenate(pairs, axis=1)
-            rows = [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), *[pa.nulls(len(x), pa.int64())] * 3]
+            # Texts of one id are one document: they need no link.  The smaller id comes first.
+            found = np.concatenate(pairs, axis=1)
+            found = found[:, found[0] != found[2]]
+            found = np.where(found[0] < found[2], found, found[[2, 3, 0, 1]])
+            rows = [*(pa.array(c) for c in found), *[pa.nulls(found.shape[1], pa.int64())] * 3]
             yield pa.RecordBatch.from_arrays(rows, names=names)
             if more:
-                yield pa.RecordBatch.from_arrays([*[pa.nulls(len(more), pa.int64())] * 2, *(pa.array(c) for c in zip(*more, strict=True))], names=names)
+                yield pa.RecordBatch.from_arrays([*[pa.nulls(len(more), pa.int64())] * 4, *(pa.array(c) for c in zip(*more, strict=True))], names=names)
 
-    rows = members.select("bucket", "i", "j", "chunk", "id", "sketch")
-    return written(_by_group(rows).mapInArrow(compare, "x long, y long, bucket long, i long, j long"), "forests")
+    rows = members.select("bucket", "i", "j", "chunk", *KEY, "sketch")
+    return written(_by_group(rows).mapInArrow(compare, "x long, xa long, y long, ya long, bucket long, i long, j long"), "forests")
 
 
 def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """(id, s): the full sets of these ids' texts; a few others may be among them."""
+    """(id, a, s): the full sets of these ids' texts, each once; a few others may be among them."""
     shared = docs.sparkSession.sparkContext.broadcast(bloom.of(ids, "id", FILTER_BYTES))
 
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,18 +291,24 @@ def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
             flat, n = sets_of(data, offsets, width)
             # Sorted as signed numbers, as they are kept.
             sets = [np.sort(signed(x)) for x in np.split(flat, np.cumsum(n)[:-1])]
-            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["id", "s"])
+            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(signed(_digest(flat, n))), pa.array(sets, pa.list_(pa.int64()))], names=[*KEY, "s"])
 
-    return written(docs.mapInArrow(full, "id long, s array<long>"), "sets")
+    out = written(docs.mapInArrow(full, "id long, a long, s array<long>"), "sets")
+    # Only where rows are repeated are the sets shuffled once more, to be there once.
+    if out.groupBy(*KEY).count().filter("count > 1").isEmpty():
+        return out
+    return written(out.dropDuplicates(KEY), "sets")
 
 
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (x, y) whose full sets are similar enough; a pair of repeated ids may come repeatedly.
+    """The pairs (x, y) of (x, xa, y, ya) whose full sets are similar enough; those of several texts may come repeatedly.
 
     Nothing after the joins needs a key's rows together, so a first document of very many pairs can
     be split among tasks.
     """
-    both = pairs.join(sets.select(F.col("id").alias("y"), F.col("s").alias("t")), "y").join(sets.select(F.col("id").alias("x"), "s"), "x")
+    first = sets.select(F.col("id").alias("x"), F.col("a").alias("xa"), "s")
+    second = sets.select(F.col("id").alias("y"), F.col("a").alias("ya"), F.col("s").alias("t"))
+    both = pairs.join(second, ["y", "ya"]).join(first, ["x", "xa"])
     common = F.size(F.array_intersect("s", "t")).cast("long")
     both = both.select("x", "y", common.alias("c"), (F.size("s").cast("long") + F.size("t") - common).alias("u"))
     return both.filter((F.col("c") * 100 >= F.col("u") * percent) & (F.col("c") > 0)).select("x", "y")
@@ -301,7 +319,7 @@ def _apart(members: DataFrame, forests: DataFrame, parts: DataFrame) -> DataFram
     further = members.join(forests.filter("bucket is not null").select("bucket", "i", "j").distinct(), ["bucket", "i", "j"], "left_semi")
     own = further.join(parts, "id", "left").withColumn("part", F.coalesce("component", "id"))
     several = own.groupBy("bucket", "i", "j").agg(F.min("part").alias("a"), F.max("part").alias("b")).filter("a < b")
-    return own.join(several.select("bucket", "i", "j"), ["bucket", "i", "j"], "left_semi").select("bucket", "i", "j", "chunk", "pos", "id", "part", "sketch")
+    return own.join(several.select("bucket", "i", "j"), ["bucket", "i", "j"], "left_semi").select("bucket", "i", "j", "chunk", "pos", *KEY, "part", "sketch")
 
 
 def _links_across(groups: DataFrame, reps: DataFrame, sets: DataFrame, docs: DataFrame, width: int, most: int, percent: int) -> DataFrame:
@@ -309,9 +327,9 @@ def _links_across(groups: DataFrame, reps: DataFrame, sets: DataFrame, docs: Dat
 
     First the members are found that have a candidate in another component; their sets follow.
     """
-    marked = groups.join(reps.select("id", "bands"), "id")
-    columns = ["bucket", "i", "j", "chunk", "pos", "id", "part", "sketch", "bands"]
-    schema = "bucket long, i long, j long, chunk int, pos int, id long, part long, sketch binary, bands array<long>"
+    marked = groups.join(reps.select(*KEY, "bands"), KEY)
+    columns = ["bucket", "i", "j", "chunk", "pos", *KEY, "part", "sketch", "bands"]
+    schema = "bucket long, i long, j long, chunk int, pos int, id long, a long, part long, sketch binary, bands array<long>"
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, bounds in _grouped(batches):
@@ -324,10 +342,10 @@ def _links_across(groups: DataFrame, reps: DataFrame, sets: DataFrame, docs: Dat
                     yield from group.rows.filter(pa.array(has)).to_batches()
 
     some = written(_by_group(marked.select(*columns)).mapInArrow(find, schema), "across")
-    missing = written(some.select("id").distinct().join(sets, "id", "left_anti"), "missing")
+    missing = written(some.select(*KEY).distinct().join(sets, KEY, "left_anti"), "missing")
     if not missing.isEmpty():
-        known = sets.select("id")
-        sets = sets.unionByName(_sets(docs, missing, width).join(known, "id", "left_anti"))
+        known = sets.select(*KEY)
+        sets = sets.unionByName(_sets(docs, missing, width).join(known, KEY, "left_anti"))
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, bounds in _grouped(batches):
@@ -350,7 +368,7 @@ def _links_across(groups: DataFrame, reps: DataFrame, sets: DataFrame, docs: Dat
             x, y = np.array(out, dtype=np.int64).reshape(-1, 2).T
             yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], names=["x", "y"])
 
-    return _by_group(some.join(sets, "id").select(*columns, "s")).mapInArrow(confirm, "x long, y long").distinct()
+    return _by_group(some.join(sets, KEY).select(*columns, "s")).mapInArrow(confirm, "x long, y long").distinct()
 
 
 def _same_ids(signatures: DataFrame, classes: DataFrame) -> DataFrame:
@@ -366,12 +384,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     signed_ = _signatures(own, width)
     classes = written(signed_.filter("n > 0").groupBy("n", "a", "b").agg(F.min("id").alias("rep")), "classes")
     reps = signed_.filter("n > 0").join(classes.withColumnRenamed("rep", "id"), ["n", "a", "b", "id"], "left_semi").dropDuplicates(["n", "a", "b", "id"])
-    reps = written(reps.select("id", "bands", "sketch"), "reps")
+    reps = written(reps.select(*KEY, "bands", "sketch"), "reps")
     members = written(_members(reps), "members")
 
     most = bits_apart(percent / 100 - SLACK)
     forests = _forests(members, most)
-    tried = written(forests.filter("x <> y").select("x", "y").distinct(), "candidates")
+    tried = written(forests.filter("x is not null").select("x", "xa", "y", "ya").distinct(), "candidates")
     sets = _sets(own, tried.select(F.explode(F.array("x", "y")).alias("id")).distinct(), width)
     links = written(_links(tried, sets, percent).unionByName(_same_ids(signed_, classes)), "links")
     found = components(links, "x", "y")
