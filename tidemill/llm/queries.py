@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import fingerprint, line_dedup, mixing, near_dedup, packing, quality, secrets, sharding, toxicity, vector_dedup
+from tidemill.llm import fingerprint, line_dedup, merkle, mixing, near_dedup, packing, quality, secrets, sharding, token_counts, toxicity, vector_dedup, whitening
 
 END_ID = 2
 SEQUENCE_TOKENS = 1024
@@ -264,5 +264,88 @@ SELECT doc_id, size, source_size, target, CAST((copies // n + CAST(p < copies %
 """
 
 
-QUERIES = {"op1_pack": op1_pack, "op2_fingerprint": op2_fingerprint, "op3_shard": op3_shard, "op4_lines": op4_lines, "op5_quality": op5_quality, "op6_secrets": op6_secrets, "op7_vectors": op7_vectors, "op8_toxicity": op8_toxicity, "op9_near": op9_near, "op10_mix": op10_mix}
-ORACLE_SQL: dict[str, str] = {"op3_shard": OP3_SQL, "op4_lines": OP4_SQL, "op7_vectors": OP7_SQL, "op9_near": OP9_SQL, "op10_mix": OP10_SQL}
+TOKEN_LIMIT = 2048
+
+
+def op11_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many tokens every document has, and whether they are more than a model takes."""
+    import public_tokenizers
+
+    out = token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in the Merkle manifest, and whether what is shown of it leads to the root."""
+    docs = table(spark, sf_dir, "documents")
+    own, shown = (merkle.leaf_of(*(F.col(c) for c in ("doc_id", "source", "lang", "n_chars")), text) for text in (F.col("text"), F.translate("text", UPPER, LOWER)))
+    rows = docs.select("doc_id", "lang", own.alias("leaf"), F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, shown).alias("shown"))
+    out = merkle.prove(rows, "leaf", "doc_id", "lang")
+    out = out.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"), merkle.fold(F.coalesce("shown", "leaf"), F.col("path")).alias("folded_root"))
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def _field_sql(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf_sql(text: str) -> str:
+    return "sha256(" + " || ".join(_field_sql(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+#: ``t`` is every node of the languages' trees, ``s`` every node above; ``up`` and ``over`` walk each leaf's path.
+OP12_SQL = rf"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT doc_id, coalesce('v' || lang, '') AS tree, {_leaf_sql("text")} AS leaf, {_leaf_sql(f"translate(text, '{UPPER}', '{LOWER}')")} AS lowered,
+    xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(CAST(doc_id AS VARCHAR))), '..'), lambda x: CAST('0x' || x AS BIGINT))),
+      lambda c, b: xor(c >> 8, ({[_crc_step(i) for i in range(256)]})[(xor(c, b) & 255) + 1])), 4294967295) % 3 = 0 AS tampered
+  FROM documents
+)
+, p AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM d)
+, t AS (
+  SELECT 0 AS lvl, tree, pos, n, leaf AS h FROM p
+  UNION ALL
+  SELECT lvl + 1, tree, pos // {merkle.ARITY}, (n + {merkle.ARITY - 1}) // {merkle.ARITY}, sha256(string_agg(h, '' ORDER BY pos)) FROM t WHERE n > 1 GROUP BY lvl, tree, pos // {merkle.ARITY}, n
+)
+, runs AS MATERIALIZED (SELECT lvl, tree, pos // {merkle.ARITY} AS run, list(h ORDER BY pos) AS hs FROM t WHERE n > 1 GROUP BY lvl, tree, pos // {merkle.ARITY})
+, tops AS MATERIALIZED (SELECT tree, h AS subroot, row_number() OVER (ORDER BY tree) - 1 AS rank, count(*) OVER () AS trees FROM t WHERE n = 1)
+, s AS (
+  SELECT 0 AS lvl, rank AS pos, trees AS n, subroot AS h FROM tops
+  UNION ALL
+  SELECT lvl + 1, pos // {merkle.ARITY}, (n + {merkle.ARITY - 1}) // {merkle.ARITY}, sha256(string_agg(h, '' ORDER BY pos)) FROM s WHERE n > 1 GROUP BY lvl, pos // {merkle.ARITY}, n
+)
+, above AS MATERIALIZED (SELECT lvl, pos // {merkle.ARITY} AS run, list(h ORDER BY pos) AS hs FROM s WHERE n > 1 GROUP BY lvl, pos // {merkle.ARITY})
+, up AS (
+  SELECT 0 AS lvl, tree, pos, n, doc_id, leaf, CASE WHEN tampered THEN coalesce(lowered, leaf) ELSE leaf END AS node, '' AS path FROM p
+  UNION ALL
+  SELECT up.lvl + 1, up.tree, pos // {merkle.ARITY}, (n + {merkle.ARITY - 1}) // {merkle.ARITY}, doc_id, leaf,
+    sha256(array_to_string(hs[1:pos % {merkle.ARITY}], '') || node || array_to_string(hs[pos % {merkle.ARITY} + 2:], '')), path || array_to_string(hs[1:pos % {merkle.ARITY}], '') || array_to_string(hs[pos % {merkle.ARITY} + 2:], '')
+  FROM up JOIN runs ON runs.lvl = up.lvl AND runs.tree = up.tree AND run = pos // {merkle.ARITY} WHERE n > 1
+)
+, over AS (
+  SELECT 0 AS lvl, rank AS pos, trees AS n, doc_id, leaf, subroot, node, path FROM up JOIN tops USING (tree) WHERE n = 1
+  UNION ALL
+  SELECT over.lvl + 1, pos // {merkle.ARITY}, (n + {merkle.ARITY - 1}) // {merkle.ARITY}, doc_id, leaf, subroot,
+    sha256(array_to_string(hs[1:pos % {merkle.ARITY}], '') || node || array_to_string(hs[pos % {merkle.ARITY} + 2:], '')), path || array_to_string(hs[1:pos % {merkle.ARITY}], '') || array_to_string(hs[pos % {merkle.ARITY} + 2:], '')
+  FROM over JOIN above ON above.lvl = over.lvl AND run = pos // {merkle.ARITY} WHERE n > 1
+)
+SELECT doc_id, leaf, subroot, root, sha256(path) AS proof_sha256, node AS folded_root, node = root AS verified
+FROM over, (SELECT h AS root FROM s WHERE n = 1) WHERE n = 1
+"""
+
+
+COMPONENTS = 32
+
+
+def op13_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's place along the components of most variance, and what share of all it is."""
+    out = whitening.whiten(table(spark, sf_dir, "embeddings"), most=COMPONENTS)
+    each = out.select("vec_id", "n", "deviation", "identity_error", F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "z"))
+    return each.select("vec_id", (F.col("at") + 1).alias("component"), "n", F.expr("try_cast(deviation AS BIGINT)").alias("deviation"), F.col("z.whitened").alias("whitened"), F.col("z.explained").alias("explained"), "identity_error")
+
+
+QUERIES = {"op1_pack": op1_pack, "op2_fingerprint": op2_fingerprint, "op3_shard": op3_shard, "op4_lines": op4_lines, "op5_quality": op5_quality, "op6_secrets": op6_secrets, "op7_vectors": op7_vectors, "op8_toxicity": op8_toxicity, "op9_near": op9_near, "op10_mix": op10_mix, "op11_tokens": op11_tokens, "op12_manifest": op12_manifest, "op13_whiten": op13_whiten}
+ORACLE_SQL: dict[str, str] = {"op3_shard": OP3_SQL, "op4_lines": OP4_SQL, "op7_vectors": OP7_SQL, "op9_near": OP9_SQL, "op10_mix": OP10_SQL, "op12_manifest": OP12_SQL}
