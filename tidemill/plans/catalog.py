@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemill import scratch
 from tidemill.functions import pages, rules
-from tidemill.operators import caching, compacting, scanning
+from tidemill.operators import asof, caching, compacting, intervals, phrases, scanning
 from tidemill.sources import files, landing, publish
 from tidemill.streaming import runs
 
@@ -385,3 +385,80 @@ def poll_listing(spark, sf_dir):
 def arrivals_15m(spark, sf_dir):
     """Arrivals per 15 minutes of event time."""
     return runs.arrivals(table(spark, sf_dir, "events").select("ts")).select(F.col("start").cast("timestamp_ntz").alias("start"), "n")
+
+
+@query("""SELECT e.event_id, o.event_id AS previous_id, o.event_type AS previous_type, o.value AS previous_value FROM events e ASOF LEFT JOIN (
+  SELECT x.*, t.event_type AS seen_from FROM events x JOIN (SELECT DISTINCT event_type FROM events) t ON x.event_type <> t.event_type) o
+  ON e.user_id = o.user_id AND e.event_type = o.seen_from AND e.ts > o.ts""")
+def asof_previous(spark, sf_dir):
+    """Every event with its user's last earlier event of another type."""
+    events = table(spark, sf_dir, "events").drop("props")
+    out = asof.asof_join(events, events, ["user_id"], "ts", ["event_id"], other="event_type", strict=True)
+    return out.select("event_id", F.col("match.event_id").alias("previous_id"), F.col("match.event_type").alias("previous_type"), F.col("match.value").alias("previous_value"))
+
+
+@query("""SELECT e.event_id, o.event_id AS purchase_id, o.value AS purchase_value FROM (SELECT * FROM events WHERE event_type <> 'purchase') e
+  ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'purchase') o ON e.user_id = o.user_id AND e.ts >= o.ts AND true
+  WHERE o.event_id IS NULL OR e.ts - o.ts <= INTERVAL '2 days'
+  UNION ALL SELECT e.event_id, NULL, NULL FROM (SELECT * FROM events WHERE event_type <> 'purchase') e
+  ASOF JOIN (SELECT * FROM events WHERE event_type = 'purchase') o ON e.user_id = o.user_id AND e.ts >= o.ts WHERE e.ts - o.ts > INTERVAL '2 days'""")
+def asof_purchase(spark, sf_dir):
+    """Every other event with its user's last purchase, if that was within two days."""
+    events = table(spark, sf_dir, "events").drop("props")
+    out = asof.asof_join(events.filter("event_type <> 'purchase'"), events.filter("event_type = 'purchase'"), ["user_id"], "ts", ["event_id"], within=F.expr("INTERVAL '2' DAY"))
+    return out.select("event_id", F.col("match.event_id").alias("purchase_id"), F.col("match.value").alias("purchase_value"))
+
+
+#: An order's window begins at a minute of the events' month that follows from its key.
+MONTH_START, MONTH_MINUTES, WINDOW_MINUTES = 1704067200, 43200, 90
+
+
+def _windows(orders: DataFrame, minutes) -> DataFrame:
+    start = (F.col("o_orderkey") * 173 % MONTH_MINUTES) * 60 + MONTH_START
+    return orders.select("o_orderkey", "o_custkey", F.floor(F.col("o_custkey") / 10).alias("user_id"), start.alias("start"), (start + minutes * 60).alias("end"))
+
+
+_DUCK_WINDOW = f"(o_orderkey * 173 % {MONTH_MINUTES}) * 60 + {MONTH_START}"
+
+
+@query(f"""SELECT event_id, o_orderkey FROM (SELECT event_id, user_id, CAST(floor(epoch(ts)) AS BIGINT) AS sec FROM events) e
+  JOIN (SELECT o_orderkey, o_custkey // 10 AS user_id, {_DUCK_WINDOW} AS start FROM orders) o
+  ON e.user_id = o.user_id AND sec >= start AND sec < start + {WINDOW_MINUTES * 60}""")
+def interval_events(spark, sf_dir):
+    """Every event within the 90 minutes of an order of its user; windows overlap."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", F.col("ts").cast("timestamp").cast("bigint").alias("at")).withColumn("next", F.col("at") + 1)
+    orders = _windows(table(spark, sf_dir, "orders"), F.lit(WINDOW_MINUTES))
+    out = intervals.interval_join(events, orders, ("at", "next"), ("start", "end"), WINDOW_MINUTES * 60, ["user_id"])
+    return out.select("left.event_id", "right.o_orderkey")
+
+
+_DUCK_LENGTH = "(o_orderkey % 12) * (o_orderkey % 12) * (o_orderkey % 12) * 60"
+
+
+@query(f"""WITH w AS (SELECT o_orderkey, o_custkey, {_DUCK_WINDOW} AS a, {_DUCK_WINDOW} + {_DUCK_LENGTH} AS z FROM orders)
+  SELECT x.o_orderkey AS first_key, y.o_orderkey AS second_key, least(x.z, y.z) - greatest(x.a, y.a) AS seconds
+  FROM w x JOIN w y ON x.o_custkey = y.o_custkey AND x.o_orderkey < y.o_orderkey AND x.a < y.z AND y.a < x.z AND x.a < x.z AND y.a < y.z""")
+def interval_overlaps(spark, sf_dir):
+    """Pairs of a customer's orders whose windows, of nothing to a day, overlap, and for how long."""
+    length = F.col("o_orderkey") % 12
+    orders = _windows(table(spark, sf_dir, "orders"), length * length * length)
+    out = intervals.interval_join(orders, orders, ("start", "end"), ("start", "end"), WINDOW_MINUTES * 60, ["o_custkey"]).filter(F.col("left.o_orderkey") < F.col("right.o_orderkey"))
+    return out.select(
+        F.col("left.o_orderkey").alias("first_key"), F.col("right.o_orderkey").alias("second_key"),
+        (F.least("left.end", "right.end") - F.greatest("left.start", "right.start")).alias("seconds"),
+    )
+
+
+THREE_WORDS = "[a-z]+ [a-z]+ [a-z]+"
+_AROUND = rules.word("WORDS").split("WORDS")
+
+
+@query(f"""WITH p AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '{THREE_WORDS}')) AS phrase FROM benchmark)
+  SELECT doc_id, phrase AS name, CAST(strpos(lower(text), phrase) - 1 AS BIGINT) AS first_at FROM documents JOIN p ON contains(lower(text), phrase)
+  WHERE length(phrase) % 2 = 0 OR regexp_matches(text, '(?i){_AROUND[0]}' || phrase || '{_AROUND[1]}')""")
+def phrase_scan(spark, sf_dir):
+    """Every document with the three-word phrases of the benchmark that it holds, half of them as whole words only."""
+    found = table(spark, sf_dir, "benchmark").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(THREE_WORDS), 0)).alias("phrase")).distinct()
+    pattern = F.when(F.length("phrase") % 2 == 1, F.concat(F.lit(f"(?iu){_AROUND[0]}"), "phrase", F.lit(_AROUND[1])))
+    used = found.select(F.col("phrase").alias("name"), "phrase", pattern.alias("pattern"))
+    return phrases.phrase_hits(table(spark, sf_dir, "documents").select("doc_id", "text"), used, "doc_id").select("doc_id", "name", "first_at")
