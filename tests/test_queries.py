@@ -48,7 +48,7 @@ def test_rules_find_and_leave_alone(duck):
     assert named == {r.name for r in rules.RULES}
     for column in ("sponsorship_barrier", "agent_directed"):
         assert {r[column] for r in rows} == {True, False}
-    assert {r["currency"] for r in rows} == {None, "USD", "EUR", "GBP"}
+    assert {r["currency"] for r in rows} == {None, "USD", "EUR", "GBP", "CAD"}
     assert {r["period"] for r in rows} == {None, "hour", "year", "month", "week"}
     assert any(r["pay_min"] == 8_000_000 and r["pay_max"] == 9_000_000 for r in rows)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemill.functions import rules
 from tidemill.scratch import written
@@ -37,12 +38,23 @@ def schedule(postings: DataFrame, state: DataFrame, keys: list[str], budget: int
     return ranked(unread(postings, state, keys), order, "_rank").withColumn("run", F.floor((F.col("_rank") + budget - 1) / budget).cast("long")).drop("_rank")
 
 
+def with_evidence(df: DataFrame, text: str, used: tuple[rules.Rule, ...]) -> DataFrame:
+    """Add ``evidence``, the names of the rules that find something, ``_low`` and ``_clauses``, the folded text and its clauses.
+
+    These are columns of their own, so that each is made once a text, by compiled code.
+    """
+    df = df.withColumn("_low", rules.folded(F.col(text)))
+    df = df.withColumn("_clauses", rules.clauses(F.col("_low"), used))
+    return df.withColumn("evidence", F.when(F.col(text).isNotNull(), rules.evidence(F.col(text), F.col("_low"), F.col("_clauses"), used)))
+
+
 def findings(postings: DataFrame, text: str = "text", used: tuple[rules.Rule, ...] = rules.RULES) -> DataFrame:
     """Add what the rules find: null only where there is no text to read.
 
-    The rules are tried once; flags follow from the names of those that find something.
+    The rules are tried once; flags follow from the names of those that find something, ``spans`` says where first.
     """
-    body = F.col(text)
-    read = postings.withColumns({"rules_version": F.lit(rules.version(used)), "evidence": F.when(body.isNotNull(), rules.evidence(body, used)), "pay": rules.pay(body)})
+    read = with_evidence(postings, text, used)
+    spans = F.when(F.size("evidence") > 0, rules.spans(F.col("evidence"), F.col("_low"), F.col("_clauses"), used)).when(F.col("evidence").isNotNull(), F.array().cast(T.ArrayType(rules.SPAN)))
+    read = read.withColumns({"rules_version": F.lit(rules.version(used)), "pay": rules.pay(F.col("_low")), "spans": spans}).drop("_low", "_clauses")
     flag = lambda kind: F.coalesce(rules.of_kind(F.col("evidence"), kind, used), F.when(F.col("evidence").isNotNull(), F.lit(False)))
     return read.withColumns({"sponsorship_barrier": flag("barrier"), "agent_directed": flag("agent")})
