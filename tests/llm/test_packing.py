@@ -50,7 +50,7 @@ def test_query_packs_every_token(spark, exact):
     rows = queries.op1_pack(spark, SF).collect()
     assert {r["doc_id"] for r in rows} == set(texts)
     used, least = check(rows, texts, exact)
-    assert used <= 1.005 * least + 1
+    assert used <= 1.03 * least + 1
 
 
 def test_many_small_partitions_waste_little(spark):
@@ -104,18 +104,30 @@ def test_rows_are_placed_as_they_arrive_in_so_many_bins_at_most(spark, monkeypat
     assert {expected[i][0] for i in again} == open_
 
 
-def test_a_group_of_the_second_pass_holds_what_its_bins_hold(spark):
+def test_groups_of_the_second_pass_are_bounded_and_placed_as_they_arrive(spark):
+    """Lengths of a group are in no order, its bins close, and it holds so many bins' worth."""
     rng = random.Random(3)
-    sizes = [(i, rng.randint(1, 90)) for i in range(3000)]
-    rows = packing.pack(spark.createDataFrame(sizes, "i int, n int").repartition(60), "n", 100, open_bins=16).collect()
-    groups = defaultdict(lambda: [0, set()])
+    sizes = [(i, rng.randint(1, 90)) for i in range(6000)]
+    rows = packing.pack(spark.createDataFrame(sizes, "i int, n int").repartition(60), "n", 100, open_bins=4).collect()
+    groups = defaultdict(list)
     for r in rows:
         if r["sequence_id"] >= 1 << 62:
-            groups[r["sequence_id"] >> 32][0] += r["n"]
-            groups[r["sequence_id"] >> 32][1].add(r["sequence_id"])
-    assert len(groups) > 20
-    assert max(n for n, _ in groups.values()) <= 2 * packing.FILL * 16 * 100
-    assert sum(len(s) for _, s in groups.values()) <= 1.2 * sum(n for n, _ in groups.values()) / 100 + len(groups)
+            groups[(r["sequence_id"] >> 32)].append((r["sequence_id"], r["offset"], r["n"]))
+    assert len(groups) > 1
+    for own in groups.values():
+        assert sum(n for *_, n in own) <= 2 * packing.GROUP_BINS * 4 * 100
+        firsts = [n for _, o, n in sorted(own) if o == 0]
+        assert firsts != sorted(firsts, reverse=True)
+
+
+def test_most_rows_are_placed_once_and_bins_close_unfull(spark):
+    """At a tenth: the rows that come through the second pass, the bins closed unfull, and how many sequences there are."""
+    rows = queries.op1_pack(spark, f"{DATA}/sf0.1").select("sequence_id", "length").toPandas()
+    again = rows["sequence_id"] >= 1 << 62
+    assert again.mean() < 0.05
+    filled = rows[~again].groupby("sequence_id")["length"].sum()
+    assert (filled < queries.SEQUENCE_TOKENS).sum() > 1000
+    assert rows["sequence_id"].nunique() <= 1.0115 * rows["length"].sum() / queries.SEQUENCE_TOKENS
 
 
 def test_bins_prefer_the_tightest_and_close_the_fullest():

@@ -6,10 +6,10 @@ bins at most, which are kept in a bitset by free space.  A row goes to the fulle
 takes it; when none does and all places are used, the fullest bin closes.  Rows leave the task when
 their bin closes, so it holds what open bins hold and no more.
 
-The rows of bins that remain open at the end of a partition are packed once more, by the same rule
-and with as many open bins: dealt by a hash into groups of about ``FILL`` of what the open bins of
-one stream can hold, each arriving by falling length.  So many small partitions waste little, and
-no task of the second pass grows with their number.
+The rows of bins that remain open at the end of a partition, ``OPEN_BINS`` bins of it at most, are placed once
+more by the same rule: dealt by a hash into groups of ``GROUP_BINS`` bins' worth, in which they arrive in
+the order of that hash, whatever their lengths.  So many small partitions waste little, no task of the second
+pass grows with their number, and where partitions are large few rows come through it.
 
 Nulls: a null text is empty and has one piece, the end token.  Rows with equal ids are packed each
 for itself; ties go to the bin that was opened or refilled last.  An empty table gives no rows.  A very
@@ -33,9 +33,10 @@ from pyspark.sql import types as T
 
 from tidemill.scratch import written
 
-OPEN_BINS = 4096
-#: How full a group of the second pass may make the open bins.
-FILL = 0.7
+#: More open bins find no better fits on the texts tried, and leave more rows to the second pass.
+OPEN_BINS = 128
+#: Bins' worth of tokens in a group of the second pass, times the open bins.
+GROUP_BINS = 32
 #: Rows after which those of closed bins are given out, at least.
 FLUSH = 4096
 
@@ -140,7 +141,7 @@ def pack(df: DataFrame, length: str, capacity: int, open_bins: int = OPEN_BINS,
     once = written(df.mapInArrow(first, T.StructType([*out.fields, T.StructField(mark, T.BooleanType())])), "packed")
     loose, closed = once.filter(F.col(mark)).drop(mark), once.filter(~F.col(mark)).drop(mark)
     tokens = loose.agg(F.sum(length)).first()[0] or 0
-    groups = max(1, math.ceil(tokens / (capacity * open_bins * FILL)))
+    groups = max(1, math.ceil(tokens / (capacity * open_bins * GROUP_BINS)))
     group = _free_name(loose.columns, "_group")
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,9 +156,10 @@ def pack(df: DataFrame, length: str, capacity: int, open_bins: int = OPEN_BINS,
                 at, off = _placed(bins, part.column(part.schema.get_field_index(length)).to_numpy())
                 yield _with(part, [sequence, offset], **{sequence: at, offset: off})
 
-    # Ties are settled by the first pass's place, so that a repeated task packs alike.
-    dealt = loose.withColumn(group, F.pmod(F.xxhash64(sequence, offset), F.lit(groups)))
-    dealt = dealt.repartition(group).sortWithinPartitions(group, F.desc(length), sequence, offset)
+    # Arrival by a hash of the first pass's place, so that a repeated task packs alike.
+    order = _free_name([*loose.columns, group], "_order")
+    dealt = loose.withColumn(order, F.xxhash64(sequence, offset)).withColumn(group, F.pmod(F.shiftright(order, 20), F.lit(groups)))
+    dealt = dealt.repartition(group).sortWithinPartitions(group, order, sequence, offset).drop(order)
     return closed.unionByName(written(dealt.mapInArrow(again, out), "repacked"))
 
 
