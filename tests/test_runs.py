@@ -148,8 +148,14 @@ def test_a_run_publishes_any_number_of_rows(spark, tmp_path):
     assert run_once(spark, postings(spark, 7, change={4: None}), cfg, T0 + timedelta(hours=1)).published
     found = {r["posting_id"]: r["sponsorship_barrier"] for r in publish.read_listing(spark, cfg.out, LISTING_SCHEMA).collect()}
     assert found == {f"p{i:03d}": None if i == 4 else False for i in range(7)}
-    # Nothing stale stays under the fixed names, and nothing changed is nothing published.
-    assert not files.exists(spark, f"{cfg.out}/{publish.LISTING}")
+    # The fixed names hold the manifest of the parts, and a plain consumer gets it; nothing changed is nothing published.
+    body, mark = publish.read_if_changed(spark, cfg.out, None)
+    assert body == files.read_text(spark, f"{cfg.out}/{publish.LISTING}")
+    parts = json.loads(body)
+    rows = [json.loads(x) for p in parts["parts"] for x in files.read_text(spark, f"{cfg.out}/{p}").splitlines()]
+    assert parts["rows"] == len(rows) == 7
+    assert {r["posting_id"] for r in rows} == set(found)
+    assert publish.read_if_changed(spark, cfg.out, mark) == (None, mark)
     again = [run_once(spark, postings(spark, 7, change={4: None}), cfg, T0 + timedelta(hours=2 + k)) for k in range(3)]
     assert [r.published for r in again] == [True, True, False]  # failed attempts are counted in the cache
     assert run_once(spark, postings(spark, 1), cfg, T0 + timedelta(hours=9)).published
@@ -183,8 +189,7 @@ def test_deleting_the_published_cache_means_a_cold_start(spark, tmp_path, most):
     for k in range(2):
         run_once(spark, postings(spark, 4), cfg, T0 + timedelta(hours=k))
     assert run_once(spark, postings(spark, 4), cfg, T0 + timedelta(hours=3)).read == 0
-    at = f"{cfg.out}/{publish.CACHE}" if most > 1 else f"{cfg.out}/releases/{files.read_text(spark, f'{cfg.out}/{publish.POINTER}')}/{publish.CACHE}"
-    files.delete(spark, at)
+    files.delete(spark, f"{cfg.out}/{publish.CACHE}")
     reports = [run_once(spark, postings(spark, 4), cfg, T0 + timedelta(hours=4 + k)) for k in range(3)]
     assert [(r.read, r.unread) for r in reports] == [(2, 2), (2, 0), (0, 0)]
     assert [r.published for r in reports] == [True, True, False]
@@ -215,7 +220,12 @@ def server():
             else:
                 self.send_response(200)
             self.end_headers()
-            self.wfile.write(b"x" * (reading.MOST_BYTES + 1) if self.path == "/large" else b"<p>We will not sponsor visas</p>")
+            if self.path == "/large":
+                self.wfile.write(b"x" * (reading.MOST_BYTES + 1))
+            elif self.path == "/long":
+                self.wfile.write(b"<p>" + b"x " * (5 << 19) + b"We will not sponsor visas</p>")
+            else:
+                self.wfile.write(b"<p>We will not sponsor visas</p>")
 
         def log_message(self, *args):
             pass
@@ -234,8 +244,12 @@ def test_addresses_are_read_within_bounds(server):
     assert "sponsor" in get("/ok")
     assert "sponsor" in get("/slow-start")
     assert asked["/slow-start"] == 3
+    assert get("/long").endswith("sponsor visas</p>")
     assert get("/none") is get("/large") is get("/away") is None
-    assert asked["/none"] == 1
+    why = lambda path, h=hosts: reading.body_of(base + path, h, backoff=0.01)[1]
+    assert [why(p) for p in ("/ok", "/none", "/large")] == [None, "status 404", reading.TOO_LARGE]
+    assert why("/ok", ("example.org",)) == "not allowed"
+    assert asked["/none"] == 2
     assert get("/unasked", ("example.org",)) is None
     assert "/unasked" not in asked
     assert reading.read("file:///etc/hosts", hosts) is reading.read(None, hosts) is None

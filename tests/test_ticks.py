@@ -1,0 +1,143 @@
+"""The scheduled job against a server: fetches, 304s, runs and publishes, by ticks and as a stream."""
+
+from __future__ import annotations
+
+import json
+import threading
+from datetime import datetime, timedelta
+from http.server import BaseHTTPRequestHandler, HTTPServer
+
+import pytest
+
+from tidemill.plans.run import Config, TooManyWithoutId, run_once, tick
+from tidemill.sources import files, landing, publish
+from tidemill.streaming import runs
+
+T0 = datetime(2026, 1, 1)
+HOSTS = ("127.0.0.1",)
+
+
+class Upstream:
+    """A listing that changes, with a validator."""
+
+    def __init__(self):
+        self.body, self.mark, self.answers, self.cut = b"[]", "v0", [], False
+        upstream = self
+
+        class Handler(BaseHTTPRequestHandler):
+            def do_GET(self):
+                same = self.headers.get("If-None-Match") == upstream.mark
+                upstream.answers.append(304 if same else 200)
+                self.send_response(upstream.answers[-1])
+                self.send_header("ETag", upstream.mark)
+                if not same:
+                    self.send_header("Content-Length", str(len(upstream.body) + upstream.cut))
+                self.end_headers()
+                if not same:
+                    self.wfile.write(upstream.body)
+
+            def log_message(self, *args):
+                pass
+
+        self.server = HTTPServer(("127.0.0.1", 0), Handler)
+        threading.Thread(target=self.server.serve_forever, daemon=True).start()
+        self.url = f"http://127.0.0.1:{self.server.server_port}/listings.json"
+
+    def put(self, mark, rows):
+        self.mark, self.body = mark, json.dumps(rows).encode()
+
+
+@pytest.fixture
+def upstream():
+    made = Upstream()
+    yield made
+    made.server.shutdown()
+
+
+def rows(*names, text="We pay $20 per hour"):
+    return [{"posting_id": n, "url": f"https://example.org/{n}", "title": n, "text": text, "updated_at": "2026-01-01T00:00:00Z"} for n in names]
+
+
+def config(tmp_path, name="out", **more):
+    return Config(str(tmp_path / f"state-{name}"), str(tmp_path / name), **more)
+
+
+def published(spark, cfg):
+    return {r["posting_id"]: r["sponsorship_barrier"] for r in json.loads(files.read_text(spark, f"{cfg.out}/{publish.LISTING}"))}
+
+
+def test_two_changes_and_a_304_are_two_publishes_by_tick_and_by_stream(spark, tmp_path, upstream):
+    ticked, streamed, folder = config(tmp_path, "ticked"), config(tmp_path, "streamed"), str(tmp_path / "land")
+
+    def drain():
+        q = runs.start(spark, folder, str(tmp_path / "cp"), streamed)
+        q.awaitTermination(120)
+        return q.exception()
+
+    reports, states = [], []
+    for k, (mark, given) in enumerate([("v1", rows("a", "b")), ("v1", None), ("v2", rows("a", "b", "c", "d", "e", text="We cannot sponsor visas"))]):
+        if given:
+            upstream.put(mark, given)
+        reports.append(tick(spark, upstream.url, folder, ticked, HOSTS, T0 + timedelta(hours=k)))
+        assert drain() is None
+        states.append((published(spark, ticked), published(spark, streamed)))
+    assert upstream.answers == [200, 304, 200]
+    assert [r.published for r in reports] == [True, False, True]
+    assert [len(a) for a, _ in states] == [2, 2, 5]
+    assert all(a == b for a, b in states)
+    assert set(states[-1][0].values()) == {True}
+    releases = [len(files.names(spark, f"{c.out}/releases")) for c in (ticked, streamed)]
+    assert releases == [2, 2]
+    columns = ["posting_id", "content_hash", "status", "attempts", "sponsorship_barrier", "agent_directed", "pay", "evidence"]
+    from tidemill.sources import state
+
+    kept = [sorted(map(str, state.load(spark, c.state_root).select(*columns).collect())) for c in (ticked, streamed)]
+    assert kept[0] == kept[1]
+
+
+def test_ticks_go_on_reading_while_upstream_is_quiet(spark, tmp_path, upstream):
+    upstream.put("v1", rows("a", "b", "c", "d", "e"))
+    cfg = config(tmp_path, budget=2)
+    reports = [tick(spark, upstream.url, str(tmp_path / "land"), cfg, HOSTS, T0 + timedelta(hours=k)) for k in range(4)]
+    assert [(r.read, r.unread, r.published) for r in reports] == [(2, 3, True), (2, 1, True), (1, 0, True), (0, 0, False)]
+    assert upstream.answers == [200, 304, 304, 304]
+
+
+def test_a_new_mark_on_the_same_body_lands_nothing_and_old_snapshots_go(spark, tmp_path, upstream):
+    folder = str(tmp_path / "land")
+    upstream.put("v1", rows("a"))
+    path, mark = landing.fetch(spark, upstream.url, folder, HOSTS)
+    upstream.mark = "v2"
+    assert landing.fetch(spark, upstream.url, folder, HOSTS, mark) == (None, "v2")
+    assert landing.current(spark, folder)["validator"] == "v2"
+    for k in range(5):
+        # A body that was there before is a new snapshot too.
+        upstream.put(f"w{k}", rows("b" if k % 2 else "a"))
+        landing.fetch(spark, upstream.url, folder, HOSTS, None)
+    names = [n for n in files.names(spark, folder) if n.startswith("snapshot-")]
+    assert len(names) == 5
+    landing.forget(spark, folder)
+    assert len([n for n in files.names(spark, folder) if n.startswith("snapshot-")]) == landing.KEEP
+    assert files.exists(spark, landing.current(spark, folder)["path"])
+
+
+def test_a_large_body_lands_and_a_cut_one_does_not(spark, tmp_path, upstream):
+    folder = str(tmp_path / "land")
+    upstream.put("v1", rows("a", text="x" * (70 << 20)))
+    path, _ = landing.fetch(spark, upstream.url, folder, HOSTS)
+    assert files.exists(spark, path)
+    before = landing.current(spark, folder)
+    upstream.put("v2", rows("b"))
+    upstream.cut = True
+    with pytest.raises((landing.CorruptSnapshot, OSError)):
+        landing.fetch(spark, upstream.url, folder, HOSTS, "v1")
+    assert landing.current(spark, folder) == before
+
+
+def test_records_without_an_id_are_told_and_too_many_stop_the_run(spark, tmp_path):
+    df = spark.createDataFrame([(None if i < 2 else f"p{i}", "u", "t", "text", T0) for i in range(30)], landing.POSTING)
+    report = run_once(spark, df, config(tmp_path), T0)
+    assert (report.read, report.without_id) == (28, 2)
+    with pytest.raises(TooManyWithoutId):
+        run_once(spark, df.limit(4), config(tmp_path, "other"), T0)
+    assert not files.exists(spark, f"{tmp_path}/other/{publish.LISTING}")

@@ -6,10 +6,7 @@
 
 from __future__ import annotations
 
-import hashlib
-import http.server
 import json
-import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +15,8 @@ from pyspark.sql import functions as F
 from tidemill import scratch
 from tidemill.functions import pages, rules
 from tidemill.operators import asof, caching, compacting, intervals, phrases, scanning
-from tidemill.sources import files, landing, publish
+from tidemill.plans import run
+from tidemill.sources import landing, publish
 from tidemill.streaming import runs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -323,6 +321,11 @@ POSTED = (
 )
 
 
+def _said():
+    """The sentence that a document gets."""
+    return F.element_at(F.array(*map(F.lit, POSTED)), (F.col("doc_id") % len(POSTED) + 1).cast("int"))
+
+
 _DUCK_POSTED = f"SELECT doc_id, text || chr(10) || ([{', '.join(map(duck, POSTED))}])[doc_id % {len(POSTED)} + 1] AS text FROM documents"
 _DUCK_EVIDENCE = ", ".join(f"CASE WHEN {duck_rule(r)} THEN '{r.name}' END" for r in rules.RULES)
 
@@ -333,8 +336,7 @@ _DUCK_EVIDENCE = ", ".join(f"CASE WHEN {duck_rule(r)} THEN '{r.name}' END" for r
   FROM d LEFT JOIN p ON p.doc_id = d.doc_id""")
 def scan_postings(spark, sf_dir):
     """The real rules over every text with a sentence that bars, directs or pays: flags, names of the rules, pay in cents."""
-    said = F.array(*map(F.lit, POSTED))
-    posted = table(spark, sf_dir, "documents").select("doc_id", F.concat("text", F.lit("\n"), F.element_at(said, (F.col("doc_id") % len(POSTED) + 1).cast("int"))).alias("text"))
+    posted = table(spark, sf_dir, "documents").select("doc_id", F.concat("text", F.lit("\n"), _said()).alias("text"))
     found = scanning.findings(posted)
     cents = lambda c: (F.col(f"pay.{c}") * 100).cast("bigint").alias(f"pay_{c}")
     return found.select("doc_id", "sponsorship_barrier", "agent_directed", F.array_join("evidence", ",").alias("evidence"), cents("min"), cents("max"), "pay.currency", "pay.period")
@@ -354,65 +356,41 @@ def landed_parse(spark, sf_dir):
     return read.select("posting_id", "url", "title", F.md5("text").alias("digest"), F.try_variant_get("rest", "$.n_chars", "bigint").alias("n_chars"))
 
 
-class _Serving:
-    """A loopback server of one file, with a validator, as upstream has it."""
-
-    def __init__(self, body: bytes):
-        mark = f'"{hashlib.sha256(body).hexdigest()}"'
-
-        class Handler(http.server.BaseHTTPRequestHandler):
-            def do_GET(self):
-                same = self.headers.get("If-None-Match") == mark
-                self.send_response(304 if same else 200)
-                self.send_header("ETag", mark)
-                self.end_headers()
-                if not same:
-                    self.wfile.write(body)
-
-            def log_message(self, *args):
-                pass
-
-        self.server = http.server.HTTPServer(("127.0.0.1", 0), Handler)
-
-    def __enter__(self) -> str:
-        threading.Thread(target=self.server.serve_forever, daemon=True).start()
-        return f"http://127.0.0.1:{self.server.server_port}/listings.json"
-
-    def __exit__(self, *_):
-        self.server.shutdown()
-        self.server.server_close()
+@query(f"""WITH d AS MATERIALIZED (SELECT doc_id, lang, {duck_parts(duck_low("text"))} AS parts FROM ({_DUCK_POSTED.replace("doc_id, text", "doc_id, lang, text", 1)})), p AS ({duck_pay("d")})
+  SELECT 'd' || d.doc_id AS posting_id, lang AS title, {duck_any(rules.BARRIER)} AS sponsorship_barrier, {duck_any(rules.AGENT)} AS agent_directed, CAST(lo * 100 AS BIGINT) AS pay_min, currency
+  FROM d LEFT JOIN p ON p.doc_id = d.doc_id""")
+def fetch_snapshot(spark, sf_dir):
+    """A whole run over a landed snapshot of all documents, each with a sentence that bars, directs or pays: land, parse, scan, publish, read what was published."""
+    landed, root = scratch.place(spark, "landed"), scratch.place(spark, "run")
+    posted = table(spark, sf_dir, "documents").withColumn("text", F.concat("text", F.lit("\n"), _said()))
+    publish.write_lines(_listing(posted), landed)
+    postings = landing.read_snapshot(spark, landed, lines=True)
+    run.run_once(spark, postings, run.Config(f"{root}/state", f"{root}/out", budget=1 << 30))
+    read = publish.read_listing(spark, f"{root}/out", "posting_id string, title string, sponsorship_barrier boolean, agent_directed boolean, pay struct<min:decimal(12,2),currency:string>")
+    return read.select("posting_id", "title", "sponsorship_barrier", "agent_directed", (F.col("pay.min") * 100).cast("bigint").alias("pay_min"), F.col("pay.currency").alias("currency"))
 
 
-def _nations(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "nation").select(F.format_string("n%03d", F.col("n_nationkey").cast("int")).alias("posting_id"), F.col("n_name").alias("title"))
+#: So few rows are one file here, so that the documents are many.
+POLLED_ROWS = 50
 
 
-@query("SELECT 'n' || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS posting_id, n_name AS title, true AS not_modified FROM nation")
-def fetch_snapshot(spark, sf_dir):
-    """A small listing served over HTTP, fetched and parsed; asked again with its validator, it is not modified."""
-    folder = scratch.place(spark, "fetched")
-    nations = _nations(spark, sf_dir)
-    publish.write_array(nations, ["posting_id"], f"{folder}/listing.json", nations.count())
-    with _Serving(files.read_text(spark, f"{folder}/listing.json").encode()) as url:
-        path, mark = landing.fetch(spark, url, folder, ("127.0.0.1",))
-        again, _ = landing.fetch(spark, url, folder, ("127.0.0.1",), mark)
-    return landing.read_snapshot(spark, path).select("posting_id", "title", F.lit(again is None).alias("not_modified"))
-
-
-@query("""SELECT 'n' || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS posting_id, CASE WHEN n_nationkey = 3 THEN 'changed' ELSE n_name END AS title,
-  true AS first, false AS second, true AS third, false AS published_twice FROM nation""")
+@query("""SELECT 'd' || doc_id AS posting_id, CASE WHEN doc_id % 7 = 3 THEN 'changed' ELSE lang END AS title,
+  true AS first, false AS second, true AS third, false AS published_twice, count(*) OVER () AS rows FROM documents""")
 def poll_listing(spark, sf_dir):
-    """A consumer's polls of a published listing: a body, none while nothing changes, and a body after a change."""
-    out, nations = scratch.place(spark, "polled"), _nations(spark, sf_dir)
-    publish.publish(nations, nations, out, ["posting_id"])
+    """A consumer's polls of a listing of all documents in many files: its parts, nothing while nothing changes, other parts after a change."""
+    out = scratch.place(spark, "polled")
+    docs = _listing(table(spark, sf_dir, "documents")).select("posting_id", "title")
+    put = lambda df: publish.publish(df, docs, out, ["posting_id"], POLLED_ROWS)
+    put(docs)
     first, mark = publish.read_if_changed(spark, out, None)
-    twice = publish.publish(nations.repartition(3), nations, out, ["posting_id"])
+    twice = put(docs.repartition(3))
     second, mark = publish.read_if_changed(spark, out, mark)
-    publish.publish(nations.withColumn("title", F.when(F.col("posting_id") == "n003", "changed").otherwise(F.col("title"))), nations, out, ["posting_id"])
+    put(docs.withColumn("title", F.when(F.substring("posting_id", 2, 20).cast("bigint") % 7 == 3, "changed").otherwise(F.col("title"))))
     third, _ = publish.read_if_changed(spark, out, mark)
-    read = publish.read_listing(spark, out, "posting_id string, title string")
-    same = third is not None and {r["posting_id"]: r["title"] for r in json.loads(third)} == {r["posting_id"]: r["title"] for r in read.collect()}
-    return read.select("*", F.lit(first is not None).alias("first"), F.lit(second is not None).alias("second"), F.lit(same).alias("third"), F.lit(twice).alias("published_twice"))
+    parts = json.loads(third)
+    read = spark.read.schema("posting_id string, title string").json([f"{out}/{p}" for p in parts["parts"]])
+    new = not set(parts["parts"]) & set(json.loads(first)["parts"])
+    return read.select("*", F.lit(first is not None).alias("first"), F.lit(second is not None).alias("second"), F.lit(new).alias("third"), F.lit(twice).alias("published_twice"), F.lit(parts["rows"]).cast("bigint").alias("rows"))
 
 
 @query("SELECT time_bucket(INTERVAL '15 minutes', ts) AS start, count(*) AS n FROM events GROUP BY 1")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import UTC, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.functions import rules
@@ -28,6 +28,8 @@ class Config:
     most_rows: int = publish.MOST_ROWS
     #: Postings without a text are read at their address, if it is of one of these hosts.
     hosts: tuple[str, ...] = ()
+    #: A run fails when more than this share of the records has no id.
+    most_without_id: float = 0.1
 
 
 @dataclass(frozen=True)
@@ -35,6 +37,12 @@ class Report:
     read: int
     unread: int
     published: bool
+    #: Records that have no id, and so can't be kept.
+    without_id: int = 0
+
+
+class TooManyWithoutId(ValueError):
+    """More of the records have no id than a run takes; nothing is published."""
 
 
 def content_hash(text: Column) -> Column:
@@ -49,10 +57,10 @@ def identified(postings: DataFrame) -> DataFrame:
 
 def scan(picked: DataFrame, cfg: Config, now: datetime) -> DataFrame:
     """State rows of the postings picked; a posting without text is counted as an attempt."""
-    found = scanning.findings(picked, "text", cfg.used)
+    found = scanning.findings(picked if "unread_why" in picked.columns else picked.withColumn("unread_why", F.lit(None).cast("string")), "text", cfg.used)
     ok = F.col("text").isNotNull()
     return found.select(
-        "posting_id", "content_hash", "rules_version", F.lit(now).alias("scanned_at"), F.when(ok, "read").otherwise("failed").alias("status"),
+        "posting_id", "content_hash", "rules_version", F.lit(now).alias("scanned_at"), F.when(ok, "read").when(F.col("unread_why") == reading.TOO_LARGE, "too large").otherwise("failed").alias("status"),
         (F.coalesce("attempts", F.lit(0)) + 1).cast("int").alias("attempts"), "sponsorship_barrier", "agent_directed", "pay", "evidence",
     )
 
@@ -89,7 +97,12 @@ def run_once(spark: SparkSession, postings: DataFrame, cfg: Config, now: datetim
 
 
 def _run(spark: SparkSession, postings: DataFrame, cfg: Config, now: datetime) -> Report:
+    seen = Observation()
+    postings = postings.observe(seen, F.count("*").alias("n"), F.count_if(F.col("posting_id").isNull()).alias("without_id"))
     postings = written(identified(postings), "postings")
+    without_id = seen.get["without_id"]
+    if without_id > cfg.most_without_id * seen.get["n"]:
+        raise TooManyWithoutId(f"{without_id} of {seen.get['n']} records have no id")
     cold = publish.cache_deleted(spark, cfg.out)
     known = state.load(spark, cfg.state_root).limit(0) if cold else state.load(spark, cfg.state_root)
     todo = pending(postings, known, cfg)
@@ -104,9 +117,22 @@ def _run(spark: SparkSession, postings: DataFrame, cfg: Config, now: datetime) -
         state.save(merged, cfg.state_root)
     listing = written(compact(postings, merged, cfg), "listing")
     done = publish.publish(listing, merged.drop("scanned_at"), cfg.out, ["posting_id"], cfg.most_rows)
-    return Report(n, waiting - n, done)
+    return Report(n, waiting - n, done, without_id)
 
 
 def run_file(spark: SparkSession, path: str, cfg: Config, now: datetime | None = None) -> Report:
     """A run over one landed snapshot; a cut-off file fails before anything is published."""
     return run_once(spark, landing.read_snapshot(spark, path), cfg, now)
+
+
+def tick(spark: SparkSession, url: str, folder: str, cfg: Config, hosts: tuple[str, ...], now: datetime | None = None) -> Report:
+    """What a scheduler calls every 15 minutes: fetch what changed, then run over the current snapshot.
+
+    While upstream does not change, runs go on over the snapshot that is there, so that what is unread
+    is read, a budget at a time.
+    """
+    last = landing.current(spark, folder)
+    landing.fetch(spark, url, folder, hosts, last["validator"] if last else None)
+    report = run_file(spark, landing.current(spark, folder)["path"], cfg, now)
+    landing.forget(spark, folder)
+    return report

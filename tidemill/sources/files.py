@@ -48,13 +48,13 @@ def copy(spark: SparkSession, source: str, path: str) -> None:
 
 
 def write_text(spark: SparkSession, path: str, chunks) -> None:
-    """Write to a temporary name, then move it over ``path`` in one step."""
+    """Write a text, or chunks of text or bytes, to a temporary name, then move it over ``path`` in one step."""
     temporary = f"{path}.{uuid.uuid4().hex}.tmp"
     p, fs = _path(spark, temporary)
     stream = fs.create(p, True)
     try:
         for chunk in [chunks] if isinstance(chunks, str) else chunks:
-            stream.write(bytearray(chunk.encode()))
+            stream.write(bytearray(chunk.encode() if isinstance(chunk, str) else chunk))
     finally:
         stream.close()
     move(spark, temporary, path)

@@ -5,13 +5,16 @@ moves when all of it is there, so a reader who follows it never sees a new listi
 findings.  The last ``KEEP`` releases stay.  Results of up to ``MOST_ROWS`` rows are single files, which
 also have fixed names, for consumers that know only those; such names are replaced one after the
 other, the cache first, so a plain consumer of both may see a cache that is newer than its listing.
-Larger results are JSON lines in many files, and have no fixed names.
+Larger results are JSON lines in many files; the fixed names then hold a manifest, a JSON object with the number
+of rows and the files' places under the published folder.
 
 All files of a release are written by tasks; the driver writes marks and pointers.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +22,7 @@ from tidemill.operators.compacting import as_json, fingerprint
 from tidemill.sources import files
 
 LISTING, CACHE, MARK, POINTER = "listing.json", "scan-cache.json", "fingerprint.txt", "CURRENT"
+MANIFEST = ".parts.json"
 #: A single file is meant for consumers of small results; larger ones are written as parts.
 MOST_ROWS = 1_000_000
 KEEP = 3
@@ -47,6 +51,12 @@ def _name(mark: str) -> str:
     return f"{mark[:16]}{mark[64:80]}"
 
 
+def manifest(spark: SparkSession, out: str, release: str, name: str, rows: int) -> str:
+    """What a consumer needs to read a result of many files: the rows and the files, as many as tasks wrote."""
+    at = f"releases/{release}/{name}"
+    return json.dumps({"rows": rows, "parts": [f"{at}/{n}" for n in files.names(spark, f"{out}/{at}") if n.startswith("part-")]})
+
+
 def publish(listing: DataFrame, cache: DataFrame, out: str, order: list[str], most_rows: int = MOST_ROWS) -> bool:
     """Publish both tables if either changed; whether it did."""
     spark = listing.sparkSession
@@ -62,13 +72,11 @@ def publish(listing: DataFrame, cache: DataFrame, out: str, order: list[str], mo
             write_array(df, order, f"{release}/{name}", rows)
         else:
             write_lines(df, f"{release}/{name}")
+            files.write_text(spark, f"{release}/{name}{MANIFEST}", manifest(spark, out, _name(both), name, rows))
     last = files.read_text(spark, f"{out}/{POINTER}")
     files.write_text(spark, f"{out}/{POINTER}", _name(both))
     for name in (CACHE, LISTING):
-        if single:
-            files.copy(spark, f"{release}/{name}", f"{out}/{name}")
-        else:
-            files.delete(spark, f"{out}/{name}")
+        files.copy(spark, f"{release}/{name}{'' if single else MANIFEST}", f"{out}/{name}")
     files.write_text(spark, f"{out}/{MARK}", both)
     _forget(spark, out, _name(both), last)
     return True
@@ -84,13 +92,7 @@ def _forget(spark: SparkSession, out: str, *stay: str | None) -> None:
 
 def cache_deleted(spark: SparkSession, out: str) -> bool:
     """Whether something was published, and its cache was deleted since: then everything is to be read anew."""
-    if files.read_text(spark, f"{out}/{MARK}") is None:
-        return False
-    if files.exists(spark, f"{out}/{CACHE}"):
-        return False
-    release = f"{out}/releases/{files.read_text(spark, f'{out}/{POINTER}')}"
-    # A result of many files has its cache in the release alone.
-    return files.exists(spark, f"{out}/{LISTING}") or not files.exists(spark, f"{release}/{CACHE}")
+    return files.read_text(spark, f"{out}/{MARK}") is not None and not files.exists(spark, f"{out}/{CACHE}")
 
 
 def read_listing(spark: SparkSession, out: str, schema: str) -> DataFrame:
@@ -102,13 +104,15 @@ def read_listing(spark: SparkSession, out: str, schema: str) -> DataFrame:
 def read_if_changed(spark: SparkSession, out: str, seen: str | None) -> tuple[str | None, str | None]:
     """What a polling consumer does: (listing, mark), or (None, mark) while the mark is the one it has seen.
 
-    The listing is that of the mark, even if another is published meanwhile.
+    The listing is that of the mark, even if another is published meanwhile: a JSON array of its rows or,
+    of a large one, the manifest of its parts.
     """
     while True:
         mark = files.read_text(spark, f"{out}/{MARK}")
         if mark is None or mark == seen:
             return None, mark
-        body = files.read_text(spark, f"{out}/releases/{_name(mark)}/{LISTING}")
+        at = f"{out}/releases/{_name(mark)}/{LISTING}"
+        body = files.read_text(spark, f"{at}{MANIFEST}" if files.is_folder(spark, at) else at)
         if body is not None:
             return body, mark
         if files.read_text(spark, f"{out}/{MARK}") == mark:

@@ -19,7 +19,9 @@ from pyspark.sql import types as T
 
 from tidemill.functions.pages import page_text
 
-MOST_BYTES, TIMEOUT_S = 4 << 20, 20
+#: Pages are read in pieces; one that is larger than this is told apart from those that can't be read.
+MOST_BYTES, PIECE_BYTES, TIMEOUT_S = 64 << 20, 1 << 20, 20
+TOO_LARGE = "too large"
 ATTEMPTS, BACKOFF_S = 3, 0.5
 #: So many tasks read at a time, at most.
 READERS = 16
@@ -39,37 +41,48 @@ def allowed(url: str | None, hosts: tuple[str, ...]) -> bool:
 
 
 def read(url: str | None, hosts: tuple[str, ...], attempts: int = ATTEMPTS, backoff: float = BACKOFF_S) -> str | None:
-    """The body at an address, or null if it can't be had; servers' faults are tried again, after longer and longer pauses."""
+    """The body at an address, or null if it can't be had."""
+    return body_of(url, hosts, attempts, backoff)[0]
+
+
+def body_of(url: str | None, hosts: tuple[str, ...], attempts: int = ATTEMPTS, backoff: float = BACKOFF_S) -> tuple[str | None, str | None]:
+    """The body at an address, or why it can't be had; servers' faults are tried again, after longer and longer pauses."""
     if not allowed(url, hosts):
-        return None
+        return None, "not allowed"
+    why = None
     opener = urllib.request.build_opener(_SameHosts(hosts))
     for turn in range(attempts):
         try:
             with opener.open(url, timeout=TIMEOUT_S) as answer:
-                body = answer.read(MOST_BYTES + 1)
-            return body.decode("utf-8", "replace") if len(body) <= MOST_BYTES else None
+                body = bytearray()
+                while piece := answer.read(PIECE_BYTES):
+                    body += piece
+                    if len(body) > MOST_BYTES:
+                        return None, TOO_LARGE
+            return body.decode("utf-8", "replace"), None
         except urllib.error.HTTPError as e:
+            why = f"status {e.code}"
             if e.code < 500 and e.code != 429:
-                return None
-        except (OSError, ValueError):
-            pass
+                return None, why
+        except (OSError, ValueError) as e:
+            why = type(e).__name__
         if turn + 1 < attempts:
             time.sleep(backoff * 2**turn)
-    return None
+    return None, why
 
 
 def with_texts(postings: DataFrame, hosts: tuple[str, ...]) -> DataFrame:
-    """The postings, those without a text with that of the page at their address; null where it can't be read.
+    """The postings, those without a text with that of the page at their address; null where it can't be read, ``unread_why`` says why.
 
     The postings are the slice of a run, so there are no more than its budget.
     """
-    schema = T.StructType([T.StructField("posting_id", T.StringType()), T.StructField("_html", T.StringType())])
+    schema = T.StructType([T.StructField("posting_id", T.StringType()), T.StructField("_html", T.StringType()), T.StructField("unread_why", T.StringType())])
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1)
-                yield pa.RecordBatch.from_arrays([row.column(0), pa.array([read(row.column(1)[0].as_py(), hosts)], pa.string())], names=schema.names)
+                yield pa.RecordBatch.from_arrays([row.column(0), *(pa.array([x], pa.string()) for x in body_of(row.column(1)[0].as_py(), hosts))], names=schema.names)
 
     missing = postings.filter(F.col("text").isNull()).select("posting_id", "url").repartition(READERS)
     found = missing.mapInArrow(fetch, schema)
