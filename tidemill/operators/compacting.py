@@ -38,3 +38,24 @@ def changes(old: DataFrame, new: DataFrame, keys: list[str], columns: list[str])
     same = reduce(lambda x, c: x & F.col(f"_old.{c}").eqNullSafe(F.col(f"_new.{c}")), columns, F.lit(True))
     change = F.when(F.col("_in_old").isNull(), "added").when(F.col("_in_new").isNull(), "removed").when(~same, "changed")
     return both.withColumn("change", change).filter("change is not null").select(*keys, "change")
+
+
+def multiset_changes(old: DataFrame, new: DataFrame, columns: list[str]) -> DataFrame:
+    """(columns, n_old, n_new): the rows that two tables hold unequally often, and how often each does.
+
+    Rows need no key and may repeat; nulls equal each other.  Repeats are counted before the shuffle, so a row
+    that makes up most of a table is one row of it.
+    """
+    side = lambda df, a, b: df.select(*columns, F.lit(a).cast("bigint").alias("_old"), F.lit(b).cast("bigint").alias("_new"))
+    counted = side(old, 1, 0).unionByName(side(new, 0, 1)).groupBy(*columns).agg(F.sum("_old").alias("n_old"), F.sum("_new").alias("n_new"))
+    return counted.filter("n_old <> n_new")
+
+
+def subtotals(df: DataFrame, by: list[str], sums: dict[str, Column]) -> DataFrame:
+    """Aggregates for every combination of ``by``, down to the total, from one scan.
+
+    ``level`` has a bit for each column of ``by``, the first the highest, that is set where the row sums over
+    it: so a subtotal is told from a group of nulls.  ``df`` should hold only what the aggregates need, as
+    each of its rows is summed once a combination.
+    """
+    return df.cube(*by).agg(F.grouping_id().alias("level"), *(c.alias(n) for n, c in sums.items()))

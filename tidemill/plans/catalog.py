@@ -474,3 +474,22 @@ def phrase_scan(spark, sf_dir):
     pattern = F.when(F.length("phrase") % 2 == 1, F.concat(F.lit(f"(?iu){_AROUND[0]}"), "phrase", F.lit(_AROUND[1])))
     used = found.select(F.col("phrase").alias("name"), "phrase", pattern.alias("pattern"))
     return phrases.phrase_hits(table(spark, sf_dir, "documents").select("doc_id", "text"), used, "doc_id").select("doc_id", "name", "first_at")
+
+
+@query("""WITH o AS (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem WHERE l_returnflag <> 'R' GROUP BY 1, 2),
+  n AS (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem WHERE l_linestatus = 'O' GROUP BY 1, 2)
+  SELECT coalesce(o.l_orderkey, n.l_orderkey) AS l_orderkey, coalesce(o.l_linenumber, n.l_linenumber) AS l_linenumber, coalesce(o.n, 0) AS n_old, coalesce(n.n, 0) AS n_new
+  FROM o FULL JOIN n ON o.l_orderkey = n.l_orderkey AND o.l_linenumber = n.l_linenumber WHERE coalesce(o.n, 0) <> coalesce(n.n, 0)""")
+def multiset_diff(spark, sf_dir):
+    """Pairs of order and line that two parts of the lines hold unequally often; pairs repeat."""
+    lines = table(spark, sf_dir, "lineitem")
+    return compacting.multiset_changes(lines.filter("l_returnflag <> 'R'"), lines.filter("l_linestatus = 'O'"), ["l_orderkey", "l_linenumber"])
+
+
+@query(f"""SELECT lang, source, grouping(lang, source) AS level, count(*) AS n_docs, {', '.join(f'count(*) FILTER ({r.name}) AS n_{r.name}' for r in rules.STAND_IN)}
+  FROM (SELECT nullif(lang, 'fr') AS lang, source, {_DUCK_FLAGS} FROM documents) GROUP BY CUBE (lang, source)""")
+def findings_cube(spark, sf_dir):
+    """Findings by language, by source, by both and in all; one language is not known."""
+    flagged = _flags(table(spark, sf_dir, "documents").select(F.nullif("lang", F.lit("fr")).alias("lang"), "source", "text"))
+    sums = {"n_docs": F.count("*"), **{f"n_{r.name}": F.count_if(r.name) for r in rules.STAND_IN}}
+    return compacting.subtotals(flagged.select("lang", "source", *(r.name for r in rules.STAND_IN)), ["lang", "source"], sums)
