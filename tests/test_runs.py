@@ -176,7 +176,7 @@ def test_files_are_sorted_arrays_of_all_rows(spark, tmp_path):
 def test_runs_leave_neither_scratch_tables_nor_old_releases(spark, tmp_path):
     cfg, made = config(tmp_path, budget=1), len(scratch._made)
     before = set(os.listdir(scratch.shared_dir(spark).removeprefix("file:")))
-    for k in range(20):
+    for k in range(7):
         run_once(spark, postings(spark, 6), cfg, T0 + timedelta(hours=k))
     assert len(scratch._made) == made
     assert set(os.listdir(scratch.shared_dir(spark).removeprefix("file:"))) <= before
