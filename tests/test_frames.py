@@ -1,0 +1,113 @@
+"""Range frames and sessions against plain loops: ties, nulls, hot keys, blocks cut at any place."""
+
+from __future__ import annotations
+
+import random
+from datetime import datetime, timedelta
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemill.operators import frames, sessions
+from tidemill.operators.ticks import ticks
+
+SCHEMA = "id int, k int, at int, v int"
+AGGS = {"n": ("count", None), "n_v": ("count", "v"), "total": ("sum", "v"), "least": ("min", "v"), "most": ("max", "v")}
+
+
+def rows(n, seed, times=120):
+    rng = random.Random(seed)
+    return [(i, rng.choice([1, 1, 1, 1, 2, 3, None]), rng.choice([None, *range(-times, times)]), rng.choice([None, *range(-9, 10)])) for i in range(n)]
+
+
+def summed(frame):
+    values = [r[3] for r in frame if r[3] is not None]
+    return (len(frame), len(values), sum(values) if values else None, min(values, default=None), max(values, default=None))
+
+
+@pytest.mark.parametrize(("back", "per_range"), [(10, 10**6), (1, 10**6), (500, 10**6), (60, 5), (500, 40)])
+def test_frames_equal_a_plain_loop(spark, back, per_range):
+    data = rows(400, back)
+    out = frames.frame_aggregates(spark.createDataFrame(data, SCHEMA).repartition(5), ["k"], "at", back, AGGS, per_range)
+    assert out.columns == ["id", "k", "at", "v", *AGGS]
+    want = {r[0]: summed([x for x in data if None not in (r[1], r[2], x[1], x[2]) and x[1] == r[1] and r[2] - back <= x[2] <= r[2]]) for r in data}
+    got = out.collect()
+    assert len(got) == 400
+    assert {r["id"]: tuple(r)[4:] for r in got} == want
+
+
+def test_frames_of_timestamps_repeats_decimals_and_empty_tables(spark):
+    t, hour = datetime(2024, 3, 31, 1, 30), timedelta(hours=1)
+    data = [(1, t, Decimal("1.10")), (1, t, Decimal("1.10")), (1, t + hour, Decimal("2.00")), (1, t + hour + timedelta(microseconds=1), None), (2, t, None)]
+    df = spark.createDataFrame(data, "k int, `a t` timestamp_ntz, v decimal(10,2)")
+    aggs = {"n": ("count", None), "total": ("sum", "v")}
+    got = sorted((r["k"], r["a t"], r["n"], r["total"]) for r in frames.frame_aggregates(df, ["k"], "a t", hour, aggs).collect() if r["k"] == 1)
+    assert got == [(1, t, 2, Decimal("2.20")), (1, t, 2, Decimal("2.20")), (1, t + hour, 3, Decimal("4.20")), (1, t + hour + timedelta(microseconds=1), 2, Decimal("2.00"))]
+    assert frames.frame_aggregates(df.limit(0), ["k"], "a t", hour, aggs).count() == 0
+    no_key = frames.frame_aggregates(df, [], "a t", timedelta(days=1), aggs).collect()
+    assert sorted(r["n"] for r in no_key) == [3, 3, 3, 4, 5]
+    with pytest.raises(ValueError, match="longer than nothing"):
+        frames.frame_aggregates(df, ["k"], "a t", timedelta(0), aggs)
+
+
+def test_times_without_a_zone_do_not_depend_on_the_sessions(spark):
+    df = spark.sql("SELECT TIMESTAMP_NTZ'2024-03-31 02:30:00.000001' AS a, TIMESTAMP_NTZ'1969-12-31 23:59:59.999999' AS b, DATE'1970-01-03' AS d")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+        assert tuple(df.select(*(ticks(df, c) for c in df.columns)).first()) == (1711852200000001, -1, 2)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_no_task_holds_a_hot_key(spark, capsys):
+    """A third of the rows is one key's: its blocks are apart, and the fullest block is cut; one shuffle of rows."""
+    df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.when(F.col("id") < 15_000, F.col("id") % 100).otherwise(F.col("id")).alias("at"))
+    out = frames.frame_aggregates(df, ["k"], "at", 1000, {"n": ("count", None)}, 1000)
+    assert out.filter("k = 0 AND at < 100").agg(F.max("n")).first()[0] == 5000
+    out.explain()
+    plan = capsys.readouterr().out
+    assert "NestedLoop" not in plan
+    assert "Cartesian" not in plan
+    assert "hashpartitioning(_k0#" in plan
+    assert "_range#" in plan
+
+
+def plain_sessions(data, gap):
+    out = []
+    for k in {r[1] for r in data}:
+        mine = sorted((r for r in data if r[1] == k and r[2] is not None), key=lambda r: r[2])
+        for r in mine:
+            if out and out[-1][0] == k and r[2] - out[-1][1][-1][2] <= gap:
+                out[-1][1].append(r)
+            else:
+                out.append((k, [r]))
+    return sorted(((k, x[0][2], x[-1][2], *summed(x)) for k, x in out), key=str)
+
+
+@pytest.mark.parametrize(("gap", "times", "gaps"), [(1, 120, 256), (2, 5000, 2), (5, 3000, 3), (40, 3000, 256), (10**6, 50, 256)])
+def test_sessions_equal_a_plain_loop(spark, monkeypatch, gap, times, gaps):
+    monkeypatch.setattr(sessions, "GAPS", gaps)
+    data = rows(600, gap, times)
+    out = sessions.sessions(spark.createDataFrame(data, SCHEMA).repartition(5), ["k"], "at", gap, AGGS)
+    assert out.columns == ["k", "start", "last", *AGGS]
+    assert sorted((tuple(r) for r in out.collect()), key=str) == plain_sessions(data, gap)
+
+
+def test_sessions_are_those_of_the_stream_operator(spark):
+    t = datetime(2024, 1, 1)
+    data = [(i % 3, t + timedelta(seconds=(i * i) % 7919)) for i in range(500)]
+    df = spark.createDataFrame(data, "k int, ts timestamp")
+    theirs = df.groupBy("k", F.session_window("ts", "20 seconds").alias("w")).agg(F.count("*").alias("n"))
+    theirs = theirs.select("k", "w.start", (F.col("w.end") - F.expr("INTERVAL 20 SECONDS")).alias("last"), "n")
+    ours = sessions.sessions(df, ["k"], "ts", timedelta(seconds=20), {"n": ("count", None)})
+    assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, theirs.collect()))
+    assert sessions.sessions(df.limit(0), ["k"], "ts", 5, {"n": ("count", None)}).count() == 0
+    assert sessions.sessions(df, [], "ts", timedelta(hours=3), {"n": ("count", None)}).first()["n"] == 500
+
+
+def test_rows_of_a_session_are_combined_before_the_shuffle(spark, capsys):
+    df = spark.range(1000).select(F.lit(1).alias("k"), F.col("id").alias("at"))
+    sessions.sessions(df, ["k"], "at", 100, {"n": ("count", None)}).explain()
+    assert "NestedLoop" not in capsys.readouterr().out

@@ -8,13 +8,14 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill import scratch
 from tidemill.functions import pages, rules
-from tidemill.operators import asof, caching, compacting, intervals, phrases, scanning
+from tidemill.operators import asof, caching, compacting, frames, intervals, phrases, scanning, sessions, sketches
 from tidemill.plans import run
 from tidemill.sources import landing, publish
 from tidemill.streaming import runs
@@ -493,3 +494,49 @@ def findings_cube(spark, sf_dir):
     flagged = _flags(table(spark, sf_dir, "documents").select(F.nullif("lang", F.lit("fr")).alias("lang"), "source", "text"))
     sums = {"n_docs": F.count("*"), **{f"n_{r.name}": F.count_if(r.name) for r in rules.STAND_IN}}
     return compacting.subtotals(flagged.select("lang", "source", *(r.name for r in rules.STAND_IN)), ["lang", "source"], sums)
+
+
+_CENTS = "CAST(round(value * 100) AS BIGINT)"
+
+
+def _spent(events: DataFrame) -> DataFrame:
+    return events.select("event_id", "user_id", "ts", F.round(F.col("value") * 100).cast("bigint").alias("cents"))
+
+
+@query(f"""SELECT event_id, count(*) OVER w AS n, CAST(sum({_CENTS}) OVER w AS BIGINT) AS cents, min({_CENTS}) OVER w AS least, max({_CENTS}) OVER w AS most
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW)""")
+def frame_hour(spark, sf_dir):
+    """At every event, what its user did in the hour up to it."""
+    aggs = {"n": ("count", None), "cents": ("sum", "_c"), "least": ("min", "_c"), "most": ("max", "_c")}
+    events = _spent(table(spark, sf_dir, "events")).withColumnRenamed("cents", "_c")
+    return frames.frame_aggregates(events, ["user_id"], "ts", timedelta(hours=1), aggs).select("event_id", *aggs)
+
+
+@query("""SELECT event_id, count(*) OVER (ORDER BY ts RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW) AS n FROM events""")
+def frame_arrivals(spark, sf_dir):
+    """At every event, how many arrived in the hour up to it; all are of one key."""
+    return frames.frame_aggregates(table(spark, sf_dir, "events").select("event_id", "ts"), [], "ts", timedelta(hours=1), {"n": ("count", None)}).select("event_id", "n")
+
+
+@query(f"""WITH b AS (SELECT user_id, ts, {_CENTS} AS cents, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) <= INTERVAL 2 HOURS THEN 0 ELSE 1 END AS begins FROM events),
+  s AS (SELECT *, sum(begins) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM b)
+  SELECT user_id, min(ts) AS start, max(ts) AS last, count(*) AS n, CAST(sum(cents) AS BIGINT) AS cents FROM s GROUP BY user_id, s""")
+def sessions_user(spark, sf_dir):
+    """Sessions of each user's events, none more than two hours after the last."""
+    return sessions.sessions(_spent(table(spark, sf_dir, "events")), ["user_id"], "ts", timedelta(hours=2), {"n": ("count", None), "cents": ("sum", "cents")})
+
+
+@query("""SELECT date_trunc('week', ts) AS week, count(*) AS n, count(DISTINCT event_id) AS n_ids, true AS ids_near, true AS middle_near
+  FROM events GROUP BY 1""")
+def sketch_weekly(spark, sf_dir):
+    """Distinct ids and the middle value of each week from sketches of 15 minutes, held against exact ones.
+
+    Near is within three standard errors of the distinct count, and within 2 % of the ranks of the middle.
+    """
+    events = table(spark, sf_dir, "events").select("event_id", "value", F.to_timestamp_ntz(F.date_trunc("week", "ts").cast("string")).alias("week"), F.window(F.col("ts"), "15 minutes").start.alias("bin"))
+    kept = scratch.written(sketches.sketched(events, ["week", "bin"], "event_id", "value"), "sketches")
+    weeks = scratch.written(sketches.estimates(sketches.merged(kept, ["week"]), {"middle": 0.5}), "weeks")
+    below = events.join(F.broadcast(weeks.select("week", "middle")), "week").groupBy("week").agg(
+        F.count_distinct("event_id").alias("n_ids"), F.avg((F.col("value") < F.col("middle")).cast("int")).alias("below"), F.avg((F.col("value") <= F.col("middle")).cast("int")).alias("upto"))
+    near = F.abs(F.col("n_distinct") - F.col("n_ids")) <= 3 * sketches.DISTINCT_ERROR * F.col("n_ids")
+    return weeks.join(below, "week").select("week", "n", "n_ids", near.alias("ids_near"), ((F.col("below") <= 0.52) & (F.col("upto") >= 0.48)).alias("middle_near"))
