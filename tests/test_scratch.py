@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import os
+import threading
 
 import pytest
 
@@ -17,6 +18,32 @@ def test_tables_are_written_to_the_shared_folder_and_released(spark):
     assert not [f for f in os.listdir(at) if f.startswith("tidemill-a-")]
 
 
+def test_threads_do_not_touch_each_others_tables(spark):
+    """Two runs at once: one ends and releases all of its own while the other still reads."""
+    written, released, seen = threading.Event(), threading.Event(), []
+
+    def one():
+        since = scratch.mark()
+        table = scratch.written(spark.range(7), "one")
+        written.set()
+        released.wait(60)
+        seen.append(table.count())
+        scratch.release(spark, since, keep=0)
+
+    thread = threading.Thread(target=one)
+    since = scratch.mark()
+    thread.start()
+    assert written.wait(60)
+    scratch.written(spark.range(2), "two")
+    scratch.release(spark, since, keep=0)
+    released.set()
+    thread.join(60)
+    assert seen == [7]
+    assert scratch.mark() == since
+    left = [f for f in os.listdir(scratch.shared_dir(spark).removeprefix("file:")) if f.startswith(("tidemill-one-", "tidemill-two-"))]
+    assert not left
+
+
 class Session:
     """A session of which only the master and one setting are asked."""
 

@@ -10,13 +10,19 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CONF = "spark.checkpoint.dir"
 _own: list[str] = []
-_made: list[str] = []
+#: What each thread has written; ``release`` in one never touches another's tables.
+_scopes: dict[int, list[str]] = {}
+
+
+def _made() -> list[str]:
+    return _scopes.setdefault(threading.get_ident(), [])
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -35,7 +41,7 @@ def shared_dir(spark: SparkSession) -> str:
 def place(spark: SparkSession, name: str) -> str:
     """A path of its own in the shared folder, which goes when written tables go."""
     path = f"{shared_dir(spark)}/tidemill-{name}-{uuid.uuid4().hex}"
-    _made.append(path)
+    _made().append(path)
     return path
 
 
@@ -48,22 +54,34 @@ def written(df: DataFrame, name: str = "t") -> DataFrame:
 
 
 def mark() -> int:
-    """A point in time for ``release``."""
-    return len(_made)
+    """A point in this thread's time for ``release``."""
+    return len(_made())
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
 def release(spark: SparkSession, since: int, keep: int = 1) -> None:
-    """Delete the tables written after ``since`` but the last ``keep``; nothing may read them any more."""
-    gone = _made[since : len(_made) - keep]
+    """Delete the tables that this thread wrote after ``since`` but the last ``keep``; nothing may read them any more."""
+    made = _made()
+    gone = made[since : len(made) - keep]
     for path in gone:
-        hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-        hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
-    del _made[since : since + len(gone)]
+        _delete(spark, path)
+    del made[since : since + len(gone)]
+
+
+def end(spark: SparkSession) -> None:
+    """Delete the tables of all threads, on any store; call it before the session is stopped, when nothing runs."""
+    for made in list(_scopes.values()):
+        while made:
+            _delete(spark, made.pop())
 
 
 @atexit.register
 def _clean() -> None:
-    """Nothing reads these tables when the process ends; other file systems than the local one keep theirs."""
-    for path in (*_own, *_made):
+    """Nothing reads these tables when the process ends; on other stores than the local one ``end`` must have been called."""
+    for path in (*_own, *(p for made in _scopes.values() for p in made)):
         if path.startswith(("/", "file:")):
             shutil.rmtree(path.removeprefix("file://").removeprefix("file:"), ignore_errors=True)
