@@ -66,13 +66,13 @@ def test_vanished_postings_leave_the_cache_and_duplicates_count_once(spark, tmp_
     assert {r["posting_id"] for r in state.load(spark, cfg.state_root).collect()} == {"p000", "p002"}
 
 
-def test_failed_reads_are_tried_a_few_times_after_the_rest(spark, tmp_path):
+def test_failed_reads_are_tried_after_the_rest_and_after_growing_pauses(spark, tmp_path):
+    """Pauses of 15, 30, 60, 120 and 240 minutes; never given up, at most a day apart."""
     cfg = config(tmp_path, budget=2)
     df = postings(spark, 3, change={2: None})
-    reads = [run_once(spark, df, cfg, T0 + timedelta(hours=k)).read for k in range(6)]
-    assert sum(reads) == 2 + 3
-    assert reads[-1] == 0
-    assert {r["posting_id"]: r["status"] for r in state.load(spark, cfg.state_root).collect()} == {"p000": "read", "p001": "read", "p002": "failed"}
+    reads = [run_once(spark, df, cfg, T0 + timedelta(hours=k)).read for k in (0, 1, 2, 3, 4, 5, 200)]
+    assert reads == [2, 2, 1, 1, 0, 1, 1]
+    assert {r["posting_id"]: (r["status"], r["attempts"]) for r in state.load(spark, cfg.state_root).collect()} == {"p000": ("read", 1), "p001": ("read", 1), "p002": ("failed", 6)}
 
 
 def test_lost_cache_means_a_cold_start(spark, tmp_path):
@@ -156,7 +156,7 @@ def test_a_run_publishes_any_number_of_rows(spark, tmp_path):
     assert parts["rows"] == len(rows) == 7
     assert {r["posting_id"] for r in rows} == set(found)
     assert publish.read_if_changed(spark, cfg.out, mark) == (None, mark)
-    again = [run_once(spark, postings(spark, 7, change={4: None}), cfg, T0 + timedelta(hours=2 + k)) for k in range(3)]
+    again = [run_once(spark, postings(spark, 7, change={4: None}), cfg, T0 + timedelta(hours=h)) for h in (2, 3, 3.5)]
     assert [r.published for r in again] == [True, True, False]  # failed attempts are counted in the cache
     assert run_once(spark, postings(spark, 1), cfg, T0 + timedelta(hours=9)).published
     assert len(listing(spark, cfg)) == 1
@@ -174,11 +174,11 @@ def test_files_are_sorted_arrays_of_all_rows(spark, tmp_path):
 
 
 def test_runs_leave_neither_scratch_tables_nor_old_releases(spark, tmp_path):
-    cfg, made = config(tmp_path, budget=1), len(scratch._made)
+    cfg, made = config(tmp_path, budget=1), scratch.mark()
     before = set(os.listdir(scratch.shared_dir(spark).removeprefix("file:")))
     for k in range(7):
         run_once(spark, postings(spark, 6), cfg, T0 + timedelta(hours=k))
-    assert len(scratch._made) == made
+    assert scratch.mark() == made
     assert set(os.listdir(scratch.shared_dir(spark).removeprefix("file:"))) <= before
     assert len(files.names(spark, f"{cfg.out}/releases")) == publish.KEEP
 

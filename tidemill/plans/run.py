@@ -9,12 +9,10 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.functions import rules
-from tidemill.operators import caching, scanning
+from tidemill.operators import caching, retries, scanning
 from tidemill.scratch import mark, release, written
 from tidemill.sources import landing, publish, reading, state
 
-MAX_ATTEMPTS = 3
-
 
 @dataclass(frozen=True)
 class Config:
@@ -65,15 +63,16 @@ def scan(picked: DataFrame, cfg: Config, now: datetime) -> DataFrame:
     )
 
 
-def pending(postings: DataFrame, known: DataFrame, cfg: Config) -> DataFrame:
-    """Postings to be read: not known by id, content and rules; or failed, until the attempts are used up.
+def pending(postings: DataFrame, known: DataFrame, cfg: Config, now: datetime) -> DataFrame:
+    """Postings to be read: not known by id, content and rules; or failed, and due again after a pause that grows.
 
     Those never tried come first, so that failures do not starve the rest.
     """
     keys = ["posting_id", "content_hash", "rules_version"]
     tagged = postings.withColumn("rules_version", F.lit(rules.version(cfg.used)))
-    joined = tagged.join(known.select(*keys, "status", "attempts"), keys, "left")
-    return joined.filter(F.col("status").isNull() | ((F.col("status") == "failed") & (F.col("attempts") < MAX_ATTEMPTS))).drop("status", "rules_version")
+    joined = tagged.join(known.select(*keys, "status", "attempts", "scanned_at"), keys, "left")
+    again = retries.due(F.col("attempts"), F.col("scanned_at")) <= F.lit(now)
+    return joined.filter(F.col("status").isNull() | ((F.col("status") == "failed") & again)).drop("status", "rules_version", "scanned_at")
 
 
 def compact(postings: DataFrame, known: DataFrame, cfg: Config) -> DataFrame:
@@ -105,7 +104,7 @@ def _run(spark: SparkSession, postings: DataFrame, cfg: Config, now: datetime) -
         raise TooManyWithoutId(f"{without_id} of {seen.get['n']} records have no id")
     cold = publish.cache_deleted(spark, cfg.out)
     known = state.load(spark, cfg.state_root).limit(0) if cold else state.load(spark, cfg.state_root)
-    todo = pending(postings, known, cfg)
+    todo = pending(postings, known, cfg, now)
     picked = todo.orderBy(F.coalesce("attempts", F.lit(0)), F.col("updated_at").desc_nulls_last(), "posting_id").limit(cfg.budget)
     if cfg.hosts:
         picked = reading.with_texts(picked, cfg.hosts)
