@@ -76,6 +76,31 @@ def test_long_vectors_come_in_small_chunks_and_samples(spark, monkeypatch):
     assert ours(df) == brute(list(range(len(x))), x)
 
 
+def test_thin_samples_find_the_axes_of_a_table_of_low_rank():
+    """3,072 dimensions with 1,365 vectors in the sample: ten wide axes are found, and none where there is none."""
+    rng = np.random.default_rng(1)
+    most = vector_dedup.SAMPLE_BYTES // (8 * 3072)
+    assert most < 3072
+    low = rng.standard_normal((most, 10)) @ rng.standard_normal((10, 3072)) + 0.05 * rng.standard_normal((most, 3072))
+    plan = vector_dedup.planned(3072, low, 10**9, 0.9)
+    assert sum(g > 0 for g in plan.grids) >= 5
+    assert np.allclose(plan.turn @ plan.turn.T, np.eye(3072), atol=1e-9)
+    even = vector_dedup.planned(3072, rng.standard_normal((most, 3072)), 10**9, 0.9)
+    assert not any(even.grids)
+
+
+@pytest.mark.parametrize("plans", [1 << 28, 0])
+def test_joins_by_thin_samples_and_without_rotations_are_exact(spark, monkeypatch, plans):
+    monkeypatch.setattr(vector_dedup, "SAMPLE_BYTES", 8 * 100 * 40)
+    monkeypatch.setattr(vector_dedup, "PLAN_BYTES", plans)
+    monkeypatch.setattr(vector_dedup, "CELL", 4)
+    monkeypatch.setattr(vector_dedup, "WIDE", 0.2)
+    x = clusters(9, 100, 90, 0.25).tolist() + clusters(8, 90, 40, 0.25).tolist() + clusters(7, 7, 30, 0.2).tolist()
+    df = spark.createDataFrame(list(enumerate(x)), "vec_id long, embedding array<float>").repartition(4)
+    assert vector_dedup.rotated({100: 90, 90: 40, 7: 30}) == ({100, 90, 7} if plans else {100})
+    assert ours(df) == brute(list(range(len(x))), x)
+
+
 def test_null_and_repeated_ids(spark):
     df = spark.createDataFrame([(4, [1.0, 0.0]), (4, [0.0, 1.0]), (2, [0.0, 1.0]), (None, [1.0, 1e-3])], "vec_id long, embedding array<double>")
     rows = {(r["vec_id"], r["n_links"], r["component_id"]) for r in vector_dedup.near_vectors(df).collect()}

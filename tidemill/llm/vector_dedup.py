@@ -5,7 +5,9 @@ into blocks of about ``BLOCK`` dimensions; each block has a share of the squared
 budget, in proportion to its variance.  If two vectors are near, some block keeps its budget.  The
 rotation is to the principal axes of a sample of at most ``SAMPLE`` vectors and ``SAMPLE_BYTES``, picked
 by a hash, dealt to the blocks in turn, so that each begins with the axes along which vectors spread
-most; results do not depend on it.
+most; results do not depend on it.  Where the sample has no more vectors than dimensions, half of it gives the
+axes and the other half how far vectors spread along them.  Vectors may have many lengths: those of most vectors get rotations, up
+to ``PLAN_BYTES``, the others are blocked without one and compared in whole.
 
 Each block is range-joined: a grid over those of its first axes that spread widely against the
 block's radius has cells of twice the radius; a vector lives in one cell and visits the neighbouring
@@ -53,6 +55,10 @@ ROWS, COLUMNS = 128, 4096
 #: About so many vectors per cell before another grid axis is used.
 CELL = 1 << 14
 SAMPLE, SAMPLE_BYTES = 1 << 13, 1 << 25
+#: With fewer vectors in the sample than this, and than dimensions, a rotation is any.
+FEW = 32
+#: Rotations of all lengths together; lengths of fewer vectors beyond that are blocked as they stand.
+PLAN_BYTES = 1 << 28
 #: Stands for all the blocks without a grid.
 FLAT = -1
 #: An axis divides well if its standard deviation is so many radii.
@@ -66,7 +72,7 @@ _NONE = -(1 << 63)
 class Plan:
     """How vectors of one number of dimensions are turned, blocked and gridded."""
 
-    turn: np.ndarray
+    turn: np.ndarray | None
     bounds: list[tuple[int, int]]
     budgets: np.ndarray
     grids: list[int]
@@ -74,7 +80,7 @@ class Plan:
     def turned(self, vectors: np.ndarray) -> np.ndarray:
         """Turned unit vectors, computed row by row so that a vector's result is always the same."""
         unit = vectors / np.sqrt(np.einsum("ij,ij->i", vectors, vectors))[:, None]
-        return np.stack([np.einsum("ij,j->i", unit, row) for row in self.turn], axis=1)
+        return unit if self.turn is None else np.stack([np.einsum("ij,j->i", unit, row) for row in self.turn], axis=1)
 
     def dealt(self) -> list[int]:
         """The blocks with a grid, and ``FLAT`` if there are others."""
@@ -84,9 +90,28 @@ class Plan:
         return [b for b, g in enumerate(self.grids) if not g] if block == FLAT else [block]
 
 
-def planned(d: int, sample: np.ndarray, n: int, cosine: float) -> Plan:
+def rotated(lengths: dict[int, int]) -> set[int]:
+    """The lengths, with their numbers of vectors, that get a rotation."""
+    total, found = 0, set()
+    for d in sorted(lengths, key=lambda d: (-lengths[d], d)):
+        if (total := total + 8 * d * d) <= PLAN_BYTES or not found:
+            found.add(d)
+    return found
+
+
+def planned(d: int, sample: np.ndarray, n: int, cosine: float, turning: bool = True) -> Plan:
     """A plan from a sample of vectors of ``d`` dimensions, of ``n`` in all."""
-    if len(sample) > d:
+    if not turning:
+        turn, variance = None, np.full(d, 1e-12)
+    elif d >= len(sample) >= FEW:
+        unit = sample / np.sqrt(np.einsum("ij,ij->i", sample, sample))[:, None]
+        fit, held = unit[::2] - unit[::2].mean(axis=0), unit[1::2]
+        axes = np.linalg.svd(fit, full_matrices=True)[2]
+        # Vectors that an axis was fitted to seem to spread wider along it than others do.
+        spread = np.maximum((held @ axes.T).var(axis=0), 1e-12)
+        falling = np.argsort(-spread, kind="stable")
+        turn, variance = axes[falling], spread[falling]
+    elif len(sample) > d:
         unit = sample / np.sqrt(np.einsum("ij,ij->i", sample, sample))[:, None]
         values, axes = np.linalg.eigh(np.cov(unit.T).reshape(d, d))
         turn, variance = axes.T[::-1], np.maximum(values[::-1], 1e-12)
@@ -94,7 +119,7 @@ def planned(d: int, sample: np.ndarray, n: int, cosine: float) -> Plan:
         turn, variance = np.linalg.qr(np.random.default_rng(d).standard_normal((d, d)))[0], np.full(d, 1e-12)
     count = max(1, round(d / BLOCK))
     order = np.concatenate([np.arange(b, d, count) for b in range(count)])
-    turn, variance = turn[order], variance[order]
+    turn, variance = turn[order] if turning else None, variance[order]
     edges = np.r_[0, np.cumsum([len(range(b, d, count)) for b in range(count)])].tolist()
     bounds = list(zip(edges, edges[1:], strict=False))
     # In proportion to variance, yet not below half of an even share.
@@ -106,7 +131,7 @@ def planned(d: int, sample: np.ndarray, n: int, cosine: float) -> Plan:
     for (a, b), budget in zip(bounds, budgets, strict=True):
         wide = np.sqrt(variance[a:b]) >= WIDE * math.sqrt(budget)
         grids.append(min(most, int(np.argmin(np.r_[wide, False]))))
-    return Plan(np.ascontiguousarray(turn), bounds, budgets, grids)
+    return Plan(np.ascontiguousarray(turn) if turning else None, bounds, budgets, grids)
 
 
 def _scaled(vectors: np.ndarray) -> np.ndarray:
@@ -298,7 +323,8 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
     most = min(SAMPLE, SAMPLE_BYTES // (8 * max(n, default=1)))
     sample = [np.frombuffer(bytes(r["v"]), dtype=kind).astype(np.float64) for r in vectors.select("v").orderBy(F.xxhash64("v"), "v").limit(most).collect()]
     of = lambda d: np.array([x for x in sample if len(x) == d]).reshape(-1, d)
-    plans = df.sparkSession.sparkContext.broadcast({d: planned(d, _scaled(x) if len(x := of(d)) else x, k, cosine) for d, k in n.items()})
+    turning = rotated(n)
+    plans = df.sparkSession.sparkContext.broadcast({d: planned(d, _scaled(x) if len(x := of(d)) else x, k, cosine, d in turning) for d, k in n.items()})
     found = written(_join(vectors, plans, kind, cosine), "links")
     counts = found.filter("links is not null").groupBy("id").agg(F.sum("links").alias("links"))
     names = numbered.select(F.col("c").alias("id"), "rep")
