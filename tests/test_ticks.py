@@ -141,3 +141,26 @@ def test_records_without_an_id_are_told_and_too_many_stop_the_run(spark, tmp_pat
     with pytest.raises(TooManyWithoutId):
         run_once(spark, df.limit(4), config(tmp_path, "other"), T0)
     assert not files.exists(spark, f"{tmp_path}/other/{publish.LISTING}")
+
+
+def test_landed_snapshots_are_followed_by_their_numbers(spark, tmp_path, upstream):
+    """Each counts once over restarts; one that was overtaken or forgotten is not run over."""
+    cfg, folder = config(tmp_path, "followed"), str(tmp_path / "land")
+
+    def drain():
+        q = runs.follow(spark, folder, str(tmp_path / "cp"), cfg)
+        assert q.awaitTermination(120)
+        return sum(p["numInputRows"] for p in q.recentProgress)
+
+    assert drain() == 0
+    upstream.put("v1", rows("a"))
+    landing.fetch(spark, upstream.url, folder, HOSTS)
+    assert (drain(), published(spark, cfg)) == (1, {"a": False})
+    assert drain() == 0
+    for k in range(2, 7):
+        upstream.put(f"v{k}", rows("a", f"b{k}"))
+        landing.fetch(spark, upstream.url, folder, HOSTS)
+    landing.forget(spark, folder)
+    assert (drain(), published(spark, cfg)) == (landing.KEEP, {"a": False, "b6": False})
+    landing.fetch(spark, upstream.url, folder, HOSTS)  # the same body again lands nothing
+    assert drain() == 0

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemill.plans.run import Config, run_once
+from tidemill.plans.run import Config, run_file, run_once
 from tidemill.sources.landing import CORRUPT, POSTING, CorruptSnapshot
+from tidemill.sources.snapshots import NAME, Snapshots
 
 CADENCE = "15 minutes"
 
@@ -31,6 +32,24 @@ def start(spark: SparkSession, landing: str, checkpoint: str, cfg: Config, resid
     return (writer.trigger(processingTime=CADENCE) if resident else writer.trigger(availableNow=True)).start()
 
 
+def follow(spark: SparkSession, folder: str, checkpoint: str, cfg: Config, resident: bool = False) -> StreamingQuery:
+    """Run over the latest of the snapshots that have landed since, each time there are new ones.
+
+    Offsets are the numbers of snapshots, so each counts once over restarts; those overtaken between two
+    looks are not run over.  A snapshot that does not parse stops the query before anything of it is published.
+    """
+    spark.dataSource.register(Snapshots)
+    landed = spark.readStream.format(NAME).option("path", folder).load()
+
+    def each(batch: DataFrame, _: int) -> None:
+        last = batch.agg(F.max_by("path", "number")).first()[0]
+        if last is not None:
+            run_file(batch.sparkSession, last, cfg)
+
+    writer = landed.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    return (writer.trigger(processingTime=CADENCE) if resident else writer.trigger(availableNow=True)).start()
+
+
 def arrivals(events: DataFrame, late: str = "1 hour", every: str = CADENCE) -> DataFrame:
     """(start, n): events per window of event time; works on streams and tables alike."""
     timed = events.withColumn("ts", F.col("ts").cast("timestamp"))
