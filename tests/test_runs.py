@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import threading
+import time
 from datetime import datetime, timedelta
 from http.server import BaseHTTPRequestHandler, HTTPServer
 
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from tidemill import scratch
 from tidemill.functions import rules
 from tidemill.operators import scanning
+from tidemill.plans import run
 from tidemill.plans.run import Config, run_file, run_once
 from tidemill.sources import files, landing, publish, reading, state
 from tidemill.streaming import runs
@@ -308,3 +310,46 @@ def test_ranks_are_gapless(spark):
     df = spark.range(1000).withColumn("k", F.col("id") % 7)
     found = [r["n"] for r in scanning.ranked(df, ["k", "id"], "n").orderBy("k", "id").collect()]
     assert found == list(range(1, 1001))
+
+
+def _shuffled(spark):
+    """Bytes that all tasks so far have written for shuffles."""
+    sc = spark.sparkContext._jsc.sc()
+    sc.listenerBus().waitUntilEmpty()
+    time.sleep(0.3)
+    every = sc.statusStore().executorList(False)
+    return sum(every.apply(k).totalShuffleWrite() for k in range(every.length()))
+
+
+@pytest.mark.parametrize("budget", [1 << 30, 700])
+def test_texts_are_dealt_out_once_a_run(spark, tmp_path, budget):
+    """Whether all or many are read, the shuffles of a run take little more than the texts once: neither the state nor the order moves them again."""
+    rest = F.concat(*(F.sha2(F.concat("id", F.lit(f":{k}")), 512) for k in range(100)))
+    df = spark.range(800).select(F.concat(F.lit("p"), "id").alias("posting_id"), F.lit("u").alias("url"), F.lit("t").alias("title"), rest.alias("text"), F.lit(T0).cast("timestamp").alias("updated_at"))
+    df.write.parquet(str(tmp_path / "in"))
+    df = spark.read.parquet(str(tmp_path / "in"))
+    since = _shuffled(spark)
+    run.identified(df).write.parquet(str(tmp_path / "once"))
+    once, since = _shuffled(spark) - since, _shuffled(spark)
+    cfg = config(tmp_path, budget=budget)
+    assert run_once(spark, df, cfg, T0).read == min(budget, 800)
+    assert 1_000_000 < once and _shuffled(spark) - since < 1.5 * once
+
+
+@pytest.mark.parametrize("budget", [0, 1, 7, 20, 33, 59, 60, 61])
+def test_the_next_postings_are_the_first_in_order(spark, budget):
+    """Failed ones last, the latest first, those without a time after all others, then by id: also where times and attempts are equal."""
+    rows = [(f"p{i:03d}", [None, 1, 3][i % 3], None if i % 4 == 0 else T0 + timedelta(minutes=i % 5), f"text {i}") for i in range(60)]
+    todo = spark.createDataFrame(rows, "posting_id string, attempts int, updated_at timestamp, text string").repartition(5)
+    wanted = sorted(rows, key=lambda r: (r[1] or 0, r[2] is None, -(r[2].timestamp() if r[2] else 0), r[0]))[:budget]
+    got = run.first(todo, 60, budget)
+    assert got.columns == todo.columns and sorted(r["posting_id"] for r in got.collect()) == sorted(r[0] for r in wanted)
+
+
+def test_the_state_is_known_by_id_content_and_rules(spark, tmp_path):
+    cfg = config(tmp_path)
+    known = [("a", "h", rules.version(), T0, "read", 1), ("b", "old", rules.version(), T0, "failed", 4), ("c", "h", "other", T0, "read", 2), ("gone", "h", rules.version(), T0, "read", 1)]
+    state_rows = spark.createDataFrame([(*k, None, None, None, None) for k in known], state.STATE)
+    posts = spark.createDataFrame([(x, "h") for x in "abcd"], "posting_id string, content_hash string")
+    got = {r["posting_id"]: (r["status"], r["attempts"]) for r in run.tagged(posts, state_rows, cfg).collect()}
+    assert got == {"a": ("read", 1), "b": (None, None), "c": (None, None), "d": (None, None)}

@@ -153,9 +153,9 @@ def marked(low: Column) -> Column:
     return low
 
 
-def clauses(low: Column, used: tuple[Rule, ...] = RULES) -> Column:
-    """The clauses of a folded text, in order; none if the text has nothing that the rules of clauses need."""
-    needs = tuple(dict.fromkeys(x for r in used if r.clauses for x in r.needs))
+def clauses(low: Column, used: tuple[Rule, ...] = RULES, also: tuple[str, ...] = ()) -> Column:
+    """The clauses of a folded text, in order; none if the text has nothing that the rules of clauses need, nor any of ``also``."""
+    needs = tuple(dict.fromkeys([*(x for r in used if r.clauses for x in r.needs), *also]))
     if not needs:
         return F.array().cast("array<string>")
     return F.when(_has(low, needs), F.regexp_extract_all(marked(low), F.lit(CLAUSE), 0)).when(low.isNotNull(), F.array().cast("array<string>"))
@@ -294,7 +294,11 @@ def stated(clause: Column) -> Column:
 MONEY_NEEDS = ("$", "usd", "cad", "aud", "eur", "gbp", "chf", "\u20ac", "\u00a3", "dollar", "pound")
 
 
-def pay(low: Column) -> Column:
-    """The first pay that the folded text states, a struct of PAY_TYPE, or null."""
-    parts = F.when(_has(low, MONEY_NEEDS) & low.rlike(MONEY_FIRST), F.regexp_extract_all(marked(low), F.lit(CLAUSE), 0))
+def pay(low: Column, parts: Column | None = None) -> Column:
+    """The first pay that the folded text states, a struct of PAY_TYPE, or null.
+
+    ``parts`` are the text's clauses, where a column already holds them.  Only those with a currency are read.
+    """
+    parts = clauses(low, (), MONEY_NEEDS) if parts is None else parts
+    parts = F.when(_has(low, MONEY_NEEDS), F.filter(parts, lambda c: _has(c, MONEY_NEEDS)))
     return F.try_element_at(F.filter(F.transform(parts, stated), lambda p: p.isNotNull()), F.lit(1))

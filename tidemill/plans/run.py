@@ -63,16 +63,42 @@ def scan(picked: DataFrame, cfg: Config, now: datetime) -> DataFrame:
     )
 
 
-def pending(postings: DataFrame, known: DataFrame, cfg: Config, now: datetime) -> DataFrame:
-    """Postings to be read: not known by id, content and rules; or failed, and due again after a pause that grows.
+def tagged(postings: DataFrame, known: DataFrame, cfg: Config) -> DataFrame:
+    """The postings with the state's status, attempts and time of reading; null where it does not know this content by these rules.
 
-    Those never tried come first, so that failures do not starve the rest.
+    They are joined by the id alone, of which the state has one row each: ``identified`` has dealt the
+    postings by it already, so that their texts do not move again.
     """
-    keys = ["posting_id", "content_hash", "rules_version"]
-    tagged = postings.withColumn("rules_version", F.lit(rules.version(cfg.used)))
-    joined = tagged.join(known.select(*keys, "status", "attempts", "scanned_at"), keys, "left")
+    columns = ["status", "attempts", "scanned_at"]
+    fresh = known.filter(F.col("rules_version") == rules.version(cfg.used)).select("posting_id", F.col("content_hash").alias("_hash"), *columns)
+    joined = postings.join(fresh, "posting_id", "left")
+    return joined.withColumns({c: F.when(F.col("_hash") == F.col("content_hash"), F.col(c)) for c in columns}).drop("_hash")
+
+
+def pending(postings: DataFrame, now: datetime) -> DataFrame:
+    """Those of the tagged postings that are to be read: not known; or failed, and due again after a pause that grows."""
     again = retries.due(F.col("attempts"), F.col("scanned_at")) <= F.lit(now)
-    return joined.filter(F.col("status").isNull() | ((F.col("status") == "failed") & again)).drop("status", "rules_version", "scanned_at")
+    return postings.filter(F.col("status").isNull() | ((F.col("status") == "failed") & again))
+
+
+def first(todo: DataFrame, waiting: int, budget: int) -> DataFrame:
+    """The next ``budget`` of the postings waiting: those never tried come first, so that failures do not starve the rest.
+
+    Where all are read, none is sorted.  Else the last one's place is found without the texts, and the rows up
+    to it are kept where they are; so no task holds all that are read.
+    """
+    if waiting <= budget:
+        return todo
+    if budget < 1:
+        return todo.limit(0)
+    places = todo.select(F.coalesce("attempts", F.lit(0)).alias("_tried"), F.col("updated_at").alias("_updated"), F.col("posting_id").alias("_id"))
+    ordered = scanning.ranked(places, [F.col("_tried"), F.col("_updated").desc_nulls_last(), F.col("_id")], "_rank")
+    last = F.broadcast(ordered.filter(F.col("_rank") == budget).drop("_rank"))
+    tried = F.coalesce("attempts", F.lit(0))
+    # Among structs a null comes before all values.
+    mine, its = F.struct(F.col("updated_at").alias("at")), F.struct(F.col("_updated").alias("at"))
+    before = (tried < F.col("_tried")) | ((tried == F.col("_tried")) & ((mine > its) | ((mine == its) & (F.col("posting_id") <= F.col("_id")))))
+    return todo.crossJoin(last).filter(before).select(*todo.columns)
 
 
 def compact(postings: DataFrame, known: DataFrame, cfg: Config) -> DataFrame:
@@ -98,18 +124,20 @@ def run_once(spark: SparkSession, postings: DataFrame, cfg: Config, now: datetim
 def _run(spark: SparkSession, postings: DataFrame, cfg: Config, now: datetime) -> Report:
     seen = Observation()
     postings = postings.observe(seen, F.count("*").alias("n"), F.count_if(F.col("posting_id").isNull()).alias("without_id"))
-    postings = written(identified(postings), "postings")
+    cold = publish.cache_deleted(spark, cfg.out)
+    known = state.load(spark, cfg.state_root).limit(0) if cold else state.load(spark, cfg.state_root)
+    # The one table of a run that holds the texts.
+    postings = written(tagged(identified(postings), known, cfg), "postings", "zstd")
     without_id = seen.get["without_id"]
     if without_id > cfg.most_without_id * seen.get["n"]:
         raise TooManyWithoutId(f"{without_id} of {seen.get['n']} records have no id")
-    cold = publish.cache_deleted(spark, cfg.out)
-    known = state.load(spark, cfg.state_root).limit(0) if cold else state.load(spark, cfg.state_root)
-    todo = pending(postings, known, cfg, now)
-    picked = todo.orderBy(F.coalesce("attempts", F.lit(0)), F.col("updated_at").desc_nulls_last(), "posting_id").limit(cfg.budget)
+    todo = pending(postings, now)
+    waiting = todo.count()
+    picked = first(todo, waiting, cfg.budget).drop("status", "scanned_at")
     if cfg.hosts:
         picked = reading.with_texts(picked, cfg.hosts)
     fresh = written(scan(picked, cfg, now), "fresh")
-    n, waiting = fresh.count(), todo.count()
+    n = fresh.count()
     merged = caching.upsert(known, fresh, ["posting_id"], ["scanned_at", "content_hash", "rules_version", "status", "attempts"])
     merged = written(caching.evict(merged, postings, ["posting_id"]), "merged")
     if cold or n or merged.count() != known.count():

@@ -45,11 +45,11 @@ def place(spark: SparkSession, name: str) -> str:
     return path
 
 
-def written(df: DataFrame, name: str = "t") -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and return the table read back."""
+def written(df: DataFrame, name: str = "t", compression: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder and return the table read back; by the session's compression, if none is named."""
     spark = df.sparkSession
     path = place(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
